@@ -25,6 +25,10 @@ def display_status(count: str | Column, minimum: int = DISPLAY_MINIMUM) -> Colum
     return F.when(_column(count) >= minimum, "display").otherwise("insufficient_data")
 
 
+def n_rows() -> Column:
+    return F.count(F.lit(1))
+
+
 def tally(condition: Column) -> Column:
     """Number of rows for which ``condition`` is true (0, not NULL, when none is)."""
     return F.count_if(F.coalesce(condition, F.lit(False)))

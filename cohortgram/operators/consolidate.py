@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortgram.functions.keys import surrogate_key
+from cohortgram.functions.measures import n_rows
 from cohortgram.functions.statuses import strongest_status, tri_state
 from cohortgram.functions.windows import ReportWindow
 from cohortgram.operators.evidence import display_name, priority_label
@@ -93,7 +94,7 @@ def culture_observations(
             flatten_union(MEMBERS, MEMBERS),
             F.array_sort(F.collect_set("reporting_phenotype")).alias("source_reporting_phenotypes"),
             # One record per phenotype, so rows are distinct records.
-            F.count(F.lit(1)).alias("phenotype_records_on_culture"),
+            n_rows().alias("phenotype_records_on_culture"),
             *[strongest_status(s).alias(s) for s in statuses],
         )
     )

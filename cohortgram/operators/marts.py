@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortgram.functions.keys import surrogate_key
-from cohortgram.functions.measures import DISPLAY_MINIMUM, display_status, safe_pct, tally
+from cohortgram.functions.measures import DISPLAY_MINIMUM, display_status, n_rows, safe_pct, tally
 from cohortgram.functions.statuses import NOT_APPLICABLE, NOT_DETECTED, NOT_EVALUABLE, POSITIVE, strongest_status
 from cohortgram.functions.windows import ReportWindow
 from cohortgram.operators.consolidate import MEMBERS
@@ -128,7 +128,7 @@ RESULT_COUNT_NAMES = (
 def endpoint_counts(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The eleven counts over grid rows with their endpoints attached."""
     return rows.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("eligible_count"),
+        n_rows().alias("eligible_count"),
         *result_counts(),
         tally(F.col("resolution_status").isNull()).alias("untested_count"),
     )
@@ -170,8 +170,7 @@ def panel_cells(cells: DataFrame, pairs: DataFrame, exclusions: DataFrame) -> Da
 
 
 def susceptibility_mart(
-    overall: DataFrame,
-    stratified: DataFrame,
+    selected: DataFrame,
     endpoints: DataFrame,
     pairs: DataFrame,
     exclusions: DataFrame,
@@ -180,14 +179,13 @@ def susceptibility_mart(
     minimum: int = DISPLAY_MINIMUM,
     carry: Sequence[str] = (),
 ) -> DataFrame:
-    """The susceptibility table from the selected records and the first-level endpoints.
+    """The susceptibility table from the selected records (`selected_members`) and first-level endpoints.
 
     Only endpoints of selected records, on drugs of the panel, are reconciled and counted. The eligible
     count of a cell is its number of selected records; a record without an endpoint is untested.
     """
-    selected = selected_members(overall, stratified, carry)
     dimensions = [*carry, *CELL]
-    cells = selected.groupBy(*dimensions).agg(F.count(F.lit(1)).alias("eligible_count"))
+    cells = selected.groupBy(*dimensions).agg(n_rows().alias("eligible_count"))
     panel = panel_cells(cells, pairs, exclusions)
 
     drugs = active_pairs(pairs).select("antibiotic").distinct()
@@ -263,7 +261,7 @@ def patient_status(
 def status_summary(patients: DataFrame, keys: Sequence[str]) -> DataFrame:
     status = F.col("phenotype_status")
     return patients.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("denominator_count"),
+        n_rows().alias("denominator_count"),
         tally(status == POSITIVE).alias("positive_count"),
         tally(status == NOT_DETECTED).alias("not_detected_count"),
         tally(status == NOT_EVALUABLE).alias("not_evaluable_count"),

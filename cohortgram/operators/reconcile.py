@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortgram.functions.keys import surrogate_key
-from cohortgram.functions.measures import tally
+from cohortgram.functions.measures import n_rows, tally
 from cohortgram.operators.rollup import latest_lineage
 
 RESOLVED, MISSING, CONFLICT = "resolved", "missing", "conflict"
@@ -20,43 +20,37 @@ def reconcile_endpoints(
     keys: Sequence[str],
     value: str = "susceptibility",
     lineage: Sequence[str] = ("source_file", "ingested_at"),
-    state_counts: bool = True,
 ) -> DataFrame:
     """One row per endpoint: resolved (one value everywhere), missing (only NULL) or conflict.
 
-    A value beside a NULL is a conflict here. Status and value need min, max and a NULL count only, one
-    hash aggregation; ``state_counts`` adds the exact distinct counts of the audit, a second shuffle of
-    the already combined rows.
+    A value beside a NULL is a conflict here. Rows are folded to distinct states first, so repeated rows
+    of one endpoint, however many, are combined map-side, and state counts are plain counts. Lineage
+    columns of text type make that fold a sort aggregation; leave them out where nobody reads them.
     """
-    missing = F.count(F.lit(1)) - F.count(value)
-    aggregates = [
-        F.count(F.lit(1)).alias("source_row_count"),
-        missing.alias("missing_susceptibility_row_count"),
-        F.min(value).alias("_low"),
-        F.max(value).alias("_high"),
+    folded = rows.groupBy(*keys, value).agg(n_rows().alias("_rows"), *latest_lineage(lineage))
+    rolled = folded.groupBy(*keys).agg(
+        F.sum("_rows").alias("source_row_count"),
+        F.coalesce(F.sum(F.when(F.col(value).isNull(), F.col("_rows"))), F.lit(0)).alias(
+            "missing_susceptibility_row_count"
+        ),
+        F.count(value).alias("distinct_nonnull_category_count"),
+        n_rows().alias("distinct_result_state_count"),
+        F.max(value).alias("_value"),
         *latest_lineage(lineage),
-    ]
-    if state_counts:
-        aggregates.append(F.count_distinct(value).alias("distinct_nonnull_category_count"))
-    rolled = rows.groupBy(*keys).agg(*aggregates)
-
-    resolved = (F.col("missing_susceptibility_row_count") == 0) & (F.col("_low") == F.col("_high"))
-    status = F.when(resolved, RESOLVED).when(F.col("_high").isNull(), MISSING).otherwise(CONFLICT)
-    counts: list[Column | str] = ["source_row_count", "missing_susceptibility_row_count"]
-    if state_counts:
-        states = F.col("distinct_nonnull_category_count") + F.when(
-            F.col("missing_susceptibility_row_count") > 0, 1
-        ).otherwise(0)
-        counts += [
-            "distinct_nonnull_category_count",
-            states.alias("distinct_result_state_count"),
-            F.greatest(F.col("source_row_count") - states, F.lit(0)).alias("repeated_result_row_count"),
-        ]
+    )
+    one_state = F.col("distinct_result_state_count") == 1
+    resolved = one_state & (F.col("distinct_nonnull_category_count") == 1)
     return rolled.select(
         *keys,
-        *counts,
-        status.alias("resolution_status"),
-        F.when(resolved, F.col("_high")).alias(value),
+        "source_row_count",
+        "missing_susceptibility_row_count",
+        "distinct_nonnull_category_count",
+        "distinct_result_state_count",
+        F.greatest(F.col("source_row_count") - F.col("distinct_result_state_count"), F.lit(0)).alias(
+            "repeated_result_row_count"
+        ),
+        F.when(resolved, RESOLVED).when(one_state, MISSING).otherwise(CONFLICT).alias("resolution_status"),
+        F.when(resolved, F.col("_value")).alias(value),
         *lineage,
     )
 
@@ -112,7 +106,7 @@ def reconcile_group(
         F.array_sort(F.collect_set("resolution_status")).alias("source_resolution_statuses"),
     ]
     rolled = source.groupBy(*keys, "antibiotic").agg(
-        F.count(F.lit(1)).alias("source_endpoint_row_count"),
+        n_rows().alias("source_endpoint_row_count"),
         tally(F.col("resolution_status") == CONFLICT).alias("source_conflict_count"),
         tally(F.col("resolution_status") == MISSING).alias("source_missing_count"),
         F.min(resolved_value).alias("_low"),

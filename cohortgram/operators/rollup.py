@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortgram.functions.keys import surrogate_key
-from cohortgram.functions.measures import tally
+from cohortgram.functions.measures import n_rows, tally
 
 LINEAGE = ("source_file", "ingested_at")
 
@@ -28,12 +28,20 @@ def consistent_rollup(
 ) -> DataFrame:
     """One row per key; an attribute survives only if all rows of the key agree, NULL being a state.
 
-    Agreement is min = max with either no NULL or nothing but NULL. That is one hash aggregation with
-    map-side partials, where distinct counts per attribute would multiply the rows before the shuffle.
+    Rows are first folded to distinct attribute states by a hash aggregation, map-side as well, so a key
+    with very many rows leaves each task as a few states. Agreement is then min = max with either no NULL
+    or nothing but NULL; distinct counts per attribute would multiply the rows before the shuffle instead.
     """
-    total = F.col("source_row_count")
-    summary = rows.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("source_row_count"),
+    # Text cannot be a hash-aggregation buffer: text lineage is folded as a grouping column.
+    text = [c for c in lineage if dict(rows.dtypes)[c] == "string"]
+    other = [c for c in lineage if c not in text]
+    states = rows.groupBy(*keys, *attributes, *text).agg(
+        n_rows().alias("_rows"), *[F.max(c).alias(c) for c in other]
+    )
+    total = F.col("_states")
+    summary = states.groupBy(*keys).agg(
+        F.sum("_rows").alias("source_row_count"),
+        n_rows().alias("_states"),
         *[F.min(a).alias(f"_min_{a}") for a in attributes],
         *[F.max(a).alias(f"_max_{a}") for a in attributes],
         *[F.count(a).alias(f"_n_{a}") for a in attributes],
@@ -71,7 +79,7 @@ def child_rollup(
         rows.filter(F.col(child).isNotNull())
         .groupBy(*keys, child)
         .agg(
-            F.count(F.lit(1)).alias("source_row_count"),
+            n_rows().alias("source_row_count"),
             F.count(item).alias(items),
             F.count_distinct(item).alias(distinct_items),
             *latest_lineage(lineage),
@@ -98,16 +106,16 @@ def without_parent(children: DataFrame, parents: DataFrame, keys: Sequence[str])
 
 def repeated_rows(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys that own more than one row."""
-    return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("row_count")).filter("row_count > 1")
+    return rows.groupBy(*keys).agg(n_rows().alias("row_count")).filter("row_count > 1")
 
 
 def repeated_summary(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     """How many rows share a key with another row, and how many rows are surplus copies."""
-    groups = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    groups = rows.groupBy(*keys).agg(n_rows().alias("n"))
     shared = F.when(F.col("n") > 1, F.col("n")).otherwise(0)
     return groups.agg(
         F.sum("n").alias("rows"),
-        F.count(F.lit(1)).alias("distinct_keys"),
+        n_rows().alias("distinct_keys"),
         tally(F.col("n") > 1).alias("keys_with_repeats"),
         F.sum(shared).alias("rows_sharing_a_key"),
         F.sum(F.col("n") - 1).alias("surplus_rows"),

@@ -22,8 +22,8 @@ GROUP_PHENOTYPES = ("base", "esce_r", "oxacillin_resistant", "vancomycin_resista
 class ReportTables:
     """Every relation of a report, one property per grain, each built when first asked for.
 
-    Two relations have several readers and are kept in ``scratch`` if one is given: ``endpoints`` and
-    ``records``. Everything else stays a lazy plan for Catalyst. The window is applied to ``records``,
+    Relations with several readers are kept in ``scratch`` if one is given: ``endpoints``, ``records`` and
+    the small ``selected``. Everything else stays a lazy plan for Catalyst. The window is applied to ``records``,
     before selection and counting; filtering a finished table would give other answers.
     """
 
@@ -174,11 +174,16 @@ class ReportTables:
     def population_endpoints(self) -> DataFrame:
         return marts.union_endpoints(self.first_overall_endpoints, self.first_stratified_endpoints)
 
+    @cached_property
+    def selected(self) -> DataFrame:
+        """Selected records of both scopes; the table reads them for its denominators and its endpoints."""
+        name = f"selected-{self.window.start or 'full'}"
+        return self._keep(name, marts.selected_members(self.first_overall, self.first_stratified))
+
     @cached_property
     def susceptibility(self) -> DataFrame:
         return marts.susceptibility_mart(
-            self.first_overall,
-            self.first_stratified,
+            self.selected,
             self.endpoints,
             self.seeds.pairs,
             self.seeds.exclusions,
