@@ -20,37 +20,46 @@ def reconcile_endpoints(
     keys: Sequence[str],
     value: str = "susceptibility",
     lineage: Sequence[str] = ("source_file", "ingested_at"),
+    state_counts: bool = True,
 ) -> DataFrame:
     """One row per endpoint: resolved (one value everywhere), missing (only NULL) or conflict.
 
-    A value beside a NULL is a conflict here. Rows are folded to distinct states first, so repeated rows
-    of one endpoint, however many, are combined map-side, and state counts are plain counts. Lineage
-    columns of text type make that fold a sort aggregation; leave them out where nobody reads them.
+    A value beside a NULL is a conflict here. Repeated rows of an endpoint, however many, are combined
+    map-side. Status and value follow from minimum, maximum and a NULL count in one shuffle;
+    ``state_counts`` adds the exact distinct counts of the audit by folding rows to states first, which
+    costs a second one.
     """
-    folded = rows.groupBy(*keys, value).agg(n_rows().alias("_rows"), *latest_lineage(lineage))
-    rolled = folded.groupBy(*keys).agg(
-        F.sum("_rows").alias("source_row_count"),
-        F.coalesce(F.sum(F.when(F.col(value).isNull(), F.col("_rows"))), F.lit(0)).alias(
-            "missing_susceptibility_row_count"
-        ),
-        F.count(value).alias("distinct_nonnull_category_count"),
-        n_rows().alias("distinct_result_state_count"),
-        F.max(value).alias("_value"),
+    total, missing = F.col("source_row_count"), F.col("missing_susceptibility_row_count")
+    counts: list[Column | str] = ["source_row_count", "missing_susceptibility_row_count"]
+    if state_counts:
+        states = rows.groupBy(*keys, value).agg(n_rows().alias("_rows"), *latest_lineage(lineage))
+        weight = F.col("_rows")
+        distinct = [
+            F.count(value).alias("distinct_nonnull_category_count"),
+            n_rows().alias("distinct_result_state_count"),
+        ]
+        counts += [
+            "distinct_nonnull_category_count",
+            "distinct_result_state_count",
+            F.greatest(total - F.col("distinct_result_state_count"), F.lit(0)).alias("repeated_result_row_count"),
+        ]
+    else:
+        states, weight, distinct = rows, F.lit(1), []
+    rolled = states.groupBy(*keys).agg(
+        F.sum(weight).alias("source_row_count"),
+        F.sum(F.when(F.col(value).isNull(), weight).otherwise(0)).alias("missing_susceptibility_row_count"),
+        F.min(value).alias("_low"),
+        F.max(value).alias("_high"),
+        *distinct,
         *latest_lineage(lineage),
     )
-    one_state = F.col("distinct_result_state_count") == 1
-    resolved = one_state & (F.col("distinct_nonnull_category_count") == 1)
+    resolved = (missing == 0) & (F.col("_low") == F.col("_high"))
+    status = F.when(resolved, RESOLVED).when(F.col("_high").isNull(), MISSING).otherwise(CONFLICT)
     return rolled.select(
         *keys,
-        "source_row_count",
-        "missing_susceptibility_row_count",
-        "distinct_nonnull_category_count",
-        "distinct_result_state_count",
-        F.greatest(F.col("source_row_count") - F.col("distinct_result_state_count"), F.lit(0)).alias(
-            "repeated_result_row_count"
-        ),
-        F.when(resolved, RESOLVED).when(one_state, MISSING).otherwise(CONFLICT).alias("resolution_status"),
-        F.when(resolved, F.col("_value")).alias(value),
+        *counts,
+        status.alias("resolution_status"),
+        F.when(resolved, F.col("_high")).alias(value),
         *lineage,
     )
 
@@ -58,8 +67,11 @@ def reconcile_endpoints(
 def with_endpoint_keys(
     endpoints: DataFrame, parent_keys: Sequence[str], child: str = "organism"
 ) -> DataFrame:
-    """Culture and culture-organism keys, computed from the natural key instead of joined."""
-    keyed = endpoints.withColumn("culture_key", surrogate_key(*parent_keys))
+    """Culture and culture-organism keys, computed from the natural key instead of joined.
+
+    Rows without a full natural key have no parent record and are left out, as an equality join would.
+    """
+    keyed = endpoints.dropna(subset=list(parent_keys)).withColumn("culture_key", surrogate_key(*parent_keys))
     return keyed.withColumn("culture_organism_key", surrogate_key("culture_key", child))
 
 

@@ -69,19 +69,31 @@ def child_rollup(
     parent_key: str,
     key_name: str,
     lineage: Sequence[str] = LINEAGE,
+    item_counts: bool = True,
 ) -> DataFrame:
     """One row per parent and child label, with item rows, distinct items and a repeat flag.
 
-    The parent key is a function of the natural key, so it is computed rather than joined.
+    The parent key is a function of the natural key, so it is computed rather than joined; rows without a
+    full natural key have no parent and are left out. Items are folded first, so distinct ones are counted
+    as rows; without ``item_counts`` that step and its shuffle fall away.
     """
     items, distinct_items = f"{item}_result_row_count", f"distinct_{item}_count"
+    if not item_counts:
+        labels = rows.dropna(subset=[*keys, child]).groupBy(*keys, child)
+        summary = labels.agg(n_rows().alias("source_row_count"), *latest_lineage(lineage))
+        keyed = summary.withColumn(parent_key, surrogate_key(*keys))
+        return keyed.withColumn(key_name, surrogate_key(parent_key, child))
+    folded = (
+        rows.dropna(subset=[*keys, child])
+        .groupBy(*keys, child, item)
+        .agg(n_rows().alias("_rows"), *latest_lineage(lineage))
+    )
     summary = (
-        rows.filter(F.col(child).isNotNull())
-        .groupBy(*keys, child)
+        folded.groupBy(*keys, child)
         .agg(
-            n_rows().alias("source_row_count"),
-            F.count(item).alias(items),
-            F.count_distinct(item).alias(distinct_items),
+            F.sum("_rows").alias("source_row_count"),
+            F.sum(F.when(F.col(item).isNotNull(), F.col("_rows")).otherwise(0)).alias(items),
+            F.count(item).alias(distinct_items),
             *latest_lineage(lineage),
         )
         .withColumn(parent_key, surrogate_key(*keys))

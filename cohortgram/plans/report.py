@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from functools import cached_property
 
 from pyspark.sql import DataFrame
@@ -17,13 +18,17 @@ from cohortgram.sources.staging import stage_cohort
 ORDER_ATTRIBUTES = ("culture_time_shifted", "ordering_mode", "culture_description", "was_positive")
 GROUP_KEYS = ("ast_scope", "reporting_source_key", *select.PATIENT_GROUP)
 GROUP_PHENOTYPES = ("base", "esce_r", "oxacillin_resistant", "vancomycin_resistant")
+REPORT_RELATIONS = ("endpoints", "records", "selected")
+AUDIT_RELATIONS = (*REPORT_RELATIONS, "cultures", "culture_organisms", "mapped", "phenotypes", "group_endpoints")
 
 
 class ReportTables:
     """Every relation of a report, one property per grain, each built when first asked for.
 
-    Relations with several readers are kept in ``scratch`` if one is given: ``endpoints``, ``records`` and
-    the small ``selected``. Everything else stays a lazy plan for Catalyst. The window is applied to ``records``,
+    If ``scratch`` is given, the relations named in ``keep`` are written there once: by default those the
+    reports read several times. Name more of them to run many audits over one build. Everything else stays
+    a lazy plan for Catalyst. ``audit_columns=False`` leaves out file lineage, the ordering mode, and distinct
+    counts of states and drugs, which no report reads and which cost shuffles. The window is applied to ``records``,
     before selection and counting; filtering a finished table would give other answers.
     """
 
@@ -34,22 +39,29 @@ class ReportTables:
         window: ReportWindow = ReportWindow(),
         scratch: Scratch | None = None,
         minimum: int = DISPLAY_MINIMUM,
+        keep: Iterable[str] = REPORT_RELATIONS,
+        audit_columns: bool = True,
     ):
         self.raw_cohort = raw_cohort
         self.seeds = seeds
         self.window = window
         self.scratch = scratch
         self.minimum = minimum
+        self.keep = frozenset(keep)
+        self.audit_columns = audit_columns
+        self.lineage = rollup.LINEAGE if audit_columns else ()
 
     def for_window(self, window: ReportWindow) -> ReportTables:
-        """The same tables under another window; what does not depend on the window is shared."""
-        other = ReportTables(self.raw_cohort, self.seeds, window, self.scratch, self.minimum)
-        shared = ("staged", "cultures", "culture_organisms", "endpoints", "mapped", "phenotypes", "records")
-        other.__dict__.update({name: self.__dict__[name] for name in shared if name in self.__dict__})
+        """The same tables under another window. What does not depend on the window is built once for both."""
+        other = ReportTables(self.raw_cohort, self.seeds, window, self.scratch, self.minimum, self.keep, self.audit_columns)
+        for name in ("staged", "endpoints", "records"):
+            other.__dict__[name] = getattr(self, name)
         return other
 
     def _keep(self, name: str, frame: DataFrame) -> DataFrame:
-        return frame if self.scratch is None else self.scratch.keep(name, frame)
+        if self.scratch is None or name not in self.keep:
+            return frame
+        return self.scratch.keep(f"{name}-{self.window.start or 'full'}", frame)
 
     # -- grains of the source ----------------------------------------------------------------------
     @cached_property
@@ -58,18 +70,32 @@ class ReportTables:
 
     @cached_property
     def cultures(self) -> DataFrame:
-        return rollup.consistent_rollup(self.staged, ORDER_KEYS, ORDER_ATTRIBUTES, "culture_key")
+        attributes = ORDER_ATTRIBUTES if self.audit_columns else vocabulary.CONTEXT_COLUMNS
+        rolled = rollup.consistent_rollup(
+            self.staged, ORDER_KEYS, attributes, "culture_key", lineage=self.lineage
+        )
+        return self._keep("cultures", rolled)
 
     @cached_property
     def culture_organisms(self) -> DataFrame:
-        return rollup.child_rollup(
-            self.staged, ORDER_KEYS, "organism", "antibiotic", "culture_key", "culture_organism_key"
+        rolled = rollup.child_rollup(
+            self.staged,
+            ORDER_KEYS,
+            "organism",
+            "antibiotic",
+            "culture_key",
+            "culture_organism_key",
+            lineage=self.lineage,
+            item_counts=self.audit_columns,
         )
+        return self._keep("culture_organisms", rolled)
 
     @cached_property
     def endpoints(self) -> DataFrame:
         tested = self.staged.filter("organism is not null and antibiotic is not null")
-        rolled = reconcile.reconcile_endpoints(tested, [*ORDER_KEYS, "organism", "antibiotic"])
+        rolled = reconcile.reconcile_endpoints(
+            tested, [*ORDER_KEYS, "organism", "antibiotic"], lineage=self.lineage, state_counts=self.audit_columns
+        )
         return self._keep("endpoints", reconcile.with_endpoint_keys(rolled, ORDER_KEYS))
 
     @cached_property
@@ -93,7 +119,7 @@ class ReportTables:
     @cached_property
     def mapped(self) -> DataFrame:
         labelled = self.cohort_records.withColumnRenamed("organism", "organism_source")
-        return vocabulary.map_labels(labelled, self.seeds.labels)
+        return self._keep("mapped", vocabulary.map_labels(labelled, self.seeds.labels))
 
     # -- classification and consolidation ----------------------------------------------------------
     @cached_property
@@ -110,7 +136,8 @@ class ReportTables:
 
     @cached_property
     def phenotypes(self) -> DataFrame:
-        return evidence.phenotype_records(evidence.with_rule_scopes(self.mapped), self.evidence)
+        records = evidence.phenotype_records(evidence.with_rule_scopes(self.mapped), self.evidence)
+        return self._keep("phenotypes", records)
 
     @cached_property
     def records(self) -> DataFrame:
@@ -139,7 +166,8 @@ class ReportTables:
             select.PATIENT_GROUP,
             consolidate.MEMBERS,
         )
-        return reconcile.with_group_endpoint_key(reconcile.reconcile_group(groups, self.endpoints, GROUP_KEYS))
+        rolled = reconcile.reconcile_group(groups, self.endpoints, GROUP_KEYS)
+        return self._keep("group_endpoints", reconcile.with_group_endpoint_key(rolled))
 
     @cached_property
     def markers(self) -> DataFrame:
@@ -177,8 +205,7 @@ class ReportTables:
     @cached_property
     def selected(self) -> DataFrame:
         """Selected records of both scopes; the table reads them for its denominators and its endpoints."""
-        name = f"selected-{self.window.start or 'full'}"
-        return self._keep(name, marts.selected_members(self.first_overall, self.first_stratified))
+        return self._keep("selected", marts.selected_members(self.first_overall, self.first_stratified))
 
     @cached_property
     def susceptibility(self) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortgram.functions.windows import ReportWindow
-from cohortgram.plans.report import ReportTables
+from cohortgram.plans.report import AUDIT_RELATIONS, ReportTables
 from cohortgram.plans.storage import Scratch
 from cohortgram.queries import source
 from cohortgram.sources.seeds import Seeds
@@ -38,11 +38,11 @@ class Context:
 
     @cached_property
     def full(self) -> ReportTables:
-        return ReportTables(source.raw_cohort(self.spark, self.sf_dir), self.seeds, scratch=self.scratch)
+        raw = self.scratch.keep("raw_cohort", source.raw_cohort(self.spark, self.sf_dir))
+        return ReportTables(raw, self.seeds, scratch=self.scratch, keep=AUDIT_RELATIONS)
 
     @cached_property
     def windowed(self) -> ReportTables:
-        self.full.records  # shared with the window's tables
         return self.full.for_window(WINDOW)
 
     @cached_property

@@ -110,6 +110,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """Rows over all cores when a file has fewer splits than the session has cores.
+
+    The small test files are one row group each, which one task reads. Inputs of any size have more splits
+    than that and are left as they are.
+    """
+    parallelism = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(parallelism) if rows.rdd.getNumPartitions() < parallelism else rows
+
+
 def _lookup(values: dict[str, str], key: Column) -> Column:
     return F.try_element_at(F.create_map(*[F.lit(t) for pair in values.items() for t in pair]), key)
 
@@ -148,7 +158,7 @@ def raw_cohort(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_suppkey", "l_quantity", "l_tax", "l_returnflag", "l_linestatus"
     )
-    rows = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(
+    rows = spread(lines).join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(
         customers, F.col("o_custkey") == F.col("c_custkey")
     )
     neighbour = F.when((F.col("l_linestatus") == "O") & (F.col("l_returnflag") == "R"), 1).otherwise(0)

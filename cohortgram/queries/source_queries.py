@@ -25,7 +25,7 @@ def _landed(c: Context, releases: tuple[str, ...] = ("2025-04-11", "2025-10-01")
     rows = c.raw.filter(F.col("source_version").isin(*releases))
     rows.select(*COHORT_SCHEMA.fieldNames(), F.col("source_version").alias("release")).write.partitionBy("release").option(
         "header", True
-    ).option("quoteAll", True).csv(path)
+    ).options(quoteAll=True, **export.EXACT_TEXT).csv(path)
     return path
 
 

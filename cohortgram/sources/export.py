@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# The CSV writer trims text unless told not to.
+EXACT_TEXT = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 FULL_RELEASE = "full_release"
 WINDOW_PARTITION = "report_window"
 
@@ -22,9 +24,10 @@ def export_mart(mart: DataFrame, path: str, fmt: str = "parquet") -> None:
         .partitionBy(WINDOW_PARTITION)
     )
     if fmt == "csv":
-        writer = writer.option("header", True)
+        writer = writer.options(header=True, **EXACT_TEXT)
     writer.format(fmt).save(path)
 
 
 def write_csv(frame: DataFrame, path: str) -> None:
-    frame.write.mode("error").option("header", True).csv(path)
+    """One report as CSV part files, written by the executors."""
+    frame.write.mode("error").options(header=True, **EXACT_TEXT).csv(path)
