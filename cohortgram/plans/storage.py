@@ -14,24 +14,28 @@ from pyspark.sql import DataFrame, SparkSession
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
 
+_local_roots: dict[str, str] = {}
+
+
 def scratch_root(spark: SparkSession) -> str:
-    """The configured shared folder; in local mode without one, a fresh local folder."""
-    configured = spark.conf.get(CHECKPOINT_SETTING, None) or spark.sparkContext.getConf().get(CHECKPOINT_SETTING)
+    """The configured shared folder; in local mode without one, a fresh local folder per application."""
+    configured = spark.conf.get(CHECKPOINT_SETTING, None)
     if configured:
         return configured
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_SETTING} to a folder every executor can reach")
-    root = tempfile.mkdtemp(prefix="cohortgram-")
-    spark.conf.set(CHECKPOINT_SETTING, root)
-    return root
+    if context.applicationId not in _local_roots:
+        _local_roots[context.applicationId] = tempfile.mkdtemp(prefix="cohortgram-")
+    return _local_roots[context.applicationId]
 
 
 class Scratch:
     """Named Parquet tables of one run, each run in a folder of its own."""
 
-    def __init__(self, spark: SparkSession):
+    def __init__(self, spark: SparkSession, root: str | None = None):
         self.spark = spark
-        self.path = f"{scratch_root(spark).rstrip('/')}/run-{uuid.uuid4().hex}"
+        self.path = f"{(root or scratch_root(spark)).rstrip('/')}/run-{uuid.uuid4().hex}"
 
     def folder(self, name: str) -> str:
         return f"{self.path}/{name}"
