@@ -169,7 +169,7 @@ def _coverage(c: Context):
     return audits.drug_coverage(c.full.mapped, c.full.endpoints, ["cohort_id", "organism_source"])
 
 
-_RANK = "row_number() OVER (PARTITION BY cohort_id, organism_source ORDER BY categorized_records DESC, antibiotic)"
+_RANK = "(row_number() OVER (PARTITION BY cohort_id, organism_source ORDER BY categorized_records DESC, antibiotic))::int"
 
 
 @query(
@@ -208,7 +208,7 @@ def antibiotic_inventory(c: Context):
 @query(
     "organism_reporting_group antibiotic source_records categorized_records categorized_coverage_pct antibiotic_rank",
     f"""SELECT *, {pct('categorized_records', 'source_records')} AS categorized_coverage_pct,
-  row_number() OVER (PARTITION BY organism_reporting_group ORDER BY categorized_records DESC, antibiotic)
+  (row_number() OVER (PARTITION BY organism_reporting_group ORDER BY categorized_records DESC, antibiotic))::int
     AS antibiotic_rank
 FROM (SELECT organism_reporting_group, count(*) AS source_records FROM mapped
   WHERE include_primary_summary = 1 AND cohort_id = 'blood' GROUP BY 1)

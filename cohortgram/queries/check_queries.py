@@ -165,9 +165,9 @@ def check_overall_denominator(c: Context):
 
 
 @query(
-    f"{CELL} antibiotic expected_eligible_count eligible_count",
+    f"{CELL} antibiotic expected_eligible_count $eligible_count",
     """SELECT source_version, cohort_id, organism_reporting_group, reporting_phenotype, antibiotic,
-  eligible_count AS expected_eligible_count, CASE antibiotic WHEN 'Meropenem' THEN eligible_count + 1 END
+  eligible_count AS expected_eligible_count, CASE antibiotic WHEN 'Meropenem' THEN cast(eligible_count + 1 AS varchar) END
   AS eligible_count FROM mart WHERE antibiotic IN ('Gentamicin', 'Meropenem')""",
     "mart",
 )
@@ -211,9 +211,9 @@ def check_scoped_rules(c: Context):
 
 
 @query(
-    f"{CELL} antibiotic eligible_count unique_patients",
+    f"{CELL} antibiotic eligible_count $unique_patients",
     """SELECT m.source_version, m.cohort_id, m.organism_reporting_group, reporting_phenotype, antibiotic,
-  eligible_count, unique_patients
+  eligible_count, cast(unique_patients AS varchar) AS unique_patients
 FROM mart m LEFT JOIN (SELECT source_version, cohort_id, organism_reporting_group,
     count(DISTINCT patient_key) AS unique_patients FROM observation
   WHERE culture_time_shifted < TIMESTAMP '1997-01-01' GROUP BY ALL) p

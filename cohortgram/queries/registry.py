@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from cohortgram.queries.context import Context, context, plain, plain_sql
+from cohortgram.queries.source import WINDOW_START
 from cohortgram.queries.sql import compose
 
 
@@ -19,7 +20,7 @@ class Query:
     columns: str
     sql: str | None
     needs: tuple[str, ...] = ()
-    window: bool = False
+    windows: tuple[str, ...] = ()
 
     def run(self, spark: SparkSession, sf_dir: str) -> DataFrame:
         return plain(self.build(context(spark, sf_dir)), self.columns)
@@ -28,17 +29,25 @@ class Query:
         if self.sql is None:
             return None
         text = self.sql.replace("{columns}", plain_sql(self.columns))
-        return compose(text, *self.needs, window=self.window) if self.needs else text
+        if not self.needs:
+            return text
+        if not self.windows:
+            return compose(text, *self.needs)
+        return "\nUNION ALL\n".join(f"SELECT * FROM ({compose(text, *self.needs, window=w)})" for w in self.windows)
 
 
 QUERIES: dict[str, Query] = {}
 
 
-def query(columns: str, sql: str | None, *needs: str, window: bool = False):
-    """Register the decorated function as a query of the same name."""
+def query(columns: str, sql: str | None, *needs: str, window: bool = False, windows: tuple[str, ...] = ()):
+    """Register the decorated function as a query of the same name.
+
+    ``window`` runs the SQL in the usual window, ``windows`` in each of several, one after the other.
+    """
+    starts = windows or ((WINDOW_START,) if window else ())
 
     def register(build: Callable[[Context], DataFrame]):
-        QUERIES[build.__name__] = Query(build, columns, sql, needs, window)
+        QUERIES[build.__name__] = Query(build, columns, sql, needs, starts)
         return build
 
     return register

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import functions as F
 
 from cohortgram import reference as ref
@@ -11,6 +13,7 @@ from cohortgram.operators import consolidate as con
 from cohortgram.operators import evidence as ev
 from cohortgram.operators import marts, profile, reconcile
 from cohortgram.operators import select as sel
+from cohortgram.plans import windows
 from cohortgram.queries.context import Context
 from cohortgram.queries.registry import query
 from cohortgram.queries.sql import RESULT_COUNTS, any_rows, pct
@@ -493,3 +496,42 @@ def mdro_mart(c: Context):
 @query(MDRO, "SELECT {columns} FROM mdro", "mdro", window=True)
 def mdro_mart_in_window(c: Context):
     return c.windowed.mdro
+
+
+# -- several windows at once -----------------------------------------------------------------------
+STARTS = ("1997-01-01", "1997-07-01", "1998-01-01")
+_STARTS = [date.fromisoformat(s) for s in STARTS]
+
+
+@query(SUSCEPTIBILITY, "SELECT {columns} FROM mart", "mart", windows=STARTS)
+def susceptibility_by_window(c: Context):
+    return windows.susceptibility_by_window(c.full, _STARTS)
+
+
+@query(MDRO, "SELECT {columns} FROM mdro", "mdro", windows=STARTS)
+def mdro_by_window(c: Context):
+    return windows.mdro_by_window(c.full, _STARTS)
+
+
+_TREND_KEYS = ["source_version", "cohort_id", "organism_base_name", "mdro_phenotype"]
+
+
+@query(
+    f"{' '.join(_TREND_KEYS)} $analysis_window_start phenotype_pct previous_phenotype_pct phenotype_pct_change",
+    "SELECT *, lag(phenotype_pct) OVER w AS previous_phenotype_pct, round(phenotype_pct - lag(phenotype_pct) OVER w, 1) "
+    f"AS phenotype_pct_change FROM (SELECT {', '.join(_TREND_KEYS)}, year AS analysis_window_start, "
+    "round(100.0 * count(*) FILTER (WHERE phenotype_status = 'positive') / count(*), 1)::double AS phenotype_pct FROM ("
+    "SELECT source_version, cohort_id, patient_key, organism_reporting_group AS organism_base_name, mdro_phenotype, year, "
+    "CASE max(CASE status WHEN 'positive' THEN 3 WHEN 'not_evaluable' THEN 2 WHEN 'not_detected' THEN 1 END) "
+    "WHEN 3 THEN 'positive' WHEN 2 THEN 'not_evaluable' ELSE 'not_detected' END AS phenotype_status FROM ("
+    "SELECT *, strftime(culture_time_shifted, '%Y-01-01') AS year, 'CRE' AS mdro_phenotype, ast_cre_status AS status "
+    "FROM record UNION ALL SELECT *, strftime(culture_time_shifted, '%Y-01-01'), 'MDR Pseudomonas aeruginosa', "
+    "ast_mdr_p_aeruginosa_status FROM record) WHERE status <> 'not_applicable' AND year BETWEEN '1996-01-01' AND "
+    "'1999-01-01' GROUP BY ALL) GROUP BY ALL) "
+    f"WINDOW w AS (PARTITION BY {', '.join(_TREND_KEYS)} ORDER BY analysis_window_start)",
+    "record",
+)
+def mdro_trend(c: Context):
+    """Yearly resistance percentages with the change from the year before."""
+    years = [date(year, 1, 1) for year in range(1996, 2000)]
+    return windows.change_between_windows(windows.mdro_by_window(c.full, years), _TREND_KEYS, "phenotype_pct")

@@ -50,7 +50,14 @@ def in_list(items) -> str:
 
 ORDER = "source_version, patient_key, encounter_key, culture_order_key"
 STATUSES = ref.STATUS_COLUMNS
-WINDOW = "culture_time_shifted >= TIMESTAMP '1998-01-01' AND culture_time_shifted < TIMESTAMP '1999-01-01'"
+
+
+def window_condition(start: str) -> str:
+    end = f"TIMESTAMP '{start}' + INTERVAL 12 MONTH"
+    return f"culture_time_shifted >= TIMESTAMP '{start}' AND culture_time_shifted < {end}"
+
+
+WINDOW = window_condition(source.WINDOW_START)
 
 _CASE_MODE = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in source.ORDERING_MODES.items())
 _CASE_DESCRIPTION = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in source.DESCRIPTIONS.items())
@@ -491,7 +498,7 @@ RELATIONS = {
 }
 
 
-def compose(select: str, *needs: str, window: bool = False) -> str:
+def compose(select: str, *needs: str, window: str | None = None) -> str:
     """``select`` over the named relations and all they are built from."""
     ordered: list[str] = []
 
@@ -505,10 +512,11 @@ def compose(select: str, *needs: str, window: bool = False) -> str:
 
     for name in needs:
         visit(name)
+    end = f"strftime(DATE '{window}' + INTERVAL 12 MONTH, '%Y-%m-%d')"
     bounds = {
-        "{window}": WINDOW if window else "true",
-        "{window_start}": "'1998-01-01'" if window else "cast(NULL AS varchar)",
-        "{window_end}": "'1999-01-01'" if window else "cast(NULL AS varchar)",
+        "{window}": window_condition(window) if window else "true",
+        "{window_start}": f"'{window}'" if window else "cast(NULL AS varchar)",
+        "{window_end}": end if window else "cast(NULL AS varchar)",
     }
     body = ",\n".join(f"{name} AS MATERIALIZED ({RELATIONS[name]})" for name in ordered)
     for mark, text in bounds.items():
