@@ -6,10 +6,12 @@ from pyspark.sql import functions as F
 
 from cohortgram import reference as ref
 from cohortgram.operators import checks
+from cohortgram.plans import quality
 from cohortgram.queries.context import WINDOW, Context
 from cohortgram.queries.registry import query
 from cohortgram.queries.sql import WINDOW as WINDOW_SQL
 from cohortgram.queries.sql import GRID_BLOCKED as BLOCKED
+from cohortgram.queries.sql import literal, values
 
 CELL = " ".join(checks.CELL_KEYS)
 REPORTED = """(SELECT DISTINCT organism_reporting_group, cohort_id, reporting_phenotype, antibiotic FROM population
@@ -250,3 +252,72 @@ def report_checks(c: Context):
     return checks.summary(results)
 
 
+
+
+_FACTS = ("staged", "demographics", "ward", "cultures", "culture_organisms", "resolved", "organisms", "endpoints")
+_RECORDS = ("cohort_records", "mapped", "phenotypes", "records", "observations", "group_endpoints", "candidates")
+_REPORTS = (
+    "first_stratified",
+    "first_stratified_endpoints",
+    "first_overall",
+    "first_overall_endpoints",
+    "susceptibility",
+    "mdro",
+)
+
+
+def _quality_sql(relations: tuple[str, ...], faults: dict[tuple[str, str], str]) -> str:
+    """Every check of the relations with zero failing rows, but for the faults the data has, which are counted."""
+    rows = [(r, name) for r in relations for name in quality.check_names(r)]
+    counted = " ".join(
+        f"WHEN relation = '{r}' AND check_name = {literal(name)} THEN ({sql})" for (r, name), sql in faults.items()
+    )
+    failing = f"CASE {counted} ELSE 0 END" if counted else "0"
+    return f"SELECT relation, check_name, cast({failing} AS bigint) AS failing_rows FROM ({values('relation, check_name', rows)})"
+
+
+_QUALITY = "relation check_name failing_rows"
+_ORDER_UNIQUE = "patient_key, encounter_key, culture_order_key is unique"
+_REPEATED = "SELECT count(*) FROM (SELECT 1 FROM {} GROUP BY patient_key, encounter_key, culture_order_key HAVING count(*) > 1)"
+
+
+@query(
+    _QUALITY,
+    _quality_sql(
+        _FACTS,
+        {
+            ("staged", "was_positive is not null"): "SELECT count(*) FROM staged WHERE was_positive IS NULL",
+            ("demographics", _ORDER_UNIQUE): _REPEATED.format("demographics"),
+            ("ward", _ORDER_UNIQUE): _REPEATED.format("ward"),
+            ("resolved", "susceptibility is accepted"): "SELECT count(*) FROM endpoint WHERE resolution_status = 'resolved' "
+            "AND susceptibility = 'Null'",
+        },
+    ),
+    "staged",
+    "demographics",
+    "ward",
+    "endpoint",
+)
+def quality_of_facts(c: Context):
+    """Declared checks of staging and facts. Two releases repeat orders, and padded sentinels stay as text."""
+    return quality.quality_report(c.full, {"demographics": c.demographics, "ward": c.ward}, _FACTS)
+
+
+@query(_QUALITY, _quality_sql(_RECORDS, {}))
+def quality_of_records(c: Context):
+    return quality.quality_report(c.full, relations=_RECORDS)
+
+
+@query(
+    _QUALITY,
+    _quality_sql(
+        _REPORTS,
+        {
+            ("susceptibility", checks.COUNT_IDENTITY): "SELECT count(*) FROM mart WHERE tested_endpoint_count <> "
+            "categorized_count + inconclusive_count + synergism_count + missing_result_count + conflict_result_count"
+        },
+    ),
+    "mart",
+)
+def quality_of_reports(c: Context):
+    return quality.quality_report(c.full, relations=_REPORTS)
