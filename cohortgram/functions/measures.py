@@ -30,5 +30,5 @@ def n_rows() -> Column:
 
 
 def tally(condition: Column) -> Column:
-    """Number of rows for which ``condition`` is true (0, not NULL, when none is)."""
-    return F.count_if(F.coalesce(condition, F.lit(False)))
+    """Number of rows for which ``condition`` is true; NULL counts as not true."""
+    return F.count_if(condition)

@@ -24,23 +24,18 @@ from cohortgram.reference import (
 OBSERVED_NON_POSITIVE, NOT_TESTED = "observed_non_positive", "not_tested"
 
 
-def _any(conditions: Sequence[Column]) -> Column:
-    return F.coalesce(reduce(lambda a, b: a | b, conditions), F.lit(False))
-
-
 def scope_column(rule: Rule) -> str:
     return f"{rule.name}_scope"
 
 
 def in_scope(scope: Scope, label: str = "organism_source", standard: str = "organism_standardized") -> Column:
     """Standard names match exactly or by prefix; source labels by prefix in any case, mapped or not."""
-    conditions = []
+    name, source = F.coalesce(F.col(standard), F.lit("")), F.upper(label)
+    conditions = [name.startswith(prefix) for prefix in scope.standard_prefixes]
+    conditions += [source.startswith(prefix) for prefix in scope.label_prefixes]
     if scope.standard_names:
-        conditions.append(F.col(standard).isin(*scope.standard_names))
-    conditions += [F.col(standard).startswith(prefix) for prefix in scope.standard_prefixes]
-    conditions += [F.upper(label).startswith(prefix) for prefix in scope.label_prefixes]
-    # Each part may be NULL for an unmapped label; a NULL part must not hide a true one.
-    return _any([F.coalesce(c, F.lit(False)) for c in conditions])
+        conditions.append(name.isin(*scope.standard_names))
+    return reduce(lambda a, b: a | b, conditions)
 
 
 def rule_scopes(rules: Sequence[Rule] = RULES, **columns: str) -> list[Column]:
@@ -60,15 +55,21 @@ def rule_drugs(rules: Sequence[Rule] = RULES) -> list[str]:
     return sorted({d for r in rules for e in r.evidence for drugs in e.drugs.values() for d in drugs})
 
 
+_RESULT, _UNJUDGED = "_result", "unjudged"
+
+
 def _counts(rule: Rule, evidence: Evidence) -> list[Column]:
-    scope, drug, value = F.col(scope_column(rule)), F.col("antibiotic"), F.col("susceptibility")
-    applies = _any([(scope == name) & drug.isin(*drugs) for name, drugs in evidence.drugs.items()])
-    resolved = F.col("resolution_status") == RESOLVED
-    judged = resolved & F.coalesce(value.isin(*CATEGORISED), F.lit(False))
+    scope, drug, result = F.col(scope_column(rule)), F.col("antibiotic"), F.col(_RESULT)
+    applies = reduce(
+        lambda a, b: a | b, [(scope == name) & drug.isin(*drugs) for name, drugs in evidence.drugs.items()]
+    )
     return [
-        tally(applies & resolved & value.isin(*evidence.positive)).alias(f"{evidence.name}_positive_count"),
-        tally(applies & resolved & value.isin(*evidence.negative)).alias(f"{evidence.name}_negative_count"),
-        tally(applies & ~judged).alias(f"{evidence.name}_non_evaluable_count"),
+        tally(applies & result.isin(*values)).alias(f"{evidence.name}_{kind}_count")
+        for kind, values in (
+            ("positive", evidence.positive),
+            ("negative", evidence.negative),
+            ("non_evaluable", (_UNJUDGED,)),
+        )
     ]
 
 
@@ -82,7 +83,11 @@ def evidence_counts(
     without such endpoints have no row.
     """
     some_scope = reduce(lambda a, b: a | b, [F.col(scope_column(r)).isNotNull() for r in rules])
-    relevant = endpoints.filter(F.col("antibiotic").isin(*rule_drugs(rules)) & some_scope)
+    value = F.col("susceptibility")
+    judged = (F.col("resolution_status") == RESOLVED) & value.isin(*CATEGORISED)
+    relevant = endpoints.filter(F.col("antibiotic").isin(*rule_drugs(rules)) & some_scope).withColumn(
+        _RESULT, F.when(judged, value).otherwise(_UNJUDGED)
+    )
     return relevant.groupBy(*keys).agg(*[c for r in rules for e in r.evidence for c in _counts(r, e)])
 
 

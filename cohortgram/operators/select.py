@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortgram.functions.keys import surrogate_key
@@ -56,11 +56,9 @@ def marker_agreement(
 
 def marker_endpoints(records: DataFrame, endpoints: DataFrame, drugs: Sequence[str] = MARKER_DRUGS) -> DataFrame:
     """Group endpoints of the marker drugs for the only records whose category depends on them."""
-    groups = records.filter(
-        (F.col("reporting_phenotype") == "base")
-        & (F.col("organism_reporting_group") == S_AUREUS)
-        & (F.col("ast_oxacillin_resistance_status") == NOT_DETECTED)
-    ).select(F.lit("stratified").alias("ast_scope"), F.col(RECORD_KEY).alias("reporting_source_key"), MEMBERS)
+    groups = records.filter(_is_marker_decided()).select(
+        F.lit("stratified").alias("ast_scope"), F.col(RECORD_KEY).alias("reporting_source_key"), MEMBERS
+    )
     return reconcile_group(
         groups,
         endpoints.filter(F.col("antibiotic").isin(*drugs)),
@@ -69,48 +67,45 @@ def marker_endpoints(records: DataFrame, endpoints: DataFrame, drugs: Sequence[s
     )
 
 
+def _is_marker_decided() -> Column:
+    """Records whose category depends on their marker results: base S. aureus judged not resistant."""
+    return (
+        (F.col("reporting_phenotype") == "base")
+        & (F.col("organism_reporting_group") == S_AUREUS)
+        & (F.col("ast_oxacillin_resistance_status") == NOT_DETECTED)
+    )
+
+
 def stratified_candidates(
     records: DataFrame, markers: DataFrame, window: ReportWindow, extra_columns: Sequence[str] = ()
 ) -> DataFrame:
     """Records that may represent a patient in one of the published categories.
 
-    The five categories exclude each other, so each record gets its category from one expression after one
-    left join, without a union of branches.
+    The categories exclude each other. Four of them follow from the record itself, in one pass; only the
+    few records of the fifth meet their markers, so the bulk of the records is not shuffled for it.
     """
     phenotype, group = F.col("reporting_phenotype"), F.col("organism_reporting_group")
     eligible = records.filter(window.usable("culture_time_shifted"))
-    agreed = F.col("any_susceptible_marker") & ~F.col("any_other_marker")
-    category = (
-        F.when((phenotype == "base") & (group != S_AUREUS), "base")
-        .when((phenotype == "esce_r") & (F.col("ast_cre_status") != POSITIVE), "esce_r")
-        .when((phenotype == "vancomycin_resistant") & group.isin(E_FAECALIS, E_FAECIUM), "vancomycin_resistant")
-        .when((phenotype == "oxacillin_resistant") & (group == S_AUREUS), "oxacillin_resistant")
-        .when(
-            (phenotype == "base") & (F.col("ast_oxacillin_resistance_status") == NOT_DETECTED) & agreed,
-            "oxacillin_susceptible",
-        )
+    own_category = (
+        ((phenotype == "base") & (group != S_AUREUS))
+        | ((phenotype == "esce_r") & (F.col("ast_cre_status") != POSITIVE))
+        | ((phenotype == "vancomycin_resistant") & group.isin(E_FAECALIS, E_FAECIUM))
+        | ((phenotype == "oxacillin_resistant") & (group == S_AUREUS))
     )
-    suffix = F.try_element_at(
-        F.create_map(*[F.lit(text) for pair in REPORT_SUFFIX.items() for text in pair]), F.col("reporting_phenotype")
+    agreed = markers.filter("any_susceptible_marker and not any_other_marker").select(
+        F.col("reporting_source_key").alias(RECORD_KEY)
     )
-    joined = eligible.join(
-        markers.withColumnRenamed("reporting_source_key", RECORD_KEY), RECORD_KEY, "left"
+    susceptible = (
+        eligible.filter(_is_marker_decided())
+        .join(agreed, RECORD_KEY, "left_semi")
+        .withColumn("reporting_phenotype", F.lit("oxacillin_susceptible"))
     )
-    return (
-        joined.withColumn("reporting_phenotype", category)
-        .filter("reporting_phenotype is not null")
-        .withColumn("organism_name", F.concat_ws(" — ", group, suffix))
-        .select(
-            *extra_columns,
-            RECORD_KEY,
-            *CATEGORY_KEYS,
-            "organism_name",
-            "culture_key",
-            "culture_time_shifted",
-            MEMBERS,
-            *STATUS_COLUMNS,
-        )
+    suffix = F.try_element_at(F.create_map(*[F.lit(t) for pair in REPORT_SUFFIX.items() for t in pair]), phenotype)
+    columns = (RECORD_KEY, *CATEGORY_KEYS, "culture_key", "culture_time_shifted", MEMBERS, *STATUS_COLUMNS)
+    both = eligible.filter(own_category).select(*extra_columns, *columns).unionByName(
+        susceptible.select(*extra_columns, *columns)
     )
+    return both.withColumn("organism_name", F.concat_ws(" — ", group, suffix))
 
 
 def first_per_category(candidates: DataFrame, extra_keys: Sequence[str] = ()) -> DataFrame:

@@ -267,7 +267,11 @@ CONTRACTS: dict[str, Contract] = {
     ),
     "pairs": Contract(
         required=ref.PAIR_COLUMNS,
-        accepted={"cohort_id": ref.COHORTS, "include_primary_dashboard": FLAG},
+        accepted={
+            "cohort_id": ref.COHORTS,
+            "include_primary_dashboard": FLAG,
+            "review_status": ("reviewed", "proposed"),
+        },
         unique=(("organism_reporting_group", "cohort_id", "antibiotic"),),
     ),
     "exclusions": Contract(

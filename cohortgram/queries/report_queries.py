@@ -526,12 +526,13 @@ _TREND_KEYS = ["source_version", "cohort_id", "organism_base_name", "mdro_phenot
     "WHEN 3 THEN 'positive' WHEN 2 THEN 'not_evaluable' ELSE 'not_detected' END AS phenotype_status FROM ("
     "SELECT *, strftime(culture_time_shifted, '%Y-01-01') AS year, 'CRE' AS mdro_phenotype, ast_cre_status AS status "
     "FROM record UNION ALL SELECT *, strftime(culture_time_shifted, '%Y-01-01'), 'MDR Pseudomonas aeruginosa', "
-    "ast_mdr_p_aeruginosa_status FROM record) WHERE status <> 'not_applicable' AND year BETWEEN '1996-01-01' AND "
-    "'1999-01-01' GROUP BY ALL) GROUP BY ALL) "
+    "ast_mdr_p_aeruginosa_status FROM record) WHERE status <> 'not_applicable' AND year IS NOT NULL "
+    "GROUP BY ALL) GROUP BY ALL) "
     f"WINDOW w AS (PARTITION BY {', '.join(_TREND_KEYS)} ORDER BY analysis_window_start)",
     "record",
 )
 def mdro_trend(c: Context):
     """Yearly resistance percentages with the change from the year before."""
-    years = [date(year, 1, 1) for year in range(1996, 2000)]
+    first, last = c.full.records.agg(F.year(F.min("culture_time_shifted")), F.year(F.max("culture_time_shifted"))).first()
+    years = [date(year, 1, 1) for year in range(first, last + 1)]
     return windows.change_between_windows(windows.mdro_by_window(c.full, years), _TREND_KEYS, "phenotype_pct")

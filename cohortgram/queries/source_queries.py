@@ -19,49 +19,58 @@ from cohortgram.streaming import load_new_files
 RAW_TEXT = " ".join(COHORT_SCHEMA.fieldNames())
 
 
-def _landed(c: Context, releases: tuple[str, ...] = ("2025-04-11", "2025-10-01")) -> str:
-    """The raw rows written as CSV files, one folder per release."""
-    path = c.scratch.folder(f"landing-{uuid.uuid4().hex}")
-    rows = c.raw.filter(F.col("source_version").isin(*releases))
-    rows.select(*COHORT_SCHEMA.fieldNames(), F.col("source_version").alias("release")).write.partitionBy("release").option(
-        "header", True
-    ).options(quoteAll=True, **export.EXACT_TEXT).csv(path)
+def _land(c: Context, path: str, release: str | None = None) -> str:
+    """Raw rows as CSV files, those of one release or all, added to a landing folder."""
+    rows = c.raw if release is None else c.raw.filter(F.col("source_version") == release)
+    text = rows.select(*COHORT_SCHEMA.fieldNames())
+    text.write.mode("append").options(header=True, quoteAll=True, **export.EXACT_TEXT).csv(path)
     return path
 
 
+def _folder(c: Context, name: str) -> str:
+    return c.scratch.folder(f"{name}-{uuid.uuid4().hex}")
+
+
+RELEASES = ("2025-04-11", "2025-10-01")
+
+
 # -- loading ---------------------------------------------------------------------------------------
-@query(RAW_TEXT + " source_version", "SELECT {columns} FROM raw WHERE source_version = '2025-04-11'", "raw")
+@query(RAW_TEXT + " source_version", "SELECT {columns} FROM raw", "raw")
 def load_raw(c: Context):
-    return raw.load_raw(c.spark, f"{_landed(c)}/release=2025-04-11", COHORT_SCHEMA, "2025-04-11")
+    """Each release landed in a folder of its own and loaded under its version."""
+    loaded = [raw.load_raw(c.spark, _land(c, _folder(c, "landing"), r), COHORT_SCHEMA, r) for r in RELEASES]
+    return loaded[0].unionByName(loaded[1])
 
 
 @query(
-    "culture_description row_count",
-    "SELECT trim(culture_description) AS culture_description, count(*) AS row_count FROM raw GROUP BY 1",
+    "source_version organism row_count",
+    """SELECT CASE source_version WHEN '2025-04-11' THEN 'first' ELSE 'second' END AS source_version, organism,
+  count(*) AS row_count FROM raw GROUP BY ALL""",
     "raw",
 )
 def append_new_files(c: Context):
-    """Land one release, load it, land the other, and append only the files that are new."""
-    path = _landed(c)
-    first = raw.load_raw(c.spark, f"{path}/release=2025-04-11", COHORT_SCHEMA, "r1")
-    both = raw.load_raw(c.spark, [f"{path}/release=2025-04-11", f"{path}/release=2025-10-01"], COHORT_SCHEMA, "r2")
-    table = first.unionByName(raw.append_new_files(both, first))
-    return profile.frequency(table.withColumn("culture_description", F.trim("culture_description")), ["culture_description"])
+    """One release is loaded; a later load sees both releases and adds only the files that are new."""
+    paths = [_land(c, _folder(c, "landing"), r) for r in RELEASES]
+    table = raw.load_raw(c.spark, paths[0], COHORT_SCHEMA, "first")
+    both = raw.load_raw(c.spark, paths, COHORT_SCHEMA, "second")
+    return profile.frequency(
+        table.unionByName(raw.append_new_files(both, table)), ["source_version", "organism"]
+    )
 
 
 @query(
-    "source_version organism row_count",
-    """SELECT 'r1' AS source_version, organism, count(*) AS row_count FROM raw WHERE source_version = '2025-04-11'
-GROUP BY organism""",
+    "organism row_count",
+    "SELECT organism, count(*) AS row_count FROM raw GROUP BY organism",
     "raw",
 )
 def incremental_load(c: Context):
-    """The streamed load, run twice over the same landing folder: files are loaded once."""
-    landing = f"{_landed(c)}/release=2025-04-11"
-    table, progress = (c.scratch.folder(f"{name}-{uuid.uuid4().hex}") for name in ("loaded", "progress"))
-    for _ in range(2):
-        load_new_files(c.spark, landing, COHORT_SCHEMA, "r1", table, progress).awaitTermination()
-    return profile.frequency(c.spark.read.parquet(table), ["source_version", "organism"])
+    """The streamed load, run after each landing and once more: every file is loaded once."""
+    landing, table, progress = (_folder(c, n) for n in ("landing", "loaded", "progress"))
+    for release in (*RELEASES, None):
+        if release is not None:
+            _land(c, landing, release)
+        load_new_files(c.spark, landing, COHORT_SCHEMA, "r", table, progress).awaitTermination()
+    return profile.frequency(c.spark.read.parquet(table), ["organism"])
 
 
 @query(
@@ -96,7 +105,7 @@ FROM staged LEFT JOIN labels ON organism = organism_source WHERE organism IS NOT
 )
 def load_seed(c: Context):
     """The label map written as CSV, loaded with its schema, and put on the staged rows."""
-    path = c.scratch.folder(f"seed-{uuid.uuid4().hex}")
+    path = _folder(c, "seed")
     export.write_csv(c.seeds.labels, path)
     labels = seeds.load_seed(c.spark, "organism_mapping", path)
     rows = c.full.staged.filter("organism is not null").select(F.col("organism").alias("organism_source"))
@@ -112,12 +121,11 @@ def load_seed(c: Context):
     "hashed_files",
     """SELECT true AS file_count, count(*) AS data_row_count, 10 AS column_count, 0::bigint AS empty_record_count,
   0::bigint AS field_count_error_count, 0::bigint AS duplicate_names, 0::bigint AS blank_names, true AS hashed_files
-FROM raw WHERE source_version = '2025-10-01'""",
+FROM raw""",
     "raw",
 )
 def source_inventory(c: Context):
-    path = f"{_landed(c, ('2025-10-01',))}/release=2025-10-01"
-    files = raw.source_inventory(c.spark, path, COHORT_SCHEMA, "*.csv")
+    files = raw.source_inventory(c.spark, _land(c, _folder(c, "landing")), COHORT_SCHEMA, "*.csv")
     return files.agg(
         (F.count("path") > 0).alias("file_count"),
         F.sum("data_row_count").alias("data_row_count"),
@@ -354,7 +362,7 @@ def attach_culture_context(c: Context):
 )
 def export_mart(c: Context):
     """Two windows exported side by side; the second export leaves the first in place."""
-    path = c.scratch.folder(f"export-{uuid.uuid4().hex}")
+    path = _folder(c, "export")
     export.export_mart(c.windowed.susceptibility, path)
     export.export_mart(c.full.susceptibility, path)
     written = c.spark.read.option("spark.sql.sources.partitionColumnTypeInference.enabled", False).parquet(path)
