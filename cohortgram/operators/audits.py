@@ -268,6 +268,22 @@ def policy_inventory(pairs: DataFrame, exclusions: DataFrame) -> DataFrame:
     return joined.withColumn("reporting_decision", decision).drop("_group", "_drug", "_cohort")
 
 
+def pair_status(pairs: DataFrame) -> DataFrame:
+    """Listed drugs by review status and inclusion."""
+    return frequency(pairs, ["review_status", "include_primary_dashboard"], "pair_rows")
+
+
+def missing_attribute(reports: dict[str, DataFrame], attribute: str) -> DataFrame:
+    """Rows and rows without the attribute, per report."""
+    parts = [
+        frame.agg(n_rows().alias("row_count"), tally(F.col(attribute).isNull()).alias(f"missing_{attribute}")).select(
+            F.lit(name).alias("model_name"), "row_count", f"missing_{attribute}"
+        )
+        for name, frame in reports.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def exclusion_check(exclusions: DataFrame) -> DataFrame:
     required = ("organism_reporting_group", "cohort_id", "reporting_phenotype", "antibiotic")
     filled = (*required, "exclusion_reason", "review_basis")

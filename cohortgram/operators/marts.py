@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -250,7 +251,8 @@ def patient_status(
     extra_keys: Sequence[str] = (),
 ) -> DataFrame:
     """One status per patient, group and rule, over all cultures in the window, not only the first."""
-    eligible = records.filter(window.usable("culture_time_shifted"))
+    applicable = reduce(lambda a, b: a | b, [F.col(rule.status) != NOT_APPLICABLE for rule, _ in rules])
+    eligible = records.filter(window.usable("culture_time_shifted") & applicable)
     keys = [*extra_keys, *PATIENT_GROUP]
     observed = status_long(eligible, rules, keys, "mdro_phenotype", "status").filter(F.col("status") != NOT_APPLICABLE)
     return observed.groupBy(*keys, "mdro_phenotype").agg(

@@ -14,6 +14,14 @@ from cohortgram.functions.measures import n_rows, tally
 LINEAGE = ("source_file", "ingested_at")
 
 
+def finest_first(keys: Sequence[str]) -> list[str]:
+    """Grouping order of a natural key that runs from coarse to fine.
+
+    Sorts compare a prefix of the first column; one that tells rows apart makes them cheaper.
+    """
+    return list(reversed(keys))
+
+
 def latest_lineage(columns: Sequence[str] = LINEAGE) -> list[Column]:
     return [F.max(c).alias(c) for c in columns]
 
@@ -35,11 +43,12 @@ def consistent_rollup(
     # Text cannot be a hash-aggregation buffer: text lineage is folded as a grouping column.
     text = [c for c in lineage if dict(rows.dtypes)[c] == "string"]
     other = [c for c in lineage if c not in text]
-    states = rows.groupBy(*keys, *attributes, *text).agg(
+    by = finest_first(keys)
+    states = rows.groupBy(*by, *attributes, *text).agg(
         n_rows().alias("_rows"), *[F.max(c).alias(c) for c in other]
     )
     total = F.col("_states")
-    summary = states.groupBy(*keys).agg(
+    summary = states.groupBy(*by).agg(
         F.sum("_rows").alias("source_row_count"),
         n_rows().alias("_states"),
         *[F.min(a).alias(f"_min_{a}") for a in attributes],
@@ -78,18 +87,19 @@ def child_rollup(
     as rows; without ``item_counts`` that step and its shuffle fall away.
     """
     items, distinct_items = f"{item}_result_row_count", f"distinct_{item}_count"
+    by = finest_first(keys)
     if not item_counts:
-        labels = rows.dropna(subset=[*keys, child]).groupBy(*keys, child)
+        labels = rows.dropna(subset=[*keys, child]).groupBy(*by, child)
         summary = labels.agg(n_rows().alias("source_row_count"), *latest_lineage(lineage))
         keyed = summary.withColumn(parent_key, surrogate_key(*keys))
         return keyed.withColumn(key_name, surrogate_key(parent_key, child))
     folded = (
         rows.dropna(subset=[*keys, child])
-        .groupBy(*keys, child, item)
+        .groupBy(*by, child, item)
         .agg(n_rows().alias("_rows"), *latest_lineage(lineage))
     )
     summary = (
-        folded.groupBy(*keys, child)
+        folded.groupBy(*by, child)
         .agg(
             F.sum("_rows").alias("source_row_count"),
             F.sum(F.when(F.col(item).isNotNull(), F.col("_rows")).otherwise(0)).alias(items),

@@ -94,7 +94,7 @@ class ReportTables:
     def endpoints(self) -> DataFrame:
         tested = self.staged.filter("organism is not null and antibiotic is not null")
         rolled = reconcile.reconcile_endpoints(
-            tested, [*ORDER_KEYS, "organism", "antibiotic"], lineage=self.lineage, state_counts=self.audit_columns
+            tested, [*rollup.finest_first(ORDER_KEYS), "organism", "antibiotic"], lineage=self.lineage, state_counts=self.audit_columns
         )
         return self._keep("endpoints", reconcile.with_endpoint_keys(rolled, ORDER_KEYS))
 

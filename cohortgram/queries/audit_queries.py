@@ -304,6 +304,31 @@ def policy_inventory(c: Context):
     return audits.policy_inventory(c.seeds.pairs, c.seeds.exclusions).join(seen, keys)
 
 
+@query(
+    "review_status include_primary_dashboard pair_rows",
+    """SELECT review_status, include_primary_dashboard, count(*) AS pair_rows FROM pairs
+SEMI JOIN record USING (organism_reporting_group, cohort_id) GROUP BY ALL""",
+    "pairs",
+    "record",
+)
+def pair_status(c: Context):
+    """The listed drugs of every group and cohort that occurs."""
+    keys = ["organism_reporting_group", "cohort_id"]
+    return audits.pair_status(c.seeds.pairs.join(c.full.records.select(*keys), keys, "left_semi"))
+
+
+@query(
+    "model_name row_count missing_gram_stain_group",
+    """SELECT 'susceptibility' AS model_name, count(*) AS row_count, count(*) - count(gram_stain_group) AS
+  missing_gram_stain_group FROM mart UNION ALL SELECT 'mdro', count(*), count(*) - count(gram_stain_group) FROM mdro""",
+    "mart",
+    "mdro",
+)
+def missing_attribute(c: Context):
+    reports = {"susceptibility": c.full.susceptibility, "mdro": c.full.mdro}
+    return audits.missing_attribute(reports, "gram_stain_group")
+
+
 @query(
     "row_count unique_rule_count null_required_fields",
     """SELECT count(*) AS row_count, count(DISTINCT concat_ws('||', organism_reporting_group, cohort_id,
