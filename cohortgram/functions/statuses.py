@@ -12,20 +12,23 @@ NOT_DETECTED = "not_detected"
 NOT_APPLICABLE = "not_applicable"
 
 
-def strongest_status(status: str | Column, fallback: str | None = NOT_APPLICABLE) -> Column:
-    """Aggregate: the strongest status of a group.
-
-    The rank is a small integer, so this is a plain ``min`` with a map-side partial; text outside the
-    three judged statuses never wins over one of them and yields ``fallback`` on its own.
-    """
+def status_rank(status: str | Column) -> Column:
+    """1 for the strongest status; text outside the three judged statuses ranks last."""
     column = F.col(status) if isinstance(status, str) else status
-    rank = F.when(column == POSITIVE, 1).when(column == NOT_EVALUABLE, 2).when(column == NOT_DETECTED, 3).otherwise(4)
-    best = F.min(rank)
-    return F.when(best == 1, POSITIVE).when(best == 2, NOT_EVALUABLE).when(best == 3, NOT_DETECTED).otherwise(
+    return F.when(column == POSITIVE, 1).when(column == NOT_EVALUABLE, 2).when(column == NOT_DETECTED, 3).otherwise(4)
+
+
+def status_of_rank(rank: Column, fallback: str | None = NOT_APPLICABLE) -> Column:
+    return F.when(rank == 1, POSITIVE).when(rank == 2, NOT_EVALUABLE).when(rank == 3, NOT_DETECTED).otherwise(
         F.lit(fallback).cast("string")
     )
 
 
+def strongest_status(status: str | Column, fallback: str | None = NOT_APPLICABLE) -> Column:
+    """Aggregate: the strongest status of a group, as a plain ``min`` with a map-side partial."""
+    return status_of_rank(F.min(status_rank(status)), fallback)
+
+
 def tri_state(status: str | Column) -> Column:
     """positive → true, not_detected → false, anything else → NULL."""
     column = F.col(status) if isinstance(status, str) else status

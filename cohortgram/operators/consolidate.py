@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from cohortgram.functions.keys import surrogate_key
 from cohortgram.functions.measures import n_rows
-from cohortgram.functions.statuses import strongest_status, tri_state
+from cohortgram.functions.statuses import status_of_rank, status_rank, strongest_status, tri_state
 from cohortgram.functions.windows import ReportWindow
 from cohortgram.operators.evidence import display_name, priority_label
 from cohortgram.operators.vocabulary import reporting_eligible
@@ -39,21 +39,29 @@ def consolidate(
 ) -> DataFrame:
     """One row per culture, group and phenotype.
 
-    The sets hold the labels one culture has inside one reporting group, so the label map bounds them.
-    The remaining culture columns depend on the culture key and are carried by ``max``.
+    The members of a row are the labels one culture has inside one reporting group, so the label map
+    bounds them; nearly always there is one. They are listed once, and sets, counts and merged statuses
+    are read off that short list. Culture columns depend on the culture key and ride along as keys.
     """
-    distinct_of = {
+    sets = {
         MEMBERS: "culture_organism_key",
         "source_labels": "organism_source",
         "standardized_identities": "organism_standardized",
         "source_qualifiers": "source_qualifier",
     }
     designations = [flag for flag, _, _ in SOURCE_DESIGNATIONS]
-    rolled = records.groupBy(*keys).agg(
-        *[F.max(c).alias(c) for c in (*CULTURE_COLUMNS, "organism_name")],
-        *[F.array_sort(F.collect_set(source)).alias(name) for name, source in distinct_of.items()],
-        *[strongest_status(s).alias(s) for s in statuses],
-        *[F.max(flag).alias(flag) for flag in designations],
+    member = F.struct(*sets.values(), *[status_rank(s).alias(s) for s in statuses], *designations)
+    # The culture key first: sorts tell rows apart by the first column.
+    by = sorted(keys, key=lambda k: k != "culture_key")
+    listed = records.groupBy(*by, *CULTURE_COLUMNS, "organism_name").agg(F.collect_list(member).alias("members"))
+    members = F.col("members")
+    rolled = listed.select(
+        *keys,
+        *CULTURE_COLUMNS,
+        "organism_name",
+        *[F.array_sort(F.array_distinct(F.array_compact(members[source]))).alias(name) for name, source in sets.items()],
+        *[status_of_rank(F.array_min(members[s])).alias(s) for s in statuses],
+        *[F.array_max(members[flag]).alias(flag) for flag in designations],
     )
     return rolled.select(
         surrogate_key(*keys).alias("reporting_culture_organism_key"),
@@ -63,7 +71,7 @@ def consolidate(
         F.size(MEMBERS).cast("long").alias("source_organism_record_count"),
         F.size("source_labels").cast("long").alias("source_label_count"),
         F.size("standardized_identities").cast("long").alias("standardized_identity_count"),
-        *distinct_of,
+        *sets,
         *statuses,
         *[tri_state(r.status).alias(r.flag) for r in RULES],
         *designations,
