@@ -137,9 +137,9 @@ MISSING_TEXT = "<missing>"
 
 
 def conflict_groups(rows: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    """Keys with more than one state of ``value`` (NULL is a state) and the pattern of their states.
+    """Keys with more than one state of a category column (NULL is a state) and the pattern of their states.
 
-    The states of a key are combined first; the set that is sorted holds distinct values only.
+    The states of a key are combined first, so a pattern is made of distinct categories, not of rows.
     """
     states = rows.groupBy(*keys, F.coalesce(F.col(value), F.lit(MISSING_TEXT)).alias("_state")).agg(n_rows().alias("_n"))
     grouped = states.groupBy(*keys).agg(
@@ -207,7 +207,10 @@ def grain_check(rows: DataFrame, key: str, conditions: dict[str, Column]) -> Dat
 
 
 def layer_counts(layers: dict[str, DataFrame]) -> DataFrame:
-    counts = [frame.agg(n_rows().alias("row_count")).select(F.lit(n).alias("model_name"), "row_count") for n, frame in layers.items()]
+    counts = [
+        frame.agg(n_rows().alias("row_count")).select(F.lit(name).alias("model_name"), "row_count")
+        for name, frame in layers.items()
+    ]
     return reduce(DataFrame.unionByName, counts)
 
 

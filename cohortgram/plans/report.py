@@ -93,8 +93,9 @@ class ReportTables:
     @cached_property
     def endpoints(self) -> DataFrame:
         tested = self.staged.filter("organism is not null and antibiotic is not null")
+        keys = [*rollup.finest_first(ORDER_KEYS), "organism", "antibiotic"]
         rolled = reconcile.reconcile_endpoints(
-            tested, [*rollup.finest_first(ORDER_KEYS), "organism", "antibiotic"], lineage=self.lineage, state_counts=self.audit_columns
+            tested, keys, lineage=self.lineage, state_counts=self.audit_columns
         )
         return self._keep("endpoints", reconcile.with_endpoint_keys(rolled, ORDER_KEYS))
 

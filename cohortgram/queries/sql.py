@@ -123,7 +123,8 @@ _UNKNOWN_CATEGORIES = " + ".join(f"({c} IN ('not_evaluable', 'not_tested'))::int
 
 RESULT_COUNTS = f"""
     count(resolution_status) AS tested_endpoint_count,
-    {any_rows("resolution_status = 'resolved' AND susceptibility IN ('Susceptible', 'Resistant', 'Intermediate')")} AS categorized_count,
+    {any_rows("resolution_status = 'resolved' AND susceptibility IN ('Susceptible', 'Resistant', 'Intermediate')")}
+      AS categorized_count,
     {any_rows("resolution_status = 'resolved' AND susceptibility = 'Susceptible'")} AS susceptible_count,
     {any_rows("resolution_status = 'resolved' AND susceptibility = 'Resistant'")} AS resistant_count,
     {any_rows("resolution_status = 'resolved' AND susceptibility = 'Intermediate'")} AS intermediate_count,
