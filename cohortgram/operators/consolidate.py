@@ -35,13 +35,17 @@ def categorised_records(phenotypes: DataFrame) -> DataFrame:
 
 
 def consolidate(
-    records: DataFrame, keys: Sequence[str] = RECORD_KEYS, statuses: Sequence[str] = STATUS_COLUMNS
+    records: DataFrame,
+    keys: Sequence[str] = RECORD_KEYS,
+    statuses: Sequence[str] = STATUS_COLUMNS,
+    audit_columns: bool = True,
 ) -> DataFrame:
     """One row per culture, group and phenotype.
 
     The members of a row are the labels one culture has inside one reporting group, so the label map
     bounds them; nearly always there is one. They are listed once, and sets, counts and merged statuses
     are read off that short list. Culture columns depend on the culture key and ride along as keys.
+    Reports need the member keys and statuses; the rest is for audits.
     """
     sets = {
         MEMBERS: "culture_organism_key",
@@ -50,24 +54,34 @@ def consolidate(
         "source_qualifiers": "source_qualifier",
     }
     designations = [flag for flag, _, _ in SOURCE_DESIGNATIONS]
+    carried = [*CULTURE_COLUMNS, "organism_name"]
+    if not audit_columns:
+        sets, designations, carried = {MEMBERS: sets[MEMBERS]}, [], ["patient_key", "culture_time_shifted"]
     member = F.struct(*sets.values(), *[status_rank(s).alias(s) for s in statuses], *designations)
     # The culture key first: sorts tell rows apart by the first column.
     by = sorted(keys, key=lambda k: k != "culture_key")
-    listed = records.groupBy(*by, *CULTURE_COLUMNS, "organism_name").agg(F.collect_list(member).alias("members"))
     members = F.col("members")
-    rolled = listed.select(
-        *keys,
-        *CULTURE_COLUMNS,
-        "organism_name",
-        *[F.array_sort(F.array_distinct(F.array_compact(members[source]))).alias(name) for name, source in sets.items()],
-        *[status_of_rank(F.array_min(members[s])).alias(s) for s in statuses],
-        *[F.array_max(members[flag]).alias(flag) for flag in designations],
+    rolled = (
+        records.groupBy(*by, *carried)
+        .agg(F.collect_list(member).alias("members"))
+        .select(
+            surrogate_key(*keys).alias("reporting_culture_organism_key"),
+            *keys,
+            *carried,
+            *[
+                F.array_sort(F.array_distinct(F.array_compact(members[source]))).alias(name)
+                for name, source in sets.items()
+            ],
+            *[status_of_rank(F.array_min(members[s])).alias(s) for s in statuses],
+            *[F.array_max(members[flag]).alias(flag) for flag in designations],
+        )
     )
+    if not audit_columns:
+        return rolled
     return rolled.select(
-        surrogate_key(*keys).alias("reporting_culture_organism_key"),
+        "reporting_culture_organism_key",
         *keys,
-        *CULTURE_COLUMNS,
-        "organism_name",
+        *carried,
         F.size(MEMBERS).cast("long").alias("source_organism_record_count"),
         F.size("source_labels").cast("long").alias("source_label_count"),
         F.size("standardized_identities").cast("long").alias("standardized_identity_count"),

@@ -16,6 +16,7 @@ from cohortgram.sources.seeds import Seeds
 from cohortgram.sources.staging import stage_cohort
 
 ORDER_ATTRIBUTES = ("culture_time_shifted", "ordering_mode", "culture_description", "was_positive")
+ENDPOINT_COLUMNS = ("culture_organism_key", "organism", "antibiotic", "resolution_status", "susceptibility")
 GROUP_KEYS = ("ast_scope", "reporting_source_key", *select.PATIENT_GROUP)
 GROUP_PHENOTYPES = ("base", "esce_r", "oxacillin_resistant", "vancomycin_resistant")
 REPORT_RELATIONS = ("endpoints", "records", "selected")
@@ -27,9 +28,12 @@ class ReportTables:
 
     If ``scratch`` is given, the relations named in ``keep`` are written there once: by default those the
     reports read several times. Name more of them to run many audits over one build. Everything else stays
-    a lazy plan for Catalyst. ``audit_columns=False`` leaves out file lineage, the ordering mode, and distinct
-    counts of states and drugs, which no report reads and which cost shuffles. The window is applied to ``records``,
-    before selection and counting; filtering a finished table would give other answers.
+    a lazy plan for Catalyst. The window is applied to ``records``, before selection and counting; filtering
+    a finished table would give other answers.
+
+    ``audit_columns=False`` leaves out what no report reads: file lineage, ordering mode, row and distinct
+    counts, label sets, source designations, and natural keys below the culture. That saves shuffles,
+    sorting and storage.
     """
 
     def __init__(
@@ -97,7 +101,8 @@ class ReportTables:
         rolled = reconcile.reconcile_endpoints(
             tested, keys, lineage=self.lineage, state_counts=self.audit_columns
         )
-        return self._keep("endpoints", reconcile.with_endpoint_keys(rolled, ORDER_KEYS))
+        keyed = reconcile.with_endpoint_keys(rolled, ORDER_KEYS)
+        return self._keep("endpoints", keyed if self.audit_columns else keyed.select(*ENDPOINT_COLUMNS))
 
     @cached_property
     def exceptions(self) -> DataFrame:
@@ -142,7 +147,8 @@ class ReportTables:
 
     @cached_property
     def records(self) -> DataFrame:
-        return self._keep("records", consolidate.consolidate(consolidate.categorised_records(self.phenotypes)))
+        categorised = consolidate.categorised_records(self.phenotypes)
+        return self._keep("records", consolidate.consolidate(categorised, audit_columns=self.audit_columns))
 
     # -- inside the window -------------------------------------------------------------------------
     @cached_property
