@@ -131,26 +131,43 @@ def count_of(columns: Sequence[Column], *values: str) -> Column:
     return reduce(lambda a, b: a + b, [F.when(c.isin(*values), 1).otherwise(0) for c in columns])
 
 
+def _applies(rule: Rule) -> Column:
+    return F.col(scope_column(rule)).isNotNull()
+
+
 def classify(records: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
-    """Adds per rule the evidence counts' status, category statuses where it has them, and a true/false/NULL flag."""
-    statuses: list[Column] = []
-    category_columns: list[Column] = []
-    for rule in rules:
-        applies = F.col(scope_column(rule)).isNotNull()
-        parts = [(_count(e, "positive"), _count(e, "non_evaluable"), _count(e, "negative")) for e in rule.evidence]
-        if rule.needed is None:
-            statuses.append(marker_status(applies, *parts[0]).alias(rule.status))
-            continue
-        categories = [category_status(applies, *p) for p in parts]
-        positives = count_of(categories, POSITIVE)
-        unknowns = count_of(categories, NOT_EVALUABLE, NOT_TESTED)
-        category_columns += [c.alias(f"{e.name}_status") for c, e in zip(categories, rule.evidence)]
-        category_columns += [
-            positives.alias(f"{rule.name}_positive_category_count"),
-            unknowns.alias(f"{rule.name}_unknown_category_count"),
-        ]
-        statuses.append(k_of_n_status(applies, positives, unknowns, rule.needed).alias(rule.status))
-    judged = records.select("*", *category_columns, *statuses)
+    """Adds category statuses, rule statuses and true/false/NULL flags to records with evidence counts.
+
+    Each step is a projection of its own, so later ones read its columns instead of repeating its CASEs.
+    """
+    staged = [r for r in rules if r.needed is not None]
+    judged = records.select(
+        "*",
+        *[
+            category_status(
+                _applies(r), _count(e, "positive"), _count(e, "non_evaluable"), _count(e, "negative")
+            ).alias(f"{e.name}_status")
+            for r in staged
+            for e in r.evidence
+        ],
+    )
+    counts = []
+    for r in staged:
+        categories = [F.col(f"{e.name}_status") for e in r.evidence]
+        counts.append(count_of(categories, POSITIVE).alias(f"{r.name}_positive_category_count"))
+        counts.append(count_of(categories, NOT_EVALUABLE, NOT_TESTED).alias(f"{r.name}_unknown_category_count"))
+    judged = judged.select("*", *counts)
+
+    def status(rule: Rule) -> Column:
+        if rule.needed is not None:
+            positives = F.col(f"{rule.name}_positive_category_count")
+            unknowns = F.col(f"{rule.name}_unknown_category_count")
+            return k_of_n_status(_applies(rule), positives, unknowns, rule.needed)
+        (evidence,) = rule.evidence
+        parts = [_count(evidence, kind) for kind in ("positive", "non_evaluable", "negative")]
+        return marker_status(_applies(rule), *parts)
+
+    judged = judged.select("*", *[status(r).alias(r.status) for r in rules])
     return judged.select("*", *[tri_state(r.status).alias(r.flag) for r in rules])
 
 
