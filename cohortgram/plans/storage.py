@@ -6,7 +6,6 @@ cuts lineage, survives lost executors, and gives later scans column pruning and
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,28 +13,28 @@ from pyspark.sql import DataFrame, SparkSession
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
 
-_local_roots: dict[str, str] = {}
-
-
 def scratch_root(spark: SparkSession) -> str:
-    """The configured shared folder; in local mode without one, a fresh local folder per application."""
+    """The configured folder, which every executor must reach. There is no other place to fall back to."""
     configured = spark.conf.get(CHECKPOINT_SETTING, None)
-    if configured:
-        return configured
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
+    if not configured:
         raise RuntimeError(f"set {CHECKPOINT_SETTING} to a folder every executor can reach")
-    if context.applicationId not in _local_roots:
-        _local_roots[context.applicationId] = tempfile.mkdtemp(prefix="cohortgram-")
-    return _local_roots[context.applicationId]
+    return configured
 
 
 class Scratch:
-    """Named Parquet tables of one run, each run in a folder of its own."""
+    """Named Parquet tables of one run, each run in a folder of its own that goes when the session's JVM ends."""
 
     def __init__(self, spark: SparkSession, root: str | None = None):
         self.spark = spark
         self.path = f"{(root or scratch_root(spark)).rstrip('/')}/run-{uuid.uuid4().hex}"
+        self._forget_at_exit()
+
+    def _forget_at_exit(self) -> None:
+        hadoop = self.spark.sparkContext._jvm.org.apache.hadoop.fs
+        path = hadoop.Path(self.path)
+        files = path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        files.mkdirs(path)
+        files.deleteOnExit(path)
 
     def folder(self, name: str) -> str:
         return f"{self.path}/{name}"

@@ -95,10 +95,7 @@ def test_exported_windows_stay_apart(spark, tmp_path):
 
 
 def test_scratch_uses_the_configured_folder(spark, tmp_path):
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        assert scratch_root(spark) == configured
-    assert scratch_root(spark) == scratch_root(spark)
+    assert scratch_root(spark) == spark.conf.get("spark.checkpoint.dir")
     scratch = Scratch(spark, str(tmp_path))
     kept = scratch.keep("t", spark.range(3).select(F.col("id").alias("x")))
     assert scratch.path.startswith(str(tmp_path)) and kept.count() == 3
@@ -113,11 +110,6 @@ class _Session:
         def get(name, default):
             return default
 
-    class sparkContext:
-        applicationId = "app"
-        master = "yarn"
-
-
-def test_no_machine_local_folder_on_a_cluster():
+def test_no_folder_to_fall_back_to():
     with pytest.raises(RuntimeError):
         scratch_root(_Session)
