@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortgram.llm import arrow_output, packing, token_count, topk
+from cohortgram.llm import arrow_output, near_dedup, packing, token_count, topk
 from cohortgram.plans.storage import Scratch
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -33,6 +33,47 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents that share 80 % of their four-word shingles."""
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), Scratch(spark), size=4, percent=80).drop("n_links")
+
+
+OP1_SQL = """
+WITH RECURSIVE words AS (
+    SELECT doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\\x20\\x09-\\x0D]+') AS w
+    FROM documents
+),
+sets AS (
+    SELECT doc_id, list_distinct(CASE
+        WHEN len(w) = 0 THEN []
+        WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+        ELSE list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')) END) AS s
+    FROM words
+),
+shingles AS (SELECT doc_id, unnest(s) AS shingle FROM sets),
+common AS (
+    SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS n
+    FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id < b.doc_id
+    GROUP BY 1, 2
+),
+links AS (
+    SELECT x, y FROM common JOIN sets a ON a.doc_id = x JOIN sets b ON b.doc_id = y
+    WHERE 100 * n >= 80 * (len(a.s) + len(b.s) - n)
+),
+edges AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach AS (
+    SELECT doc_id AS v, doc_id AS r FROM documents
+    UNION
+    SELECT reach.v, edges.y FROM reach JOIN edges ON edges.x = reach.r
+),
+smallest AS (SELECT v, min(r) AS component_id FROM reach GROUP BY 1)
+SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM sets JOIN smallest ON v = doc_id
+"""
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all documents in windows of 4096 tokens."""
     return packing.pack_documents(table(spark, sf_dir, "documents"), Scratch(spark), tokenizer(WORD_BPE), end_id=2)
@@ -78,8 +119,8 @@ def op9_arrow_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_packing, op5_topk_search, op6_token_count, op9_arrow_output)}
+    return {f.__name__: f for f in (op1_near_dedup, op4_packing, op5_topk_search, op6_token_count, op9_arrow_output)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_topk_search": OP5_SQL}
+    return {"op1_near_dedup": OP1_SQL, "op5_topk_search": OP5_SQL}
