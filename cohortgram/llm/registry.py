@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortgram.llm import arrow_output, near_dedup, packing, token_count, topk
+from cohortgram.llm import arrow_output, license_scan, line_dedup, near_dedup, packing, token_count, topk
 from cohortgram.plans.storage import Scratch
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -74,6 +74,11 @@ FROM sets JOIN smallest ON v = doc_id
 """
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base phrases and license labels of every document."""
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all documents in windows of 4096 tokens."""
     return packing.pack_documents(table(spark, sf_dir, "documents"), Scratch(spark), tokenizer(WORD_BPE), end_id=2)
@@ -118,8 +123,23 @@ def op9_arrow_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return arrow_output.read_documents(manifest)
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without the blocks they share with earlier ones."""
+    found = line_dedup.without_shared_blocks(table(spark, sf_dir, "documents").select("doc_id", "text"), Scratch(spark))
+    return found.select("doc_id", "n_lines", "n_deleted", F.length("text").cast("long").alias("n_chars"), "text")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_near_dedup, op4_packing, op5_topk_search, op6_token_count, op9_arrow_output)}
+    found = (
+        op1_near_dedup,
+        op2_license_scan,
+        op4_packing,
+        op5_topk_search,
+        op6_token_count,
+        op9_arrow_output,
+        op10_line_dedup,
+    )
+    return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
