@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortgram.llm import arrow_output, license_scan, line_dedup, near_dedup, packing, token_count, topk
+from cohortgram.llm import arrow_output, decontaminate, license_scan, line_dedup, near_dedup, packing, token_count, topk
 from cohortgram.plans.storage import Scratch
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -79,6 +79,11 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(table(spark, sf_dir, "documents"))
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items found in documents, one row per pair."""
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all documents in windows of 4096 tokens."""
     return packing.pack_documents(table(spark, sf_dir, "documents"), Scratch(spark), tokenizer(WORD_BPE), end_id=2)
@@ -133,6 +138,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_near_dedup,
         op2_license_scan,
+        op3_decontamination,
         op4_packing,
         op5_topk_search,
         op6_token_count,
