@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortgram.llm import arrow_output, decontaminate, license_scan, line_dedup, near_dedup, packing, token_count, topk
+from cohortgram.llm import arrow_output, decontaminate, license_scan, line_dedup, near_dedup, packing, quality, token_count, topk
 from cohortgram.plans.storage import Scratch
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -120,6 +120,11 @@ def op6_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document."""
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_arrow_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents read back from the Arrow files they were written to."""
     manifest = arrow_output.write_sequences(
@@ -142,6 +147,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op4_packing,
         op5_topk_search,
         op6_token_count,
+        op7_quality,
         op9_arrow_output,
         op10_line_dedup,
     )
