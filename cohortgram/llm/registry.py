@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortgram.llm import arrow_output, decontaminate, license_scan, line_dedup, near_dedup, packing, quality, token_count, topk
+from cohortgram.llm import arrow_output, decontaminate, html_extract, license_scan, line_dedup, near_dedup, packing, quality, token_count, topk
 from cohortgram.plans.storage import Scratch
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -125,6 +125,12 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    found = html_extract.main_text(table(spark, sf_dir, "pages"), Scratch(spark))
+    return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op9_arrow_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents read back from the Arrow files they were written to."""
     manifest = arrow_output.write_sequences(
@@ -148,6 +154,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op5_topk_search,
         op6_token_count,
         op7_quality,
+        op8_html_extract,
         op9_arrow_output,
         op10_line_dedup,
     )
