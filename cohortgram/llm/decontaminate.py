@@ -29,6 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StructType
 
 from cohortgram.llm.text import WordHashes, alnum_words, batches, mixed, shingle_hashes
 
@@ -43,7 +44,9 @@ CHUNK_WORDS = 100_000
 _PART = BITS // PARTS
 _WORDS = WordHashes()
 _TABLE = 20
-HITS = "array<struct<item_id:bigint,start:bigint,n_words:bigint,similarity:double>>"
+HITS = ArrayType(
+    StructType().add("item_id", "long").add("start", "long").add("n_words", "long").add("similarity", "double")
+)
 _HIT = pa.list_(
     pa.struct([("item_id", pa.int64()), ("start", pa.int64()), ("n_words", pa.int64()), ("similarity", pa.float64())])
 )
@@ -200,7 +203,7 @@ def chunks(benchmark: DataFrame) -> Iterator[list[tuple]]:
 
 def with_hits(docs: DataFrame, items: list[tuple], column: str) -> DataFrame:
     """The rows with ``column``: the items of one chunk found in ``text``."""
-    schema = docs.schema.add(column, HITS)
+    schema = StructType([*docs.schema.fields]).add(column, HITS)
     shared = docs.sparkSession.sparkContext.broadcast(items)
 
     def look(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

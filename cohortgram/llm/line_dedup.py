@@ -30,6 +30,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from cohortgram.llm.text import alnum_words, batches, mixed, texts_of
 from cohortgram.plans.storage import Scratch
@@ -192,7 +193,7 @@ def without_shared_blocks(docs: DataFrame, scratch: Scratch) -> DataFrame:
     found = blocks.select(F.col("doc_id").alias("_doc"), F.col("version").alias("_version"), F.col("blocks").alias("_blocks"))
     joined = marked.join(found, ["_doc", "_version"], "left").drop("_doc", "_version")
     counts = [c for c in ("n_lines", "n_deleted") if c in docs.columns]
-    schema = docs.drop(*counts).schema.add("n_lines", "long").add("n_deleted", "long")
+    schema = StructType([*docs.drop(*counts).schema.fields]).add("n_lines", "long").add("n_deleted", "long")
 
     def cut(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches(rows):

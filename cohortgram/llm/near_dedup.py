@@ -28,7 +28,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortgram.llm.components import components
@@ -44,7 +44,7 @@ ROUNDS = 8
 _SEEDS = np.random.default_rng(1).integers(1, 2**63, 2 * GROUPS * WIDTH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _WORDS = WordHashes()
 
-_SIGNED = "doc_id long, n_shingles long, set_key binary, minhashes binary"
+_SIGNED = "doc_id long, version long, n_shingles long, set_key binary, minhashes binary"
 _SETS = "set_key binary, members binary"
 _BUCKETS = "bucket long, class long, n long"
 
@@ -80,8 +80,9 @@ def _sign(size: int, letters_only: bool):
                 counts.append(len(members))
                 keys.append(xxhash.xxh3_128_digest(members.tobytes()) if len(members) else None)
                 signatures.append(minhashes(members).tobytes() if len(members) else None)
-            columns = [batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(keys, pa.binary()), pa.array(signatures, pa.binary())]
-            yield pa.record_batch(columns, names=["doc_id", "n_shingles", "set_key", "minhashes"])
+            made = [pa.array(counts, pa.int64()), pa.array(keys, pa.binary()), pa.array(signatures, pa.binary())]
+            names = ["doc_id", "version", "n_shingles", "set_key", "minhashes"]
+            yield pa.record_batch([batch.column("doc_id"), batch.column("version"), *made], names=names)
 
     return sign
 
@@ -140,7 +141,8 @@ class _Search:
     def __init__(self, docs: DataFrame, scratch: Scratch, size: int, percent: int, letters_only: bool):
         self.scratch, self.percent, self.turn = scratch, percent, 0
         docs = docs.select(F.col("doc_id").cast("long"), "text")
-        self.signed = scratch.keep("signed", docs.mapInArrow(_sign(size, letters_only), _SIGNED))
+        versioned = docs.select("doc_id", F.xxhash64("text").alias("version"), "text")
+        self.signed = scratch.keep("signed", versioned.mapInArrow(_sign(size, letters_only), _SIGNED))
         classes = self.signed.where("set_key IS NOT NULL").groupBy("set_key").agg(
             F.min("doc_id").alias("first_doc"), F.max("n_shingles").alias("n"), F.first("minhashes").alias("minhashes")
         )
@@ -213,7 +215,7 @@ class _Search:
 def near_duplicates(
     docs: DataFrame, scratch: Scratch, size: int = 5, percent: int = 80, letters_only: bool = False
 ) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept, n_links`` per row.
+    """``doc_id, version, n_shingles, component, component_id, kept, n_links`` per row.
 
     ``component_id`` is the smallest ``doc_id`` reachable over links of at least ``percent`` / 100; ``kept`` says
     whether it is the row's own. ``n_links`` counts the links found to other texts, which need not be all within a
@@ -228,14 +230,35 @@ def near_duplicates(
     known = scratch.keep(
         "known",
         linked.join(smallest, "component").join(ends.agg(F.count("*").alias("n_links")), "class", "left").select(
-            "set_key", "component_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")
+            "set_key", "component", "component_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")
         ),
     )
     alone = F.col("set_key").isNull()
     return search.signed.join(known, "set_key", "left").select(
         "doc_id",
+        "version",
         "n_shingles",
+        "component",
         F.when(alone, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
         (alone | F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("kept"),
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
     )
+
+
+def without_copies(docs: DataFrame, scratch: Scratch, size: int = 5, percent: int = 80) -> DataFrame:
+    """One row of each group of near duplicates, the one of smallest ``doc_id``, and every row with an empty set.
+
+    Of rows with equal ``doc_id`` and text one stays; of several texts under the smallest id, that of smallest hash.
+    """
+    found = near_duplicates(docs, scratch, size, percent, letters_only=True).where("kept")
+    one = found.where("component IS NOT NULL").groupBy("component").agg(F.min(F.struct("doc_id", "version")).alias("row"))
+    rows = one.select("row.*").union(found.where("component IS NULL").select("doc_id", "version").distinct())
+    key = [F.coalesce("doc_id", F.lit(0).cast("long")).alias("_id"), F.xxhash64("version", F.col("doc_id").isNull()).alias("_version")]
+    kept = scratch.keep("kept", rows.select(*key))
+    # Repeated rows are limited to one in each task before the shuffle, which also serves the join.
+    keyed = docs.withColumn("_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(0).cast("long"))).withColumn(
+        "_version", F.xxhash64(F.xxhash64("text"), F.col("doc_id").isNull())
+    )
+    single = Window.partitionBy("_id", "_version").orderBy("_version")
+    distinct = keyed.withColumn("_place", F.row_number().over(single)).where("_place = 1").drop("_place")
+    return distinct.join(kept, ["_id", "_version"], "left_semi").select(*docs.columns)

@@ -24,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from cohortgram.llm.text import batches, texts_of
 
@@ -235,7 +236,7 @@ def train(docs: DataFrame, labels: DataFrame) -> AttentionModel | Constant:
 
 def with_scores(docs: DataFrame, model: AttentionModel | Constant, column: str) -> DataFrame:
     """The rows with the score of ``text`` in ``column``."""
-    schema = docs.schema.add(column, "double")
+    schema = StructType([*docs.schema.fields]).add(column, "double")
 
     def score(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches(rows):

@@ -35,7 +35,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents that share 80 % of their four-word shingles."""
-    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), Scratch(spark), size=4, percent=80).drop("n_links")
+    found = near_dedup.near_duplicates(table(spark, sf_dir, "documents"), Scratch(spark), size=4, percent=80)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
 OP1_SQL = """
@@ -158,7 +159,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op9_arrow_output,
         op10_line_dedup,
     )
-    return {f.__name__: f for f in found}
+    import corpus_pipeline
+
+    return {f.__name__: f for f in found} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:

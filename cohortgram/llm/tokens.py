@@ -20,9 +20,14 @@ import numpy as np
 MEMO_PIECES = 400_000
 #: Outside it, or with "<|", the library splits the text itself.
 UNUSUAL = re.compile("[^\t\n\r -~¡-¬®-±´-¸º»¿-ɏ]|<\\|")
-#: The patterns of the two tokenizer files, for the characters above.
-BYTE_PATTERN = r"'(?:s|t|re|ve|m|ll|d)| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+"
-WORD_PATTERN = r"'(?:s|t|re|ve|m|ll|d)|[^\W\d_]+|\d|(?:[^\s\w]|_)+"
+_LETTER = "A-Za-zªµºÀ-ÖØ-öø-ʯ"  # lower case may lie beyond the range above
+#: What the patterns of the two tokenizer files come to for the characters above, the commonest kind first.
+BYTE_PATTERN = (
+    rf" ?[{_LETTER}]+| ?[0-9]+|'(?:s|t|re|ve|m|ll|d)| ?[^\t\n\r 0-9{_LETTER}]+|[\t\n\r ]+(?![^\t\n\r ])|[\t\n\r ]+"
+)
+WORD_PATTERN = rf"[{_LETTER}]+|[0-9]|'(?:s|t|re|ve|m|ll|d)|[^\t\n\r 0-9{_LETTER}]+"
+#: New words encoded in one call.
+_CALL = 500
 
 
 class Pieces:
@@ -52,14 +57,16 @@ class Pieces:
         new = found - self._memo.keys()
         if len(self._memo) + len(new) > MEMO_PIECES:
             self._memo, new = {}, found
-        # One call for all plain words: a space keeps them apart, and word_ids tells whose an id is.
+        # Plain words share calls: a space keeps them apart, and word_ids tells whose an id is.
+        between = " " if self._lowers else ""
         plain = [p for p in new if (p.isalpha() if self._lowers else p[0] == " " and p[1:].isalpha())]
-        if plain:
-            encoding = self.tokenizer.encode((" " if self._lowers else "").join(plain), add_special_tokens=False)
-            ids, owner = array.array("I", encoding.ids).tobytes(), array.array("I", encoding.word_ids)
-            ends = np.searchsorted(np.frombuffer(owner, np.uint32), np.arange(len(plain)), "right") * 4
+        for i in range(0, len(plain), _CALL):
+            some = plain[i : i + _CALL]
+            encoding = self.tokenizer.encode(between.join(some), add_special_tokens=False)
+            ids, owner = _packed(encoding.ids), np.array(encoding.word_ids, np.int64)
+            ends = np.searchsorted(owner, np.arange(len(some)), "right") * 4
             start = 0
-            for piece, end in zip(plain, ends.tolist()):
+            for piece, end in zip(some, ends.tolist()):
                 self._memo[piece] = ids[start:end]
                 start = end
         rest = list(new.difference(plain))
