@@ -20,9 +20,12 @@ RAW_TEXT = " ".join(COHORT_SCHEMA.fieldNames())
 
 
 def _land(c: Context, path: str, release: str | None = None) -> str:
-    """Raw rows as CSV files, those of one release or all, added to a landing folder."""
+    """Raw rows as CSV files, those of one release or all, added to a landing folder.
+
+    Files hold the columns in the opposite order of the schema.
+    """
     rows = c.raw if release is None else c.raw.filter(F.col("source_version") == release)
-    text = rows.select(*COHORT_SCHEMA.fieldNames())
+    text = rows.select(*reversed(COHORT_SCHEMA.fieldNames()))
     text.write.mode("append").options(header=True, quoteAll=True, **export.EXACT_TEXT).csv(path)
     return path
 
@@ -49,13 +52,12 @@ def load_raw(c: Context):
     "raw",
 )
 def append_new_files(c: Context):
-    """One release is loaded; a later load sees both releases and adds only the files that are new."""
+    """One release is loaded; a later load sees both releases and reads only the files that are new."""
     paths = [_land(c, _folder(c, "landing"), r) for r in RELEASES]
     table = raw.load_raw(c.spark, paths[0], COHORT_SCHEMA, "first")
-    both = raw.load_raw(c.spark, paths, COHORT_SCHEMA, "second")
-    return profile.frequency(
-        table.unionByName(raw.append_new_files(both, table)), ["source_version", "organism"]
-    )
+    loaded = raw.file_names(c.spark, paths[0])
+    new = raw.append_new_files(c.spark, paths, COHORT_SCHEMA, "second", loaded)
+    return profile.frequency(table.unionByName(new), ["source_version", "organism"])
 
 
 @query(
@@ -75,14 +77,17 @@ def incremental_load(c: Context):
 
 @query(
     "table_name actual_rows expected_rows difference row_count_check",
-    """SELECT 'raw_cohort' AS table_name, n AS actual_rows, (SELECT count(*) FROM lineitem) AS expected_rows,
-  n - (SELECT count(*) FROM lineitem) AS difference, 'PASS' AS row_count_check FROM (SELECT count(*) AS n FROM raw)
-UNION ALL SELECT 'raw_ward', count(*), 0, count(*), 'CHECK' FROM raw_ward""",
+    """SELECT 'raw_cohort' AS table_name, n AS actual_rows, l AS expected_rows, n - l AS difference,
+  'PASS' AS row_count_check FROM (SELECT count(*) AS n FROM raw), (SELECT count(*) AS l FROM lineitem)
+UNION ALL SELECT 'raw_ward', n, l, n - l, 'CHECK' FROM (SELECT count(*) AS n FROM raw_ward),
+  (SELECT count(*) AS l FROM lineitem)""",
     "raw",
     "raw_ward",
 )
 def row_count_check(c: Context):
-    expected = {"raw_cohort": c.table("lineitem").count(), "raw_ward": 0}
+    """The line items are what the cohort table must hold; the ward table, held against them too, does not."""
+    lines = c.table("lineitem").agg(F.count("*").alias("expected_rows"))
+    expected = lines.select(F.explode(F.array(F.lit("raw_cohort"), F.lit("raw_ward"))).alias("table_name"), "expected_rows")
     return raw.row_count_check({"raw_cohort": c.raw, "raw_ward": c.raw_ward}, expected)
 
 
@@ -104,9 +109,9 @@ FROM staged LEFT JOIN labels ON organism = organism_source WHERE organism IS NOT
     "labels",
 )
 def load_seed(c: Context):
-    """The label map written as CSV, loaded with its schema, and put on the staged rows."""
+    """The label map written as CSV, columns in another order, loaded with its schema, and put on the staged rows."""
     path = _folder(c, "seed")
-    export.write_csv(c.seeds.labels, path)
+    export.write_csv(c.seeds.labels.select(*reversed(c.seeds.labels.columns)), path)
     labels = seeds.load_seed(c.spark, "organism_mapping", path)
     rows = c.full.staged.filter("organism is not null").select(F.col("organism").alias("organism_source"))
     return profile.frequency(
@@ -117,24 +122,45 @@ def load_seed(c: Context):
 
 
 @query(
-    "file_count data_row_count column_count empty_record_count field_count_error_count duplicate_names blank_names "
-    "hashed_files",
-    """SELECT true AS file_count, count(*) AS data_row_count, 10 AS column_count, 0::bigint AS empty_record_count,
-  0::bigint AS field_count_error_count, 0::bigint AS duplicate_names, 0::bigint AS blank_names, true AS hashed_files
-FROM raw""",
+    "organism antibiotic row_count",
+    "SELECT organism, antibiotic, cast(count(*) AS varchar) AS row_count FROM raw GROUP BY ALL",
+    "raw",
+)
+def write_csv(c: Context):
+    """A coverage table written as CSV and read back as text."""
+    path = _folder(c, "coverage")
+    export.write_csv(profile.frequency(c.raw, ["organism", "antibiotic"]), path)
+    return c.spark.read.csv(path, schema="organism string, antibiotic string, row_count string", header=True, escape='"')
+
+
+@query(
+    "column_count data_row_count data_line_count field_count_error_count empty_record_count blank_names",
+    """SELECT 10 AS column_count, count(*) AS data_row_count,
+  count(*) + count(*) FILTER (WHERE was_positive = '1.0' AND ordering_mode <> 'Null') AS data_line_count,
+  0::bigint AS field_count_error_count, count(*) FILTER (WHERE ordering_mode = 'Null') AS empty_record_count,
+  0::bigint AS blank_names FROM raw
+UNION ALL SELECT 9, count(*), count(*), count(*), 0, 0 FROM raw""",
     "raw",
 )
 def source_inventory(c: Context):
-    files = raw.source_inventory(c.spark, _land(c, _folder(c, "landing")), COHORT_SCHEMA, "*.csv")
-    return files.agg(
-        (F.count("path") > 0).alias("file_count"),
+    """Files with line breaks in quotes and empty records, and files that lack a column."""
+    names = COHORT_SCHEMA.fieldNames()
+    broken = F.concat("organism", F.lit("\nsecond line"))
+    text = {n: F.col(n) for n in names} | {
+        "organism": F.when(F.col("was_positive") == "1.0", broken).otherwise(F.col("organism"))
+    }
+    emptied = [F.when(F.col("ordering_mode") != "Null", column).alias(n) for n, column in text.items()]
+    paths = [_folder(c, "inventory") for _ in range(2)]
+    export.write_csv(c.raw.select(*emptied), paths[0])
+    export.write_csv(c.raw.select(*names[:-1]), paths[1])
+    files = raw.source_inventory(c.spark, paths, COHORT_SCHEMA, "*.csv", multi_line=True)
+    return files.groupBy("column_count").agg(
         F.sum("data_row_count").alias("data_row_count"),
-        F.max("column_count").alias("column_count"),
-        F.sum("empty_record_count").alias("empty_record_count"),
+        # Less the header line of each file.
+        F.sum(F.col("line_count") - 1).alias("data_line_count"),
         F.sum("field_count_error_count").alias("field_count_error_count"),
-        F.sum(F.size("duplicate_column_names")).alias("duplicate_names"),
-        F.sum(F.size("blank_column_positions")).alias("blank_names"),
-        (F.count("path") == F.count_if(F.length("sha256") == 64)).alias("hashed_files"),
+        F.sum("empty_record_count").alias("empty_record_count"),
+        F.sum(F.size("blank_column_positions")).cast("long").alias("blank_names"),
     )
 
 

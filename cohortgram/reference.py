@@ -51,55 +51,113 @@ CONS = "Coagulase-negative staphylococci (unspeciated)"
 ENTEROCOCCUS_SPP = "Enterococcus species (unspeciated)"
 
 # --------------------------------------------------------------------------------------------------
-# Reviewed source labels, as (label, standard name, reporting group, qualifier).
+# Reviewed source labels, as (label, standard name, reporting group, qualifier, notes).
 # --------------------------------------------------------------------------------------------------
+PHENOTYPE_KEPT, MORPHOTYPE_KEPT = "Resistance phenotype retained separately", "Morphotype retained separately"
+INTO_CLOACAE = "Grouped to reviewed Enterobacter cloacae complex reporting category"
+INTO_FREUNDII = "Grouped to reviewed Citrobacter freundii complex reporting category"
 REVIEWED_LABELS = (
-    ("ESCHERICHIA COLI", E_COLI, E_COLI, None),
-    ("ESCHERICHIA COLI (CARBAPENEM RESISTANT)", E_COLI, E_COLI, "carbapenem_resistant"),
-    ("STAPHYLOCOCCUS AUREUS", S_AUREUS, S_AUREUS, None),
-    ("STAPH AUREUS {MRSA}", S_AUREUS, S_AUREUS, "MRSA"),
+    ("ESCHERICHIA COLI", E_COLI, E_COLI, None, None),
+    ("ESCHERICHIA COLI (CARBAPENEM RESISTANT)", E_COLI, E_COLI, "carbapenem_resistant", PHENOTYPE_KEPT),
+    ("STAPHYLOCOCCUS AUREUS", S_AUREUS, S_AUREUS, None, None),
+    ("STAPH AUREUS {MRSA}", S_AUREUS, S_AUREUS, "MRSA", PHENOTYPE_KEPT),
     (
         "STAPH AUREUS(COLONY VARIANT - SMALL COLONY OR OTHER MORPHOTYPE)",
         S_AUREUS,
         S_AUREUS,
         "small_colony_or_other_morphotype",
+        MORPHOTYPE_KEPT,
+    ),
+    ("KLEBSIELLA PNEUMONIAE", K_PNEUMONIAE, K_PNEUMONIAE, None, None),
+    (
+        "KLEBSIELLA PNEUMONIAE (CARBAPENEM RESISTANT)",
+        K_PNEUMONIAE,
+        K_PNEUMONIAE,
+        "carbapenem_resistant",
+        PHENOTYPE_KEPT,
+    ),
+    ("ENTEROCOCCUS FAECALIS", E_FAECALIS, E_FAECALIS, None, None),
+    ("ENTEROCOCCUS FAECALIS - VANCO RESISTANT", E_FAECALIS, E_FAECALIS, "vancomycin_resistant", PHENOTYPE_KEPT),
+    ("PSEUDOMONAS AERUGINOSA", P_AERUGINOSA, P_AERUGINOSA, None, None),
+    ("MUCOID PSEUDOMONAS AERUGINOSA", P_AERUGINOSA, P_AERUGINOSA, "mucoid", MORPHOTYPE_KEPT),
+    ("PSEUDOMONAS AERUGINOSA (NON-MUCOID CF)", P_AERUGINOSA, P_AERUGINOSA, "non_mucoid_cf", MORPHOTYPE_KEPT),
+    ("ENTEROBACTER CLOACAE COMPLEX", E_CLOACAE, E_CLOACAE, None, None),
+    (
+        "ENTEROBACTER CLOACAE COMPLEX (CARBAPENEM RESISTANT)",
+        E_CLOACAE,
+        E_CLOACAE,
+        "carbapenem_resistant",
+        PHENOTYPE_KEPT,
+    ),
+    ("KLEBSIELLA OXYTOCA", K_OXYTOCA, K_OXYTOCA, None, None),
+    ("PROTEUS MIRABILIS", P_MIRABILIS, P_MIRABILIS, None, None),
+    ("ENTEROCOCCUS FAECIUM", E_FAECIUM, E_FAECIUM, None, None),
+    ("ENTEROCOCCUS FAECIUM -  VANCO RESISTANT", E_FAECIUM, E_FAECIUM, "vancomycin_resistant", PHENOTYPE_KEPT),
+    ("STREPTOCOCCUS PNEUMONIAE", S_PNEUMONIAE, S_PNEUMONIAE, None, None),
+    ("STREPTOCOCCUS AGALACTIAE (GROUP B)", S_AGALACTIAE, S_AGALACTIAE, "group_b", None),
+    ("STREPTOCOCCUS AGALACTIAE {GROUP B}", S_AGALACTIAE, S_AGALACTIAE, "group_b", "Formatting variant"),
+    ("SERRATIA MARCESCENS", S_MARCESCENS, S_MARCESCENS, None, None),
+    (
+        "SERRATIA MARCESCENS (CARBAPENEM RESISTANT)",
+        S_MARCESCENS,
+        S_MARCESCENS,
+        "carbapenem_resistant",
+        PHENOTYPE_KEPT,
+    ),
+    ("ENTEROBACTER ASBURIAE", "Enterobacter asburiae", E_CLOACAE, None, INTO_CLOACAE),
+    ("ENTEROBACTER CLOACAE", "Enterobacter cloacae", E_CLOACAE, None, INTO_CLOACAE),
+    ("KLEBSIELLA AEROGENES", K_AEROGENES, K_AEROGENES, None, None),
+    ("KLEBSIELLA AEROGENES (CARBAPENEM RESISTANT)", K_AEROGENES, K_AEROGENES, "carbapenem_resistant", PHENOTYPE_KEPT),
+    ("ZZZENTEROBACTER AEROGENES", K_AEROGENES, K_AEROGENES, None, "Historical Enterobacter aerogenes terminology"),
+    ("CITROBACTER BRAAKII", "Citrobacter braakii", C_FREUNDII, None, INTO_FREUNDII),
+    ("ZZZCITROBACTER FARMERI", C_FARMERI, C_FARMERI, None, "Historical source label"),
+    ("CITROBACTER FREUNDII", "Citrobacter freundii", C_FREUNDII, None, INTO_FREUNDII),
+    ("CITROBACTER FREUNDII COMPLEX", C_FREUNDII, C_FREUNDII, None, None),
+    (
+        "CITROBACTER FREUNDII COMPLEX (CARBAPENEM RESISTANT)",
+        C_FREUNDII,
+        C_FREUNDII,
+        "carbapenem_resistant",
+        PHENOTYPE_KEPT,
+    ),
+    ("CITROBACTER KOSERI", C_KOSERI, C_KOSERI, None, None),
+    ("CITROBACTER KOSERI (CARBAPENEM RESISTANT)", C_KOSERI, C_KOSERI, "carbapenem_resistant", PHENOTYPE_KEPT),
+    ("CITROBACTER YOUNGAE", "Citrobacter youngae", C_FREUNDII, None, INTO_FREUNDII),
+    (
+        "COAG NEGATIVE STAPHYLOCOCCUS",
+        CONS,
+        CONS,
+        None,
+        "Unspeciated CoNS source label; pooled reporting group; exclude separately identified species",
+    ),
+    (
+        "STAPHYLOCOCCUS SPECIES - COAG NEGATIVE, NOT STAPH SAPROPHYTICUS",
+        CONS,
+        CONS,
+        "excludes_saprophyticus",
+        "Nonspeciated CoNS, excluding S. saprophyticus per source label; do not add species-specific isolates to pool",
+    ),
+    (
+        "ENTEROCOCCUS SPECIES",
+        ENTEROCOCCUS_SPP,
+        ENTEROCOCCUS_SPP,
+        None,
+        "Unspeciated source identification; keep separate from identified E. faecalis and E. faecium",
+    ),
+    (
+        "MORGANELLA MORGANII",
+        M_MORGANII,
+        M_MORGANII,
+        None,
+        "Species-level identity; source categorical AST retained unchanged",
+    ),
+    (
+        "STENOTROPHOMONAS MALTOPHILIA",
+        S_MALTOPHILIA,
+        S_MALTOPHILIA,
+        None,
+        "Species-level identity; special AST interpretation considerations documented separately",
     ),
-    ("KLEBSIELLA PNEUMONIAE", K_PNEUMONIAE, K_PNEUMONIAE, None),
-    ("KLEBSIELLA PNEUMONIAE (CARBAPENEM RESISTANT)", K_PNEUMONIAE, K_PNEUMONIAE, "carbapenem_resistant"),
-    ("ENTEROCOCCUS FAECALIS", E_FAECALIS, E_FAECALIS, None),
-    ("ENTEROCOCCUS FAECALIS - VANCO RESISTANT", E_FAECALIS, E_FAECALIS, "vancomycin_resistant"),
-    ("PSEUDOMONAS AERUGINOSA", P_AERUGINOSA, P_AERUGINOSA, None),
-    ("MUCOID PSEUDOMONAS AERUGINOSA", P_AERUGINOSA, P_AERUGINOSA, "mucoid"),
-    ("PSEUDOMONAS AERUGINOSA (NON-MUCOID CF)", P_AERUGINOSA, P_AERUGINOSA, "non_mucoid_cf"),
-    ("ENTEROBACTER CLOACAE COMPLEX", E_CLOACAE, E_CLOACAE, None),
-    ("ENTEROBACTER CLOACAE COMPLEX (CARBAPENEM RESISTANT)", E_CLOACAE, E_CLOACAE, "carbapenem_resistant"),
-    ("KLEBSIELLA OXYTOCA", K_OXYTOCA, K_OXYTOCA, None),
-    ("PROTEUS MIRABILIS", P_MIRABILIS, P_MIRABILIS, None),
-    ("ENTEROCOCCUS FAECIUM", E_FAECIUM, E_FAECIUM, None),
-    ("ENTEROCOCCUS FAECIUM -  VANCO RESISTANT", E_FAECIUM, E_FAECIUM, "vancomycin_resistant"),
-    ("STREPTOCOCCUS PNEUMONIAE", S_PNEUMONIAE, S_PNEUMONIAE, None),
-    ("STREPTOCOCCUS AGALACTIAE (GROUP B)", S_AGALACTIAE, S_AGALACTIAE, "group_b"),
-    ("STREPTOCOCCUS AGALACTIAE {GROUP B}", S_AGALACTIAE, S_AGALACTIAE, "group_b"),
-    ("SERRATIA MARCESCENS", S_MARCESCENS, S_MARCESCENS, None),
-    ("SERRATIA MARCESCENS (CARBAPENEM RESISTANT)", S_MARCESCENS, S_MARCESCENS, "carbapenem_resistant"),
-    ("ENTEROBACTER ASBURIAE", "Enterobacter asburiae", E_CLOACAE, None),
-    ("ENTEROBACTER CLOACAE", "Enterobacter cloacae", E_CLOACAE, None),
-    ("KLEBSIELLA AEROGENES", K_AEROGENES, K_AEROGENES, None),
-    ("KLEBSIELLA AEROGENES (CARBAPENEM RESISTANT)", K_AEROGENES, K_AEROGENES, "carbapenem_resistant"),
-    ("ZZZENTEROBACTER AEROGENES", K_AEROGENES, K_AEROGENES, None),
-    ("CITROBACTER BRAAKII", "Citrobacter braakii", C_FREUNDII, None),
-    ("ZZZCITROBACTER FARMERI", C_FARMERI, C_FARMERI, None),
-    ("CITROBACTER FREUNDII", "Citrobacter freundii", C_FREUNDII, None),
-    ("CITROBACTER FREUNDII COMPLEX", C_FREUNDII, C_FREUNDII, None),
-    ("CITROBACTER FREUNDII COMPLEX (CARBAPENEM RESISTANT)", C_FREUNDII, C_FREUNDII, "carbapenem_resistant"),
-    ("CITROBACTER KOSERI", C_KOSERI, C_KOSERI, None),
-    ("CITROBACTER KOSERI (CARBAPENEM RESISTANT)", C_KOSERI, C_KOSERI, "carbapenem_resistant"),
-    ("CITROBACTER YOUNGAE", "Citrobacter youngae", C_FREUNDII, None),
-    ("COAG NEGATIVE STAPHYLOCOCCUS", CONS, CONS, None),
-    ("STAPHYLOCOCCUS SPECIES - COAG NEGATIVE, NOT STAPH SAPROPHYTICUS", CONS, CONS, "excludes_saprophyticus"),
-    ("ENTEROCOCCUS SPECIES", ENTEROCOCCUS_SPP, ENTEROCOCCUS_SPP, None),
-    ("MORGANELLA MORGANII", M_MORGANII, M_MORGANII, None),
-    ("STENOTROPHOMONAS MALTOPHILIA", S_MALTOPHILIA, S_MALTOPHILIA, None),
 )
 
 # Reporting groups that are Gram positive; every other reporting group is Gram negative.
@@ -152,39 +210,178 @@ PROPOSED = {
 }
 
 # --------------------------------------------------------------------------------------------------
-# Exclusions. BROAD rules hold for every cohort and phenotype, SCOPED rules only for the
-# named cohorts and phenotype.
+# Exclusions, as (group, cohort, phenotype, drug, reason, review basis, notes). A cohort or
+# phenotype of "*" holds for all of them.
 # --------------------------------------------------------------------------------------------------
-AMPC_BASIS, PHENOTYPE_BASIS = "IDSA AMR Guidance 2026", "EUCAST expected resistant phenotype"
-BROAD_EXCLUSIONS = (
-    (C_FREUNDII, "expected_resistant", AMPC_BASIS, (AMC, AMP, SAM, CFZ, FOX)),
-    (C_FREUNDII, "ampc_reporting_suppression", AMPC_BASIS, (CTX, CAZ, CRO, TZP)),
-    (C_KOSERI, "inappropriate_surrogate", "CLSI AST case study 2019", (CFZ,)),
-    (E_CLOACAE, "expected_resistant", "expected phenotype", (FOX,)),
-    (E_CLOACAE, "ampc_reporting_suppression", AMPC_BASIS, (CTX, CAZ, CRO, TZP)),
-    (K_AEROGENES, "expected_resistant", AMPC_BASIS, (AMC, AMP, SAM, CFZ, FOX)),
-    (K_AEROGENES, "ampc_reporting_suppression", AMPC_BASIS, (CTX, CAZ, CRO, TZP)),
-    (K_OXYTOCA, "expected_resistant", PHENOTYPE_BASIS, (AMP,)),
-    (K_PNEUMONIAE, "expected_resistant", PHENOTYPE_BASIS, (AMP,)),
-    (M_MORGANII, "expected_resistant", "expected phenotype", (AMC, AMP, CFZ, CXM, NIT)),
-    (S_MARCESCENS, "expected_resistant", PHENOTYPE_BASIS, (FOX,)),
-    (S_MALTOPHILIA, "no_current_breakpoint", "CLSI AST news update 2025", (CAZ,)),
+OWNER_REVIEW, EUCAST = "Project owner review 2026-10-13", "EUCAST expected resistant phenotype"
+MORGANII_REVIEW = "M. morganii expected phenotype / literature review"
+BASAL_AMPC = "Basal AmpC intrinsic resistance; source categorical AST is retained upstream"
+FREUNDII_RULE = "Project applies C. freundii AmpC reporting rule at reviewed reporting-group level"
+MODERATE_RISK = "Moderate-risk inducible AmpC organism; suppress from summary antibiogram"
+NOT_PREFERRED = "Not preferred for invasive infection with moderate-risk inducible AmpC organisms"
+NOT_IN_SUMMARY = "Do not include in susceptibility summary"
+SUPPRESS_DRUG = (
+    "Suppress the reviewed drug within this resistance-defined reporting population; "
+    "preserve AST used to establish phenotype eligibility."
+)
+NOT_ROUTINE = (
+    "Project owner excludes this combination from the routine antibiogram panel in this cohort and phenotype; "
+    "preserve upstream AST and phenotype evidence."
+)
+DAPTOMYCIN_CATEGORY = (
+    "Suppress conventional percent-susceptible display for the reviewed E. faecium daptomycin category; "
+    "retain source S/I/R without inferring SDD."
 )
-PANEL_BASIS = "panel review 2026-10-13"
-SUPPRESSED, PANEL_CHOICE = "phenotype_reporting_suppression", "project_panel_exclusion"
-SCOPED_EXCLUSIONS = (
-    (E_FAECALIS, ("blood",), "vancomycin_resistant", SUPPRESSED, (VAN,)),
-    (E_FAECIUM, ("blood",), "base", "source_category_limitation", (DAP,)),
-    (E_FAECIUM, ("blood",), "vancomycin_resistant", "source_category_limitation", (DAP,)),
-    (E_FAECIUM, ("blood", "urine"), "vancomycin_resistant", PANEL_CHOICE, (AMP, PEN)),
-    (E_FAECIUM, ("blood", "urine"), "vancomycin_resistant", SUPPRESSED, (VAN,)),
-    (E_COLI, COHORTS, "esce_r", PANEL_CHOICE, (AMP,)),
-    (E_COLI, COHORTS, "esce_r", SUPPRESSED, (CRO,)),
-    (K_OXYTOCA, COHORTS, "esce_r", SUPPRESSED, (CRO,)),
-    (K_OXYTOCA, ("respiratory",), "esce_r", PANEL_CHOICE, (CIP, GEN, SXT)),
-    (K_PNEUMONIAE, ("blood", "respiratory"), "esce_r", PANEL_CHOICE, (TZP,)),
-    (K_PNEUMONIAE, ("respiratory", "urine"), "esce_r", SUPPRESSED, (CRO,)),
-    (S_AUREUS, COHORTS, "oxacillin_resistant", SUPPRESSED, (OXA,)),
+EXCLUSIONS = (
+    (C_FREUNDII, "*", "*", AMC, "expected_resistant", "IDSA AMR Guidance 2026", BASAL_AMPC),
+    (C_FREUNDII, "*", "*", AMP, "expected_resistant", "IDSA AMR Guidance 2026", BASAL_AMPC),
+    (C_FREUNDII, "*", "*", SAM, "expected_resistant", "IDSA AMR Guidance 2026", BASAL_AMPC),
+    (C_FREUNDII, "*", "*", CFZ, "expected_resistant", "IDSA AMR Guidance 2026", BASAL_AMPC),
+    (C_FREUNDII, "*", "*", CTX, "ampc_reporting_suppression", "IDSA 2026", FREUNDII_RULE),
+    (C_FREUNDII, "*", "*", FOX, "expected_resistant", "IDSA AMR Guidance 2026", BASAL_AMPC),
+    (C_FREUNDII, "*", "*", CAZ, "ampc_reporting_suppression", "IDSA 2026", FREUNDII_RULE),
+    (C_FREUNDII, "*", "*", CRO, "ampc_reporting_suppression", "IDSA 2026", FREUNDII_RULE),
+    (C_FREUNDII, "*", "*", TZP, "ampc_reporting_suppression", "IDSA 2026", FREUNDII_RULE),
+    (
+        C_KOSERI,
+        "*",
+        "*",
+        CFZ,
+        "inappropriate_surrogate",
+        "CLSI AST Case Study (2019)",
+        "Cefazolin is not validated as an oral-cephalosporin surrogate for C. koseri",
+    ),
+    (E_CLOACAE, "*", "*", CTX, "ampc_reporting_suppression", "IDSA 2026", MODERATE_RISK),
+    (
+        E_CLOACAE,
+        "*",
+        "*",
+        FOX,
+        "expected_resistant",
+        "expected phenotype",
+        "Chromosomal AmpC-associated expected resistance",
+    ),
+    (E_CLOACAE, "*", "*", CAZ, "ampc_reporting_suppression", "IDSA 2026", MODERATE_RISK),
+    (E_CLOACAE, "*", "*", CRO, "ampc_reporting_suppression", "IDSA 2026", MODERATE_RISK),
+    (E_CLOACAE, "*", "*", TZP, "ampc_reporting_suppression", "IDSA 2026", NOT_PREFERRED),
+    (
+        E_FAECALIS,
+        "blood",
+        "vancomycin_resistant",
+        VAN,
+        "phenotype_reporting_suppression",
+        OWNER_REVIEW,
+        SUPPRESS_DRUG,
+    ),
+    (E_FAECIUM, "blood", "base", DAP, "source_category_limitation", OWNER_REVIEW, DAPTOMYCIN_CATEGORY),
+    (E_FAECIUM, "blood", "vancomycin_resistant", AMP, "project_panel_exclusion", OWNER_REVIEW, NOT_ROUTINE),
+    (
+        E_FAECIUM,
+        "blood",
+        "vancomycin_resistant",
+        DAP,
+        "source_category_limitation",
+        OWNER_REVIEW,
+        DAPTOMYCIN_CATEGORY,
+    ),
+    (E_FAECIUM, "blood", "vancomycin_resistant", PEN, "project_panel_exclusion", OWNER_REVIEW, NOT_ROUTINE),
+    (E_FAECIUM, "blood", "vancomycin_resistant", VAN, "phenotype_reporting_suppression", OWNER_REVIEW, SUPPRESS_DRUG),
+    (E_FAECIUM, "urine", "vancomycin_resistant", AMP, "project_panel_exclusion", OWNER_REVIEW, NOT_ROUTINE),
+    (E_FAECIUM, "urine", "vancomycin_resistant", PEN, "project_panel_exclusion", OWNER_REVIEW, NOT_ROUTINE),
+    (E_FAECIUM, "urine", "vancomycin_resistant", VAN, "phenotype_reporting_suppression", OWNER_REVIEW, SUPPRESS_DRUG),
+    (E_COLI, "blood", "esce_r", AMP, "project_panel_exclusion", OWNER_REVIEW, NOT_ROUTINE),
+    (E_COLI, "blood", "esce_r", CRO, "phenotype_reporting_suppression", OWNER_REVIEW, SUPPRESS_DRUG),
+    (E_COLI, "respiratory", "esce_r", AMP, "project_panel_exclusion", OWNER_REVIEW, NOT_ROUTINE),
+    (E_COLI, "respiratory", "esce_r", CRO, "phenotype_reporting_suppression", OWNER_REVIEW, SUPPRESS_DRUG),
+    (E_COLI, "urine", "esce_r", AMP, "project_panel_exclusion", OWNER_REVIEW, NOT_ROUTINE),
+    (E_COLI, "urine", "esce_r", CRO, "phenotype_reporting_suppression", OWNER_REVIEW, SUPPRESS_DRUG),
+    (K_AEROGENES, "*", "*", AMC, "expected_resistant", "IDSA AMR Guidance 2026", BASAL_AMPC),
+    (K_AEROGENES, "*", "*", AMP, "expected_resistant", "IDSA AMR Guidance 2026", BASAL_AMPC),
+    (K_AEROGENES, "*", "*", SAM, "expected_resistant", "IDSA AMR Guidance 2026", BASAL_AMPC),
+    (K_AEROGENES, "*", "*", CFZ, "expected_resistant", "IDSA AMR Guidance 2026", BASAL_AMPC),
+    (K_AEROGENES, "*", "*", CTX, "ampc_reporting_suppression", "IDSA 2026", MODERATE_RISK),
+    (K_AEROGENES, "*", "*", FOX, "expected_resistant", "IDSA AMR Guidance 2026", BASAL_AMPC),
+    (K_AEROGENES, "*", "*", CAZ, "ampc_reporting_suppression", "IDSA 2026", MODERATE_RISK),
+    (K_AEROGENES, "*", "*", CRO, "ampc_reporting_suppression", "IDSA 2026", MODERATE_RISK),
+    (K_AEROGENES, "*", "*", TZP, "ampc_reporting_suppression", "IDSA 2026", NOT_PREFERRED),
+    (K_OXYTOCA, "*", "*", AMP, "expected_resistant", EUCAST, NOT_IN_SUMMARY),
+    (K_OXYTOCA, "blood", "esce_r", CRO, "phenotype_reporting_suppression", OWNER_REVIEW, SUPPRESS_DRUG),
+    (K_OXYTOCA, "respiratory", "esce_r", CRO, "phenotype_reporting_suppression", OWNER_REVIEW, SUPPRESS_DRUG),
+    (K_OXYTOCA, "respiratory", "esce_r", CIP, "project_panel_exclusion", OWNER_REVIEW, NOT_ROUTINE),
+    (K_OXYTOCA, "respiratory", "esce_r", GEN, "project_panel_exclusion", OWNER_REVIEW, NOT_ROUTINE),
+    (K_OXYTOCA, "respiratory", "esce_r", SXT, "project_panel_exclusion", OWNER_REVIEW, NOT_ROUTINE),
+    (K_OXYTOCA, "urine", "esce_r", CRO, "phenotype_reporting_suppression", OWNER_REVIEW, SUPPRESS_DRUG),
+    (K_PNEUMONIAE, "*", "*", AMP, "expected_resistant", EUCAST, NOT_IN_SUMMARY),
+    (K_PNEUMONIAE, "blood", "esce_r", TZP, "project_panel_exclusion", OWNER_REVIEW, NOT_ROUTINE),
+    (K_PNEUMONIAE, "respiratory", "esce_r", CRO, "phenotype_reporting_suppression", OWNER_REVIEW, SUPPRESS_DRUG),
+    (K_PNEUMONIAE, "respiratory", "esce_r", TZP, "project_panel_exclusion", OWNER_REVIEW, NOT_ROUTINE),
+    (K_PNEUMONIAE, "urine", "esce_r", CRO, "phenotype_reporting_suppression", OWNER_REVIEW, SUPPRESS_DRUG),
+    (
+        M_MORGANII,
+        "*",
+        "*",
+        AMC,
+        "expected_resistant",
+        MORGANII_REVIEW,
+        "Not appropriate for routine M. morganii susceptibility display",
+    ),
+    (
+        M_MORGANII,
+        "*",
+        "*",
+        AMP,
+        "expected_resistant",
+        MORGANII_REVIEW,
+        "Not appropriate for routine M. morganii susceptibility display",
+    ),
+    (
+        M_MORGANII,
+        "*",
+        "*",
+        CFZ,
+        "expected_resistant",
+        MORGANII_REVIEW,
+        "Not appropriate for routine M. morganii susceptibility display",
+    ),
+    (
+        M_MORGANII,
+        "*",
+        "*",
+        CXM,
+        "expected_resistant",
+        MORGANII_REVIEW,
+        "Not appropriate for routine M. morganii susceptibility display",
+    ),
+    (
+        M_MORGANII,
+        "*",
+        "*",
+        NIT,
+        "expected_resistant",
+        MORGANII_REVIEW,
+        "Not appropriate for routine M. morganii susceptibility display",
+    ),
+    (S_MARCESCENS, "*", "*", FOX, "expected_resistant", EUCAST, NOT_IN_SUMMARY),
+    (S_AUREUS, "blood", "oxacillin_resistant", OXA, "phenotype_reporting_suppression", OWNER_REVIEW, SUPPRESS_DRUG),
+    (
+        S_AUREUS,
+        "respiratory",
+        "oxacillin_resistant",
+        OXA,
+        "phenotype_reporting_suppression",
+        OWNER_REVIEW,
+        SUPPRESS_DRUG,
+    ),
+    (S_AUREUS, "urine", "oxacillin_resistant", OXA, "phenotype_reporting_suppression", OWNER_REVIEW, SUPPRESS_DRUG),
+    (
+        S_MALTOPHILIA,
+        "*",
+        "*",
+        CAZ,
+        "no_current_breakpoint",
+        "CLSI AST News Update (May 2025)",
+        "CLSI ceftazidime breakpoint was removed in 2024",
+    ),
 )
 
 
@@ -389,7 +586,7 @@ GROUP_COLUMNS = ("organism_reporting_group", "gram_stain_group")
 
 
 def label_rows() -> list[tuple]:
-    return [(*row, 1, "reviewed", None) for row in REVIEWED_LABELS]
+    return [(*row[:4], 1, "reviewed", row[4]) for row in REVIEWED_LABELS]
 
 
 def group_rows() -> list[tuple]:
@@ -409,15 +606,4 @@ def pair_rows() -> list[tuple]:
 
 
 def exclusion_rows() -> list[tuple]:
-    rows = [
-        (group, WILDCARD, WILDCARD, drug, reason, basis, None)
-        for group, reason, basis, drugs in BROAD_EXCLUSIONS
-        for drug in drugs
-    ]
-    rows += [
-        (group, cohort, phenotype, drug, reason, PANEL_BASIS, None)
-        for group, cohorts, phenotype, reason, drugs in SCOPED_EXCLUSIONS
-        for cohort in cohorts
-        for drug in drugs
-    ]
-    return rows
+    return list(EXCLUSIONS)

@@ -9,45 +9,102 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 CSV_OPTIONS = {"header": True, "quote": '"', "escape": '"', "inferSchema": False}
+# A file whose header differs from the schema fails the read instead of shifting its columns.
+CHECKED_HEADER = {"enforceSchema": False, "mode": "FAILFAST"}
 _CORRUPT = "_corrupt_record"
-_HASH_CHUNK_BYTES = 8 << 20
+_BOM = "^\ufeff"
+
+
+def file_schema(spark: SparkSession, path: str | list[str], schema: T.StructType, multi_line: bool = False) -> T.StructType:
+    """The wanted columns in the order of the header Spark finds first; other columns of the file as text.
+
+    Only that line is read. A header without a wanted column is an error.
+    """
+    found = spark.read.options(**CSV_OPTIONS, multiLine=multi_line).csv(path).columns
+    wanted = {f.name.lower(): f for f in schema.fields}
+    missing = [f.name for f in schema.fields if f.name.lower() not in {name.lower() for name in found}]
+    if missing:
+        raise ValueError(f"no column {', '.join(missing)} in the header of {path}: {', '.join(found)}")
+    return T.StructType([T.StructField(n, wanted[n.lower()].dataType if n.lower() in wanted else T.StringType()) for n in found])
 
 
 def load_raw(
-    spark: SparkSession, path: str | list[str], schema: T.StructType, version: str, multi_line: bool = True
+    spark: SparkSession, path: str | list[str], schema: T.StructType, version: str, multi_line: bool = False
 ) -> DataFrame:
     """CSV as text columns plus file, release and load time; a malformed record fails the load.
 
-    ``multi_line`` allows line breaks inside quotes and reads each file in one task, so land large
-    releases as many files, or turn it off for files known to have none: then a file splits.
+    Columns are taken by header name. Files of one load share one header; a file with another fails, so
+    load files of another layout apart. ``multi_line`` allows line breaks inside quotes and reads each file in one
+    task; without it files split, and a record with such a break fails the load.
     """
-    reader = spark.read.schema(schema).options(**CSV_OPTIONS, multiLine=multi_line, mode="FAILFAST")
-    return reader.csv(path).select(
-        "*",
+    found = file_schema(spark, path, schema, multi_line)
+    rows = spark.read.schema(found).options(**CSV_OPTIONS, **CHECKED_HEADER, multiLine=multi_line).csv(path)
+    return rows.select(
+        *schema.fieldNames(),
         F.col("_metadata.file_path").alias("source_file"),
         F.lit(version).alias("source_version"),
         F.current_timestamp().alias("ingested_at"),
     )
 
 
-def append_new_files(incoming: DataFrame, table: DataFrame) -> DataFrame:
-    """Rows of files the table does not hold yet."""
-    return incoming.join(table.select("source_file").distinct(), "source_file", "left_anti").select(*incoming.columns)
+def file_names(spark: SparkSession, path: str | list[str], pattern: str = "*.csv") -> DataFrame:
+    """``source_file`` of every file below a path, from its listing; no file is opened."""
+    listed = spark.read.format("binaryFile").options(pathGlobFilter=pattern, recursiveFileLookup=True).load(path)
+    return listed.select(_as_uri("path").alias("source_file"), F.col("path"))
+
+
+def _as_uri(path: str):
+    """Spark writes local paths as file:/x in one place and file:///x in another."""
+    return F.regexp_replace(path, "^file:/+", "file:///")
+
+
+def new_files(spark: SparkSession, path: str | list[str], loaded: DataFrame, pattern: str = "*.csv") -> list[str]:
+    """The files below a path whose names ``loaded`` (``source_file``) lacks: one short name each."""
+    names = loaded.select(_as_uri("source_file").alias("source_file"))
+    return [r.path for r in file_names(spark, path, pattern).join(names, "source_file", "left_anti").sort("path").collect()]
+
+
+def append_new_files(
+    spark: SparkSession,
+    path: str | list[str],
+    schema: T.StructType,
+    version: str,
+    loaded: DataFrame,
+    multi_line: bool = False,
+    pattern: str = "*.csv",
+) -> DataFrame:
+    """The rows of the files that ``loaded`` lacks. Other files are listed and never opened.
+
+    ``loaded`` holds the names of loaded files: the ``source_file`` partitions or log of a table, not its rows, where
+    it is large.
+    """
+    paths = new_files(spark, path, loaded, pattern)
+    if paths:
+        return load_raw(spark, paths, schema, version, multi_line)
+    nothing = spark.createDataFrame([], schema)
+    return nothing.select(
+        "*",
+        F.lit("").alias("source_file"),
+        F.lit(version).alias("source_version"),
+        F.current_timestamp().alias("ingested_at"),
+    )
 
 
-def row_count_check(tables: dict[str, DataFrame], expected: dict[str, int]) -> DataFrame:
-    """Actual against expected row counts, one row per table."""
+def row_count_check(tables: dict[str, DataFrame], expected: DataFrame) -> DataFrame:
+    """Actual against expected row counts (``table_name, expected_rows``), one row per table."""
     counts = [
-        frame.agg(F.count(F.lit(1)).alias("actual_rows")).select(
-            F.lit(name).alias("table_name"), "actual_rows", F.lit(expected[name]).cast("long").alias("expected_rows")
-        )
+        frame.agg(F.count(F.lit(1)).alias("actual_rows")).select(F.lit(name).alias("table_name"), "actual_rows")
         for name, frame in tables.items()
     ]
     difference = F.col("actual_rows") - F.col("expected_rows")
-    return reduce(DataFrame.unionByName, counts).select(
-        "*",
-        difference.alias("difference"),
-        F.when(difference == 0, "PASS").otherwise("CHECK").alias("row_count_check"),
+    return (
+        reduce(DataFrame.unionByName, counts)
+        .join(expected.select("table_name", F.col("expected_rows").cast("long")), "table_name", "left")
+        .select(
+            "*",
+            difference.alias("difference"),
+            F.when(difference == 0, "PASS").otherwise("CHECK").alias("row_count_check"),
+        )
     )
 
 
@@ -56,43 +113,50 @@ def preview(table: DataFrame, rows: int = 100, order: list[str] | None = None) -
     return (table.orderBy(*order) if order else table).limit(rows)
 
 
-def file_hashes(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
-    """Size and SHA-256 per file. Files are streamed in chunks, one file per task, never held whole."""
-    files = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", pattern)
-        .option("recursiveFileLookup", True)
-        .load(path)
-        .select("path", F.col("length").alias("size_bytes"))
-    )
+def line_inventory(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
+    """Per file: size, lines, a fingerprint of its lines, and the first line.
 
-    def digest(batches):
-        import hashlib
+    The fingerprint adds up a hash per line, so tasks sum their own split of a file; it tells whether two files
+    hold the same lines.
+    """
+    lines = (
+        spark.read.option("pathGlobFilter", pattern)
+        .text(path)
+        .select(
+            F.col("_metadata.file_path").alias("path"),
+            F.col("_metadata.file_size").alias("size_bytes"),
+            F.struct(
+                F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line"), "value"
+            ).alias("at"),
+        )
+    )
+    # ``min`` over a struct keeps one line per map task before the shuffle.
+    return lines.groupBy("path", "size_bytes").agg(
+        F.count(F.lit(1)).alias("line_count"),
+        F.sum(F.xxhash64("at.value").cast("decimal(20,0)")).cast("string").alias("line_fingerprint"),
+        F.min("at").alias("first"),
+    ).withColumn("first", F.regexp_replace("first.value", _BOM + "|\r$", ""))
 
-        from pyarrow import fs
 
-        for batch in batches:
-            hashes = []
-            for location in batch["path"]:
-                filesystem, inner = fs.FileSystem.from_uri(location.replace("file:/", "file:///", 1) if (
-                    location.startswith("file:/") and not location.startswith("file:///")) else location)
-                sha = hashlib.sha256()
-                with filesystem.open_input_stream(inner) as stream:
-                    while chunk := stream.read(_HASH_CHUNK_BYTES):
-                        sha.update(chunk)
-                hashes.append(sha.hexdigest())
-            yield batch.assign(sha256=hashes)
+def header_columns(line):
+    """The fields of a header line; commas inside quotes do not part them."""
+    fields = F.regexp_extract_all(line, F.lit(r'(?:^|,)("(?:[^"]|"")*"|[^,]*)'), F.lit(1))
+    bare = lambda f: F.when(f.startswith('"'), F.regexp_replace(F.regexp_replace(f, '^"|"$', ""), '""', '"')).otherwise(f)
+    return F.transform(fields, lambda f: F.trim(bare(F.trim(f))))
 
-    return files.mapInPandas(digest, "path string, size_bytes long, sha256 string")
 
+def record_inventory(
+    spark: SparkSession, path: str, schema: T.StructType, pattern: str = "*", multi_line: bool = False
+) -> DataFrame:
+    """Per file: data rows, records with the wrong number of fields, and records with no value at all.
 
-def record_inventory(spark: SparkSession, path: str, schema: T.StructType, pattern: str = "*") -> DataFrame:
-    """Per file: data rows, records with the wrong number of fields, and records with no value at all."""
+    ``multi_line`` as in the load, so that both see the same records.
+    """
     names = schema.fieldNames()
     read_schema = T.StructType([*schema.fields, T.StructField(_CORRUPT, T.StringType())])
     rows = (
         spark.read.schema(read_schema)
-        .options(**CSV_OPTIONS, mode="PERMISSIVE", columnNameOfCorruptRecord=_CORRUPT, enforceSchema=True)
+        .options(**CSV_OPTIONS, mode="PERMISSIVE", columnNameOfCorruptRecord=_CORRUPT, enforceSchema=True, multiLine=multi_line)
         .option("pathGlobFilter", pattern)
         .csv(path)
     )
@@ -104,28 +168,14 @@ def record_inventory(spark: SparkSession, path: str, schema: T.StructType, patte
     )
 
 
-def header_inventory(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
-    """Per file: column names, duplicate names and positions without a name, from the header line."""
-    lines = (
-        spark.read.option("pathGlobFilter", pattern)
-        .option("wholetext", False)
-        .text(path)
-        .select(
-            F.col("_metadata.file_path").alias("path"),
-            F.col("_metadata.file_block_start").alias("block_start"),
-            F.monotonically_increasing_id().alias("line"),
-            "value",
-        )
-        .filter(F.col("block_start") == 0)
-    )
-    # ``min`` over a struct keeps one line per map task before the shuffle.
-    first = lines.groupBy("path").agg(F.min(F.struct("line", "value")).alias("first"))
-    text = F.regexp_replace(F.col("first.value"), "^﻿|\r$", "")
-    columns = F.transform(F.split(text, ","), lambda name: F.trim(F.regexp_replace(name, '"', "")))
+def source_inventory(
+    spark: SparkSession, path: str, schema: T.StructType, pattern: str = "*", multi_line: bool = False
+) -> DataFrame:
+    """Size, fingerprint, header and record structure of every file under ``path``."""
+    lines = line_inventory(spark, path, pattern).withColumn("columns", header_columns(F.col("first"))).drop("first")
     named = F.filter("columns", lambda name: name != "")
-    return first.select("path", columns.alias("columns")).select(
-        "path",
-        "columns",
+    headers = lines.select(
+        "*",
         F.size("columns").alias("column_count"),
         F.array_sort(
             F.filter(F.array_distinct(named), lambda n: F.size(F.filter(named, lambda other: other == n)) > 1)
@@ -134,13 +184,5 @@ def header_inventory(spark: SparkSession, path: str, pattern: str = "*") -> Data
             F.transform("columns", lambda name, i: F.when(name == "", i + 1)), lambda position: position.isNotNull()
         ).alias("blank_column_positions"),
     )
-
-
-def source_inventory(spark: SparkSession, path: str, schema: T.StructType, pattern: str = "*") -> DataFrame:
-    """Size, hash, header and record structure of every file under ``path``."""
-    hashes = file_hashes(spark, path, pattern)
-    # Spark writes local paths as file:/x in one place and file:///x in another.
-    same = F.regexp_replace("path", "^file:/+", "file:/")
-    parts = [f.withColumn("path", same) for f in (
-        hashes, header_inventory(spark, path, pattern), record_inventory(spark, path, schema, pattern))]
-    return reduce(lambda left, right: left.join(right, "path", "left"), parts)
+    records = record_inventory(spark, path, schema, pattern, multi_line)
+    return headers.withColumn("path", _as_uri("path")).join(records.withColumn("path", _as_uri("path")), "path", "left")

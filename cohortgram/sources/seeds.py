@@ -11,8 +11,10 @@ from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from cohortgram import reference as ref
+from cohortgram.sources.raw import CHECKED_HEADER, CSV_OPTIONS, file_schema
 
 _INTEGER_COLUMNS = {"include_primary_summary", "include_primary_dashboard", "pair_order", "category_order"}
 SEED_COLUMNS = {
@@ -36,8 +38,11 @@ def small_table(spark: SparkSession, columns: tuple[str, ...], rows: list[tuple]
 
 
 def load_seed(spark: SparkSession, name: str, path: str) -> DataFrame:
-    """A typed reference table from CSV."""
-    return spark.read.schema(seed_schema(name)).csv(path, header=True, quote='"', escape='"', mode="FAILFAST")
+    """A typed reference table from CSV, its columns taken by header name."""
+    wanted = T.StructType.fromDDL(seed_schema(name))
+    found = file_schema(spark, path, wanted)
+    rows = spark.read.schema(found).options(**CSV_OPTIONS, **CHECKED_HEADER).csv(path)
+    return rows.select(*wanted.fieldNames())
 
 
 @dataclass(frozen=True)
