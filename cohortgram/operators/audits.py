@@ -268,9 +268,9 @@ def policy_inventory(pairs: DataFrame, exclusions: DataFrame) -> DataFrame:
     return joined.withColumn("reporting_decision", decision).drop("_group", "_drug", "_cohort")
 
 
-def pair_status(pairs: DataFrame) -> DataFrame:
-    """Listed drugs by review status and inclusion."""
-    return frequency(pairs, ["review_status", "include_primary_dashboard"], "pair_rows")
+def pair_status(pairs: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Listed drugs by review status and inclusion, and further columns."""
+    return frequency(pairs, ["review_status", "include_primary_dashboard", *by], "pair_rows")
 
 
 def missing_attribute(reports: dict[str, DataFrame], attribute: str) -> DataFrame:
@@ -284,11 +284,12 @@ def missing_attribute(reports: dict[str, DataFrame], attribute: str) -> DataFram
     return reduce(DataFrame.unionByName, parts)
 
 
-def exclusion_check(exclusions: DataFrame) -> DataFrame:
+def exclusion_check(exclusions: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Rules, distinct rules and rules with a gap, over all rules or per value of ``by``."""
     required = ("organism_reporting_group", "cohort_id", "reporting_phenotype", "antibiotic")
     filled = (*required, "exclusion_reason", "review_basis")
     some_null = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in filled])
-    return exclusions.agg(
+    return exclusions.groupBy(*by).agg(
         n_rows().alias("row_count"),
         F.count_distinct(F.concat_ws("||", *required)).alias("unique_rule_count"),
         tally(some_null).alias("null_required_fields"),
@@ -765,9 +766,12 @@ def mart_structure(mart: DataFrame) -> DataFrame:
         tally(
             c("categorized_count") != c("susceptible_count") + c("resistant_count") + c("intermediate_count")
         ).alias("category_mismatches"),
-        tally((c("categorized_count") > c("eligible_count")) | (c("susceptible_count") > c("categorized_count"))).alias(
-            "bound_violations"
-        ),
+        tally(
+            (c("categorized_count") > c("eligible_count"))
+            | (c("susceptible_count") > c("categorized_count"))
+            | (c("resistant_count") > c("categorized_count"))
+            | (c("intermediate_count") > c("categorized_count"))
+        ).alias("bound_violations"),
     )
 
 
@@ -808,7 +812,12 @@ def mdro_structure(mart: DataFrame) -> DataFrame:
         n_rows().alias("mart_rows"),
         F.count_distinct("mdro_mart_key").alias("unique_keys"),
         tally(bad_counts).alias("count_identity_mismatches"),
-        tally((c("positive_count") < 0) | (c("positive_count") > c("denominator_count"))).alias("invalid_counts"),
+        tally(
+            (c("positive_count") < 0)
+            | (c("not_detected_count") < 0)
+            | (c("not_evaluable_count") < 0)
+            | (c("positive_count") > c("denominator_count"))
+        ).alias("invalid_counts"),
         tally(bad_pct).alias("percentage_formula_mismatches"),
         tally(~c("phenotype_pct").between(0, 100) | ~c("evaluable_pct").between(0, 100)).alias(
             "out_of_bounds_percentages"

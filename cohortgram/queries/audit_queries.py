@@ -226,6 +226,21 @@ def blood_drugs_per_group(c: Context):
     return audits.ranked_coverage(coverage, ["organism_reporting_group"], top=10)
 
 
+@query(
+    f"cohort_id organism_reporting_group {COVERAGE}",
+    _COVERAGE.replace("organism_source", "organism_reporting_group").replace(
+        "FROM mapped", "FROM (FROM mapped WHERE include_primary_summary = 1 AND mapping_status = 'reviewed') mapped"
+    ),
+    "mapped",
+    "endpoint",
+)
+def group_drug_coverage(c: Context):
+    """Every drug of every reporting group: tested, untested, conflicting and missing records."""
+    return audits.drug_coverage(
+        reporting_eligible(c.full.mapped), c.full.endpoints, ["cohort_id", "organism_reporting_group"]
+    )
+
+
 @query(
     "normalized_label source_label_count #source_labels endpoint_groups",
     """SELECT lower(trim(antibiotic)) AS normalized_label, count(DISTINCT antibiotic) AS source_label_count,
@@ -282,39 +297,47 @@ def rule_drug_status(c: Context):
 
 
 # -- policy ----------------------------------------------------------------------------------------
+_SEEN = "(SELECT organism_reporting_group, cohort_id, count(*) AS records FROM record GROUP BY ALL)"
+_GROUP = ["organism_reporting_group", "cohort_id"]
+
+
+def _seen(c: Context):
+    """Records per group and cohort."""
+    return profile.frequency(c.full.records, _GROUP, "records")
+
+
 @query(
     "organism_reporting_group cohort_id antibiotic pair_order excluded_reporting_phenotype exclusion_reason "
-    "reporting_decision records",
-    """SELECT a.organism_reporting_group, a.cohort_id, a.antibiotic, a.pair_order,
-  e.reporting_phenotype AS excluded_reporting_phenotype, e.exclusion_reason,
+    "review_basis reporting_decision records",
+    f"""SELECT a.organism_reporting_group, a.cohort_id, a.antibiotic, a.pair_order,
+  e.reporting_phenotype AS excluded_reporting_phenotype, e.exclusion_reason, e.review_basis,
   CASE WHEN e.antibiotic IS NULL THEN 'no_explicit_exclusion' WHEN e.reporting_phenotype = '*'
-    THEN 'excluded_all_categories' ELSE 'excluded_in_named_category' END AS reporting_decision, r.records
+    THEN 'excluded_all_categories' ELSE 'excluded_in_named_category' END AS reporting_decision,
+  coalesce(r.records, 0) AS records
 FROM active a LEFT JOIN exclusions e ON e.organism_reporting_group = a.organism_reporting_group
   AND e.antibiotic = a.antibiotic AND e.cohort_id IN ('*', a.cohort_id)
-JOIN (SELECT organism_reporting_group, cohort_id, count(*) AS records FROM record GROUP BY ALL) r
-  ON r.organism_reporting_group = a.organism_reporting_group AND r.cohort_id = a.cohort_id""",
+LEFT JOIN {_SEEN} r ON r.organism_reporting_group = a.organism_reporting_group AND r.cohort_id = a.cohort_id""",
     "active",
     "exclusions",
     "record",
 )
 def policy_inventory(c: Context):
-    """The policy of every group and cohort that occurs, with its number of records."""
-    keys = ["organism_reporting_group", "cohort_id"]
-    seen = profile.frequency(c.full.records, keys, "records")
-    return audits.policy_inventory(c.seeds.pairs, c.seeds.exclusions).join(seen, keys)
+    """The whole policy, with the number of records it applies to."""
+    policy = audits.policy_inventory(c.seeds.pairs, c.seeds.exclusions)
+    return policy.join(_seen(c), _GROUP, "left").fillna(0, "records")
 
 
 @query(
-    "review_status include_primary_dashboard pair_rows",
-    """SELECT review_status, include_primary_dashboard, count(*) AS pair_rows FROM pairs
-SEMI JOIN record USING (organism_reporting_group, cohort_id) GROUP BY ALL""",
+    "review_status include_primary_dashboard occurs pair_rows",
+    f"""SELECT review_status, include_primary_dashboard, records IS NOT NULL AS occurs, count(*) AS pair_rows
+FROM pairs LEFT JOIN {_SEEN} USING (organism_reporting_group, cohort_id) GROUP BY ALL""",
     "pairs",
     "record",
 )
 def pair_status(c: Context):
-    """The listed drugs of every group and cohort that occurs."""
-    keys = ["organism_reporting_group", "cohort_id"]
-    return audits.pair_status(c.seeds.pairs.join(c.full.records.select(*keys), keys, "left_semi"))
+    """All listed drugs, and whether their group and cohort occur."""
+    listed = c.seeds.pairs.join(_seen(c), _GROUP, "left").withColumn("occurs", F.col("records").isNotNull())
+    return audits.pair_status(listed, ["occurs"])
 
 
 @query(
@@ -330,17 +353,20 @@ def missing_attribute(c: Context):
 
 
 @query(
-    "row_count unique_rule_count null_required_fields",
-    """SELECT count(*) AS row_count, count(DISTINCT concat_ws('||', organism_reporting_group, cohort_id,
+    "occurs row_count unique_rule_count null_required_fields",
+    """SELECT organism_reporting_group IN (SELECT organism_reporting_group FROM record) AS occurs,
+  count(*) AS row_count, count(DISTINCT concat_ws('||', organism_reporting_group, cohort_id,
   reporting_phenotype, antibiotic)) AS unique_rule_count, 0::bigint AS null_required_fields
-FROM exclusions WHERE organism_reporting_group IN (SELECT organism_reporting_group FROM record)""",
+FROM exclusions GROUP BY 1""",
     "exclusions",
     "record",
 )
 def exclusion_check(c: Context):
-    """The exclusion rules of the groups that occur."""
+    """All exclusion rules, those of groups that occur and the others."""
     group = "organism_reporting_group"
-    return audits.exclusion_check(c.seeds.exclusions.join(c.full.records.select(group), group, "left_semi"))
+    seen = c.full.records.select(group).distinct().withColumn("occurs", F.lit(True))
+    rules = c.seeds.exclusions.join(seen, group, "left").fillna(False, "occurs")
+    return audits.exclusion_check(rules, ["occurs"])
 
 
 # -- scopes and concordance ------------------------------------------------------------------------
@@ -658,23 +684,46 @@ def label_mentions(c: Context):
     return audits.label_summary(c.full.mapped, mentions, ["source_qualifier"])
 
 
+_WORDED = """(SELECT * REPLACE (organism_source || CASE WHEN right(patient_key, 1) IN ('0', '2', '4', '6', '8')
+    THEN ' (MULTI-DRUG RESISTANT)' WHEN right(patient_key, 1) = '3' THEN ' {ESBL}' ELSE '' END AS organism_source) FROM mapped)"""
+
+
+def _worded(c: Context):
+    """Records of some patients with a resistance in the label, as some sources write it."""
+    last = F.right("patient_key", F.lit(1))
+    wording = F.when(last.isin(*"02468"), " (MULTI-DRUG RESISTANT)").when(last == "3", " {ESBL}").otherwise("")
+    return c.full.mapped.withColumn("organism_source", F.concat("organism_source", wording))
+
+
 @query(
-    "wording doc_count",
-    f"""SELECT 'mdr' AS wording, count(*) AS doc_count FROM mapped WHERE
-  {like_any('upper(organism_source)', ['%MDR%', '%MULTI%DRUG%', '%MULTIDRUG%'])}
-UNION ALL SELECT 'esbl', count(*) FROM mapped WHERE {like_any('upper(organism_source)',
-  ['%ESBL%', '%EXTENDED%SPECTRUM%BETA%LACTAMASE%', '%EXTENDED%SPECTRUM%B-LACTAMASE%'])}""",
+    f"organism_source source_qualifier {COUNTED} #cohorts",
+    f"""SELECT organism_source, source_qualifier, {COUNTED_SQL},
+  array_to_string(list_sort(list(DISTINCT cohort_id)), '|') AS cohorts
+FROM {_WORDED} WHERE organism_standardized = 'Pseudomonas aeruginosa'
+  AND ({like_any('upper(organism_source)', ['%MDR%', '%MULTI%DRUG%', '%MULTIDRUG%'])}) GROUP BY ALL""",
     "mapped",
 )
-def resistance_wording(c: Context):
-    """Records whose label or qualifier speaks of multiple resistance or extended-spectrum enzymes."""
-    columns = ["organism_source", "source_qualifier"]
-    counted = c.full.mapped.agg(
-        F.count_if(audits.label_mentions(columns, audits.MDR_TEXT)).alias("mdr"),
-        F.count_if(audits.label_mentions(columns, audits.ESBL_TEXT)).alias("esbl"),
+def mdr_wording(c: Context):
+    """Labels of one species that speak of multiple resistance."""
+    mentions = audits.label_mentions(["organism_source", "source_qualifier"], audits.MDR_TEXT)
+    records = _worded(c).filter(F.col("organism_standardized") == ref.P_AERUGINOSA)
+    return audits.label_summary(records, mentions, ["source_qualifier"])
+
+
+@query(
+    f"organism_source organism_standardized source_qualifier mapping_status {COUNTED} #cohorts",
+    f"""SELECT organism_source, organism_standardized, source_qualifier, mapping_status, {COUNTED_SQL},
+  array_to_string(list_sort(list(DISTINCT cohort_id)), '|') AS cohorts
+FROM {_WORDED} WHERE {like_any('upper(organism_source)', ['%ESBL%', '%EXTENDED%SPECTRUM%BETA%LACTAMASE%',
+  '%EXTENDED%SPECTRUM%B-LACTAMASE%'])} GROUP BY ALL""",
+    "mapped",
+)
+def esbl_wording(c: Context):
+    """Labels that speak of extended-spectrum enzymes."""
+    mentions = audits.label_mentions(["organism_source", "source_qualifier"], audits.ESBL_TEXT)
+    return audits.label_summary(
+        _worded(c), mentions, ["organism_standardized", "source_qualifier", "mapping_status"]
     )
-    cells = F.array(*[F.struct(F.lit(w).alias("wording"), F.col(w).alias("doc_count")) for w in ("mdr", "esbl")])
-    return counted.select(F.inline(cells))
 
 
 _ESCE_DRUGS = ("Cefepime", "Ceftriaxone", "Cefotaxime", "Ceftazidime", "Ceftazidime/Avibactam", "Ceftolozane/Tazobactam")

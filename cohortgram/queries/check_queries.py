@@ -233,8 +233,8 @@ def check_denominators(c: Context):
 @query(
     "check_name failing_rows",
     """SELECT check_name, 0::bigint AS failing_rows FROM (VALUES ('first_record'), ('forbidden_categories'),
-('unapproved_or_excluded'), ('overall_denominator'), ('grid_completeness'), ('window_bounds'), ('denominators'))
-AS t(check_name)""",
+('unapproved_or_excluded'), ('overall_denominator'), ('grid_completeness'), ('window_bounds'), ('scoped_rules'),
+('denominators')) AS t(check_name)""",
 )
 def report_checks(c: Context):
     """Every report check on the windowed report as built."""
@@ -247,6 +247,7 @@ def report_checks(c: Context):
         "overall_denominator": checks.overall_denominator(t.susceptibility, t.first_overall),
         "grid_completeness": checks.grid_completeness(t.susceptibility, expected),
         "window_bounds": checks.window_bounds([t.first_overall, t.first_stratified], t.window),
+        "scoped_rules": checks.scoped_rules_without_pair(s.exclusions, s.pairs),
         "denominators": checks.denominators_within_population(t.susceptibility, t.observations),
     }
     return checks.summary(results)

@@ -57,6 +57,7 @@ def load_all() -> dict[str, Query]:
     from cohortgram.queries import (  # noqa: F401
         audit_queries,
         check_queries,
+        fault_queries,
         profile_queries,
         report_queries,
         source_queries,
