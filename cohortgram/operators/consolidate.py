@@ -3,17 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortgram.functions.keys import surrogate_key
 from cohortgram.functions.measures import n_rows
 from cohortgram.functions.statuses import status_of_rank, status_rank, strongest_status, tri_state
 from cohortgram.functions.windows import ReportWindow
-from cohortgram.operators.evidence import display_name, priority_label
+from cohortgram.operators.evidence import MARKER_FLAGS, display_name, priority_label
 from cohortgram.operators.vocabulary import reporting_eligible
-from cohortgram.reference import RULES, SOURCE_DESIGNATIONS, STATUS_COLUMNS
+from cohortgram.reference import MARKER_DRUGS, RULES, SOURCE_DESIGNATIONS, STATUS_COLUMNS
 
 CULTURE_COLUMNS = (
     "patient_key",
@@ -57,7 +58,8 @@ def consolidate(
     carried = [*CULTURE_COLUMNS, "organism_name"]
     if not audit_columns:
         sets, designations, carried = {MEMBERS: sets[MEMBERS]}, [], ["patient_key", "culture_time_shifted"]
-    member = F.struct(*sets.values(), *[status_rank(s).alias(s) for s in statuses], *designations)
+    markers = [F.coalesce(flag, F.lit(False)).alias(flag) for flag in MARKER_FLAGS]
+    member = F.struct(*sets.values(), *[status_rank(s).alias(s) for s in statuses], *designations, *markers)
     # The culture key first: sorts tell rows apart by the first column.
     by = sorted(keys, key=lambda k: k != "culture_key")
     members = F.col("members")
@@ -74,6 +76,7 @@ def consolidate(
             ],
             *[status_of_rank(F.array_min(members[s])).alias(s) for s in statuses],
             *[F.array_max(members[flag]).alias(flag) for flag in designations],
+            *marker_results(members),
         )
     )
     if not audit_columns:
@@ -89,9 +92,29 @@ def consolidate(
         *statuses,
         *[tri_state(r.status).alias(r.flag) for r in RULES],
         *designations,
+        *MARKER_RESULTS,
     )
 
 
+MARKER_RESULTS = ("any_susceptible_marker", "any_other_marker")
+
+
+def marker_results(members: Column) -> list[Column]:
+    """What the second reconciliation would say of the markers of a record, from the flags of its members.
+
+    A marker is susceptible if some member is and none is anything else; a missing one beside it is tolerated.
+    """
+    agreed, other = [], []
+    for drug in MARKER_DRUGS:
+        tested, susceptible, differs = (
+            F.array_max(members[f"{drug.lower()}_{flag}"]) for flag in ("tested", "susceptible", "other")
+        )
+        agreed.append(susceptible & ~differs)
+        other.append(tested & ~(susceptible & ~differs))
+    either = (reduce(lambda a, b: a | b, flags) for flags in (agreed, other))
+    return [flag.alias(name) for flag, name in zip(either, MARKER_RESULTS)]
+
+
 def flatten_union(arrays: str, name: str):
     """Aggregate: the sorted union of the arrays of a group."""
     return F.array_sort(F.array_distinct(F.flatten(F.collect_list(arrays)))).alias(name)

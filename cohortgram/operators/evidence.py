@@ -10,12 +10,14 @@ from pyspark.sql import functions as F
 
 from cohortgram.functions.measures import tally
 from cohortgram.functions.statuses import NOT_APPLICABLE, NOT_DETECTED, NOT_EVALUABLE, POSITIVE, tri_state
-from cohortgram.operators.reconcile import RESOLVED
+from cohortgram.operators.reconcile import CONFLICT, RESOLVED
 from cohortgram.reference import (
     BASE_PHENOTYPE,
     CATEGORISED,
+    MARKER_DRUGS,
     RULES,
     SOURCE_DESIGNATIONS,
+    SUSCEPTIBLE,
     Evidence,
     Rule,
     Scope,
@@ -88,7 +90,26 @@ def evidence_counts(
     relevant = endpoints.filter(F.col("antibiotic").isin(*rule_drugs(rules)) & some_scope).withColumn(
         _RESULT, F.when(judged, value).otherwise(_UNJUDGED)
     )
-    return relevant.groupBy(*keys).agg(*[c for r in rules for e in r.evidence for c in _counts(r, e)])
+    counts = [c for r in rules for e in r.evidence for c in _counts(r, e)]
+    return relevant.groupBy(*keys).agg(*counts, *marker_flags())
+
+
+MARKER_FLAGS = tuple(f"{drug.lower()}_{flag}" for drug in MARKER_DRUGS for flag in ("tested", "susceptible", "other"))
+
+
+def marker_flags() -> list[Column]:
+    """Aggregates, per marker drug: is there an endpoint, a susceptible one, one that is anything but that or missing."""
+    status, susceptible = F.col("resolution_status"), F.col("susceptibility") == SUSCEPTIBLE
+    flags = []
+    for drug in MARKER_DRUGS:
+        of = F.col("antibiotic") == drug
+        resolved = of & (status == RESOLVED)
+        flags += [
+            F.max(of),
+            F.max(F.coalesce(resolved & susceptible, F.lit(False))),
+            F.max(F.coalesce(of & (status == CONFLICT), F.lit(False)) | F.coalesce(resolved & ~susceptible, F.lit(False))),
+        ]
+    return [flag.alias(name) for flag, name in zip(flags, MARKER_FLAGS)]
 
 
 def _count(evidence: Evidence, kind: str) -> Column:

@@ -76,13 +76,18 @@ def _is_marker_decided() -> Column:
     )
 
 
-def stratified_candidates(
-    records: DataFrame, markers: DataFrame, window: ReportWindow, extra_columns: Sequence[str] = ()
-) -> DataFrame:
-    """Records that may represent a patient in one of the published categories.
+def with_markers(records: DataFrame, markers: DataFrame) -> DataFrame:
+    """Records with the marker columns of a ``marker_agreement`` table instead of their own."""
+    flags = ("any_susceptible_marker", "any_other_marker")
+    own = markers.select(F.col("reporting_source_key").alias(RECORD_KEY), *flags)
+    return records.drop(*flags).join(own, RECORD_KEY, "left")
+
+
+def stratified_candidates(records: DataFrame, window: ReportWindow, extra_columns: Sequence[str] = ()) -> DataFrame:
+    """Records that may represent a patient in one of the published categories, in one pass.
 
-    The categories exclude each other. Four of them follow from the record itself, in one pass; only the
-    few records of the fifth meet their markers, so the bulk of the records is not shuffled for it.
+    The categories exclude each other, so each record is in one of them or none. The susceptible one depends
+    on the marker columns of the records.
     """
     phenotype, group = F.col("reporting_phenotype"), F.col("organism_reporting_group")
     eligible = records.filter(window.usable("culture_time_shifted"))
@@ -92,20 +97,16 @@ def stratified_candidates(
         | ((phenotype == "vancomycin_resistant") & group.isin(E_FAECALIS, E_FAECIUM))
         | ((phenotype == "oxacillin_resistant") & (group == S_AUREUS))
     )
-    agreed = markers.filter("any_susceptible_marker and not any_other_marker").select(
-        F.col("reporting_source_key").alias(RECORD_KEY)
-    )
-    susceptible = (
-        eligible.filter(_is_marker_decided())
-        .join(agreed, RECORD_KEY, "left_semi")
-        .withColumn("reporting_phenotype", F.lit("oxacillin_susceptible"))
-    )
+    agreed = F.col("any_susceptible_marker") & ~F.col("any_other_marker")
+    category = F.when(own_category, phenotype).when(_is_marker_decided() & agreed, "oxacillin_susceptible")
     suffix = F.try_element_at(F.create_map(*[F.lit(t) for pair in REPORT_SUFFIX.items() for t in pair]), phenotype)
     columns = (RECORD_KEY, *CATEGORY_KEYS, "culture_key", "culture_time_shifted", MEMBERS, *STATUS_COLUMNS)
-    both = eligible.filter(own_category).select(*extra_columns, *columns).unionByName(
-        susceptible.select(*extra_columns, *columns)
+    return (
+        eligible.withColumn("reporting_phenotype", category)
+        .filter(phenotype.isNotNull())
+        .select(*extra_columns, *columns)
+        .withColumn("organism_name", F.concat_ws(" — ", group, suffix))
     )
-    return both.withColumn("organism_name", F.concat_ws(" — ", group, suffix))
 
 
 def first_per_category(candidates: DataFrame, extra_keys: Sequence[str] = ()) -> DataFrame:

@@ -178,11 +178,13 @@ class ReportTables:
 
     @cached_property
     def markers(self) -> DataFrame:
-        return select.marker_agreement(select.marker_endpoints(self.records, self.endpoints))
+        """Marker results of the window's records from their endpoints; ``records`` carry the same as columns."""
+        usable = self.records.filter(self.window.usable("culture_time_shifted"))
+        return select.marker_agreement(select.marker_endpoints(usable, self.endpoints))
 
     @cached_property
     def candidates(self) -> DataFrame:
-        return select.stratified_candidates(self.records, self.markers, self.window)
+        return select.stratified_candidates(self.records, self.window)
 
     @cached_property
     def first_stratified(self) -> DataFrame:

@@ -12,29 +12,42 @@ from datetime import date
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortgram.functions.windows import ReportWindow
+from cohortgram.functions.windows import WINDOW_MONTHS, ReportWindow
 from cohortgram.operators import consolidate, marts, select
 from cohortgram.plans.report import ReportTables
 
 WINDOW_KEYS = ("analysis_window_start", "analysis_window_end_exclusive")
 
 
-def in_windows(records: DataFrame, starts: Sequence[date], time: str = "culture_time_shifted") -> DataFrame:
-    """Records with each window they fall in; a record is copied as often as windows overlap on it."""
-    windows = [ReportWindow(start) for start in sorted(set(starts))]
-    hits = F.array_compact(
-        F.array(
-            *[F.when(w.covers(time), F.struct(*w.columns())) for w in windows],
-        )
-    )
-    return records.filter(F.col(time).isNotNull()).select("*", F.inline(hits))
+Starts = Sequence[date] | int
+
+
+def in_windows(records: DataFrame, starts: Starts, time: str = "culture_time_shifted") -> DataFrame:
+    """Records with each window they fall in; a record is copied as often as windows overlap on it.
+
+    ``starts`` are dates, or a number of months: then a window starts on the first day of every so many months, counted
+    from the year 0. A record finds its own windows, so the plan does not grow with their number and no range is asked of
+    the data.
+    """
+    usable = records.filter(F.col(time).isNotNull())
+    if isinstance(starts, int):
+        month = F.year(time) * 12 + F.month(time) - 1
+        last = F.floor(month / starts).cast("int")
+        first = F.floor((month - WINDOW_MONTHS) / starts).cast("int") + 1
+        index = F.filter(F.sequence(F.least(first, last), last), lambda i: i >= first)
+        own = F.transform(index, lambda i: F.make_date(F.floor(i * starts / 12).cast("int"), i * starts % 12 + 1, F.lit(1)))
+    else:
+        given = F.lit(sorted(set(starts))).cast("array<date>")
+        own = F.filter(given, lambda s: (F.col(time) >= s) & (F.col(time) < F.add_months(s, WINDOW_MONTHS)))
+    windows = usable.select("*", F.explode(own).alias(WINDOW_KEYS[0]))
+    return windows.withColumn(WINDOW_KEYS[1], F.add_months(WINDOW_KEYS[0], WINDOW_MONTHS))
 
 
-def susceptibility_by_window(tables: ReportTables, starts: Sequence[date]) -> DataFrame:
+def susceptibility_by_window(tables: ReportTables, starts: Starts) -> DataFrame:
     """The susceptibility table of every window; patients are selected anew in each."""
     whole = ReportWindow()
     records = in_windows(tables.records, starts)
-    candidates = select.stratified_candidates(records, tables.markers, whole, WINDOW_KEYS)
+    candidates = select.stratified_candidates(records, whole, WINDOW_KEYS)
     observations = consolidate.culture_observations(
         records.filter(F.col("organism_reporting_group").isin(*select.OVERALL_GROUPS)), whole, extra_keys=WINDOW_KEYS
     )
@@ -56,7 +69,7 @@ def susceptibility_by_window(tables: ReportTables, starts: Sequence[date]) -> Da
     )
 
 
-def mdro_by_window(tables: ReportTables, starts: Sequence[date]) -> DataFrame:
+def mdro_by_window(tables: ReportTables, starts: Starts) -> DataFrame:
     records = in_windows(tables.records, starts)
     return marts.mdro_mart(records, tables.seeds.groups, ReportWindow(), extra_keys=WINDOW_KEYS)
 

@@ -533,6 +533,4 @@ _TREND_KEYS = ["source_version", "cohort_id", "organism_base_name", "mdro_phenot
 )
 def mdro_trend(c: Context):
     """Yearly resistance percentages with the change from the year before."""
-    first, last = c.full.records.agg(F.year(F.min("culture_time_shifted")), F.year(F.max("culture_time_shifted"))).first()
-    years = [date(year, 1, 1) for year in range(first, last + 1)]
-    return windows.change_between_windows(windows.mdro_by_window(c.full, years), _TREND_KEYS, "phenotype_pct")
+    return windows.change_between_windows(windows.mdro_by_window(c.full, 12), _TREND_KEYS, "phenotype_pct")

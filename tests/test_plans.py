@@ -6,8 +6,8 @@ from datetime import date
 import pytest
 
 from cohortgram import ReportWindow
-from cohortgram.operators import marts
-from cohortgram.plans import ReportTables, Scratch
+from cohortgram.operators import consolidate, marts
+from cohortgram.plans import ReportTables, Scratch, windows
 from cohortgram.queries import source
 from cohortgram.sources.seeds import Seeds
 
@@ -113,13 +113,45 @@ def test_resistance_table_scans_once_and_reads_little(stored):
     assert shuffles(stored.mdro) == 2
 
 
-def test_selection_shuffles_candidates_once(stored):
-    """One shuffle for the ranking; the rest belongs to the few records that need markers."""
-    markers = shuffles(stored.markers)
-    assert shuffles(stored.first_stratified) <= markers + 2
+def test_selection_reads_the_records_once(stored):
+    """One scan and one shuffle for the ranking; marker results are columns of the records."""
+    ((pushed, _),) = scans(stored.first_stratified)
+    assert "GreaterThanOrEqual(culture_time_shifted" in pushed
+    assert shuffles(stored.first_stratified) == 1
     assert plan(stored.first_stratified).count("WindowGroupLimit") == 2
 
 
+def test_markers_stay_in_the_window(stored):
+    assert any("GreaterThanOrEqual(culture_time_shifted" in pushed for pushed, _ in scans(stored.markers))
+
+
+def test_plan_does_not_grow_with_the_windows(stored):
+    records = stored.records
+    few = windows.in_windows(records, [date(1998, month, 1) for month in (1, 2)])
+    many = windows.in_windows(records, [date(year, month, 1) for year in range(1992, 1999) for month in range(1, 13)])
+    every = windows.in_windows(records, 1)
+    assert abs(len(plan(many).splitlines()) - len(plan(few).splitlines())) <= 2
+    assert len(plan(every).splitlines()) <= len(plan(few).splitlines()) + 2
+
+
+def test_windows_every_so_many_months(stored):
+    """The same windows as by listing their starts."""
+    records = stored.records.select("reporting_culture_organism_key", "culture_time_shifted")
+    for step in (1, 3, 12):
+        starts = [date(year, month, 1) for year in range(1990, 2003) for month in range(1, 13, step)]
+        listed, found = windows.in_windows(records, starts), windows.in_windows(records, step)
+        assert listed.exceptAll(found).isEmpty() and found.exceptAll(listed).isEmpty()
+
+
+def test_markers_of_records_are_those_of_their_endpoints(spark, raw):
+    tables = ReportTables(raw, Seeds.built_in(spark), scratch=Scratch(spark))
+    key = "reporting_culture_organism_key"
+    decided = tables.markers.withColumnRenamed("reporting_source_key", key)
+    own = tables.records.select(key, *consolidate.MARKER_RESULTS)
+    both = decided.select(key, *consolidate.MARKER_RESULTS)
+    assert not both.isEmpty() and both.exceptAll(own).isEmpty()
+
+
 def test_exclusions_are_one_broadcast_anti_join(stored, spark):
     seeds = stored.seeds
     kept = marts.wildcard_exclude(marts.approved_grid(stored.selected, seeds.pairs), seeds.exclusions)
