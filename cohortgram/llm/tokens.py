@@ -17,10 +17,10 @@ from functools import lru_cache
 import numpy as np
 
 #: Pieces whose ids a worker remembers: some 200 bytes each.
-MEMO_PIECES = 400_000
+MEMO_PIECES = 700_000
 #: Outside it, or with "<|", the library splits the text itself.
-UNUSUAL = re.compile("[^\t\n\r -~¡-¬®-±´-¸º»¿-ɏ]|<\\|")
-_LETTER = "A-Za-zªµºÀ-ÖØ-öø-ʯ"  # lower case may lie beyond the range above
+UNUSUAL = re.compile("[^\t\n\r -~¡-¬®-±´-¸º»¿-ſ]|<\\|")
+_LETTER = "A-Za-zªµºÀ-ÖØ-öø-ſ"
 #: What the patterns of the two tokenizer files come to for the characters above, the commonest kind first.
 BYTE_PATTERN = (
     rf" ?[{_LETTER}]+| ?[0-9]+|'(?:s|t|re|ve|m|ll|d)| ?[^\t\n\r 0-9{_LETTER}]+|[\t\n\r ]+(?![^\t\n\r ])|[\t\n\r ]+"
