@@ -175,7 +175,8 @@ def find_blocks(docs: DataFrame, scratch: Scratch) -> DataFrame:
     """``doc_id, version, blocks``: the runs of lines to delete; ``version`` is a hash of the text."""
     known = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("version"), "text")
     lines = scratch.keep("lines", known.where("doc_id IS NOT NULL AND text IS NOT NULL").mapInArrow(_hash_lines, _LINES))
-    runs = scratch.keep("runs", lines.mapInArrow(_runs, _RUNS))
+    # Made twice from the stored lines rather than stored: they are as large as what they come from.
+    runs = lines.mapInArrow(_runs, _RUNS)
     first = runs.groupBy("run").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
     shared = first.where("first < last").select("run", "first")
     pairs = runs.join(shared, "run").where("doc_id > first").select("doc_id", "first").distinct()
@@ -191,7 +192,8 @@ def without_shared_blocks(docs: DataFrame, scratch: Scratch) -> DataFrame:
     blocks = find_blocks(docs, scratch)
     marked = docs.withColumn("_doc", F.col("doc_id").cast("long")).withColumn("_version", F.xxhash64("text"))
     found = blocks.select(F.col("doc_id").alias("_doc"), F.col("version").alias("_version"), F.col("blocks").alias("_blocks"))
-    joined = marked.join(found, ["_doc", "_version"], "left").drop("_doc", "_version")
+    # The same plan at every size: a few shared passages are no reason to send them to all tasks.
+    joined = marked.join(found.hint("merge"), ["_doc", "_version"], "left").drop("_doc", "_version")
     counts = [c for c in ("n_lines", "n_deleted") if c in docs.columns]
     schema = StructType([*docs.drop(*counts).schema.fields]).add("n_lines", "long").add("n_deleted", "long")
 
