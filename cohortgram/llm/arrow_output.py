@@ -26,15 +26,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortgram.llm.text import batches
+from cohortgram.llm.text import parts
 from cohortgram.llm.tokens import pieces
 from cohortgram.plans.storage import Scratch
 
 LENGTH = 2048
 #: Sequences in a record batch.
 ROWS = 256
-#: Documents encoded at a time.
-SLICE = 256
 
 MANIFEST = "part long, path string, docs_path string, n_tokens long, n_docs long"
 READ = "doc_id long, start long, n_tokens long, ids_crc32 long"
@@ -51,13 +49,11 @@ def write_sequences(
     def write(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
         writer = None
-        for batch in batches(rows):
+        for batch in parts(rows):
             if writer is None:
                 writer = _Writer(folder, part, kind, length)
-            ids, texts = batch.column("doc_id"), batch.column("text").to_pylist()
-            for i in range(0, len(texts), SLICE):
-                encoded = pieces(tokenizer).encode([t or "" for t in texts[i : i + SLICE]])
-                writer.add(ids.slice(i, SLICE), encoded, end_id)
+            encoded = pieces(tokenizer).encode([t or "" for t in batch.column("text").to_pylist()])
+            writer.add(batch.column("doc_id"), encoded, end_id)
         if writer is not None:
             yield writer.close()
 

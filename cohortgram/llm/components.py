@@ -18,11 +18,16 @@ def _state(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first())
 
 
-def components(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
-    """``vertex, component`` for every end of an edge (``a, b``, longs): the smallest vertex reachable."""
+def components(edges: DataFrame, scratch: Scratch, name: str, rows: int | None = None) -> DataFrame:
+    """``vertex, component`` for every end of an edge (``a, b``, longs): the smallest vertex reachable.
+
+    ``rows`` is an upper bound on the edges, if one is known.
+    """
     edges = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a > b").distinct()
-    edges = scratch.keep(f"{name}_0", edges)
+    edges = scratch.keep(f"{name}_0", edges, rows)
     state, turn = _state(edges), 0
+    # A round makes at most one edge of each.
+    rows = state[0]
     while True:
         turn += 1
         both = edges.union(edges.select("b", "a")).toDF("a", "b")
@@ -31,7 +36,7 @@ def components(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
         centre = larger.groupBy("a").agg(F.min("b").alias("m"))
         smaller = larger.join(centre, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         onto = smaller.union(centre.toDF("a", "b")).where("a <> b").distinct()
-        edges = scratch.keep(f"{name}_{turn}", onto)
+        edges = scratch.keep(f"{name}_{turn}", onto, rows)
         before, state = state, _state(edges)
         if state == before:
             break

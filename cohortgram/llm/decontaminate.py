@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructType
 
-from cohortgram.llm.text import WordHashes, alnum_words, batches, mixed, shingle_hashes
+from cohortgram.llm.text import WordHashes, alnum_words, parts, shingle_hashes
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -208,7 +208,7 @@ def with_hits(docs: DataFrame, items: list[tuple], column: str) -> DataFrame:
 
     def look(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = Benchmark(shared.value)
-        for batch in batches(rows):
+        for batch in parts(rows):
             hits = pa.array([index.hits(t) for t in batch.column("text").to_pylist()], _HIT)
             yield pa.RecordBatch.from_arrays([*batch.columns, hits], names=schema.names)
 

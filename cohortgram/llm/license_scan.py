@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortgram.llm.text import alnum_words, batches, texts_of
+from cohortgram.llm.text import alnum_words, parts, texts_of
 
 #: Rarest words of a template looked up in a file.
 RARE = 4
@@ -160,7 +160,7 @@ _SCANNED = (
 def _documents_with(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Documents of a task, and those of them that hold each word of the vocabulary."""
     seen: Counter[bytes] = Counter()
-    for batch in batches(rows):
+    for batch in parts(rows):
         for text in texts_of(batch.column("text")):
             seen.update(VOCABULARY.intersection(alnum_words(text)))
         seen[b""] += batch.num_rows
@@ -177,7 +177,7 @@ def scan(docs: DataFrame) -> DataFrame:
 
     def look(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = Index(frequencies, documents)
-        for batch in batches(rows):
+        for batch in parts(rows):
             found = list(zip(*map(index.scan, texts_of(batch.column("text")))))
             kinds = [pa.int64()] * 4 + [pa.string()] * 2 + [pa.float64()]
             columns = [pa.array(c, k) for c, k in zip(found, kinds)]

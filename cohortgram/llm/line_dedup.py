@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from cohortgram.llm.text import alnum_words, batches, mixed, texts_of
+from cohortgram.llm.text import alnum_words, mixed, parts
 from cohortgram.plans.storage import Scratch
 
 #: Words a shared block must have.
@@ -141,17 +141,15 @@ def shared_blocks(later: np.ndarray, words: np.ndarray, earlier: np.ndarray) ->
 
 
 def _hash_lines(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches(rows):
-        texts = batch.column("text").to_pylist()
-        for i in range(0, len(texts), 1024):
-            hashed = [line_hashes(lines_of(t or "")) for t in texts[i : i + 1024]]
-            columns = [pa.array([h[c].tobytes() for h in hashed], pa.binary()) for c in range(2)]
-            ids = [batch.column(c).slice(i, 1024) for c in ("doc_id", "version")]
-            yield pa.record_batch([*ids, *columns], names=["doc_id", "version", "hashes", "words"])
+    for batch in parts(rows):
+        hashed = [line_hashes(lines_of(t or "")) for t in batch.column("text").to_pylist()]
+        columns = [pa.array([h[c].tobytes() for h in hashed], pa.binary()) for c in range(2)]
+        ids = [batch.column(c) for c in ("doc_id", "version")]
+        yield pa.record_batch([*ids, *columns], names=["doc_id", "version", "hashes", "words"])
 
 
 def _runs(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches(rows):
+    for batch in parts(rows):
         stored = zip(batch.column("hashes").to_pylist(), batch.column("words").to_pylist())
         runs = [np.unique(run_hashes(np.frombuffer(h, np.uint64), np.frombuffer(w, np.uint32))) for h, w in stored]
         place = pa.array(np.repeat(np.arange(batch.num_rows), [len(r) for r in runs]))
@@ -160,7 +158,7 @@ def _runs(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _align(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches(rows):
+    for batch in parts(rows):
         out = []
         columns = [batch.column(c).to_pylist() for c in ("doc_id", "version", "hashes", "words", "earlier")]
         for doc_id, version, hashes, words, earlier in zip(*columns):
@@ -198,7 +196,7 @@ def without_shared_blocks(docs: DataFrame, scratch: Scratch) -> DataFrame:
     schema = StructType([*docs.drop(*counts).schema.fields]).add("n_lines", "long").add("n_deleted", "long")
 
     def cut(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches(rows):
+        for batch in parts(rows):
             texts, n_lines, n_deleted = [], [], []
             for text, found in zip(batch.column("text").to_pylist(), batch.column("_blocks").to_pylist()):
                 lines = lines_of(text or "")

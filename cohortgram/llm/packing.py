@@ -25,15 +25,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortgram.llm.text import batches
+from cohortgram.llm.text import parts
 from cohortgram.llm.tokens import pieces
 from cohortgram.plans.storage import Scratch
 
 WINDOW = 4096
 #: Pieces packed together; a size, not a cap: there are as many shards as the pieces need.
 SHARD = 8192
-#: Documents encoded at a time.
-SLICE = 256
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, place long"
 PACKED = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -99,20 +97,19 @@ def cut_pieces(docs: DataFrame, tokenizer: str, end_id: int, size: int = WINDOW)
 
     def cut(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place = TaskContext.get().partitionId() << 40
-        for batch in batches(rows):
-            ids, texts = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
-            for i in range(0, len(texts), SLICE):
-                out = []
-                for doc, encoded in zip(ids[i : i + SLICE], pieces(tokenizer).encode([t or "" for t in texts[i : i + SLICE]])):
-                    encoded += end
-                    total = len(encoded) // 4
-                    for start in range(0, total, size):
-                        length = min(size, total - start)
-                        checksum = zlib.crc32(encoded[4 * start : 4 * (start + length)])
-                        out.append((doc, start, length, checksum, total, place))
-                        place += 1
-                columns = [pa.array(c, pa.int64()) for c in zip(*out)]
-                yield pa.record_batch(columns, names=[c.split()[0] for c in PIECES.split(", ")])
+        for batch in parts(rows):
+            out = []
+            texts = pieces(tokenizer).encode([t or "" for t in batch.column("text").to_pylist()])
+            for doc, encoded in zip(batch.column("doc_id").to_pylist(), texts):
+                encoded += end
+                total = len(encoded) // 4
+                for start in range(0, total, size):
+                    length = min(size, total - start)
+                    checksum = zlib.crc32(encoded[4 * start : 4 * (start + length)])
+                    out.append((doc, start, length, checksum, total, place))
+                    place += 1
+            columns = [pa.array(c, pa.int64()) for c in zip(*out)]
+            yield pa.record_batch(columns, names=[c.split()[0] for c in PIECES.split(", ")])
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(cut, PIECES)
 

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from cohortgram.llm.text import batches, texts_of
+from cohortgram.llm.text import parts, texts_of
 
 PASSAGE = 64
 SAMPLE = 3000
@@ -221,7 +221,7 @@ def train(docs: DataFrame, labels: DataFrame) -> AttentionModel | Constant:
     texts = docs.select(F.col("doc_id").cast("long"), "text").join(chosen, "doc_id").dropDuplicates(["doc_id"])
 
     def encode(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches(rows):
+        for batch in parts(rows):
             found = []
             for text in texts_of(batch.column("text")):
                 x = passages(text)
@@ -239,13 +239,11 @@ def with_scores(docs: DataFrame, model: AttentionModel | Constant, column: str)
     schema = StructType([*docs.schema.fields]).add(column, "double")
 
     def score(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches(rows):
-            texts, scores = texts_of(batch.column("text")), []
-            for i in range(0, len(texts), 256):
-                bags = [passages(t) for t in texts[i : i + 256]]
-                starts = np.cumsum([0, *map(len, bags[:-1])])
-                scores.append(model.score(np.concatenate(bags), starts))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate(scores), pa.float64())], names=schema.names)
+        for batch in parts(rows):
+            bags = [passages(t) for t in texts_of(batch.column("text"))]
+            starts = np.cumsum([0, *map(len, bags[:-1])])
+            scores = pa.array(model.score(np.concatenate(bags), starts), pa.float64())
+            yield pa.RecordBatch.from_arrays([*batch.columns, scores], names=schema.names)
 
     return docs.mapInArrow(score, schema)
 

@@ -68,6 +68,8 @@ def texts_of(column: pa.Array) -> list[bytes]:
     return [t or b"" for t in binary.to_pylist()]
 
 
-def batches(rows: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Skips batches without rows."""
-    return (batch for batch in rows if batch.num_rows)
+def parts(rows: Iterable[pa.RecordBatch], size: int = 256) -> Iterator[pa.RecordBatch]:
+    """Batches cut up into at most ``size`` rows, so that what Python makes of one stays small; none is empty."""
+    for batch in rows:
+        for start in range(0, batch.num_rows, size):
+            yield batch.slice(start, size)

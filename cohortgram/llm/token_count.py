@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortgram.llm.text import batches
+from cohortgram.llm.text import parts
 from cohortgram.llm.tokens import BYTE_PATTERN, MEMO_PIECES, UNUSUAL
 
 COUNTED = "doc_id long, n_bytes long, n_tokens long"
@@ -123,7 +123,7 @@ def count_tokens(docs: DataFrame, tokenizer: str) -> DataFrame:
     """``doc_id, n_bytes, n_tokens`` of every row's whole text. One pass, no shuffle."""
 
     def count(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches(rows):
+        for batch in parts(rows):
             texts = [t or "" for t in batch.column("text").to_pylist()]
             sizes = pa.array([len(t.encode()) for t in texts], pa.int64())
             counts = pa.array(map(counter(tokenizer).count, texts), pa.int64())

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortgram.llm.text import batches
+from cohortgram.llm.text import parts
 from cohortgram.plans.storage import Scratch
 
 #: Rows of a block: the score matrix of a tile takes 8 * BLOCK * BLOCK bytes.
@@ -114,7 +114,7 @@ def search(rows: DataFrame, is_query: Column, k: int, scratch: Scratch, block: i
     tiles = grid(left, "v", n_right, "q").join(grid(right, "q", n_left, "v"), ["q", "v", "width"])
 
     def best(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for row in (r for batch in batches(found) for r in batch.to_pylist()):
+        for row in (r for one in parts(found, 1) for r in one.to_pylist()):
             ids = [np.frombuffer(row[f"{s}_ids"], "<i8") for s in "qv"]
             matrices = [np.frombuffer(row[f"{s}_matrix"], "<f8").reshape(len(i), row["width"]) for s, i in zip("qv", ids)]
             out = list(best_of_tile(matrices[0], ids[0], matrices[1], ids[1], k))

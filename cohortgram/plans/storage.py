@@ -11,6 +11,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
+#: Rows of a file of a relation of narrow rows whose size is known.
+FILE_ROWS = 1_000_000
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -39,6 +41,9 @@ class Scratch:
     def folder(self, name: str) -> str:
         return f"{self.path}/{name}"
 
-    def keep(self, name: str, frame: DataFrame) -> DataFrame:
+    def keep(self, name: str, frame: DataFrame, rows: int | None = None) -> DataFrame:
+        """Writes a relation and reads it back. ``rows``, if an upper bound is known, keeps it to few files."""
+        if rows is not None:
+            frame = frame.repartition(max(1, -(-rows // FILE_ROWS)))
         frame.write.mode("error").parquet(self.folder(name))
         return self.spark.read.schema(frame.schema).parquet(self.folder(name))

@@ -82,25 +82,46 @@ def _merge_status(column: str) -> str:
     )
 
 
-def _scope_case(rule: ref.Rule) -> str:
-    def one(scope: ref.Scope) -> str:
-        tests = []
-        if scope.standard_names:
-            tests.append(f"organism_standardized IN {in_list(scope.standard_names)}")
-        tests += [f"organism_standardized LIKE '{p}%'" for p in scope.standard_prefixes]
-        tests += [f"upper(organism_source) LIKE '{p}%'" for p in scope.label_prefixes]
-        return "coalesce(" + " OR ".join(f"coalesce({t}, false)" for t in tests) + ", false)"
-
-    return "CASE " + " ".join(f"WHEN {one(s)} THEN '{s.name}'" for s in rule.scopes) + f" END AS {rule.name}_scope"
-
-
-_RULE_ROWS = [
-    (r.name, e.name, scope, drug, int(r.needed is not None))
-    for r in ref.RULES
-    for e in r.evidence
-    for scope, drugs in e.drugs.items()
-    for drug in drugs
-]
+# Fixed values, written out here as well so that a wrong rule shows: what each rule applies to, and its drugs.
+_SCOPES = """
+    CASE WHEN organism_standardized = 'Morganella morganii' OR organism_standardized LIKE 'Proteus %'
+        OR upper(organism_source) LIKE 'MORGANELLA MORGANII%' OR upper(organism_source) LIKE 'PROTEUS %'
+      THEN 'proteus_morganella'
+      WHEN organism_standardized IN ('Escherichia coli', 'Serratia marcescens')
+        OR regexp_matches(organism_standardized, '^(Citrobacter|Enterobacter|Klebsiella) ')
+        OR regexp_matches(upper(organism_source), '^(CITROBACTER |ZZZCITROBACTER |ENTEROBACTER |ESCHERICHIA COLI|KLEBSIELLA |SERRATIA MARCESCENS)')
+      THEN 'standard' END AS cre_scope,
+    CASE WHEN organism_standardized = 'Pseudomonas aeruginosa' THEN 'eligible' END AS mdr_scope,
+    CASE WHEN organism_standardized = 'Staphylococcus aureus' THEN 'eligible' END AS oxacillin_scope,
+    CASE WHEN organism_standardized IN ('Enterococcus faecalis', 'Enterococcus faecium') THEN 'eligible' END AS vre_scope,
+    CASE WHEN organism_standardized IN ('Escherichia coli', 'Klebsiella aerogenes', 'Klebsiella oxytoca',
+        'Klebsiella pneumoniae') OR organism_standardized LIKE 'Enterobacter %'
+        OR regexp_matches(upper(organism_source), '^(ESCHERICHIA COLI|KLEBSIELLA AEROGENES|KLEBSIELLA OXYTOCA|KLEBSIELLA PNEUMONIAE|ENTEROBACTER )')
+      THEN 'eligible' END AS esce_scope"""
+_RULE_DRUGS = (
+    ("cre", "cre", "standard", 0, "Ertapenem, Imipenem, Meropenem, Meropenem/Vaborbactam, Imipenem/Relebactam"),
+    ("cre", "cre", "proteus_morganella", 0, "Ertapenem, Meropenem, Meropenem/Vaborbactam"),
+    ("mdr", "mdr_es_ceph", "eligible", 1, "Cefepime, Ceftazidime, Ceftazidime/Avibactam, Ceftolozane/Tazobactam"),
+    ("mdr", "mdr_fq", "eligible", 1, "Ciprofloxacin, Levofloxacin"),
+    ("mdr", "mdr_aminoglycoside", "eligible", 1, "Tobramycin"),
+    ("mdr", "mdr_carbapenem", "eligible", 1, "Imipenem, Meropenem, Imipenem/Relebactam"),
+    ("mdr", "mdr_piptazo", "eligible", 1, "Piperacillin/Tazobactam"),
+    ("mdr", "mdr_cefiderocol", "eligible", 1, "Cefiderocol"),
+    ("oxacillin", "oxacillin", "eligible", 0, "Oxacillin, Cefoxitin"),
+    ("vre", "vre", "eligible", 0, "Vancomycin"),
+    (
+        "esce",
+        "esce",
+        "eligible",
+        0,
+        "Cefepime, Ceftriaxone, Cefotaxime, Ceftazidime, Ceftazidime/Avibactam, Ceftolozane/Tazobactam",
+    ),
+)
+_RULE_ROWS = [(r, c, scope, drug, i) for r, c, scope, i, drugs in _RULE_DRUGS for drug in drugs.split(", ")]
+_GRAM = """SELECT DISTINCT organism_reporting_group, CASE WHEN organism_reporting_group LIKE 'Enterococcus %'
+    OR organism_reporting_group LIKE 'Staphylococcus %' OR organism_reporting_group LIKE 'Streptococcus %'
+    OR organism_reporting_group LIKE 'Coagulase-negative %' THEN 'gram_positive' ELSE 'gram_negative' END AS gram_stain_group
+  FROM labels"""
 _SINGLE = [r for r in ref.RULES if r.needed is None]
 
 
@@ -176,7 +197,7 @@ RELATIONS = {
         "include_primary_summary, mapping_status",
         [row[:6] for row in ref.label_rows()],
     ),
-    "groups": values("organism_reporting_group, gram_stain_group", ref.group_rows()),
+    "groups": _GRAM,
     "pairs": values(", ".join(ref.PAIR_COLUMNS), ref.pair_rows()),
     "active": """SELECT organism_reporting_group, cohort_id, antibiotic, pair_order FROM pairs
   WHERE include_primary_dashboard = 1 AND review_status = 'reviewed'""",
@@ -319,7 +340,7 @@ RELATIONS = {
   WHERE c.culture_description IN ('BLOOD', 'URINE', 'RESPIRATORY')""",
     "mapped": """
   SELECT r.* EXCLUDE (organism), d.* FROM cohort_record r JOIN dimension d ON r.organism = d.organism_source""",
-    "scoped": "\n  SELECT *, " + ",\n    ".join(_scope_case(r) for r in ref.RULES) + "\n  FROM mapped",
+    "scoped": f"\n  SELECT *, {_SCOPES}\n  FROM mapped",
     "evidence": """
   SELECT s.culture_organism_key, r.category,
     count(*) FILTER (WHERE judged AND (e.susceptibility = 'Resistant'
