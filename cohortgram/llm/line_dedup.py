@@ -10,8 +10,8 @@ however many documents share a passage. No run is too frequent to count.
 
 The line hashes of a pair are aligned by patience diff: lines unique in both documents, in their longest common
 order, are anchors; equal lines beside anchors join them; the gaps between are aligned in turn. Aligned
-blocks are deleted from the later document, and what is left of it is aligned again until nothing is found, which
-takes blocks that stand in another order.
+blocks are deleted from the later document. An alignment passes over blocks that stand in another order or
+more than once, so every run of MIN_WORDS words of the later document that the earlier one has anywhere goes too.
 
 Documents are ordered by ``doc_id``. A null or empty text has no lines. Rows with a null ``doc_id`` are left as
 they are, and delete nothing. Rows with equal ids do not delete from each other. Other columns are kept; no rows
@@ -58,13 +58,20 @@ def line_hashes(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return hashes, np.array([len(w) for w in words], np.uint32)
 
 
-def run_hashes(hashes: np.ndarray, words: np.ndarray) -> np.ndarray:
-    """A hash per line of the shortest run from it that has MIN_WORDS words; none where the text ends before."""
-    n = len(hashes)
+def shortest_runs(words: np.ndarray, sizes: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the shortest runs of MIN_WORDS words from each line; none where its document ends before.
+
+    ``sizes`` are the lines of the documents that ``words`` has one after the other.
+    """
     total = np.concatenate([[0], np.cumsum(words, dtype=np.int64)])
     ends = np.searchsorted(total, total[:-1] + MIN_WORDS, "left")
-    starts = np.flatnonzero((ends <= n) & (words > 0))
-    ends = ends[starts]
+    starts = np.flatnonzero(ends <= np.repeat(np.cumsum(sizes), sizes))
+    return starts, ends[starts]
+
+
+def run_hashes(hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A hash of each run of lines, the same wherever it stands."""
+    n = len(hashes)
     with np.errstate(over="ignore"):
         powers = np.cumprod(np.full(n, _BASE, np.uint64))
         back = np.cumprod(np.full(n, _INVERSE, np.uint64))
@@ -122,22 +129,35 @@ def patience(a: list, b: list) -> list[tuple[int, int]]:
 
 def shared_blocks(later: np.ndarray, words: np.ndarray, earlier: np.ndarray) -> list[tuple[int, int]]:
     """Runs ``[from, to)`` of the later document to delete."""
-    a, b = later.tolist(), earlier.tolist()
-    found = []
-    while True:
-        blocks: list[list[int]] = []
-        for i, j in patience(a, b):
-            if blocks and blocks[-1][1] == i and blocks[-1][2] == j:
-                blocks[-1][1:] = i + 1, j + 1
-            else:
-                blocks.append([i, i + 1, j + 1])
-        new = [(x, y) for x, y, _ in blocks if words[x:y].sum() >= MIN_WORDS]
-        if not new:
-            return found
-        found += new
-        for x, y in new:
-            # Equal to no line of the other side, nor to each other.
-            a[x:y] = [-1 - i for i in range(x, y)]
+    blocks: list[list[int]] = []
+    for i, j in patience(later.tolist(), earlier.tolist()):
+        if blocks and blocks[-1][1] == i and blocks[-1][2] == j:
+            blocks[-1][1:] = i + 1, j + 1
+        else:
+            blocks.append([i, i + 1, j + 1])
+    gone = np.zeros(len(later), bool)
+    for x, y, _ in blocks:
+        if words[x:y].sum() >= MIN_WORDS:
+            gone[x:y] = True
+    if not gone.all():
+        # What no one alignment can hold: blocks in another order, and all copies of one.
+        for x, y in _shared_runs(later, words, earlier):
+            gone[x:y] = True
+    edges = np.flatnonzero(np.diff(gone.astype(np.int8), prepend=0, append=0))
+    return list(zip(edges[::2].tolist(), edges[1::2].tolist()))
+
+
+def _shared_runs(later: np.ndarray, words: np.ndarray, earlier: np.ndarray) -> list[tuple[int, int]]:
+    """The shortest runs of the later document that stand anywhere in the earlier one."""
+    lines, first = np.unique(later, return_index=True)
+    at = np.minimum(np.searchsorted(lines, earlier), len(lines) - 1)
+    # Equal lines have equal words; a line the later document lacks is in no shared run, whatever its words.
+    there = np.where(lines[at] == earlier, words[first[at]], np.uint32(0))
+    starts, ends = shortest_runs(np.concatenate([words, there]), [len(later), len(earlier)])
+    runs = run_hashes(np.concatenate([later, earlier]), starts, ends)
+    own = starts < len(later)
+    shared = np.isin(runs[own], runs[~own])
+    return list(zip(starts[own][shared].tolist(), ends[own][shared].tolist()))
 
 
 def _hash_lines(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -150,11 +170,18 @@ def _hash_lines(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _runs(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in parts(rows):
-        stored = zip(batch.column("hashes").to_pylist(), batch.column("words").to_pylist())
-        runs = [np.unique(run_hashes(np.frombuffer(h, np.uint64), np.frombuffer(w, np.uint32))) for h, w in stored]
-        place = pa.array(np.repeat(np.arange(batch.num_rows), [len(r) for r in runs]))
-        doc = batch.column("doc_id").take(place)
-        yield pa.record_batch([pa.array(np.concatenate(runs).view(np.int64)), doc], names=["run", "doc_id"])
+        hashes, words = (batch.column(c).to_pylist() for c in ("hashes", "words"))
+        sizes = [len(h) // 8 for h in hashes]
+        starts, ends = shortest_runs(np.frombuffer(b"".join(words), np.uint32), sizes)
+        runs = run_hashes(np.frombuffer(b"".join(hashes), np.uint64), starts, ends)
+        place = np.repeat(np.arange(batch.num_rows), sizes)[starts]
+        order = np.lexsort((runs, place))
+        runs, place = runs[order], place[order]
+        # Each run once a document.
+        new = np.ones(len(runs), bool)
+        new[1:] = (runs[1:] != runs[:-1]) | (place[1:] != place[:-1])
+        doc = batch.column("doc_id").take(pa.array(place[new]))
+        yield pa.record_batch([pa.array(runs[new].view(np.int64)), doc], names=["run", "doc_id"])
 
 
 def _align(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -100,3 +100,24 @@ def test_null_ids_repeated_rows_and_clashing_names(docs, scratch, prose):
 
 def test_no_rows(docs, scratch):
     assert line_dedup.without_shared_blocks(docs([]), scratch).count() == 0
+
+
+def deleted(docs, scratch, *texts):
+    """The lines that go from the last of the texts."""
+    found = line_dedup.without_shared_blocks(docs(list(enumerate(texts))), scratch).collect()
+    row = next(r for r in found if r.doc_id == len(texts) - 1)
+    lines, kept = line_dedup.lines_of(texts[-1]), line_dedup.lines_of(row.text)
+    assert row.n_deleted == len(lines) - len(kept)
+    return [line.strip() for line in lines if line not in kept]
+
+
+def lines(name, *sizes):
+    return [" ".join(f"{name}{i}w{k}" for k in range(n)) + "." for i, n in enumerate(sizes)]
+
+
+@pytest.mark.parametrize("copies", [1, 2])
+def test_all_copies_of_a_passage_go(docs, scratch, copies):
+    passage, own = lines("p", 3, 10, 12, 24), lines("o", *[5] * 8)
+    later = [own[0], *passage, own[1], *passage, own[2], *passage, own[3]]
+    earlier = [own[4], *(passage + own[5:6]) * copies, own[6]]
+    assert deleted(docs, scratch, " ".join(earlier), " ".join(later)) == passage * 3
