@@ -121,3 +121,12 @@ def test_all_copies_of_a_passage_go(docs, scratch, copies):
     later = [own[0], *passage, own[1], *passage, own[2], *passage, own[3]]
     earlier = [own[4], *(passage + own[5:6]) * copies, own[6]]
     assert deleted(docs, scratch, " ".join(earlier), " ".join(later)) == passage * 3
+
+
+def test_a_passage_in_another_order_than_short_common_lines_goes(docs, scratch):
+    passage, common = lines("p", 15, 15, 15, 15), lines("s", 4, 4, 4, 4, 4)
+    x, y = lines("x", *[5] * 5), lines("y", *[5] * 6)
+    earlier = [*passage, *(line for pair in zip(x, common) for line in pair)]
+    later = [*(line for pair in zip(common, y) for line in pair), y[5], *passage]
+    # Lines on both sides keep the passage from being a common prefix or suffix.
+    assert deleted(docs, scratch, " ".join(["Before it.", *earlier]), " ".join([*later, "After it."])) == passage
