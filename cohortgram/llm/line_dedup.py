@@ -3,9 +3,9 @@
 A text is cut after line breaks and sentence ends; the cuts are called lines here. Two lines are equal if their
 words are. A block is a run of equal lines in both documents of ``MIN_WORDS`` words or more.
 
-Candidates come from rare line hashes: for each line the hash of the shortest run that starts there and
-has MIN_WORDS words. One line may be common, such a run is not, unless its text is repeated. Every block holds
-one. Each hash pairs the documents that have it with the first of them alone, so pairs are never more than lines,
+Candidates come from rare line hashes: for each line the hashes of the shortest runs of MIN_WORDS words that start
+and that end there. One line may be common, such a run is not, unless its text is repeated. Every line of a block
+lies in one that the block holds. Each hash pairs the documents that have it with the first of them alone, so pairs are never more than lines,
 however many documents share a passage. No run is too frequent to count.
 
 The line hashes of a pair are aligned by patience diff: lines unique in both documents, in their longest common
@@ -59,14 +59,17 @@ def line_hashes(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def shortest_runs(words: np.ndarray, sizes: list[int]) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and ends of the shortest runs of MIN_WORDS words from each line; none where its document ends before.
+    """Starts and ends of the shortest runs of MIN_WORDS words from each line and up to each.
 
-    ``sizes`` are the lines of the documents that ``words`` has one after the other.
+    ``sizes`` are the lines of the documents that ``words`` has one after the other; no run leaves its document.
     """
     total = np.concatenate([[0], np.cumsum(words, dtype=np.int64)])
+    bounds = np.concatenate([[0], np.cumsum(sizes)])
     ends = np.searchsorted(total, total[:-1] + MIN_WORDS, "left")
-    starts = np.flatnonzero(ends <= np.repeat(np.cumsum(sizes), sizes))
-    return starts, ends[starts]
+    starts = np.searchsorted(total, total[1:] - MIN_WORDS, "right") - 1
+    begun = np.flatnonzero(ends <= np.repeat(bounds[1:], sizes))
+    ended = np.flatnonzero(starts >= np.repeat(bounds[:-1], sizes))
+    return np.concatenate([begun, starts[ended]]), np.concatenate([ends[begun], ended + 1])
 
 
 def run_hashes(hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:

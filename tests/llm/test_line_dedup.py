@@ -130,3 +130,44 @@ def test_a_passage_in_another_order_than_short_common_lines_goes(docs, scratch):
     later = [*(line for pair in zip(common, y) for line in pair), y[5], *passage]
     # Lines on both sides keep the passage from being a common prefix or suffix.
     assert deleted(docs, scratch, " ".join(["Before it.", *earlier]), " ".join([*later, "After it."])) == passage
+
+
+def in_common_blocks(texts):
+    """Per text its lines in any block of enough words that an earlier text has, over all places of both."""
+    hashed = [line_dedup.line_hashes(line_dedup.lines_of(t)) for t in texts]
+    out = []
+    for d, (a, words) in enumerate(hashed):
+        gone = set()
+        for b, _ in hashed[:d]:
+            for i in range(len(a)):
+                for j in range(len(b)):
+                    k = 0
+                    while i + k < len(a) and j + k < len(b) and a[i + k] == b[j + k]:
+                        k += 1
+                    if words[i : i + k].sum() >= line_dedup.MIN_WORDS:
+                        gone |= set(range(i, i + k))
+        out.append(gone)
+    return out
+
+
+def test_a_block_longer_than_the_first_holder_has(docs, scratch):
+    block, own = lines("p", 8, 8, 8, 3), lines("o", *[5] * 6)
+    texts = [[own[0], *block[:3], own[1]], [own[2], *block, own[3]], [own[4], *block, own[5]]]
+    assert deleted(docs, scratch, *map(" ".join, texts)) == block
+
+
+def test_agrees_with_all_common_blocks(docs, scratch):
+    choose = random.Random(10)
+    pool = [*lines("p", *[choose.randint(1, 14) for _ in range(12)]), "...\n", lines("q", 25)[0]]
+    texts = []
+    for _ in range(40):
+        parts = []
+        for _ in range(choose.randint(0, 4)):
+            at = choose.randrange(len(pool))
+            parts += [*pool[at : at + choose.randint(1, 6)], choose.choice(pool), f"own{choose.random()} line."]
+        texts.append(" ".join(parts))
+    expected = in_common_blocks(texts)
+    for row in line_dedup.without_shared_blocks(docs(list(enumerate(texts))), scratch).collect():
+        kept = [line for i, line in enumerate(line_dedup.lines_of(texts[row.doc_id])) if i not in expected[row.doc_id]]
+        assert row.text == "".join(kept) and row.n_deleted == len(expected[row.doc_id])
+    assert sum(map(bool, expected)) > 10
