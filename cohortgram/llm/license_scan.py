@@ -2,10 +2,11 @@
 
 Templates are short license notices, each with key phrases that must stand in a file. The index maps every
 template word to its places. Words are weighed by their inverse document frequency over the whole table, counted in
-a pass of its own. In a file, the rarest words it has of each template are looked up; a posting at template
-place p seen at file place f votes for the template starting at f - p. Where the votes of one start intersect,
-the template is laid over the file, its key phrases are checked word for word, and the share of its weight that
-stands in place is its similarity.
+a pass of its own. In a file, the rarest words it has of each template are looked up, and the rarest of its first
+key phrase; a posting at template place p seen at file place f votes for the template starting at f - p. Starts are
+tried in falling order of votes until one passes: the template is laid over the file, its key phrases are
+checked word for word and in order, and the share of its weight that stands in place is its similarity. Between key
+phrases the file may have up to ``INSERTED`` words more than the template; what follows is laid over from there.
 
 The base phrases are templates of one phrase that is its own key: every place of a phrase holds its rarest
 word, so intersecting the postings of all its words around each place of that word finds every place.
@@ -17,6 +18,7 @@ A null or empty text has no words, no labels and score 0. Rows are returned one
 from __future__ import annotations
 
 import math
+from bisect import bisect_left
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -31,6 +33,8 @@ from cohortgram.llm.text import alnum_words, parts, texts_of
 RARE = 4
 #: Places by which a file's words may be shifted against the template between two of its rare words.
 SLACK = 3
+#: Words a file may have between two key phrases beyond those of the template.
+INSERTED = 16
 #: Share of a template's weight that must stand in place.
 SIMILAR = 0.6
 
@@ -42,10 +46,18 @@ NOTICES = (
     ("mit", "licensed under the mit license", ("mit license",)),
     ("apache-2", "licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license", ("apache license",)),
     ("gpl-3", "this work is licensed under the gnu general public license version 3", ("gnu general public license", "version 3")),
+    ("gpl-3", "under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version", ("gnu general public license", "version 3 of the license")),
+    ("gpl-3", "under the terms of the gnu general public license version 3 as published by the free software foundation", ("gnu general public license", "version 3")),
+    ("gpl-3", "licensed under version 3 of the gnu general public license", ("version 3", "gnu general public license")),
     ("gpl-3", "either version 3 of the license or at your option any later version gnu general public license", ("version 3 of the license", "gnu general public license")),
     ("gpl-2", "licensed under the gnu general public license version 2", ("gnu general public license", "version 2")),
+    ("gpl-2", "under the terms of the gnu general public license as published by the free software foundation either version 2 of the license or at your option any later version", ("gnu general public license", "version 2 of the license")),
+    ("gpl-2", "under the terms of the gnu general public license version 2 as published by the free software foundation", ("gnu general public license", "version 2")),
+    ("gpl-2", "licensed under version 2 of the gnu general public license", ("version 2", "gnu general public license")),
     ("lgpl", "licensed under the gnu lesser general public license", ("lesser general public license",)),
+    ("lgpl", "under the terms of the gnu lesser general public license as published by the free software foundation", ("lesser general public license",)),
     ("agpl-3", "licensed under the gnu affero general public license version 3", ("affero general public license",)),
+    ("agpl-3", "under the terms of the gnu affero general public license as published by the free software foundation either version 3 of the license", ("affero general public license", "version 3 of the license")),
     ("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met", ("redistribution and use in source and binary forms",)),
     ("bsd", "use of this source code is governed by a bsd style license", ("bsd style license",)),
     ("mpl-2", "this source code form is subject to the terms of the mozilla public license v 2 0", ("mozilla public license",)),
@@ -65,12 +77,22 @@ class Template:
     words: tuple[bytes, ...]
     keys: tuple[tuple[bytes, ...], ...]
 
+    def places(self) -> list[int]:
+        """Where its key phrases start, in order."""
+        found, at = [], 0
+        for key in self.keys:
+            at = next(i for i in range(at, len(self.words)) if self.words[i : i + len(key)] == key)
+            found.append(at)
+            at += len(key)
+        return found
+
 
 def _words(text: str) -> tuple[bytes, ...]:
     return tuple(alnum_words(text.encode()))
 
 
 TEMPLATES = tuple(Template(label, _words(notice), tuple(map(_words, keys))) for label, notice, keys in NOTICES)
+KEYS = frozenset(key for t in TEMPLATES for key in t.keys)
 PHRASES = {_words(phrase): label for phrase, label in BASE.items()}
 VOCABULARY = frozenset(w for t in TEMPLATES for w in t.words) | frozenset(w for p in PHRASES for w in p)
 
@@ -84,55 +106,74 @@ class Index:
         for number, template in enumerate(TEMPLATES):
             for place, word in enumerate(template.words):
                 self.postings[word].append((number, place))
-        self.anchors = {phrase: max(range(len(phrase)), key=lambda i: self.weight[phrase[i]]) for phrase in PHRASES}
+        self.anchors = {p: max(range(len(p)), key=lambda i: self.weight[p[i]]) for p in (*PHRASES, *KEYS)}
+        self.key_places = [t.places() for t in TEMPLATES]
         self.total = [sum(self.weight[w] for w in t.words) for t in TEMPLATES]
         # A match needs a key phrase, so its rarest word at least.
-        self.entry = frozenset(
-            max(key, key=self.weight.__getitem__) for t in TEMPLATES for key in t.keys
-        ) | frozenset(p[self.anchors[p]] for p in PHRASES)
+        self.entry = frozenset(p[self.anchors[p]] for p in (*PHRASES, *KEYS))
+
+    def starts(self, phrase: tuple[bytes, ...], places: dict[bytes, list[int]]) -> list[int]:
+        """Every place of a phrase, ascending."""
+        anchor = self.anchors[phrase]
+        found = {at - anchor for at in places.get(phrase[anchor], ())}
+        for shift, word in enumerate(phrase):
+            if not found:
+                break
+            found &= {at - shift for at in places.get(word, ())}
+        return sorted(found)
 
-    def base(self, words: list[bytes], places: dict[bytes, list[int]]) -> list[tuple[int, str]]:
+    def base(self, places: dict[bytes, list[int]]) -> list[tuple[int, str]]:
         """Start and label of every place of a base phrase."""
-        found = []
-        for phrase, label in PHRASES.items():
-            anchor = self.anchors[phrase]
-            starts = {at - anchor for at in places.get(phrase[anchor], ())}
-            for shift, word in enumerate(phrase):
-                starts &= {at - shift for at in places.get(word, ())}
-            found += [(start, label) for start in starts]
-        return sorted(found)
+        return sorted((start, label) for phrase, label in PHRASES.items() for start in self.starts(phrase, places))
 
     def notices(self, words: list[bytes], places: dict[bytes, list[int]]) -> dict[str, float]:
         """The best similarity by label."""
         best: dict[str, float] = {}
+        keys = {key: self.starts(key, places) for key in KEYS}
         for number, template in enumerate(TEMPLATES):
-            rare = sorted({w for w in template.words if w in places}, key=lambda w: (-self.weight[w], w))[:RARE]
+            if not all(keys[key] for key in template.keys):
+                continue
+            known = {w for w in template.words if w in places}
+            rare = {*sorted(known, key=lambda w: (-self.weight[w], w))[:RARE], template.keys[0][self.anchors[template.keys[0]]]}
             votes: Counter[int] = Counter()
             for word in rare:
                 starts = {at - p for n, p in self.postings[word] if n == number for at in places[word]}
                 votes.update(starts)
-            if not votes:
-                continue
-            most = max(votes.values())
-            for start in (s for s, n in votes.items() if n == most):
-                score = self._laid_over(template, self.total[number], words, start)
-                if score > best.get(template.label, 0.0):
-                    best[template.label] = score
-        return {label: score for label, score in best.items() if score >= SIMILAR}
-
-    def _laid_over(self, template: Template, total: float, words: list[bytes], start: int) -> float:
-        near = words[max(0, start - SLACK) : max(0, start) + len(template.words) + SLACK]
-        text = b" " + b" ".join(near) + b" "
-        if not all(b" " + b" ".join(key) + b" " in text for key in template.keys):
-            return 0.0
+            passed, least = 0.0, 0
+            for start, n in votes.most_common():
+                # Those with as many votes as the one that passed are its equals.
+                if n < least:
+                    break
+                score = self._laid_over(number, words, start, keys)
+                if score >= SIMILAR:
+                    passed, least = max(passed, score), n
+            if passed > best.get(template.label, 0.0):
+                best[template.label] = passed
+        return best
+
+    def _laid_over(self, number: int, words: list[bytes], start: int, keys: dict[tuple[bytes, ...], list[int]]) -> float:
+        template, shifts = TEMPLATES[number], []
+        shift, more, end = start, SLACK, 0
+        for key, place in zip(template.keys, self.key_places[number]):
+            least = max(shift + place - SLACK, end)
+            found = keys[key]
+            k = bisect_left(found, least)
+            if k == len(found) or found[k] > shift + place + more:
+                return 0.0
+            # In place, if the phrase stands there as well.
+            exact = bisect_left(found, shift + place)
+            at = found[exact] if exact < len(found) and found[exact] == shift + place >= least else found[k]
+            shifts += [shift] * (place - len(shifts))
+            shift, more, end = at - place, SLACK + INSERTED, at + len(key)
+        shifts += [shift] * (len(template.words) - len(shifts))
         share = 0.0
-        for place, word in enumerate(template.words):
-            at = start + place
+        for place, (word, shift) in enumerate(zip(template.words, shifts)):
+            at = shift + place
             if 0 <= at < len(words) and words[at] == word:
                 share += self.weight[word]
             elif word in words[max(0, at - SLACK) : max(0, at + SLACK + 1)]:
                 share += self.weight[word] / 2
-        return min(1.0, share / total)
+        return min(1.0, share / self.total[number])
 
     def scan(self, text: bytes) -> tuple:
         words = alnum_words(text)
@@ -143,7 +184,7 @@ class Index:
         for at, word in enumerate(words):
             if word in VOCABULARY:
                 places[word].append(at)
-        base, notices = self.base(words, places), self.notices(words, places)
+        base, notices = self.base(places), self.notices(words, places)
         for label in {label for _, label in base}:
             notices[label] = 1.0
         labels = ",".join(sorted({label for _, label in base}))

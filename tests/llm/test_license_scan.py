@@ -64,3 +64,36 @@ def test_repeated_rows_clashing_names_and_no_rows(docs):
     found = license_scan.scan(frame).collect()
     assert sorted((r.doc_id or 0, r.labels) for r in found) == [(0, ""), (1, "cc-by-nc"), (1, "cc-by-nc")]
     assert license_scan.scan(docs([])).count() == 0
+
+
+GNU = (
+    "This program is free software: you can redistribute it and/or modify it under the terms of the GNU {}General Public "
+    "License as published by the Free Software Foundation, either version {} of the License, or (at your option) any later version."
+)
+
+
+@pytest.mark.parametrize(
+    "text, labels",
+    [
+        (GNU.format("", "3"), "gpl-3"),
+        (GNU.format("", "2"), "gpl-2"),
+        (GNU.format("Lesser ", "2.1"), "lgpl"),
+        (GNU.format("Affero ", "3"), "agpl-3"),
+        (GNU.format("", "3").replace("Foundation,", "Foundation, which is found in the town of Boston in the United States,"), "gpl-3"),
+        ("under the terms of the GNU General Public License version 2 as published by the Free Software Foundation.", "gpl-2"),
+        ("It is licensed under version 3 of the GNU General Public License.", "gpl-3"),
+        ("GNU General Public License " + "word " * 40 + "version 3 of the License", ""),
+    ],
+)
+def test_gnu_notices(docs, text, labels):
+    row = license_scan.scan(docs([(1, "word " * 300 + text), (2, "nothing of it")])).where("doc_id = 1").first()
+    assert row.labels == labels
+
+
+def test_a_start_with_fewer_votes_passes_where_the_first_does_not():
+    notice = "redistribution and use {} source and binary forms with or without {} are permitted provided that the following conditions are met"
+    common = {*notice.split(), "in"} - {"redistribution", "binary", "forms"}
+    index = license_scan.Index({w.encode(): 90 for w in common}, 100)
+    # The first has all rare words in place, but no key phrase; the second has the key phrase and one rare word less.
+    text = f"{notice.format('of', 'modification')} {'word ' * 40}{notice.format('in', 'changes')}"
+    assert index.scan(text.encode())[5] == "bsd"
