@@ -15,7 +15,7 @@ The benchmark is read in chunks of at most ``CHUNK_WORDS`` words (one item if it
 each chunk is one pass over the documents, without a shuffle. The documents are never collected.
 
 Words are runs of letters and digits, lower-cased. An item or text with fewer words than a shingle has one shingle, its whole sequence; without words it
-matches nothing. Null texts and items are empty. Texts shorter than an item have no window of it. Repeated items are each reported, repeated rows too.
+matches nothing. Null texts and items are empty. A text shorter than an item is its one window of it. Repeated items are each reported, repeated rows too.
 Rows with null ids are reported with null ids.
 """
 
@@ -164,10 +164,12 @@ class Benchmark:
         bits = np.unpackbits(shingles.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).astype(np.int8) * 2 - 1
         sums = np.concatenate([np.zeros((1, BITS), np.int32), np.cumsum(bits, axis=0, dtype=np.int32)])
         for n in np.unique(sizes).tolist():
-            members, count = self.items[n], n - SHINGLE + 1
-            last = len(shingles) - count
-            if count < 1 or last < 0:
+            members, whole = self.items[n], n - SHINGLE + 1
+            # A text shorter than the item is its one window; with too few shingles it cannot be similar enough.
+            count = min(whole, len(shingles))
+            if whole < 1 or count < THRESHOLD * whole:
                 continue
+            last = len(shingles) - count
             # Windows that hold a known shingle.
             here = seen[sizes == n]
             change = np.zeros(last + 2, np.int32)
@@ -179,7 +181,7 @@ class Benchmark:
                 item_id, own = members[item]
                 score = similarity(shingles[start : start + count], own)
                 if score >= THRESHOLD and score > best.get((n, item), {"similarity": 0.0})["similarity"]:
-                    best[n, item] = {"item_id": item_id, "start": start, "n_words": n, "similarity": score}
+                    best[n, item] = {"item_id": item_id, "start": start, "n_words": count + SHINGLE - 1, "similarity": score}
 
 
 def mixed_windows(words: np.ndarray, n: int) -> np.ndarray:

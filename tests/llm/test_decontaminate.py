@@ -93,3 +93,31 @@ def test_every_fingerprint_within_the_radius_is_found():
         near = index.near(prints ^ np.array(masks, np.uint64)).tolist()
         hits = {i for i, item in near if i == item}
         assert hits == (set(range(50)) if flips <= decontaminate.RADIUS else set())
+
+
+def test_items_with_words_taken_out_and_nothing_around_them(docs, items):
+    choose = random.Random(6)
+    rows = []
+    for _, item in items[:8]:
+        of = item.split()
+        rows += [" ".join(of[:-n]) for n in (1, 2, 6)] + [" ".join(of[1:]), " ".join(of[3:-3])]
+        for taken in (1, 2):
+            gone = set(choose.sample(range(len(of)), taken))
+            rows.append(" ".join(w for i, w in enumerate(of) if i not in gone))
+    expected = {}
+    for d, text in enumerate(rows):
+        of = words(text)
+        for item_id, item in items:
+            own = words(item)
+            if not of or not own:
+                continue
+            n = min(len(of), len(own))
+            wanted = Counter(shingles(own))
+            windows = [Counter(shingles(of[i : i + n])) for i in range(len(of) - n + 1)]
+            score = max(sum((w & wanted).values()) / sum((w | wanted).values()) for w in windows)
+            if score >= decontaminate.THRESHOLD:
+                expected[d, item_id] = round(score, 9)
+    got = decontaminate.contaminated(docs(list(enumerate(rows))), docs(items, "item_id long, text string"))
+    assert found(got) == expected and len(expected) > 15
+    assert all(r.start == 0 and r.n_words == len(words(rows[r.doc_id])) for r in got.collect())
+    assert not decontaminate.clean(docs([(1, rows[-7])]), docs(items, "item_id long, text string")).count()
