@@ -3,14 +3,17 @@
 Pages of one host are made from one template. Their trees are aligned by simple tree matching: two nodes match if
 their tags and classes do, and the children of a match are matched in order by dynamic programming for the most
 matching nodes. A run of alike siblings counts as one repeated node, so the work depends on the shape of a page
-and not on the length of its lists. A wrapper is the tree the pages of a group have been aligned to, with the texts seen at each node:
-a node whose text is the same on ``CONSTANT`` of at least ``SUPPORT`` different pages is template, the others are
+and not on the length of its lists; wide lists are matched in a band. A wrapper is the tree the pages of a group have been aligned to; it
+takes in the nodes it lacks. Below each node of it, children of one kind are aligned by text as well: a text that ``CONSTANT`` of the pages
+with such a child have there is template, the others are
 slots. Slots are content where they are not part of the page's furniture by tag, class, id or
 role: menus, headers and footers, sidebars, notices, adverts, forms, scripts, styles, reader comments.
 The main text is that of the article where the wrapper has one, of the main element, or else of the body.
 
 A host's pages are dealt into groups of about ``GROUP`` by a hash of the row's place, and each group is aligned in one task, so a host with a
 third of all pages is many groups. Alone, a page's own structure decides. Equal pages count once.
+A constant needs two pages. Pages that share ``CONSTANT`` of their main text are copies and count as one, as what copies share need
+not be template; only where ``SUPPORT`` pages or more are all alike each counts.
 
 A null url is a host of its own kind; a null or empty html, or one without main text, gives ''. Broken markup is
 parsed as far as it goes: unclosed paragraphs, list items and cells end where the next begins. Rows are returned one for one. No rows give no rows. Columns
@@ -21,8 +24,8 @@ from __future__ import annotations
 
 import html as entities
 import re
-from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -33,7 +36,7 @@ from cohortgram.plans.storage import Scratch
 GROUP = 64
 SUPPORT = 8
 CONSTANT = 0.8
-#: Children of one node that enter the alignment after runs are joined; the rest are slots.
+#: Runs of children by which an alignment may stray from the diagonal of two lists.
 WIDTH = 64
 #: Levels that enter it; what lies deeper belongs to the node there.
 DEPTH = 200
@@ -181,7 +184,7 @@ def furniture(node: Node) -> bool:
 
 
 def blocks(node: Node, skipped: frozenset[int] = frozenset()) -> list[str]:
-    """The texts of the blocks below a node, in order, white space within them as one space."""
+    """The texts of the blocks below a node, in order, white space within them as one space; nodes ``skipped`` lack their own text."""
     found: list[str] = []
     line: list[str] = []
 
@@ -191,27 +194,51 @@ def blocks(node: Node, skipped: frozenset[int] = frozenset()) -> list[str]:
             found.append(text)
         line.clear()
 
-    # Frames of an explicit stack, as trees may be deep: children left, whether the node is a block.
-    frames = [(iter(node.children), True)]
+    # Frames of an explicit stack, as trees may be deep: children left, whether the node is a block, whether one
+    # that has a place of its own, whether its text is skipped.
+    frames = [(iter(node.children), True, True, id(node) in skipped)]
     while frames:
-        children, block = frames[-1]
+        children, block, placed, mute = frames[-1]
         child = next(children, None)
         if child is None:
             frames.pop()
             if block:
                 end()
         elif isinstance(child, str):
-            line.append(child)
-        elif id(child) in skipped or furniture(child):
+            if not mute:
+                line.append(child)
+        elif furniture(child):
             end()
         elif child.tag in INLINE:
-            frames.append((iter(child.children), False))
+            frames.append((iter(child.children), False, False, mute))
         else:
             end()
-            frames.append((iter(child.children), True))
+            frames.append((iter(child.children), True, placed, id(child) in skipped if placed else mute))
     return found
 
 
+def own_text(node: Node) -> str:
+    """The text of a node outside the blocks below it; blocks within running text are part of it."""
+    line: list[str] = []
+    frames = [(iter(node.children), False)]
+    while frames:
+        children, inside = frames[-1]
+        child = next(children, None)
+        if child is None:
+            frames.pop()
+        elif isinstance(child, str):
+            line.append(child)
+        elif furniture(child):
+            line.append(" ")
+        elif child.tag in INLINE:
+            frames.append((iter(child.children), True))
+        else:
+            line.append(" ")
+            if inside:
+                frames.append((iter(child.children), True))
+    return _BLANK.sub(" ", "".join(line)).strip()
+
+
 class Shape:
     """A node of the tree that is aligned: kind, runs of alike children, and the nodes they stand for."""
 
@@ -223,44 +250,60 @@ class Shape:
 
 
 def shape(node: Node) -> Shape:
-    """Runs of siblings of one kind become one node; their children are those of the first."""
-    done: dict[int, Shape] = {}
-    order: list[Node] = []
-    waiting = [(node, 0)]
-    while waiting:
-        top, depth = waiting.pop()
-        order.append(top)
-        if depth < DEPTH:
-            waiting.extend((c, depth + 1) for c in _runs(top)[:WIDTH])
-    for top in reversed(order):
-        runs = [done[id(c)] for c in _runs(top)[:WIDTH] if id(c) in done]
-        done[id(top)] = Shape((top.tag, top.name), [top], runs)
-    root = done[id(node)]
-    for top in order:
-        runs = done[id(top)].children
-        k = -1
-        last = None
-        for child in top.children:
-            if isinstance(child, str) or child.tag in UNSEEN or child.tag in INLINE:
-                continue
-            if (child.tag, child.name) != last:
-                last = (child.tag, child.name)
-                k += 1
-                continue
-            if k < len(runs):
-                runs[k].members.append(child)
-    return root
-
-
-def _runs(node: Node) -> list[Node]:
-    """The first of each run of alike child elements."""
-    found, last = [], None
-    for child in node.children:
-        if isinstance(child, str) or child.tag in UNSEEN or child.tag in INLINE:
-            continue
-        if (child.tag, child.name) != last:
-            found.append(child)
-        last = (child.tag, child.name)
+    """Runs of siblings of one kind become one node; what is below them is joined by kind."""
+    return _shape([node], 0)
+
+
+def _shape(members: list[Node], depth: int) -> Shape:
+    runs: list[list[Node]] = []
+    if depth < DEPTH:
+        of_kind: dict[tuple, list[Node]] = {}
+        for number, member in enumerate(members):
+            last = None
+            for child in member.children:
+                if isinstance(child, str) or child.tag in UNSEEN or child.tag in INLINE:
+                    continue
+                kind = (child.tag, child.name)
+                if kind != last and (number == 0 or kind not in of_kind):
+                    of_kind[kind] = []
+                    runs.append(of_kind[kind])
+                of_kind[kind].append(child)
+                last = kind
+    return Shape((members[0].tag, members[0].name), members, [_shape(r, depth + 1) for r in runs])
+
+
+def _band(m: int, n: int, i: int) -> range:
+    """The places of a list of ``n`` against which place ``i`` of a list of ``m`` is matched."""
+    if max(m, n) <= WIDTH:
+        return range(n)
+    middle, reach = i * n // m, WIDTH + n // m
+    return range(max(0, middle - reach), min(n, middle + reach + 1))
+
+
+def _table(a: Shape, b: Shape, memo: dict) -> list[dict[int, int]]:
+    """Per row of a's children, by number of b's children, the most matching nodes; outside the band as at its edge."""
+    m, n = len(a.children), len(b.children)
+    table = [dict.fromkeys(range(n + 1), 0)]
+    for i, x in enumerate(a.children):
+        above, band = table[-1], _band(m, n, i)
+        left = _at(above, band.start)
+        row = {band.start: left}
+        for j in band:
+            left = max(left, _at(above, j + 1))
+            y = b.children[j]
+            if x.kind == y.kind:
+                left = max(left, _at(above, j) + match(x, y, memo))
+            row[j + 1] = left
+        table.append(row)
+    return table
+
+
+def _at(row: dict[int, int], j: int) -> int:
+    found = row.get(j)
+    if found is None:
+        # Keys ascend without gaps: right of the band nothing is added, left of it nothing is known.
+        last = next(reversed(row))
+        found = row[last] if j > last else 0
     return found
 
 
@@ -272,12 +315,7 @@ def match(a: Shape, b: Shape, memo: dict) -> int:
         return 1
     key = (id(a), id(b))
     if key not in memo:
-        row = [0] * (len(b.children) + 1)
-        for x in a.children:
-            above, row = row, [0]
-            for j, y in enumerate(b.children):
-                row.append(max(above[j + 1], row[j], above[j] + match(x, y, memo)))
-        memo[key] = 1 + row[-1]
+        memo[key] = 1 + _at(_table(a, b, memo)[-1], len(b.children))
     return memo[key]
 
 
@@ -286,20 +324,19 @@ def aligned(a: Shape, b: Shape, memo: dict) -> list[tuple[Shape, Shape]]:
     found, waiting = [], [(a, b)]
     while waiting:
         x, y = waiting.pop()
-        if not match(x, y, memo):
+        if x is not y and not match(x, y, memo):
             continue
         found.append((x, y))
-        m, n = len(x.children), len(y.children)
-        table = [[0] * (n + 1) for _ in range(m + 1)]
-        for i in range(m):
-            for j in range(n):
-                both = table[i][j] + match(x.children[i], y.children[j], memo)
-                table[i + 1][j + 1] = max(table[i][j + 1], table[i + 1][j], both)
-        i, j = m, n
+        if x is y:
+            waiting.extend((c, c) for c in x.children)
+            continue
+        table = _table(x, y, memo)
+        i, j = len(x.children), len(y.children)
         while i and j:
-            if table[i][j] == table[i - 1][j]:
+            here = _at(table[i], j)
+            if here == _at(table[i - 1], j):
                 i -= 1
-            elif table[i][j] == table[i][j - 1]:
+            elif here == _at(table[i], j - 1):
                 j -= 1
             else:
                 i, j = i - 1, j - 1
@@ -312,34 +349,97 @@ class Wrapper:
 
     def __init__(self, first: Shape):
         self.tree = first
-        self.texts: dict[int, Counter] = {}
-        self.places: list[dict[int, list[Node]]] = []
+        #: By place and text, the pages that have it there.
+        self.texts: dict[tuple, dict[str, set[int]]] = {}
+        #: By place, the pages that have any text there.
+        self.pages: dict[tuple, set[int]] = {}
+        self.places: list[list[tuple[Node, tuple, str]]] = []
 
     def add(self, page: Shape) -> None:
-        """Aligns a page; nodes the tree lacks are left as the page's own."""
-        places = {}
-        for ours, theirs in aligned(self.tree, page, {}):
-            if theirs.children:
-                continue
-            places[id(ours)] = theirs.members
-            if len(theirs.members) == 1:
-                text = " ".join(blocks(theirs.members[0]))
-                self.texts.setdefault(id(ours), Counter())[text] += 1
+        """Aligns a page and takes in the nodes the tree lacks."""
+        number, places = len(self.places), []
+        pairs = aligned(self.tree, page, {})
+        ours_of = {id(theirs): ours for ours, theirs in pairs}
+        quiet = set()
+        for ours, theirs in pairs:
+            if ours is not theirs:
+                self._grow(ours, theirs, ours_of, pairs)
+            for run in theirs.children:
+                # What is inside furniture goes with it. Pairs come from the top down.
+                if id(theirs) in quiet or all(map(furniture, run.members)):
+                    quiet.add(id(run))
+                    continue
+                for node in run.members:
+                    self._see(number, places, node, (id(ours), run.kind))
+        for node in page.members:
+            self._see(number, places, node, (0, page.kind))
         self.places.append(places)
 
-    def constant(self, page: int) -> frozenset[int]:
-        """The page's nodes that are template."""
+    def _see(self, number: int, places: list, node: Node, place: tuple) -> None:
+        text = own_text(node)
+        if text:
+            self.texts.setdefault(place, {}).setdefault(text, set()).add(number)
+            self.pages.setdefault(place, set()).add(number)
+            places.append((node, place, text))
+
+    @staticmethod
+    def _grow(ours: Shape, theirs: Shape, ours_of: dict[int, Shape], pairs: list) -> None:
+        """Puts what only the page has behind its neighbour before it."""
+        merged, left = [], iter(ours.children)
+        for child in theirs.children:
+            partner = ours_of.get(id(child))
+            if partner is None:
+                merged.append(child)
+                # Read on by the loop over the pairs.
+                pairs.extend((s, s) for s in _below(child))
+                continue
+            for own in left:
+                merged.append(own)
+                if own is partner:
+                    break
+        ours.children = [*merged, *left]
+
+    def constant(self, page: int, copies: Callable[[], list[int]]) -> frozenset[int]:
+        """The page's nodes whose own text is template; ``copies`` gives each page the number of its class of copies."""
         found = set()
-        for place, members in self.places[page].items():
-            seen = self.texts.get(place)
-            if not seen or len(members) != 1:
+        for node, place, text in self.places[page]:
+            total, most = self.pages[place], self.texts[place][text]
+            if len(most) < 2:
                 continue
-            total, (text, most) = sum(seen.values()), seen.most_common(1)[0]
-            if text and total >= SUPPORT and most >= CONSTANT * total and " ".join(blocks(members[0])) == text:
-                found.add(id(members[0]))
+            classes = copies()
+            n_total, n_most = len({classes[p] for p in total}), len({classes[p] for p in most})
+            if n_total == 1 and len(total) >= SUPPORT:
+                # All alike: so many pages with little text of their own, rather than copies.
+                n_total, n_most = len(total), len(most)
+            if n_most >= 2 and n_most >= CONSTANT * n_total:
+                found.add(id(node))
         return frozenset(found)
 
 
+def _below(top: Shape) -> list[Shape]:
+    found = [top]
+    for node in found:
+        found.extend(node.children)
+    return found
+
+
+def _copies(roots: list[Node]) -> list[int]:
+    """Classes of pages that share ``CONSTANT`` of the main text of the shorter one."""
+    classes: list[int] = []
+    first: list[set[str]] = []
+    for root in roots:
+        own = {b for part in _content_root(root) for b in blocks(part)}
+        size = sum(map(len, own))
+        for number, other in enumerate(first):
+            if sum(map(len, own & other)) >= CONSTANT * min(size, sum(map(len, other))):
+                classes.append(number)
+                break
+        else:
+            classes.append(len(first))
+            first.append(own)
+    return classes
+
+
 def _content_root(root: Node) -> list[Node]:
     """The articles of a page outside its furniture, the main element or the body, else all of it."""
     found: dict[str, list[Node]] = {"article": [], "main": [], "body": []}
@@ -364,13 +464,16 @@ def extract(pages: list[str | None]) -> list[str]:
     distinct = list(dict.fromkeys(p or "" for p in pages))
     roots = [parse(p) for p in distinct]
     shapes = [shape(r) for r in roots]
-    # The page with the most nodes has most of the template.
-    wrapper = Wrapper(max(shapes, key=lambda s: s.size)) if shapes else None
-    for page in shapes:
-        wrapper.add(page)
+    # The page with the most nodes comes first, as it has most of the template.
+    order = sorted(range(len(shapes)), key=lambda k: -shapes[k].size)
+    wrapper = Wrapper(shapes[order[0]]) if shapes else None
+    for k in order:
+        wrapper.add(shapes[k])
+    added = {k: number for number, k in enumerate(order)}
+    copies = cache(lambda: _copies([roots[k] for k in order]))
     texts = {}
     for number, (source, root) in enumerate(zip(distinct, roots)):
-        skipped = wrapper.constant(number)
+        skipped = wrapper.constant(added[number], copies)
         texts[source] = " ".join(b for part in _content_root(root) for b in blocks(part, skipped))
     return [texts[p or ""] for p in pages]
 

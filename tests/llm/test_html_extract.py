@@ -98,3 +98,39 @@ def test_hosts_nulls_and_repeated_rows(docs, scratch):
 
 def test_no_rows(docs, scratch):
     assert extract.main_text(docs([], PAGES), scratch).count() == 0
+
+
+def test_a_notice_beside_siblings_of_its_kind_is_template():
+    def body(i):
+        more = "".join(f"<h2>Part {k} of {i}</h2><p>Text {k} of {i}.</p>" for k in range(100))
+        return f"<article><p>Story {i}.</p>{f'<p>More {i}.</p>' * (i % 3 + 1)}{more}<p>Sent by the desk.</p></article>"
+
+    for i, text in enumerate(extract.extract([f"<body>{body(i)}</body>" for i in range(9)])):
+        assert "Sent by the desk" not in text
+        assert text.startswith(f"Story {i}. More {i}.") and text.endswith(f"Part 99 of {i} Text 99 of {i}.")
+
+
+def test_a_constant_inside_later_members_and_beside_blocks():
+    def body(i):
+        cards = "".join(f"<div class='card'><p>Card {k} of {i}</p><h3>Read on</h3></div>" for k in range(i + 2))
+        return f"<article><div class='x'>Today we bring <ul><li>Item {i}</li></ul></div>{cards}</article>"
+
+    texts = extract.extract([f"<body>{body(i)}</body>" for i in range(9)])
+    assert texts == [" ".join([f"Item {i}", *(f"Card {k} of {i}" for k in range(i + 2))]) for i in range(9)]
+
+
+def test_template_of_a_second_layout_is_found():
+    first = [f"<body><div class='a'><p>Long {i}</p><ul><li>{i}</li></ul><table><tr><td>{i}</td></tr></table></div></body>" for i in range(9)]
+    second = [f"<body><section class='b'><h5>Our story</h5><p>Short tale {i}</p></section></body>" for i in range(9)]
+    assert extract.extract([*first, *second])[9:] == [f"Short tale {i}" for i in range(9)]
+
+
+def test_two_pages_are_enough_unless_one_is_a_copy():
+    pages = [page(i, f"<p>Story {i} begins.</p><p>It ends there, {i}.</p>") for i in range(2)]
+    assert extract.extract(pages) == [f"Story {i} begins. It ends there, {i}." for i in range(2)]
+    same = "".join(f"<p>Paragraph {k} of a text that two pages hold.</p>" for k in range(9))
+    copies = [f"<body><article>{same}<p>Edit {i}</p></article></body>" for i in range(2)]
+    assert all(t.startswith("Paragraph 0") and t.endswith(f"Edit {i}") for i, t in enumerate(extract.extract(copies)))
+    many = [f"<body><article>{same}<p>Edit {i}</p></article></body>" for i in range(40)]
+    others = [f"<body><article><p>Other {i}</p><p>Story {i}</p></article></body>" for i in range(3)]
+    assert all(t.startswith("Paragraph 0") for t in extract.extract([*many, *others])[:40])
