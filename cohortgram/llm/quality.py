@@ -6,8 +6,9 @@ words. A layer turns that into a hidden vector; gated attention, learned from do
 of a document; the weighted sum of hidden vectors is scored. So one spoiled passage may decide, and long texts are
 scored whole.
 
-Training takes at most ``SAMPLE`` labelled rows, those of smallest id hash, with at most ``BAG`` passages
-each, evenly spread; both are bounds on what the driver gets. Scoring is one pass over all rows and
+Training takes at most ``SAMPLE`` labelled rows, those of smallest id hash, and of these, in that order, those that fit into
+``BUDGET`` passages; both are bounds on what the driver gets. A chosen row has all its passages; one that does not fit any more is left out
+whole. Scoring is one pass over all rows and
 passages, without a shuffle. The seed is fixed, so equal input gives equal scores.
 
 Only ``text`` enters a score. A null text is empty; a text without words is a bag of one average
@@ -30,7 +31,8 @@ from cohortgram.llm.text import parts, texts_of
 
 PASSAGE = 64
 SAMPLE = 3000
-BAG = 16
+#: Passages of all training rows together: 640 bytes each on the driver.
+BUDGET = 48_000
 #: Scores from here on count as label 1.
 CUT = 0.3
 #: One in so many ids is held out from training.
@@ -220,15 +222,26 @@ def train(docs: DataFrame, labels: DataFrame) -> AttentionModel | Constant:
     chosen = usable.dropDuplicates(["doc_id"]).orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
     texts = docs.select(F.col("doc_id").cast("long"), "text").join(chosen, "doc_id").dropDuplicates(["doc_id"])
 
+    def measure(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in parts(rows):
+            counts = [max(1, -(-len(text.split()) // PASSAGE)) for text in texts_of(batch.column("text"))]
+            yield pa.record_batch([batch.column("doc_id"), batch.column("place"), pa.array(counts, pa.int64())], names=["doc_id", "place", "passages"])
+
     def encode(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in parts(rows):
-            found = []
-            for text in texts_of(batch.column("text")):
-                x = passages(text)
-                found.append(x[np.unique(np.linspace(0, len(x) - 1, BAG).astype(int))].tobytes())
+            found = [passages(text).tobytes() for text in texts_of(batch.column("text"))]
             yield pa.record_batch([batch.column("doc_id"), batch.column("quality"), pa.array(found, pa.binary())], names=["doc_id", "quality", "passages"])
 
-    # At most SAMPLE rows of at most BAG passages.
+    # At most SAMPLE rows of numbers, then at most BUDGET passages.
+    placed = texts.withColumn("place", F.xxhash64("doc_id"))
+    sizes = placed.mapInArrow(measure, "doc_id long, place long, passages long").collect()
+    fitting, left = [], BUDGET
+    for row in sorted(sizes, key=lambda r: (r["place"], r["doc_id"])):
+        if row["passages"] <= left:
+            fitting.append(row["doc_id"])
+            left -= row["passages"]
+    if len(fitting) < len(sizes):
+        texts = texts.where(F.col("doc_id").isin(fitting))
     rows = sorted(texts.mapInArrow(encode, "doc_id long, quality int, passages binary").collect())
     bags = [np.frombuffer(r["passages"], np.float32).reshape(-1, FEATURES) for r in rows]
     return fit(bags, np.array([float(r["quality"] > 0) for r in rows]))

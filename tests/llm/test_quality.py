@@ -2,6 +2,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from cohortgram.llm import quality
 
@@ -82,3 +83,22 @@ def test_labels_of_one_kind_or_none(docs):
     ones = docs([(i, 1) for i in range(20)], "doc_id long, quality int")
     assert len({r.score for r in quality.classify(frame, ones).collect()}) == 1
     assert quality.classify(docs([]), ones).count() == 0
+
+
+def test_training_takes_whole_documents_within_the_budget(docs, monkeypatch):
+    sizes = {i: n for i, n in enumerate([40, 8, 30, 1, 25, 40, 3, 12, 20, 2, 17, 5])}
+    frame = docs([(i, "\n".join([f"word{i} " * quality.PASSAGE] * n)) for i, n in sizes.items()])
+    labels = docs([(i, i % 2) for i in sizes], "doc_id long, quality int")
+    seen = []
+    monkeypatch.setattr(quality, "fit", lambda bags, kinds: seen.append(sorted(map(len, bags))))
+    trained = [r.doc_id for r in labels.where(~quality.held_out()).orderBy(F.xxhash64("doc_id")).collect()]
+    quality.train(frame, labels)
+    assert seen.pop() == sorted(sizes[i] for i in trained) and max(sizes[i] for i in trained) > 16
+    monkeypatch.setattr(quality, "BUDGET", 60, raising=False)
+    quality.train(frame, labels)
+    expected, left = [], 60
+    for i in trained:
+        if sizes[i] <= left:
+            expected.append(sizes[i])
+            left -= sizes[i]
+    assert seen.pop() == sorted(expected) and len(expected) < len(trained)
