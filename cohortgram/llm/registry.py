@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortgram.llm import arrow_output, decontaminate, html_extract, license_scan, line_dedup, near_dedup, packing, quality, token_count, topk
+from cohortgram.llm import arrow_output, decontaminate, html_extract, license_scan, line_dedup, near_dedup, packing, quality, secret_scan, token_count, topk
 from cohortgram.plans.storage import Scratch
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -146,6 +146,11 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_lines", "n_deleted", F.length("text").cast("long").alias("n_chars"), "text")
 
 
+def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document."""
+    return secret_scan.scan(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_near_dedup,
@@ -158,6 +163,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_html_extract,
         op9_arrow_output,
         op10_line_dedup,
+        op11_secret_scan,
     )
     import corpus_pipeline
 

@@ -6,6 +6,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 
 #: Words whose hash a Python worker remembers before it starts over.
@@ -73,3 +74,15 @@ def parts(rows: Iterable[pa.RecordBatch], size: int = 256) -> Iterator[pa.Record
     for batch in rows:
         for start in range(0, batch.num_rows, size):
             yield batch.slice(start, size)
+
+
+def sliced(rows: Iterable[pa.RecordBatch], most: int, column: str = "text") -> Iterator[pa.RecordBatch]:
+    """Batches cut up so that the text of each holds at most ``most`` bytes, or is one row; none is empty."""
+    for batch in rows:
+        sizes = np.asarray(pc.fill_null(pc.binary_length(batch.column(column)), 0), np.int64)
+        ends, start = np.cumsum(sizes), 0
+        while start < batch.num_rows:
+            full = int(ends[start - 1]) if start else 0
+            end = max(start + 1, int(np.searchsorted(ends, full + most, "right")))
+            yield batch.slice(start, end - start)
+            start = end
