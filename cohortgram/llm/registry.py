@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortgram.llm import arrow_output, decontaminate, html_extract, license_scan, line_dedup, near_dedup, packing, quality, secret_scan, token_count, topk
+from cohortgram.llm import arrow_output, decontaminate, html_extract, license_scan, line_dedup, near_dedup, packing, quality, resampling, secret_scan, token_count, topk
 from cohortgram.plans.storage import Scratch
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -151,6 +151,11 @@ def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(table(spark, sf_dir, "documents"))
 
 
+def op13_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's weight towards the benchmark texts, and the ranks of those drawn."""
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), Scratch(spark))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_near_dedup,
@@ -164,6 +169,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op9_arrow_output,
         op10_line_dedup,
         op11_secret_scan,
+        op13_resampling,
     )
     import corpus_pipeline
 
