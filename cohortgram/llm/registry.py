@@ -10,12 +10,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortgram.llm import arrow_output, decontaminate, html_extract, license_scan, line_dedup, near_dedup, packing, quality, resampling, secret_scan, token_count, topk
+from cohortgram.llm import arrow_output, decontaminate, html_extract, license_scan, line_dedup, near_dedup, packing, quality, resampling, secret_scan, token_alignment, token_count, topk
 from cohortgram.plans.storage import Scratch
 
 BYTE_BPE = "byte_bpe_50k.json"
 BYTE_BPE_SIZE = 50257
 WORD_BPE = "word_bpe_49k.json"
+PIECE_BPE = "piece_bpe_32k.model"
 TOKEN_LIMIT = 1024
 #: Components are multiplied by it and rounded down.
 VECTOR_SCALE = 64.0
@@ -151,6 +152,11 @@ def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(table(spark, sf_dir, "documents"))
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's tokens by two tokenizers, aligned, and the counts of its linked pairs in all documents."""
+    return token_alignment.align(table(spark, sf_dir, "documents"), Scratch(spark), tokenizer(BYTE_BPE), tokenizer(PIECE_BPE))
+
+
 def op13_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's weight towards the benchmark texts, and the ranks of those drawn."""
     return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), Scratch(spark))
@@ -169,6 +175,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op9_arrow_output,
         op10_line_dedup,
         op11_secret_scan,
+        op12_token_alignment,
         op13_resampling,
     )
     import corpus_pipeline

@@ -41,7 +41,7 @@ class Counter:
             (vocabulary[left], vocabulary[right]): (rank, vocabulary[left + right])
             for rank, (left, right) in enumerate(declared["model"]["merges"])
         }
-        self._symbols = [vocabulary[c] for c in _byte_characters()]
+        self._symbols = [vocabulary[c] for c in byte_characters()]
         special = [re.escape(t["content"]) for t in declared["added_tokens"]]
         self._special = re.compile("|".join(sorted(special, key=len, reverse=True))) if special else None
         self._find = re.compile(BYTE_PATTERN).findall
@@ -106,7 +106,7 @@ class Counter:
         return left_over
 
 
-def _byte_characters() -> list[str]:
+def byte_characters() -> list[str]:
     """The printable character that stands for each byte in a byte-level vocabulary."""
     kept = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b]
     others = [b for b in range(256) if b not in kept]

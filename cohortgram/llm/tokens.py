@@ -33,11 +33,13 @@ _CALL = 500
 class Pieces:
     """Encodes texts to little-endian unsigned 32-bit ids."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, plain: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        # Strings of special tokens inside texts are then ordinary text.
+        self.tokenizer.encode_special_tokens = plain
         self._lowers = self.tokenizer.normalizer is not None
         self._find = re.compile(WORD_PATTERN if self._lowers else BYTE_PATTERN).findall
         self._memo: dict[str, bytes] = {}
@@ -79,6 +81,6 @@ def _packed(ids: list[int]) -> bytes:
 
 
 @lru_cache(maxsize=4)
-def pieces(path: str) -> Pieces:
+def pieces(path: str, plain: bool = False) -> Pieces:
     """One per worker and file."""
-    return Pieces(path)
+    return Pieces(path, plain)
