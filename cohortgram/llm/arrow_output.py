@@ -26,6 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from cohortgram.llm import memory
 from cohortgram.llm.text import parts
 from cohortgram.llm.tokens import pieces
 from cohortgram.plans.storage import Scratch
@@ -47,6 +48,7 @@ def write_sequences(
     kind = pa.uint16() if vocabulary <= 1 << 16 else pa.uint32()
 
     def write(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memory.begin("arrow_output")
         part = TaskContext.get().partitionId()
         writer = None
         for batch in parts(rows):
@@ -80,8 +82,8 @@ class _Writer:
         self.sinks = [files.open_output_stream(f"{path}/{self.name.rsplit('/', 1)[1]}{s}") for s in (".arrow", ".docs")]
         self.sequences = pa.ipc.new_file(self.sinks[0], self.schema)
         self.documents = pa.ipc.new_file(self.sinks[1], _DOCS)
-        self.rest = np.empty(0, kind.to_pandas_dtype())
-        self.total = self.count = 0
+        self.waiting: list[np.ndarray] = []
+        self.held = self.total = self.count = 0
 
     def add(self, doc_ids: pa.Array, encoded: list[bytes], end_id: int) -> None:
         end = np.array([end_id], "<u4").tobytes()
@@ -90,12 +92,15 @@ class _Writer:
         self.documents.write_batch(pa.record_batch([doc_ids, pa.array(starts), pa.array(sizes)], schema=_DOCS))
         self.total += int(sizes.sum())
         self.count += len(encoded)
-        ids = np.frombuffer(end.join(encoded) + end, "<u4").astype(self.rest.dtype)
-        self.rest = np.concatenate([self.rest, ids])
+        self.waiting.append(np.frombuffer(end.join(encoded) + end, "<u4").astype(self.kind.to_pandas_dtype()))
+        self.held += len(self.waiting[-1])
         full = self.length * ROWS
-        while len(self.rest) >= full:
-            self._write(self.rest[:full], full)
-            self.rest = self.rest[full:]
+        if self.held >= full:
+            ids = np.concatenate(self.waiting)
+            whole = self.held // full * full
+            for start in range(0, whole, full):
+                self._write(ids[start : start + full], full)
+            self.waiting, self.held = [ids[whole:]], self.held - whole
 
     def _write(self, ids: np.ndarray, real: int) -> None:
         mask = pa.array(np.arange(len(ids)) < real)
@@ -103,8 +108,8 @@ class _Writer:
         self.sequences.write_batch(pa.record_batch(lists, schema=self.schema))
 
     def close(self) -> pa.RecordBatch:
-        if real := len(self.rest):
-            self._write(np.pad(self.rest, (0, -real % self.length)), real)
+        if self.held:
+            self._write(np.pad(np.concatenate(self.waiting), (0, -self.held % self.length)), self.held)
         for closing in (self.sequences, self.documents, *self.sinks):
             closing.close()
         values = [[self.part], [f"{self.name}.arrow"], [f"{self.name}.docs"], [self.total], [self.count]]

@@ -31,7 +31,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructType
 
-from cohortgram.llm.text import WordHashes, alnum_words, parts, shingle_hashes
+from cohortgram.llm import memory
+from cohortgram.llm.text import WORDS, alnum_words, shingle_hashes
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -42,7 +43,6 @@ RADIUS = 22
 CHUNK_WORDS = 100_000
 
 _PART = BITS // PARTS
-_WORDS = WordHashes()
 _TABLE = 20
 HITS = ArrayType(
     StructType().add("item_id", "long").add("start", "long").add("n_words", "long").add("similarity", "double")
@@ -53,7 +53,7 @@ _HIT = pa.list_(
 
 
 def words_of(text: str | None) -> np.ndarray:
-    return _WORDS.of(alnum_words((text or "").lower().encode()))
+    return WORDS.of(alnum_words((text or "").lower().encode()))
 
 
 def simhash(shingles: np.ndarray, starts: np.ndarray, count: int) -> np.ndarray:
@@ -205,16 +205,18 @@ def chunks(benchmark: DataFrame) -> Iterator[list[tuple]]:
 
 def with_hits(docs: DataFrame, items: list[tuple], column: str) -> DataFrame:
     """The rows with ``column``: the items of one chunk found in ``text``."""
-    schema = StructType([*docs.schema.fields]).add(column, HITS)
     shared = docs.sparkSession.sparkContext.broadcast(items)
 
-    def look(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @F.arrow_udf(HITS)
+    def look(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        memory.begin("decontaminate")
         index = Benchmark(shared.value)
-        for batch in parts(rows):
-            hits = pa.array([index.hits(t) for t in batch.column("text").to_pylist()], _HIT)
-            yield pa.RecordBatch.from_arrays([*batch.columns, hits], names=schema.names)
+        for array in texts:
+            hits = [index.hits(t.as_py()) for t in array]
+            yield pa.array(hits, _HIT)
 
-    return docs.mapInArrow(look, schema)
+    # The texts go to Python and the hits come back; the other columns stay where they are.
+    return docs.withColumn(column, look("text"))
 
 
 def _free_name(columns: list[str]) -> str:

@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from cohortgram.llm import memory
 from cohortgram.llm.text import alnum_words, mixed, parts
 from cohortgram.plans.storage import Scratch
 
@@ -164,6 +165,7 @@ def _shared_runs(later: np.ndarray, words: np.ndarray, earlier: np.ndarray) -> l
 
 
 def _hash_lines(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    memory.begin("line_dedup")
     for batch in parts(rows):
         hashed = [line_hashes(lines_of(t or "")) for t in batch.column("text").to_pylist()]
         columns = [pa.array([h[c].tobytes() for h in hashed], pa.binary()) for c in range(2)]
@@ -226,6 +228,7 @@ def without_shared_blocks(docs: DataFrame, scratch: Scratch) -> DataFrame:
     schema = StructType([*docs.drop(*counts).schema.fields]).add("n_lines", "long").add("n_deleted", "long")
 
     def cut(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memory.begin("line_dedup")
         for batch in parts(rows):
             texts, n_lines, n_deleted = [], [], []
             for text, found in zip(batch.column("text").to_pylist(), batch.column("_blocks").to_pylist()):

@@ -31,8 +31,9 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cohortgram.llm import memory
 from cohortgram.llm.components import components
-from cohortgram.llm.text import WordHashes, alnum_words, mixed, parts, shingle_hashes, spaced_words, texts_of
+from cohortgram.llm.text import WORDS, alnum_words, mixed, parts, shingle_hashes, spaced_words, texts_of
 from cohortgram.plans.storage import Scratch
 
 GROUPS = 8
@@ -45,7 +46,6 @@ BLOCK_SHINGLES, BLOCK_CLASSES = 50_000, 256
 _COLUMNS = 4096
 
 _SEEDS = np.random.default_rng(1).integers(1, 2**63, 2 * GROUPS * WIDTH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_WORDS = WordHashes()
 
 _SIGNED = "doc_id long, version long, n_shingles long, set_key binary, minhashes binary"
 _SETS = "set_key binary, members binary"
@@ -55,7 +55,7 @@ _BUCKETS = "bucket long, class long, n long"
 def shingle_set(text: bytes, size: int, letters_only: bool = False) -> np.ndarray:
     """The sorted distinct shingle hashes of a text."""
     words = alnum_words(text) if letters_only else spaced_words(text)
-    return np.unique(shingle_hashes(_WORDS.of(words), size))
+    return np.unique(shingle_hashes(WORDS.of(words), size))
 
 
 def minhashes(members: np.ndarray) -> np.ndarray:
@@ -76,6 +76,7 @@ def table_keys(signature: np.ndarray) -> np.ndarray:
 
 def _sign(size: int, letters_only: bool):
     def sign(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memory.begin("near_dedup")
         for batch in parts(rows):
             counts, keys, signatures = [], [], []
             for text in texts_of(batch.column("text")):
@@ -92,6 +93,7 @@ def _sign(size: int, letters_only: bool):
 
 def _full_sets(size: int, letters_only: bool):
     def full(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memory.begin("near_dedup")
         for batch in parts(rows):
             sets = [shingle_set(t, size, letters_only).tobytes() for t in texts_of(batch.column("text"))]
             keys = [xxhash.xxh3_128_digest(s) for s in sets]
@@ -174,6 +176,7 @@ def _unpacked(row: dict, prefix: str) -> tuple[np.ndarray, np.ndarray, list[np.n
 
 def _compare_blocks(percent: int):
     def compare(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memory.begin("near_dedup")
         for row in (r for one in parts(rows, 1) for r in one.to_pylist()):
             a, a_component, a_sets = _unpacked(row, "a_")
             b, b_component, b_sets = _unpacked(row, "b_")

@@ -25,6 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cohortgram.llm import memory
 from cohortgram.llm.text import parts
 from cohortgram.llm.tokens import pieces
 from cohortgram.plans.storage import Scratch
@@ -96,6 +97,7 @@ def cut_pieces(docs: DataFrame, tokenizer: str, end_id: int, size: int = WINDOW)
     end = np.array([end_id], "<u4").tobytes()
 
     def cut(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memory.begin("packing")
         place = TaskContext.get().partitionId() << 40
         for batch in parts(rows):
             out = []

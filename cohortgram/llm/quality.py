@@ -25,9 +25,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
-from cohortgram.llm.text import parts, texts_of
+from cohortgram.llm import memory
+from cohortgram.llm.text import parts, sliced, texts_of
 
 PASSAGE = 64
 SAMPLE = 3000
@@ -43,6 +43,11 @@ HIDDEN, GATE, EPOCHS, RATE, DECAY = 24, 12, 50, 0.01, 1e-3
 _CLASSES = 12
 _BASE = 0x9E3779B97F4A7C15
 _POWERS: list[np.ndarray] = []
+#: Bytes of a text whose powers a worker keeps, 16 bytes each.
+KEPT_POWERS = 1 << 19
+#: Bytes of text scored at once.
+SLICE = 1 << 20
+memory.kept(_POWERS.clear)
 
 
 def _class_of(byte: int) -> int:
@@ -71,13 +76,18 @@ FEATURES = _CLASSES + _CLASSES * _CLASSES + 4
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the hash base and of its inverse, kept for the longest text so far."""
-    if not _POWERS or len(_POWERS[0]) < n:
-        size = max(1 << 16, 1 << n.bit_length())
-        _POWERS[:] = [np.cumprod(np.full(size, b, np.uint64)) for b in (_BASE, pow(_BASE, -1, 1 << 64))]
+    """Powers of the hash base and of its inverse; those for texts of usual length are kept."""
+    if n > KEPT_POWERS:
+        return _made_powers(n)
+    if not _POWERS:
+        _POWERS[:] = _made_powers(KEPT_POWERS)
     return _POWERS[0][:n], _POWERS[1]
 
 
+def _made_powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    return tuple(np.cumprod(np.full(n, b, np.uint64)) for b in (_BASE, pow(_BASE, -1, 1 << 64)))
+
+
 def passages(text: bytes) -> np.ndarray:
     """One row of features per passage."""
     raw = np.frombuffer(text, np.uint8)
@@ -249,16 +259,19 @@ def train(docs: DataFrame, labels: DataFrame) -> AttentionModel | Constant:
 
 def with_scores(docs: DataFrame, model: AttentionModel | Constant, column: str) -> DataFrame:
     """The rows with the score of ``text`` in ``column``."""
-    schema = StructType([*docs.schema.fields]).add(column, "double")
-
-    def score(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in parts(rows):
-            bags = [passages(t) for t in texts_of(batch.column("text"))]
-            starts = np.cumsum([0, *map(len, bags[:-1])])
-            scores = pa.array(model.score(np.concatenate(bags), starts), pa.float64())
-            yield pa.RecordBatch.from_arrays([*batch.columns, scores], names=schema.names)
-
-    return docs.mapInArrow(score, schema)
+    @F.arrow_udf("double")
+    def score(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        memory.begin("quality")
+        for array in texts:
+            found = [np.empty(0)]
+            for batch in sliced([pa.record_batch([array], names=["text"])], SLICE):
+                bags = [passages(t) for t in texts_of(batch.column("text"))]
+                starts = np.cumsum([0, *map(len, bags[:-1])])
+                found.append(model.score(np.concatenate(bags), starts))
+            yield pa.array(np.concatenate(found), pa.float64())
+
+    # The texts go to Python and the scores come back; the other columns stay where they are.
+    return docs.withColumn(column, score("text"))
 
 
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -28,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cohortgram.llm import memory
 from cohortgram.llm.radix_sort import places, unsigned
 from cohortgram.llm.text import alnum_words, sliced, texts_of
 from cohortgram.plans.storage import Scratch
@@ -84,6 +85,7 @@ class _Words(dict):
 
 
 _WORDS = _Words()
+memory.kept(_WORDS.clear)
 _SPACE = zlib.crc32(b" ")
 
 

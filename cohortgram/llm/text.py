@@ -9,8 +9,10 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 
+from cohortgram.llm import memory
+
 #: Words whose hash a Python worker remembers before it starts over.
-MEMO_WORDS = 300_000
+MEMO_WORDS = 200_000
 
 _LOWER = bytes(c + 32 if 0x41 <= c <= 0x5A else c for c in range(256))
 #: Lower-cases A-Z and turns every ASCII byte that is no letter or digit into a space.
@@ -33,7 +35,7 @@ def alnum_words(text: bytes) -> list[bytes]:
 
 
 class WordHashes(dict):
-    """64-bit hashes by word, of bounded size."""
+    """64-bit hashes by word, of bounded size; one for all operators."""
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= MEMO_WORDS:
@@ -45,6 +47,10 @@ class WordHashes(dict):
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 
+WORDS = WordHashes()
+memory.kept(WORDS.clear)
+
+
 def mixed(values: np.ndarray) -> np.ndarray:
     """Spreads every bit of 64-bit values over all of them."""
     values = (values ^ (values >> np.uint64(32))) * _MIX

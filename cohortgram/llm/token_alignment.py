@@ -29,10 +29,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortgram.llm import pair_index
+from cohortgram.llm import memory, pair_index
 from cohortgram.llm.text import sliced
-from cohortgram.llm.token_count import byte_characters
-from cohortgram.llm.tokens import pieces
+from cohortgram.llm.tokens import byte_characters, pieces
 from cohortgram.plans.storage import Scratch
 
 #: Bytes of text aligned at once.
@@ -172,6 +171,9 @@ def aligner(first: str, second: str) -> Aligner:
     return Aligner(first, second)
 
 
+memory.kept(aligner.cache_clear)
+
+
 class _Block:
     """The documents and entries of a block that is being filled."""
 
@@ -209,6 +211,7 @@ def indexed(docs: DataFrame, first: str, second: str) -> DataFrame:
     """Two kinds of rows from one pass: aligned documents (``pair`` is null), and the postings of their blocks."""
 
     def index(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memory.begin("token_alignment")
         next_block = TaskContext.get().partitionId() << 32
         block = None
         for batch in sliced(rows, SLICE):

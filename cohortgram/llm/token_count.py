@@ -21,8 +21,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cohortgram.llm import memory
 from cohortgram.llm.text import parts
-from cohortgram.llm.tokens import BYTE_PATTERN, MEMO_PIECES, UNUSUAL
+from cohortgram.llm.tokens import BYTE_PATTERN, MEMO_PIECES, UNUSUAL, byte_characters
 
 COUNTED = "doc_id long, n_bytes long, n_tokens long"
 
@@ -106,23 +107,20 @@ class Counter:
         return left_over
 
 
-def byte_characters() -> list[str]:
-    """The printable character that stands for each byte in a byte-level vocabulary."""
-    kept = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b]
-    others = [b for b in range(256) if b not in kept]
-    return [chr(b if b in kept else 256 + others.index(b)) for b in range(256)]
-
-
 @lru_cache(maxsize=2)
 def counter(path: str) -> Counter:
     """One per worker and file."""
     return Counter(path)
 
 
+memory.kept(counter.cache_clear)
+
+
 def count_tokens(docs: DataFrame, tokenizer: str) -> DataFrame:
     """``doc_id, n_bytes, n_tokens`` of every row's whole text. One pass, no shuffle."""
 
     def count(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memory.begin("token_count")
         for batch in parts(rows):
             texts = [t or "" for t in batch.column("text").to_pylist()]
             sizes = pa.array([len(t.encode()) for t in texts], pa.int64())

@@ -2,7 +2,8 @@
 
 Both vocabularies used here split a text into pieces by a pattern and merge inside each piece alone, so the ids
 of a text are those of its pieces, in order. Pieces recur, so each worker keeps the ids of those it has seen
-(``MEMO_PIECES``, then it starts over). The pattern runs in another regular-expression library than the
+(``MEMO_PIECES``, then it starts over). New pieces go to the model of the tokenizer alone, which
+does the merging; what the tokenizer does before, a byte-level spelling, is a translation of bytes. The pattern runs in another regular-expression library than the
 tokenizer's own; texts with a character outside the range on which the two are tested to agree, and texts that
 may hold a special token, go to the tokenizer whole.
 """
@@ -14,20 +15,19 @@ import os
 import re
 from functools import lru_cache
 
-import numpy as np
+from cohortgram.llm import memory
 
 #: Pieces whose ids a worker remembers: some 200 bytes each.
 MEMO_PIECES = 700_000
 #: Outside it, or with "<|", the library splits the text itself.
 UNUSUAL = re.compile("[^\t\n\r -~¡-¬®-±´-¸º»¿-ſ]|<\\|")
+_USUAL_LATIN = bytes(b for b in range(256) if not UNUSUAL.search(chr(b)))
 _LETTER = "A-Za-zªµºÀ-ÖØ-öø-ſ"
 #: What the patterns of the two tokenizer files come to for the characters above, the commonest kind first.
 BYTE_PATTERN = (
     rf" ?[{_LETTER}]+| ?[0-9]+|'(?:s|t|re|ve|m|ll|d)| ?[^\t\n\r 0-9{_LETTER}]+|[\t\n\r ]+(?![^\t\n\r ])|[\t\n\r ]+"
 )
 WORD_PATTERN = rf"[{_LETTER}]+|[0-9]|'(?:s|t|re|ve|m|ll|d)|[^\t\n\r 0-9{_LETTER}]+"
-#: New words encoded in one call.
-_CALL = 500
 
 
 class Pieces:
@@ -42,7 +42,7 @@ class Pieces:
         self.tokenizer.encode_special_tokens = plain
         self._lowers = self.tokenizer.normalizer is not None
         self._find = re.compile(WORD_PATTERN if self._lowers else BYTE_PATTERN).findall
-        self._memo: dict[str, bytes] = {}
+        self._memo = _Memo(self.tokenizer.model)
 
     def library(self, text: str) -> bytes:
         """The ids of one text, by the library alone."""
@@ -50,30 +50,45 @@ class Pieces:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, four bytes an id."""
-        split = [None if UNUSUAL.search(t) else self._find(t.lower() if self._lowers else t) for t in texts]
-        self._learn(set().union(*filter(None, split)))
-        get = self._memo.__getitem__
-        return [self.library(t) if s is None else b"".join(map(get, s)) for t, s in zip(texts, split)]
-
-    def _learn(self, found: set[str]) -> None:
-        new = found - self._memo.keys()
-        if len(self._memo) + len(new) > MEMO_PIECES:
-            self._memo, new = {}, found
-        # Plain words share calls: a space keeps them apart, and word_ids tells whose an id is.
-        between = " " if self._lowers else ""
-        plain = [p for p in new if (p.isalpha() if self._lowers else p[0] == " " and p[1:].isalpha())]
-        for i in range(0, len(plain), _CALL):
-            some = plain[i : i + _CALL]
-            encoding = self.tokenizer.encode(between.join(some), add_special_tokens=False)
-            ids, owner = _packed(encoding.ids), np.array(encoding.word_ids, np.int64)
-            ends = np.searchsorted(owner, np.arange(len(some)), "right") * 4
-            start = 0
-            for piece, end in zip(some, ends.tolist()):
-                self._memo[piece] = ids[start:end]
-                start = end
-        rest = list(new.difference(plain))
-        for piece, encoding in zip(rest, self.tokenizer.encode_batch(rest, add_special_tokens=False)):
-            self._memo[piece] = _packed(encoding.ids)
+        get, find = self._memo.__getitem__, self._find
+        if self._lowers:
+            return [self.library(t) if unusual(t) else b"".join(map(get, find(t.lower()))) for t in texts]
+        return [self.library(t) if unusual(t) else b"".join(map(get, find(t))) for t in texts]
+
+
+class _Memo(dict):
+    """Ids of pieces by a tokenizer's model, of bounded size."""
+
+    def __init__(self, model):
+        self._merge = model.tokenize
+        # Each byte as its character in the vocabulary, from Latin-1; printable ASCII is spelled as it is.
+        self._spelling = dict(enumerate(byte_characters()))
+        self._space = self._spelling[ord(" ")]
+
+    def __missing__(self, piece: str) -> bytes:
+        if len(self) >= MEMO_PIECES:
+            self.clear()
+        if piece.isascii() and piece.isprintable():
+            spelled = piece.replace(" ", self._space)
+        else:
+            spelled = piece.encode().decode("latin-1").translate(self._spelling)
+        ids = self[piece] = _packed([t.id for t in self._merge(spelled)])
+        return ids
+
+
+def unusual(text: str) -> bool:
+    """Whether a text goes to the library whole."""
+    try:
+        return bool(text.encode("latin-1").translate(None, _USUAL_LATIN)) or "<|" in text
+    except UnicodeEncodeError:
+        return UNUSUAL.search(text) is not None
+
+
+def byte_characters() -> list[str]:
+    """The printable character that stands for each byte in a byte-level vocabulary."""
+    kept = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b]
+    others = [b for b in range(256) if b not in kept]
+    return [chr(b if b in kept else 256 + others.index(b)) for b in range(256)]
 
 
 def _packed(ids: list[int]) -> bytes:
@@ -84,3 +99,6 @@ def _packed(ids: list[int]) -> bytes:
 def pieces(path: str, plain: bool = False) -> Pieces:
     """One per worker and file."""
     return Pieces(path, plain)
+
+
+memory.kept(pieces.cache_clear)

@@ -121,5 +121,5 @@ def test_query(spark):
 
 
 def test_registered_queries_name_every_operator():
-    assert sorted(n.split("_")[0] for n in queries()) == sorted([*(f"op{i}" for i in range(1, 11)), "pipeline"])
+    assert sorted(n.split("_")[0] for n in queries()) == sorted([*(f"op{i}" for i in range(1, 14)), "pipeline"])
     assert "corpus_pipeline" in sys.modules

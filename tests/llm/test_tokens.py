@@ -20,6 +20,7 @@ ODD = [
     "x" * 20_000,
     "ab " * 30_000,
     "  leading   and   inner    spaces  ",
+    *(f"a{x}b c{y}{x}d{x}{y} e{y}" for x in (" ", "\n", "\t", " \n", "\n ", "\r\n", "  ") for y in ("", "x", "\n", ".")),
     "1234567 1.5e-3 a1b2",
     "﻿\x00\x1c\x1d z",
 ]
@@ -50,7 +51,7 @@ def test_ids_of_any_text(both, texts):
 def test_every_character_of_the_fast_path(both):
     pieces, library = both
     usual = [chr(c) for c in range(0x300) if not tokens.UNUSUAL.search(chr(c))]
-    texts = [t for c in usual for t in (c, f"a{c}b", f" {c} ", c * 3, f"1{c}'s {c}\n\n x", f"{c}'re")]
+    texts = [t for c in usual for t in (c, f"a{c}b", f" {c} ", c * 3, f"1{c}'s {c}\n\n x", f"{c}'re", f"x {c} {c}y z{c} {c}{c}")]
     assert len(usual) > 300 and pieces.encode(texts) == [ids(library, t) for t in texts]
 
 
