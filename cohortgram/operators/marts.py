@@ -29,6 +29,7 @@ from cohortgram.reference import (
 
 POPULATION = "selected_reporting_isolate_key"
 CELL = ("source_version", "cohort_id", "organism_reporting_group", "organism_name", "reporting_phenotype")
+MDRO_KEYS = ("source_version", "cohort_id", "organism_base_name", "mdro_phenotype")
 RESULT = ("antibiotic", "resolution_status", "susceptibility", "reconciliation_reason")
 
 
@@ -197,7 +198,18 @@ def susceptibility_mart(
         result_sets=False,
     )
     counted = results.groupBy(*dimensions, "antibiotic").agg(*result_counts())
+    return measured_panel(panel, counted, dimensions, groups, window if not carry else None, minimum)
 
+
+def measured_panel(
+    panel: DataFrame,
+    counted: DataFrame,
+    dimensions: Sequence[str],
+    groups: DataFrame,
+    window: ReportWindow | None,
+    minimum: int = DISPLAY_MINIMUM,
+) -> DataFrame:
+    """The table from the cells with their allowed drugs and the counts of the drugs that were tested."""
     counts = panel.join(counted, [*dimensions, "antibiotic"], "left").select(
         *dimensions,
         "antibiotic",
@@ -207,7 +219,7 @@ def susceptibility_mart(
     )
     untested = F.col("eligible_count") - F.col("tested_endpoint_count")
     measured = susceptibility_measures(counts.withColumn("untested_count", untested), minimum)
-    return finish_susceptibility(measured, groups, window if not carry else None)
+    return finish_susceptibility(measured, groups, window)
 
 
 def grid_susceptibility_mart(
@@ -244,6 +256,13 @@ def status_long(
     return records.select(*carry, F.inline(pairs))
 
 
+def applicable_status(records: DataFrame, rules: Sequence[tuple[Rule, str]], carry: Sequence[str]) -> DataFrame:
+    """``mdro_phenotype, status`` of every record and rule that applies to it."""
+    applicable = reduce(lambda a, b: a | b, [F.col(rule.status) != NOT_APPLICABLE for rule, _ in rules])
+    listed = status_long(records.filter(applicable), rules, carry, "mdro_phenotype", "status")
+    return listed.filter(F.col("status") != NOT_APPLICABLE)
+
+
 def patient_status(
     records: DataFrame,
     window: ReportWindow,
@@ -251,10 +270,8 @@ def patient_status(
     extra_keys: Sequence[str] = (),
 ) -> DataFrame:
     """One status per patient, group and rule, over all cultures in the window, not only the first."""
-    applicable = reduce(lambda a, b: a | b, [F.col(rule.status) != NOT_APPLICABLE for rule, _ in rules])
-    eligible = records.filter(window.usable("culture_time_shifted") & applicable)
     keys = [*extra_keys, *PATIENT_GROUP]
-    observed = status_long(eligible, rules, keys, "mdro_phenotype", "status").filter(F.col("status") != NOT_APPLICABLE)
+    observed = applicable_status(records.filter(window.usable("culture_time_shifted")), rules, keys)
     return observed.groupBy(*keys, "mdro_phenotype").agg(
         strongest_status("status", fallback=None).alias("phenotype_status")
     )
@@ -280,15 +297,19 @@ def mdro_mart(
     patients = patient_status(records, window, extra_keys=extra_keys).withColumnRenamed(
         "organism_reporting_group", "organism_base_name"
     )
-    keys = ("source_version", "cohort_id", "organism_base_name", "mdro_phenotype")
+    summary = status_summary(patients, [*extra_keys, *MDRO_KEYS])
+    return finish_mdro(summary, groups, None if extra_keys else window)
+
+
+def finish_mdro(summary: DataFrame, groups: DataFrame, window: ReportWindow | None) -> DataFrame:
+    """The table from the numbers of patients by status."""
     evaluable = F.col("positive_count") + F.col("not_detected_count")
-    summary = status_summary(patients, [*extra_keys, *keys]).withColumn("evaluable_count", evaluable)
-    finished = summary.select(
-        surrogate_key(*keys).alias("mdro_mart_key"),
+    finished = summary.withColumn("evaluable_count", evaluable).select(
+        surrogate_key(*MDRO_KEYS).alias("mdro_mart_key"),
         "*",
         safe_pct("positive_count", "denominator_count").alias("phenotype_pct"),
         safe_pct("evaluable_count", "denominator_count").alias("evaluable_pct"),
-        *([] if extra_keys else window.columns()),
+        *([] if window is None else window.columns()),
     )
     return attach_attribute(finished, groups, "organism_base_name", "organism_reporting_group")
 
