@@ -20,6 +20,15 @@ ENDPOINT_COLUMNS = ("culture_organism_key", "organism", "antibiotic", "resolutio
 GROUP_KEYS = ("ast_scope", "reporting_source_key", *select.PATIENT_GROUP)
 GROUP_PHENOTYPES = ("base", "esce_r", "oxacillin_resistant", "vancomycin_resistant")
 REPORT_RELATIONS = ("endpoints", "records", "selected")
+#: Stored relations with several readers that join or group on one key, and that key.
+BUCKET_KEYS = {
+    "endpoints": "culture_organism_key",
+    "culture_organisms": "culture_organism_key",
+    "mapped": "culture_organism_key",
+    "phenotypes": "culture_organism_key",
+    "records": select.RECORD_KEY,
+    "group_endpoints": "reporting_source_key",
+}
 AUDIT_RELATIONS = (*REPORT_RELATIONS, "cultures", "culture_organisms", "mapped", "phenotypes", "group_endpoints")
 
 
@@ -27,8 +36,8 @@ class ReportTables:
     """Every relation of a report, one property per grain, each built when first asked for.
 
     If ``scratch`` is given, the relations named in ``keep`` are written there once: by default those the
-    reports read several times. Name more of them to run many audits over one build. Everything else stays
-    a lazy plan for Catalyst. The window is applied to ``records``, before selection and counting; filtering
+    reports read several times. Name more of them to run many audits over one build. Those whose readers join or group
+    on one key (``BUCKET_KEYS``) are stored as buckets of it. Everything else stays a lazy plan for Catalyst. The window is applied to ``records``, before selection and counting; filtering
     a finished table would give other answers.
 
     ``audit_columns=False`` leaves out what no report reads: file lineage, ordering mode, row and distinct
@@ -65,7 +74,8 @@ class ReportTables:
     def _keep(self, name: str, frame: DataFrame) -> DataFrame:
         if self.scratch is None or name not in self.keep:
             return frame
-        return self.scratch.keep(f"{name}-{self.window.start or 'full'}", frame)
+        folder = f"{name}-{self.window.start or 'full'}"
+        return self.scratch.keep_by(folder, frame, BUCKET_KEYS[name]) if name in BUCKET_KEYS else self.scratch.keep(folder, frame)
 
     # -- grains of the source ----------------------------------------------------------------------
     @cached_property

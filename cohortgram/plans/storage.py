@@ -6,6 +6,7 @@ cuts lineage, survives lost executors, and gives later scans column pruning and
 
 from __future__ import annotations
 
+import atexit
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -47,3 +48,22 @@ class Scratch:
             frame = frame.repartition(max(1, -(-rows // FILE_ROWS)))
         frame.write.mode("error").parquet(self.folder(name))
         return self.spark.read.schema(frame.schema).parquet(self.folder(name))
+
+    def keep_by(self, name: str, frame: DataFrame, key: str) -> DataFrame:
+        """Writes a relation as a table of one bucket per shuffle partition of ``key``, sorted by it, and reads it back.
+
+        Its rows are shuffled once, here; joins and aggregations on ``key`` then read the buckets as they lie. Meant for relations
+        with a bounded number of rows per key. The table is known to the session's catalog under a name of its own, which is dropped when the
+        program ends.
+        """
+        buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        table = f"kept_{uuid.uuid4().hex}"
+        writer = frame.repartition(buckets, key).write.format("parquet").mode("error").option("path", self.folder(name))
+        writer.bucketBy(buckets, key).sortBy(key).saveAsTable(table)
+        atexit.register(_drop, self.spark, table)
+        return self.spark.table(table)
+
+
+def _drop(spark: SparkSession, table: str) -> None:
+    if spark.sparkContext._jsc is not None:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")

@@ -14,6 +14,7 @@ from cohortgram.queries.context import WINDOW, Context
 from cohortgram.queries.registry import query
 from cohortgram.queries.sql import CRE_GROUP, key
 from cohortgram.sources import export, raw, seeds
+from cohortgram.sources.ledger import LoadLedger
 from cohortgram.streaming import load_new_files
 
 RAW_TEXT = " ".join(COHORT_SCHEMA.fieldNames())
@@ -75,6 +76,30 @@ def incremental_load(c: Context):
     return profile.frequency(c.spark.read.parquet(table), ["organism"])
 
 
+@query(
+    "source_version organism row_count files",
+    """SELECT source_version, organism, count(*) AS row_count, 2 AS files FROM (
+  SELECT organism, source_version FROM raw) GROUP BY ALL""",
+    "raw",
+)
+def ledger_load(c: Context):
+    """Loads with a ledger after each landing, and once more: every file counts once; a load that never commits does not count."""
+    landing = [_folder(c, "landing") for _ in RELEASES]
+    ledger = LoadLedger(c.spark, _folder(c, "ledger"), COHORT_SCHEMA)
+    for release, path in zip(RELEASES, landing):
+        for part in range(2):
+            half = c.raw.filter((F.col("source_version") == release) & (F.pmod(F.xxhash64(*COHORT_SCHEMA.fieldNames()), F.lit(2)) == part))
+            half.select(*COHORT_SCHEMA.fieldNames()).coalesce(1).write.mode("append").options(
+                header=True, quoteAll=True, **export.EXACT_TEXT
+            ).csv(path)
+        ledger.stage([tuple(r) for r in ledger.new_files(path).collect()], "never")
+        ledger.load(path, release, files_per_load=1)
+    ledger.load(landing, "again")
+    # Two files of each release are in the ledger, so a file loaded twice would show in both columns.
+    files = ledger.files().agg((F.count("*") / F.lit(len(RELEASES))).cast("int").alias("files"))
+    return profile.frequency(ledger.rows(), ["source_version", "organism"]).crossJoin(F.broadcast(files))
+
+
 @query(
     "table_name actual_rows expected_rows difference row_count_check",
     """SELECT 'raw_cohort' AS table_name, n AS actual_rows, l AS expected_rows, n - l AS difference,

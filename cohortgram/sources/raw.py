@@ -50,17 +50,17 @@ def load_raw(
 def file_names(spark: SparkSession, path: str | list[str], pattern: str = "*.csv") -> DataFrame:
     """``source_file`` of every file below a path, from its listing; no file is opened."""
     listed = spark.read.format("binaryFile").options(pathGlobFilter=pattern, recursiveFileLookup=True).load(path)
-    return listed.select(_as_uri("path").alias("source_file"), F.col("path"))
+    return listed.select(as_uri("path").alias("source_file"), F.col("path"))
 
 
-def _as_uri(path: str):
-    """Spark writes local paths as file:/x in one place and file:///x in another."""
+def as_uri(path: str):
+    """A column of paths, written alike: Spark writes local paths as file:/x in one place and file:///x in another."""
     return F.regexp_replace(path, "^file:/+", "file:///")
 
 
 def new_files(spark: SparkSession, path: str | list[str], loaded: DataFrame, pattern: str = "*.csv") -> list[str]:
     """The files below a path whose names ``loaded`` (``source_file``) lacks: one short name each."""
-    names = loaded.select(_as_uri("source_file").alias("source_file"))
+    names = loaded.select(as_uri("source_file").alias("source_file"))
     return [r.path for r in file_names(spark, path, pattern).join(names, "source_file", "left_anti").sort("path").collect()]
 
 
@@ -185,4 +185,4 @@ def source_inventory(
         ).alias("blank_column_positions"),
     )
     records = record_inventory(spark, path, schema, pattern, multi_line)
-    return headers.withColumn("path", _as_uri("path")).join(records.withColumn("path", _as_uri("path")), "path", "left")
+    return headers.withColumn("path", as_uri("path")).join(records.withColumn("path", as_uri("path")), "path", "left")
