@@ -10,10 +10,14 @@ slots. Slots are content where they are not part of the page's furniture by tag,
 role: menus, headers and footers, sidebars, notices, adverts, forms, scripts, styles, reader comments.
 The main text is that of the article where the wrapper has one, of the main element, or else of the body.
 
-A host's pages are dealt into groups of about ``GROUP`` by a hash of the row's place, and each group is aligned in one task, so a host with a
+A host's pages are dealt into groups of about ``GROUP`` by a hash of url and page_id, so that groups do not depend on how the table is
+stored (rows alone that repeat both more than ``GROUP`` times are dealt by their place), and each group is aligned in one task, so a host with a
 third of all pages is many groups. Alone, a page's own structure decides. Equal pages count once.
 A constant needs two pages. Pages that share ``CONSTANT`` of their main text are copies and count as one, as what copies share need
-not be template; only where ``SUPPORT`` pages or more are all alike each counts.
+not be template; a host whose pages are all copies shows no template, and its pages are read by their own structure.
+
+A class, id or part of one between spaces names furniture if all its words do, beside words of layout: ``share-links`` and ``cookie-notice``
+are furniture, ``legal-analysis`` and ``related-work`` are not.
 
 A null url is a host of its own kind; a null or empty html, or one without main text, gives ''. Broken markup is
 parsed as far as it goes: unclosed paragraphs, list items and cells end where the next begins. Rows are returned one for one. No rows give no rows. Columns
@@ -25,16 +29,16 @@ from __future__ import annotations
 import html as entities
 import re
 from collections.abc import Callable, Iterator
-from functools import cache
+from functools import cache, lru_cache
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortgram.plans.storage import Scratch
 
 GROUP = 64
-SUPPORT = 8
 CONSTANT = 0.8
 #: Runs of children by which an alignment may stray from the diagonal of two lists.
 WIDTH = 64
@@ -85,7 +89,12 @@ _NAMES = frozenset(
     "related recommended recommendations comment comments respond replies disqus discussion pagination pager toolbar "
     "copyright legal disclaimer form search searchform".split()
 )
-_NAME = re.compile(r"[a-z0-9]+")
+#: Words that say nothing of what a node is.
+_LAYOUT = frozenset(
+    "area bar block body bottom box button buttons card center column container content fixed group icons inner item items js left "
+    "level links list main outer page panel post primary right row secondary section site slot sticky text title top wrap wrapper".split()
+)
+_NAME = re.compile(r"[a-z]+")
 
 
 class Node:
@@ -180,7 +189,13 @@ def furniture(node: Node) -> bool:
         return True
     if not node.name or node.tag in ("html", "body", "article", "main"):
         return False
-    return any(word in _NAMES for word in _NAME.findall(node.name))
+    return any(map(_names_furniture, node.name.split()))
+
+
+@lru_cache(maxsize=4096)
+def _names_furniture(name: str) -> bool:
+    words = _NAME.findall(name)
+    return any(w in _NAMES for w in words) and all(w in _NAMES or w in _LAYOUT for w in words)
 
 
 def blocks(node: Node, skipped: frozenset[int] = frozenset()) -> list[str]:
@@ -408,9 +423,6 @@ class Wrapper:
                 continue
             classes = copies()
             n_total, n_most = len({classes[p] for p in total}), len({classes[p] for p in most})
-            if n_total == 1 and len(total) >= SUPPORT:
-                # All alike: so many pages with little text of their own, rather than copies.
-                n_total, n_most = len(total), len(most)
             if n_most >= 2 and n_most >= CONSTANT * n_total:
                 found.add(id(node))
         return frozenset(found)
@@ -484,11 +496,16 @@ def main_text(pages: DataFrame, scratch: Scratch) -> DataFrame:
     host = F.lower(F.regexp_extract("url", r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/@?#]*@)?([^/:?#]*)", 1))
     known = pages.select(F.col("page_id").cast("long"), "url", "html", F.coalesce(host, F.lit("")).alias("host"))
     counts = known.groupBy("host").agg(F.ceil(F.count("*") / GROUP).alias("groups"))
-    placed = known.withColumn("place", F.xxhash64(F.monotonically_increasing_id()))
-    dealt = placed.join(scratch.keep("hosts", counts), "host").withColumn("part", F.pmod("place", "groups"))
+    placed = known.withColumn("place", F.xxhash64("url", "page_id"))
+    # Repeated rows would fill one group. They are few, or the table is small: urls and ids are counted without the pages.
+    often = known.withColumn("place", F.xxhash64("url", "page_id")).groupBy("place").agg(F.count("*").alias("times"))
+    often = scratch.keep("repeated", often.where(F.col("times") > GROUP).select("place", F.lit(True).alias("often")))
+    dealt = placed.join(scratch.keep("hosts", counts), "host").join(often, "place", "left")
+    by = F.when(F.col("often"), F.xxhash64(F.monotonically_increasing_id())).otherwise(F.col("place"))
+    dealt = dealt.withColumn("part", F.pmod(by, "groups")).drop("often", "groups")
 
     def induce(group: pa.Table) -> pa.Table:
-        order = sorted(range(group.num_rows), key=group.column("place").to_pylist().__getitem__)
+        order = pc.sort_indices(group, [("place", "ascending"), ("html", "ascending")])
         group = group.take(order)
         texts = pa.array(extract(group.column("html").to_pylist()), pa.string())
         return pa.table([group.column("page_id"), group.column("url"), texts], names=["page_id", "url", "text"])

@@ -92,3 +92,11 @@ def sliced(rows: Iterable[pa.RecordBatch], most: int, column: str = "text") -> I
             end = max(start + 1, int(np.searchsorted(ends, full + most, "right")))
             yield batch.slice(start, end - start)
             start = end
+
+
+def free_name(columns: Iterable[str], name: str) -> str:
+    """``name``, longer by as many underscores as it takes to be none of the columns in any case."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

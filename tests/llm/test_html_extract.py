@@ -134,3 +134,41 @@ def test_two_pages_are_enough_unless_one_is_a_copy():
     many = [f"<body><article>{same}<p>Edit {i}</p></article></body>" for i in range(40)]
     others = [f"<body><article><p>Other {i}</p><p>Story {i}</p></article></body>" for i in range(3)]
     assert all(t.startswith("Paragraph 0") for t in extract.extract([*many, *others])[:40])
+
+
+@pytest.mark.parametrize("count", [2, 7, 8, 12, 100])
+def test_mirrored_articles_keep_their_text(count):
+    same = "".join(f"<p>Paragraph {k} of an article that all mirrors of the host hold.</p>" for k in range(6))
+    pages = [f"<body><nav>Home</nav><article><h1>Mirror {i}</h1>{same}</article></body>" for i in range(count)]
+    for i, text in enumerate(extract.extract(pages)):
+        assert text.startswith(f"Mirror {i} Paragraph 0") and text.endswith("Paragraph 5 of an article that all mirrors of the host hold.")
+
+
+@pytest.mark.parametrize("part", ["<div class='legal-analysis'>In court.</div>", "<section class='related-work'>In court.</section>"])
+def test_one_word_of_a_class_does_not_cut_content(part):
+    assert extract.extract([f"<body><article><p>Start.</p>{part}<p>End.</p></article></body>"]) == ["Start. In court. End."]
+
+
+@pytest.mark.parametrize("name", ["share-links", "cookie_notice", "ad-slot-2", "comments", "comment-list", "post newsletter-box", "sidebar-left"])
+def test_names_of_furniture_alone_cut(name):
+    assert extract.extract([f"<body><article><p>Start.</p><div class='{name}'>No.</div><p>End.</p></article></body>"]) == ["Start. End."]
+
+
+def test_the_wrapper_decides_where_no_name_tells():
+    """Without the alignment, furniture without a telling tag or class stays."""
+    pages = [f"<body><div class='x'>The daily page</div><div class='y'><p>Story {i} goes on for a while, {i}.</p></div></body>" for i in range(9)]
+    assert extract.extract(pages) == [f"Story {i} goes on for a while, {i}." for i in range(9)]
+    assert [extract.extract([p])[0] for p in pages] == [f"The daily page Story {i} goes on for a while, {i}." for i in range(9)]
+
+
+def test_groups_do_not_depend_on_how_the_table_is_stored(docs, spark):
+    from cohortgram.plans.storage import Scratch
+
+    rows = [(i, f"http://h.example/{i}", f"<body><div>Note {i % 70}</div><p>Text {i} of {i * 7}</p></body>") for i in range(200)]
+    rows += [(7, "http://h.example/7", rows[7][2])] * 150
+    frame = docs(rows, PAGES)
+    first, second = (
+        sorted((r.page_id, r.text) for r in extract.main_text(frame.repartition(n), Scratch(spark)).collect()) for n in (1, 7)
+    )
+    alone = [x for x in first if x[0] != 7]
+    assert alone == [x for x in second if x[0] != 7] and len(first) == len(second) == 350
