@@ -8,10 +8,10 @@ and that end there. One line may be common, such a run is not, unless its text i
 lies in one that the block holds. Each hash pairs the documents that have it with the first of them alone, so pairs are never more than lines,
 however many documents share a passage. No run is too frequent to count.
 
-The line hashes of a pair are aligned by patience diff: lines unique in both documents, in their longest common
-order, are anchors; equal lines beside anchors join them; the gaps between are aligned in turn. Aligned
-blocks are deleted from the later document. An alignment passes over blocks that stand in another order or
-more than once, so every run of MIN_WORDS words of the later document that the earlier one has anywhere goes too.
+A pair is aligned by patience diff: runs of MIN_WORDS words that both documents have once, in their longest common order, are anchors;
+equal lines beside anchors join them; the gaps between are aligned in turn, those without such an anchor from the first run that both
+have. Aligned blocks are deleted from the later document with all their copies, and the documents are aligned again until the
+alignment has met every run they share, which takes blocks that stand in another order.
 
 Documents are ordered by ``doc_id``. A null or empty text has no lines. Rows with a null ``doc_id`` are left as
 they are, and delete nothing. Rows with equal ids do not delete from each other. Other columns are kept; no rows
@@ -30,10 +30,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from cohortgram.llm import memory
-from cohortgram.llm.text import alnum_words, mixed, parts
+from cohortgram.llm.text import alnum_words, free_name, mixed, parts
 from cohortgram.plans.storage import Scratch
 
 #: Words a shared block must have.
@@ -45,6 +44,7 @@ _INVERSE = pow(_BASE, -1, 1 << 64)
 
 _LINES = "doc_id long, version long, hashes binary, words binary"
 _RUNS = "run long, doc_id long"
+_CUT = "text string, n_lines long, n_deleted long"
 
 
 def lines_of(text: str) -> list[str]:
@@ -83,11 +83,26 @@ def run_hashes(hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.n
         return mixed((sums[ends] - sums[starts]) * back[starts] + (ends - starts).astype(np.uint64))
 
 
-def _anchors(a: list, b: list, a_from: int, a_to: int, b_from: int, b_to: int) -> list[tuple[int, int]]:
-    """Places of lines unique on both sides, in their longest common order."""
-    once_a, once_b = Counter(a[a_from:a_to]), Counter(b[b_from:b_to])
-    in_b = {line: j for j, line in enumerate(b[b_from:b_to], b_from) if once_b[line] == 1}
-    both = [(i, in_b[a[i]]) for i in range(a_from, a_to) if once_a[a[i]] == 1 and a[i] in in_b]
+#: A run of lines: where it starts and ends, and its hash.
+Run = tuple[int, int, int]
+
+
+def _inside(runs: list[Run], first: int, last: int) -> list[Run]:
+    """The runs, ordered by start, that lie within a region."""
+    found = runs[bisect_left(runs, (first,)) : bisect_left(runs, (last,))]
+    return [r for r in found if r[1] <= last]
+
+
+def _anchors(a: list[Run], b: list[Run]) -> list[tuple[int, int]]:
+    """Starts of runs that stand once on either side, in their longest common order.
+
+    Where there is none, the first run that stands on both sides at all, at its first place on each.
+    """
+    times_a, times_b = Counter(h for _, _, h in a), Counter(h for _, _, h in b)
+    in_b = {h: start for start, _, h in reversed(b)}
+    both = [(start, in_b[h]) for start, _, h in a if times_a[h] == 1 and times_b[h] == 1]
+    if not both:
+        return next(([(start, in_b[h])] for start, _, h in a if h in in_b), [])
     tails: list[int] = []
     at: list[int] = []
     before: list[int | None] = []
@@ -106,62 +121,74 @@ def _anchors(a: list, b: list, a_from: int, a_to: int, b_from: int, b_to: int) -
     return chain[::-1]
 
 
-def patience(a: list, b: list) -> list[tuple[int, int]]:
-    """Aligned places of equal lines, ascending."""
-    aligned, open_regions = [], [(0, len(a), 0, len(b))]
+def patience(a: list[int], b: list[int], a_runs: list[Run], b_runs: list[Run]) -> list[tuple[int, int]]:
+    """Blocks ``[from, to)`` of ``a`` that an alignment with ``b`` holds, ascending.
+
+    Anchors are shared runs; each grows both ways over equal lines, and the regions between are aligned in turn.
+    """
+    blocks, open_regions = [], [(0, len(a), 0, len(b))]
     while open_regions:
         a_from, a_to, b_from, b_to = open_regions.pop()
-        while a_from < a_to and b_from < b_to and a[a_from] == b[b_from]:
-            aligned.append((a_from, b_from))
-            a_from, b_from = a_from + 1, b_from + 1
-        while a_from < a_to and b_from < b_to and a[a_to - 1] == b[b_to - 1]:
-            a_to, b_to = a_to - 1, b_to - 1
-            aligned.append((a_to, b_to))
-        if a_from == a_to or b_from == b_to:
-            continue
-        anchors = _anchors(a, b, a_from, a_to, b_from, b_to)
+        anchors = _anchors(_inside(a_runs, a_from, a_to), _inside(b_runs, b_from, b_to))
         if not anchors:
             continue
         x, y = a_from, b_from
         for i, j in anchors:
-            # Up to the anchor; the anchor itself starts the next region, as its common prefix.
+            if i < x or j < y:
+                continue  # lies in the block before
+            while i > x and j > y and a[i - 1] == b[j - 1]:
+                i, j = i - 1, j - 1
             open_regions.append((x, i, y, j))
+            start = i
+            while i < a_to and j < b_to and a[i] == b[j]:
+                i, j = i + 1, j + 1
+            blocks.append((start, i))
             x, y = i, j
         open_regions.append((x, a_to, y, b_to))
-    return sorted(aligned)
+    return sorted(blocks)
 
 
 def shared_blocks(later: np.ndarray, words: np.ndarray, earlier: np.ndarray) -> list[tuple[int, int]]:
-    """Runs ``[from, to)`` of the later document to delete."""
-    blocks: list[list[int]] = []
-    for i, j in patience(later.tolist(), earlier.tolist()):
-        if blocks and blocks[-1][1] == i and blocks[-1][2] == j:
-            blocks[-1][1:] = i + 1, j + 1
-        else:
-            blocks.append([i, i + 1, j + 1])
-    gone = np.zeros(len(later), bool)
-    for x, y, _ in blocks:
-        if words[x:y].sum() >= MIN_WORDS:
-            gone[x:y] = True
-    if not gone.all():
-        # What no one alignment can hold: blocks in another order, and all copies of one.
-        for x, y in _shared_runs(later, words, earlier):
+    """Runs ``[from, to)`` of the later document to delete.
+
+    The documents are aligned, the aligned blocks go with all their copies, and what is left is aligned again until no run of the later
+    document that the earlier one has anywhere is left in whole or in part.
+    """
+    mine, theirs = _runs_of_both(later, words, earlier)
+    a, b = later.tolist(), earlier.tolist()
+    gone = np.zeros(len(a), bool)
+    open_ = mine
+    while open_:
+        found = patience(a, b, open_, theirs)
+        if not found:
+            break
+        for x, y in found:
             gone[x:y] = True
+        # Runs within an aligned block go wherever they stand.
+        starts = [x for x, _ in found]
+        aligned = {h for s, e, h in mine if (k := bisect_left(starts, s + 1)) and e <= found[k - 1][1]}
+        for s, e, h in mine:
+            if h in aligned:
+                gone[s:e] = True
+        open_ = [r for r in open_ if not gone[r[0] : r[1]].all()]
     edges = np.flatnonzero(np.diff(gone.astype(np.int8), prepend=0, append=0))
     return list(zip(edges[::2].tolist(), edges[1::2].tolist()))
 
 
-def _shared_runs(later: np.ndarray, words: np.ndarray, earlier: np.ndarray) -> list[tuple[int, int]]:
-    """The shortest runs of the later document that stand anywhere in the earlier one."""
+def _runs_of_both(later: np.ndarray, words: np.ndarray, earlier: np.ndarray) -> tuple[list[Run], list[Run]]:
+    """The shortest runs that both documents have, of each of them, by start."""
     lines, first = np.unique(later, return_index=True)
-    at = np.minimum(np.searchsorted(lines, earlier), len(lines) - 1)
+    at = np.minimum(np.searchsorted(lines, earlier), len(lines) - 1) if len(lines) else np.zeros(len(earlier), np.int64)
     # Equal lines have equal words; a line the later document lacks is in no shared run, whatever its words.
-    there = np.where(lines[at] == earlier, words[first[at]], np.uint32(0))
+    there = np.where(lines[at] == earlier, words[first[at]], np.uint32(0)) if len(lines) else np.zeros(len(earlier), np.uint32)
     starts, ends = shortest_runs(np.concatenate([words, there]), [len(later), len(earlier)])
     runs = run_hashes(np.concatenate([later, earlier]), starts, ends)
     own = starts < len(later)
-    shared = np.isin(runs[own], runs[~own])
-    return list(zip(starts[own][shared].tolist(), ends[own][shared].tolist()))
+    out = []
+    for side, other, base in ((own, ~own, 0), (~own, own, len(later))):
+        shared = np.flatnonzero(side)[np.isin(runs[side], runs[other])]
+        out.append(sorted(set(zip((starts[shared] - base).tolist(), (ends[shared] - base).tolist(), runs[shared].tolist()))))
+    return out[0], out[1]
 
 
 def _hash_lines(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -217,27 +244,36 @@ def find_blocks(docs: DataFrame, scratch: Scratch) -> DataFrame:
     return scratch.keep("blocks", found)
 
 
-def without_shared_blocks(docs: DataFrame, scratch: Scratch) -> DataFrame:
-    """The rows with the blocks deleted from ``text``, and ``n_lines`` and ``n_deleted`` beside it."""
+def without_shared_blocks(
+    docs: DataFrame, scratch: Scratch, counts: tuple[str, str] = ("n_lines", "n_deleted")
+) -> DataFrame:
+    """The rows with the blocks deleted from ``text``, and the number of lines and of deleted ones as ``counts``.
+
+    Columns of those names are replaced; all others are kept.
+    """
     blocks = find_blocks(docs, scratch)
-    marked = docs.withColumn("_doc", F.col("doc_id").cast("long")).withColumn("_version", F.xxhash64("text"))
-    found = blocks.select(F.col("doc_id").alias("_doc"), F.col("version").alias("_version"), F.col("blocks").alias("_blocks"))
+    doc, version, places, done = (free_name(docs.columns, n) for n in ("_doc", "_version", "_blocks", "_done"))
+    marked = docs.withColumn(doc, F.col("doc_id").cast("long")).withColumn(version, F.xxhash64("text"))
+    found = blocks.select(F.col("doc_id").alias(doc), F.col("version").alias(version), F.col("blocks").alias(places))
     # The same plan at every size: a few shared passages are no reason to send them to all tasks.
-    joined = marked.join(found.hint("merge"), ["_doc", "_version"], "left").drop("_doc", "_version")
-    counts = [c for c in ("n_lines", "n_deleted") if c in docs.columns]
-    schema = StructType([*docs.drop(*counts).schema.fields]).add("n_lines", "long").add("n_deleted", "long")
+    joined = marked.join(found.hint("merge"), [doc, version], "left").drop(doc, version)
 
-    def cut(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @F.arrow_udf(_CUT)
+    def cut(pairs: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         memory.begin("line_dedup")
-        for batch in parts(rows):
-            texts, n_lines, n_deleted = [], [], []
-            for text, found in zip(batch.column("text").to_pylist(), batch.column("_blocks").to_pylist()):
+        for texts, found in pairs:
+            out: list[list] = [[], [], []]
+            for text, own in zip(texts, found):
+                text, own = text.as_py(), own.as_py()
                 lines = lines_of(text or "")
-                gone = {i for block in found or () for i in range(block["start"], block["end"])}
-                texts.append("".join(line for i, line in enumerate(lines) if i not in gone) if gone else text)
-                n_lines.append(len(lines))
-                n_deleted.append(len(gone))
-            kept = [pa.array(texts, pa.string()) if f.name == "text" else batch.column(f.name) for f in schema.fields[:-2]]
-            yield pa.record_batch([*kept, pa.array(n_lines, pa.int64()), pa.array(n_deleted, pa.int64())], names=schema.names)
-
-    return joined.mapInArrow(cut, schema)
+                gone = {i for block in own or () for i in range(block["start"], block["end"])}
+                out[0].append("".join(line for i, line in enumerate(lines) if i not in gone) if gone else text)
+                out[1].append(len(lines))
+                out[2].append(len(gone))
+            arrays = [pa.array(out[0], pa.string()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int64())]
+            yield pa.StructArray.from_arrays(arrays, names=["text", "n_lines", "n_deleted"])
+
+    # Text and blocks go to Python; the other columns stay where they are.
+    cut_rows = joined.withColumn(done, cut("text", places))
+    kept = [F.col(f"{done}.text").alias(c) if c == "text" else F.col(f"`{c}`") for c in docs.columns if c not in counts]
+    return cut_rows.select(*kept, F.col(f"{done}.n_lines").alias(counts[0]), F.col(f"{done}.n_deleted").alias(counts[1]))

@@ -73,19 +73,40 @@ def test_shared_blocks_go_and_nothing_else(docs, corpus, scratch):
         assert set(left) <= earlier
 
 
-def test_patience_against_longest_common_subsequence():
+def test_alignment_keeps_the_order_of_both():
+    """All lines are runs of their own and unique, so the anchors are a longest common subsequence."""
     choose = random.Random(9)
     for _ in range(200):
         a = choose.sample(range(30), 20)
         b = sorted(a, key=lambda x: a.index(x) + choose.random() * 6)[: choose.randint(5, 20)]
-        pairs = line_dedup.patience(a, b)
-        assert all(a[i] == b[j] for i, j in pairs)
-        assert all(x[0] < y[0] and x[1] < y[1] for x, y in zip(pairs, pairs[1:]))
+        runs_a, runs_b = ([(i, i + 1, x) for i, x in enumerate(side)] for side in (a, b))
+        blocks = line_dedup.patience(a, b, [r for r in runs_a if r[2] in b], runs_b)
+        taken = [a[i] for x, y in blocks for i in range(x, y)]
+        assert sorted(taken, key=b.index) == taken
         table = np.zeros((21, len(b) + 1), int)
         for i in range(20):
             for j in range(len(b)):
                 table[i + 1, j + 1] = table[i, j] + 1 if a[i] == b[j] else max(table[i, j + 1], table[i + 1, j])
-        assert len(pairs) == table[-1, -1]  # all lines are unique here
+        assert len(taken) == table[-1, -1]
+
+
+def test_without_the_alignment_nothing_goes(monkeypatch):
+    rows = [line_dedup.line_hashes(lines("p", 8, 8, 8, 8)) for _ in range(2)]
+    (later, words), (earlier, _) = rows
+    assert line_dedup.shared_blocks(later, words, earlier) == [(0, 4)]
+    monkeypatch.setattr(line_dedup, "patience", lambda *_: [])
+    assert line_dedup.shared_blocks(later, words, earlier) == []
+
+
+def test_blocks_of_any_two_documents_against_all_common_blocks():
+    """Few lines, so that they repeat, move and overlap in every way."""
+    choose = random.Random(12)
+    pool = lines("p", 3, 6, 9, 11, 21, 0, 1)
+    for _ in range(600):
+        texts = ["\n".join(choose.choice(pool) for _ in range(choose.randint(0, 14))) for _ in range(2)]
+        (earlier, _), (later, words) = (line_dedup.line_hashes(line_dedup.lines_of(t)) for t in texts)
+        found = {i for x, y in line_dedup.shared_blocks(later, words, earlier) for i in range(x, y)}
+        assert found == in_common_blocks(texts)[1]
 
 
 def test_null_ids_repeated_rows_and_clashing_names(docs, scratch, prose):
@@ -98,6 +119,15 @@ def test_null_ids_repeated_rows_and_clashing_names(docs, scratch, prose):
     assert found == sorted([(5, text), (5, text), (None, text), (7, ""), (3, None), (9, "Before it. ")], key=repr)
 
 
+@pytest.mark.parametrize("name", ["_doc", "_version", "_blocks", "_done", "_DOC", "version", "n_Lines_", "start"])
+def test_columns_of_any_name_are_kept(docs, scratch, prose, name):
+    text = " ".join(prose(40))
+    frame = docs([(1, text, 7), (2, text + " More of it.", None), (3, None, 9)], f"doc_id long, text string, `{name}` long")
+    got = line_dedup.without_shared_blocks(frame, scratch)
+    assert got.columns == [*frame.columns, "n_lines", "n_deleted"]
+    assert sorted(((r.doc_id, r[2]) for r in got.collect())) == [(1, 7), (2, None), (3, 9)]
+
+
 def test_no_rows(docs, scratch):
     assert line_dedup.without_shared_blocks(docs([]), scratch).count() == 0
 
