@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructType
 
 from cohortgram.llm import memory
-from cohortgram.llm.text import WORDS, alnum_words, shingle_hashes
+from cohortgram.llm.text import WORDS, alnum_words, free_name, shingle_hashes
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -219,13 +219,6 @@ def with_hits(docs: DataFrame, items: list[tuple], column: str) -> DataFrame:
     return docs.withColumn(column, look("text"))
 
 
-def _free_name(columns: list[str]) -> str:
-    name = "_hits"
-    while name in columns:
-        name += "_"
-    return name
-
-
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``doc_id, item_id, start, n_words, similarity``: the best window per row and benchmark item it holds."""
     docs = docs.select(F.col("doc_id").cast("long"), "text")
@@ -240,7 +233,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows without any benchmark item, all columns as they are."""
-    name = _free_name(docs.columns)
+    name = free_name(docs.columns, "_hits")
     for items in chunks(benchmark):
         docs = with_hits(docs, items, name).where(F.size(name) == 0).drop(name)
     return docs

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from cohortgram.llm import memory
 from cohortgram.llm.components import components
-from cohortgram.llm.text import WORDS, alnum_words, mixed, parts, shingle_hashes, spaced_words, texts_of
+from cohortgram.llm.text import WORDS, alnum_words, free_name, mixed, parts, shingle_hashes, spaced_words, texts_of
 from cohortgram.plans.storage import Scratch
 
 GROUPS = 8
@@ -340,12 +340,13 @@ def without_copies(docs: DataFrame, scratch: Scratch, size: int = 5, percent: in
     found = near_duplicates(docs, scratch, size, percent, letters_only=True).where("kept")
     one = found.where("component IS NOT NULL").groupBy("component").agg(F.min(F.struct("doc_id", "version")).alias("row"))
     rows = one.select("row.*").union(found.where("component IS NULL").select("doc_id", "version").distinct())
-    key = [F.coalesce("doc_id", F.lit(0).cast("long")).alias("_id"), F.xxhash64("version", F.col("doc_id").isNull()).alias("_version")]
+    id_, version, place = (free_name(docs.columns, n) for n in ("_id", "_version", "_place"))
+    key = [F.coalesce("doc_id", F.lit(0).cast("long")).alias(id_), F.xxhash64("version", F.col("doc_id").isNull()).alias(version)]
     kept = scratch.keep("kept", rows.select(*key))
     # Repeated rows are limited to one in each task before the shuffle, which also serves the join.
-    keyed = docs.withColumn("_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(0).cast("long"))).withColumn(
-        "_version", F.xxhash64(F.xxhash64("text"), F.col("doc_id").isNull())
+    keyed = docs.withColumn(id_, F.coalesce(F.col("doc_id").cast("long"), F.lit(0).cast("long"))).withColumn(
+        version, F.xxhash64(F.xxhash64("text"), F.col("doc_id").isNull())
     )
-    single = Window.partitionBy("_id", "_version").orderBy("_version")
-    distinct = keyed.withColumn("_place", F.row_number().over(single)).where("_place = 1").drop("_place")
-    return distinct.join(kept, ["_id", "_version"], "left_semi").select(*docs.columns)
+    single = Window.partitionBy(id_, version).orderBy(version)
+    distinct = keyed.withColumn(place, F.row_number().over(single)).where(F.col(place) == 1).drop(place)
+    return distinct.join(kept, [id_, version], "left_semi").select(*docs.columns)

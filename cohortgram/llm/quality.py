@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortgram.llm import memory
-from cohortgram.llm.text import parts, sliced, texts_of
+from cohortgram.llm.text import free_name, parts, sliced, texts_of
 
 PASSAGE = 64
 SAMPLE = 3000
@@ -283,7 +283,5 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows that score as label 1, all columns as they are."""
-    name = "_score"
-    while name in docs.columns:
-        name += "_"
+    name = free_name(docs.columns, "_score")
     return with_scores(docs, train(docs, labels), name).where(F.col(name) >= CUT).drop(name)

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from cohortgram.llm import decontaminate, line_dedup, near_dedup, packing, quality
 from cohortgram.llm.registry import WORD_BPE, table, tokenizer
+from cohortgram.llm.text import free_name
 from cohortgram.plans.storage import Scratch
 
 
@@ -30,11 +31,13 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = line_dedup.without_shared_blocks(docs, Scratch(spark))
-    kept = found.where((F.col("n_deleted") == 0) | F.col("text").rlike(r"[^\s\p{Punct}]"))
+    n_lines, n_deleted = (free_name(docs.columns, n) for n in ("_n_lines", "_n_deleted"))
+    found = line_dedup.without_shared_blocks(docs, Scratch(spark), (n_lines, n_deleted))
+    whole = F.col(n_deleted) == 0
+    kept = found.where(whole | F.col("text").rlike(r"[^\s\p{Punct}]"))
     if "n_chars" in docs.columns:
         cut = F.length("text").cast(docs.schema["n_chars"].dataType)
-        kept = kept.withColumn("n_chars", F.when(F.col("n_deleted") == 0, F.col("n_chars")).otherwise(cut))
+        kept = kept.withColumn("n_chars", F.when(whole, F.col("n_chars")).otherwise(cut))
     return kept.select(*docs.columns)
 
 

@@ -96,6 +96,15 @@ def test_one_row_of_each_group_stays(docs, scratch, prose):
     assert sorted(r.doc_id for r in got.collect()) == [1, 2, 7, 8, 9]
 
 
+@pytest.mark.parametrize("name", ["_id", "_version", "_place", "_ID", "version", "row", "doc"])
+def test_columns_of_any_name_are_kept(docs, scratch, prose, name):
+    text = " ".join(prose(40))
+    frame = docs([(1, text, 7), (2, text, 8), (3, None, None), (4, "other", None)], f"doc_id long, text string, `{name}` long")
+    got = near_dedup.without_copies(frame, scratch)
+    assert got.columns == frame.columns
+    assert sorted((r.doc_id, r[2]) for r in got.collect()) == [(1, 7), (3, None), (4, None)]
+
+
 def test_tables_pair_the_groups_of_two_collections():
     first = np.arange(32, dtype=np.uint32)
     second = first.copy()

@@ -99,19 +99,22 @@ def test_packing_packs_what_is_left(stages):
 
 def test_odd_rows_pass_every_stage(spark):
     """Nulls in every column, empty and long texts, repeated rows, names the operators use themselves."""
-    schema = "doc_id long, text string, lang string, source string, n_chars long, version long, _hits string, place int"
+    schema = "doc_id long, text string, lang string, source string, n_chars long, version long, _hits string, place int, _id long, _version long, _place long, _doc long, _blocks string, n_lines long"
     rows = [
-        (None, None, None, None, None, None, None, None),
-        (1, "", "en", "s", 0, 1, "x", 1),
-        (2, "One short text.", "en", "s", 15, 1, "x", 1),
-        (2, "One short text.", "en", "s", 15, 1, "x", 1),
-        (3, "Words that go on and on here. " * 8000, "en", "s", 240000, 1, "x", 1),
+        (None,) * 14,
+        (1, "", "en", "s", 0, 1, "x", 1, 5, 6, 7, 8, "b", 9),
+        (2, "One short text.", "en", "s", 15, 1, "x", 1, 5, 6, 7, 8, "b", 9),
+        (2, "One short text.", "en", "s", 15, 1, "x", 1, 5, 6, 7, 8, "b", 9),
+        (3, "Words that go on and on here. " * 8000, "en", "s", 240000, 1, "x", 1, 5, 6, 7, 8, "b", 9),
     ]
     for given in (rows, []):
         docs = spark.createDataFrame(given, schema)
         for name, stage in corpus_pipeline.STAGES:
             before, docs = docs, Scratch(spark).keep(name, stage(spark, docs, SMALL))
             assert name == "packing" or docs.columns == before.columns
+            if given and name != "packing":
+                kept = docs.where("doc_id = 2").first()
+                assert tuple(kept[-8:]) == ("x", 1, 5, 6, 7, 8, "b", 9)
         assert docs.count() == 0 if not given else docs.where("doc_id = 2").count() == 1
 
 
