@@ -214,6 +214,7 @@ def with_hits(docs: DataFrame, items: list[tuple], column: str) -> DataFrame:
         for array in texts:
             hits = [index.hits(t.as_py()) for t in array]
             yield pa.array(hits, _HIT)
+        memory.release()
 
     # The texts go to Python and the hits come back; the other columns stay where they are.
     return docs.withColumn(column, look("text"))

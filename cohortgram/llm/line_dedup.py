@@ -272,6 +272,7 @@ def without_shared_blocks(
                 out[2].append(len(gone))
             arrays = [pa.array(out[0], pa.string()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int64())]
             yield pa.StructArray.from_arrays(arrays, names=["text", "n_lines", "n_deleted"])
+        memory.release()
 
     # Text and blocks go to Python; the other columns stay where they are.
     cut_rows = joined.withColumn(done, cut("text", places))

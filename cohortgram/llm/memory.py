@@ -10,6 +10,12 @@ import ctypes
 from collections.abc import Callable
 
 import pyarrow as pa
+from pyspark.sql import SparkSession
+
+#: Rows of an Arrow batch between the JVM and Python, where whole texts travel: at 10,000, Spark's own number, both sides hold tens of MB
+#: a task, and the JVM keeps what it has once taken.
+BATCH_ROWS = "500"
+_BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 _clear: list[Callable[[], None]] = []
 _working: list[str] = [""]
@@ -35,3 +41,9 @@ def release() -> None:
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
     if trim is not None:
         trim(0)
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Lowers the rows of an Arrow batch for the session, unless they are set lower."""
+    if not 0 < int(spark.conf.get(_BATCH_SETTING)) <= int(BATCH_ROWS):
+        spark.conf.set(_BATCH_SETTING, BATCH_ROWS)

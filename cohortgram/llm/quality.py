@@ -269,6 +269,7 @@ def with_scores(docs: DataFrame, model: AttentionModel | Constant, column: str)
                 starts = np.cumsum([0, *map(len, bags[:-1])])
                 found.append(model.score(np.concatenate(bags), starts))
             yield pa.array(np.concatenate(found), pa.float64())
+        memory.release()
 
     # The texts go to Python and the scores come back; the other columns stay where they are.
     return docs.withColumn(column, score("text"))

@@ -80,6 +80,7 @@ def parts(rows: Iterable[pa.RecordBatch], size: int = 256) -> Iterator[pa.Record
     for batch in rows:
         for start in range(0, batch.num_rows, size):
             yield batch.slice(start, size)
+    memory.release()
 
 
 def sliced(rows: Iterable[pa.RecordBatch], most: int, column: str = "text") -> Iterator[pa.RecordBatch]:

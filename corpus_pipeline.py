@@ -11,6 +11,8 @@ Parquet to the shared folder and reads again for the next. All but the last retu
 4. decontamination: documents that hold a benchmark item go.
 5. packing: the pieces of what is left in windows of 4096 tokens, as ``op4_packing`` returns them.
 
+Each stage lowers the session's rows per Arrow batch (``memory.small_batches``), which bounds what JVM and workers hold of texts on their way.
+
 Empty texts pass the first four stages. Rows with a null ``doc_id`` are kept by stage 2 as they are; in stage
 3 they take part, and one of a group of such rows alone stays. ``n_chars`` follows the text where it is cut.
 """
@@ -20,17 +22,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortgram.llm import decontaminate, line_dedup, near_dedup, packing, quality
+from cohortgram.llm import decontaminate, line_dedup, memory, near_dedup, packing, quality
 from cohortgram.llm.registry import WORD_BPE, table, tokenizer
 from cohortgram.llm.text import free_name
 from cohortgram.plans.storage import Scratch
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    memory.small_batches(spark)
     return quality.accepted(docs, table(spark, sf_dir, "labels"))
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    memory.small_batches(spark)
     n_lines, n_deleted = (free_name(docs.columns, n) for n in ("_n_lines", "_n_deleted"))
     found = line_dedup.without_shared_blocks(docs, Scratch(spark), (n_lines, n_deleted))
     whole = F.col(n_deleted) == 0
@@ -42,14 +46,17 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    memory.small_batches(spark)
     return near_dedup.without_copies(docs, Scratch(spark))
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    memory.small_batches(spark)
     return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    memory.small_batches(spark)
     return packing.pack_documents(docs, Scratch(spark), tokenizer(WORD_BPE), end_id=2)
 
 
