@@ -11,8 +11,9 @@ sum of minima / sum of maxima of the counts, ``THRESHOLD`` or more. Two lists of
 Windows that share no shingle with any item of their length have similarity 0 with all of them; no fingerprint is made
 for these.
 
-The benchmark is read in chunks of at most ``CHUNK_WORDS`` words (one item if it is longer), sent to the tasks one after the other;
-each chunk is one pass over the documents, without a shuffle. The documents are never collected.
+The benchmark is stored in the shared folder and read there by the tasks, in chunks of at most ``CHUNK_ITEMS`` items and ``CHUNK_WORDS``
+words (one item if it is longer); it never goes through the driver. The documents are read once and not shuffled. A task holds the index of
+one chunk. Where there are more chunks, it holds ``GATHER`` bytes of text as well and looks these up in one chunk after the other.
 
 Words are runs of letters and digits, lower-cased. An item or text with fewer words than a shingle has one shingle, its whole sequence; without words it
 matches nothing. Null texts and items are empty. A text shorter than an item is its one window of it. Repeated items are each reported, repeated rows too.
@@ -23,27 +24,36 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Iterator
-from itertools import combinations
+from itertools import combinations, islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.fs as pafs
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructType
 
 from cohortgram.llm import memory
 from cohortgram.llm.text import WORDS, alnum_words, free_name, shingle_hashes
+from cohortgram.plans.storage import Scratch
 
 SHINGLE = 5
 THRESHOLD = 0.8
 BITS = 64
 PARTS = 4
 RADIUS = 22
-#: Words of the benchmark in a task's memory: a few hundred bytes each.
+#: Items and words of the benchmark in a task's memory. The index takes up to 120 KB an item, whatever its length, so 60 MB a chunk, and
+#: some 300 bytes a word, 30 MB.
+CHUNK_ITEMS = 500
 CHUNK_WORDS = 100_000
+#: Bytes of text that are looked up in a chunk before the next is read.
+GATHER = 32 << 20
 
 _PART = BITS // PARTS
 _TABLE = 20
+#: From so many items of one length on, their block values have a table of 65,536 offsets; fewer are found by bisection.
+_DIRECT = 16
 HITS = ArrayType(
     StructType().add("item_id", "long").add("start", "long").add("n_words", "long").add("similarity", "double")
 )
@@ -81,7 +91,11 @@ def _changes() -> np.ndarray:
     masks = [0]
     for n in range(1, RADIUS // PARTS + 1):
         masks += [sum(1 << b for b in bits) for bits in combinations(range(_PART), n)]
-    return np.array(masks, np.uint32)
+    return np.array(masks, np.uint16)
+
+
+def _blocks(prints: np.ndarray, part: int) -> np.ndarray:
+    return ((prints >> np.uint64(part * _PART)) & np.uint64((1 << _PART) - 1)).astype(np.uint16)
 
 
 class _SizeIndex:
@@ -90,23 +104,33 @@ class _SizeIndex:
     def __init__(self, prints: np.ndarray, masks: np.ndarray):
         self.prints = prints
         self.tables = []
+        numbers = np.arange(len(prints), dtype=np.uint16 if len(prints) <= 1 << 16 else np.int32)
         for part in range(PARTS):
-            own = (prints >> np.uint64(part * _PART)).astype(np.uint32) & np.uint32((1 << _PART) - 1)
-            values = (own[:, None] ^ masks[None, :]).ravel()
-            items = np.repeat(np.arange(len(prints), dtype=np.int32), len(masks))
+            values = (_blocks(prints, part)[:, None] ^ masks[None, :]).ravel()
             order = np.argsort(values, kind="stable")
-            offsets = np.searchsorted(values[order], np.arange((1 << _PART) + 1)).astype(np.int32)
-            self.tables.append((offsets, items[order]))
+            items = np.repeat(numbers, len(masks))[order]
+            if len(prints) < _DIRECT:
+                self.tables.append((values[order], items))
+            else:
+                counts = np.bincount(values, minlength=1 << _PART)
+                self.tables.append((np.concatenate([[0], np.cumsum(counts)]).astype(np.int32), items))
+
+    def _ranges(self, table: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where the items of each block value begin and end."""
+        if len(self.prints) < _DIRECT:
+            return np.searchsorted(table, values, "left"), np.searchsorted(table, values, "right")
+        at = values.astype(np.int64)
+        return table[at].astype(np.int64), table[at + 1].astype(np.int64)
 
     def near(self, prints: np.ndarray) -> np.ndarray:
         """Pairs (print, item) at most RADIUS bits apart, as rows."""
         found = []
-        for part, (offsets, items) in enumerate(self.tables):
-            values = (prints >> np.uint64(part * _PART)).astype(np.int64) & ((1 << _PART) - 1)
-            counts = offsets[values + 1] - offsets[values]
+        for part, (table, items) in enumerate(self.tables):
+            begin, end = self._ranges(table, _blocks(prints, part))
+            counts = end - begin
             which = np.repeat(np.arange(len(prints)), counts)
             inside = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
-            found.append(which * len(self.prints) + items[np.repeat(offsets[values], counts) + inside])
+            found.append(which * len(self.prints) + items[np.repeat(begin, counts) + inside].astype(np.int64))
         pairs = np.unique(np.concatenate(found))
         which, item = np.divmod(pairs, len(self.prints))
         apart = np.bitwise_count(prints[which] ^ self.prints[item])
@@ -189,31 +213,68 @@ def mixed_windows(words: np.ndarray, n: int) -> np.ndarray:
     return shingle_hashes(words, n) if len(words) >= n else np.empty(0, np.uint64)
 
 
-def chunks(benchmark: DataFrame) -> Iterator[list[tuple]]:
-    """The items in lists of at most CHUNK_WORDS words, read partition by partition."""
+def stored(benchmark: DataFrame) -> str:
+    """The folder of the items, as Parquet that every task can read."""
+    scratch = Scratch(benchmark.sparkSession)
+    items = benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string"))
+    scratch.keep("benchmark", items, rows=items.count())
+    return scratch.folder("benchmark")
+
+
+def chunks(folder: str, most_items: int, most_words: int) -> Iterator[list[tuple]]:
+    """The stored items in lists of at most so many items and words, read piece by piece."""
+    files, path = pafs.FileSystem.from_uri(folder)
+    names = sorted(f.path for f in files.get_file_info(pafs.FileSelector(path)) if f.path.endswith(".parquet"))
     chunk, words = [], 0
-    for row in benchmark.select(F.col("item_id").cast("long"), "text").toLocalIterator():
-        size = len((row["text"] or "").split())
-        if chunk and words + size > CHUNK_WORDS:
-            yield chunk
-            chunk, words = [], 0
-        chunk.append((row["item_id"], row["text"]))
-        words += size
+    for name in names:
+        with files.open_input_file(name) as source:
+            for batch in pq.ParquetFile(source, buffer_size=1 << 20).iter_batches(64, columns=["item_id", "text"]):
+                for item_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                    size = len((text or "").split())
+                    if chunk and (len(chunk) == most_items or words + size > most_words):
+                        yield chunk
+                        chunk, words = [], 0
+                    chunk.append((item_id, text))
+                    words += size
     if chunk:
         yield chunk
 
 
-def with_hits(docs: DataFrame, items: list[tuple], column: str) -> DataFrame:
-    """The rows with ``column``: the items of one chunk found in ``text``."""
-    shared = docs.sparkSession.sparkContext.broadcast(items)
+def gathered(texts: Iterator[pa.Array], most: int) -> Iterator[list[pa.Array]]:
+    """The arrays in lists of about ``most`` bytes."""
+    held, size = [], 0
+    for array in texts:
+        held.append(array)
+        size += array.nbytes
+        if size >= most:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
+def with_hits(docs: DataFrame, folder: str, column: str) -> DataFrame:
+    """The rows with ``column``: the stored items found in ``text``."""
+    limits, most = (CHUNK_ITEMS, CHUNK_WORDS), GATHER
 
     @F.arrow_udf(HITS)
     def look(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         memory.begin("decontaminate")
-        index = Benchmark(shared.value)
-        for array in texts:
-            hits = [index.hits(t.as_py()) for t in array]
-            yield pa.array(hits, _HIT)
+        first = list(islice(chunks(folder, *limits), 2))
+        if len(first) < 2:
+            index = Benchmark(first[0] if first else [])
+            for array in texts:
+                yield pa.array([index.hits(t.as_py()) for t in array], _HIT)
+        else:
+            del first
+            for arrays in gathered(texts, most):
+                hits = [[[] for _ in array] for array in arrays]
+                for items in chunks(folder, *limits):
+                    index = Benchmark(items)
+                    for array, found in zip(arrays, hits):
+                        for text, own in zip(array, found):
+                            own += index.hits(text.as_py())
+                yield from (pa.array(found, _HIT) for found in hits)
         memory.release()
 
     # The texts go to Python and the hits come back; the other columns stay where they are.
@@ -221,20 +282,12 @@ def with_hits(docs: DataFrame, items: list[tuple], column: str) -> DataFrame:
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``doc_id, item_id, start, n_words, similarity``: the best window per row and benchmark item it holds."""
-    docs = docs.select(F.col("doc_id").cast("long"), "text")
-    found = None
-    for items in chunks(benchmark):
-        hits = with_hits(docs, items, "hits").select("doc_id", F.explode("hits").alias("hit")).select("doc_id", "hit.*")
-        found = hits if found is None else found.union(hits)
-    if found is None:
-        return docs.sparkSession.createDataFrame([], "doc_id long, item_id long, start long, n_words long, similarity double")
-    return found
+    """``doc_id, item_id, start, n_words, similarity``: the best window per row and benchmark item it holds, the first of equal ones."""
+    found = with_hits(docs.select(F.col("doc_id").cast("long"), "text"), stored(benchmark), "hits")
+    return found.select("doc_id", F.explode("hits").alias("hit")).select("doc_id", "hit.*")
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows without any benchmark item, all columns as they are."""
     name = free_name(docs.columns, "_hits")
-    for items in chunks(benchmark):
-        docs = with_hits(docs, items, name).where(F.size(name) == 0).drop(name)
-    return docs
+    return with_hits(docs, stored(benchmark), name).where(F.size(name) == 0).drop(name)

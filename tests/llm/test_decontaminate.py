@@ -64,9 +64,16 @@ def test_agrees_with_all_windows(docs, corpus, items):
 def test_chunks_give_the_same(docs, corpus, items, monkeypatch):
     benchmark = docs(items, "item_id long, text string")
     whole = found(decontaminate.contaminated(docs(corpus), benchmark))
-    monkeypatch.setattr(decontaminate, "CHUNK_WORDS", 40)
-    assert len(list(decontaminate.chunks(benchmark))) > 3
-    assert found(decontaminate.contaminated(docs(corpus), benchmark)) == whole
+    folder = decontaminate.stored(benchmark)
+    for name, value, limits in (("CHUNK_WORDS", 40, (500, 40)), ("CHUNK_ITEMS", 2, (2, 100_000))):
+        with monkeypatch.context() as patch:
+            patch.setattr(decontaminate, name, value)
+            patch.setattr(decontaminate, "GATHER", 2000)
+            parts = list(decontaminate.chunks(folder, *limits))
+            assert len(parts) > 3 and sorted(i for p in parts for i, _ in p) == sorted(i for i, _ in items)
+            assert found(decontaminate.contaminated(docs(corpus), benchmark)) == whole
+            kept = decontaminate.clean(docs(corpus), benchmark)
+            assert {r.doc_id for r in kept.collect()} == {d for d, _ in corpus} - {d for d, _ in whole}
 
 
 def test_clean_keeps_rows_and_columns(docs, corpus, items):
@@ -84,15 +91,16 @@ def test_nothing_to_find(docs, items):
     assert decontaminate.contaminated(docs([]), docs(items, "item_id long, text string")).count() == 0
 
 
-def test_every_fingerprint_within_the_radius_is_found():
+@pytest.mark.parametrize("size", [1, decontaminate._DIRECT - 1, decontaminate._DIRECT, 50])
+def test_every_fingerprint_within_the_radius_is_found(size):
     random_ = np.random.default_rng(1)
-    prints = random_.integers(0, 2**63, 50, dtype=np.uint64)
+    prints = random_.integers(0, 2**63, size, dtype=np.uint64)
     index = decontaminate._SizeIndex(prints, decontaminate._changes())
     for flips in (0, 5, decontaminate.RADIUS, decontaminate.RADIUS + 1):
-        masks = [sum(1 << int(b) for b in random_.choice(64, flips, replace=False)) for _ in range(50)]
+        masks = [sum(1 << int(b) for b in random_.choice(64, flips, replace=False)) for _ in range(size)]
         near = index.near(prints ^ np.array(masks, np.uint64)).tolist()
         hits = {i for i, item in near if i == item}
-        assert hits == (set(range(50)) if flips <= decontaminate.RADIUS else set())
+        assert hits == (set(range(size)) if flips <= decontaminate.RADIUS else set())
 
 
 def test_items_with_words_taken_out_and_nothing_around_them(docs, items):
@@ -121,3 +129,13 @@ def test_items_with_words_taken_out_and_nothing_around_them(docs, items):
     assert found(got) == expected and len(expected) > 15
     assert all(r.start == 0 and r.n_words == len(words(rows[r.doc_id])) for r in got.collect())
     assert not decontaminate.clean(docs([(1, rows[-7])]), docs(items, "item_id long, text string")).count()
+
+
+@pytest.mark.parametrize("lengths", [[20] * 500, range(5, 505)], ids=["one_length", "all_lengths"])
+def test_a_chunk_of_most_items_stays_within_its_bound(lengths):
+    choose = random.Random(8)
+    items = [(i, " ".join(str(choose.random())[2:] for _ in range(n))) for i, n in enumerate(lengths)]
+    index = decontaminate.Benchmark(items[: decontaminate.CHUNK_ITEMS])
+    held = sum(a.nbytes for size in index.indexes.values() for table in size.tables for a in table)
+    assert held <= 120_000 * decontaminate.CHUNK_ITEMS
+    assert [h["item_id"] for h in index.hits(items[77][1])] == [77]
