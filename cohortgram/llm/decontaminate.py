@@ -284,7 +284,8 @@ def with_hits(docs: DataFrame, folder: str, column: str) -> DataFrame:
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``doc_id, item_id, start, n_words, similarity``: the best window per row and benchmark item it holds, the first of equal ones."""
     found = with_hits(docs.select(F.col("doc_id").cast("long"), "text"), stored(benchmark), "hits")
-    return found.select("doc_id", F.explode("hits").alias("hit")).select("doc_id", "hit.*")
+    # For a plain explode Spark filters on the list first, and for that looks up the texts with hits twice.
+    return found.select("doc_id", F.explode_outer("hits").alias("hit")).where("hit is not null").select("doc_id", "hit.*")
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

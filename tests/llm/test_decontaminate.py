@@ -139,3 +139,8 @@ def test_a_chunk_of_most_items_stays_within_its_bound(lengths):
     held = sum(a.nbytes for size in index.indexes.values() for table in size.tables for a in table)
     assert held <= 120_000 * decontaminate.CHUNK_ITEMS
     assert [h["item_id"] for h in index.hits(items[77][1])] == [77]
+
+
+def test_texts_are_looked_up_once(docs, corpus, items):
+    got = decontaminate.contaminated(docs(corpus), docs(items, "item_id long, text string"))
+    assert got._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
