@@ -274,7 +274,7 @@ def without_shared_blocks(
             yield pa.StructArray.from_arrays(arrays, names=["text", "n_lines", "n_deleted"])
         memory.release()
 
-    # Text and blocks go to Python; the other columns stay where they are.
-    cut_rows = joined.withColumn(done, cut("text", places))
+    # Text and blocks go to Python, once even where a caller filters by the counts; the other columns stay where they are.
+    cut_rows = joined.withColumn(done, cut.asNondeterministic()("text", places))
     kept = [F.col(f"{done}.text").alias(c) if c == "text" else F.col(f"`{c}`") for c in docs.columns if c not in counts]
     return cut_rows.select(*kept, F.col(f"{done}.n_lines").alias(counts[0]), F.col(f"{done}.n_deleted").alias(counts[1]))

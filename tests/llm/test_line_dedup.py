@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 
 from cohortgram.llm import line_dedup
+from cohortgram.plans.storage import Scratch
 
 
 def runs(text):
@@ -201,3 +202,9 @@ def test_agrees_with_all_common_blocks(docs, scratch):
         kept = [line for i, line in enumerate(line_dedup.lines_of(texts[row.doc_id])) if i not in expected[row.doc_id]]
         assert row.text == "".join(kept) and row.n_deleted == len(expected[row.doc_id])
     assert sum(map(bool, expected)) > 10
+
+
+def test_texts_are_cut_once_under_a_filter(spark, docs):
+    found = line_dedup.without_shared_blocks(docs([(1, "one line"), (2, None)]), Scratch(spark)).where("n_deleted = 0")
+    assert found._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+    assert found.count() == 2
