@@ -52,9 +52,14 @@ def expression_is_true(rows: DataFrame, expression: str | Column) -> DataFrame:
     return rows.filter(~F.coalesce(condition, F.lit(False)))
 
 
+def failing_counts(checks: dict[str, Column]) -> dict[str, Column]:
+    """The number of rows for which each condition is false or NULL, as aggregates."""
+    return {name: F.count_if(~F.coalesce(c, F.lit(False))) for name, c in checks.items()}
+
+
 def row_checks(rows: DataFrame, checks: dict[str, Column]) -> DataFrame:
     """Failing-row counts of many row-level conditions in one scan, as (check_name, failing_rows)."""
-    counted = rows.agg(*[F.count_if(~F.coalesce(c, F.lit(False))).alias(name) for name, c in checks.items()])
+    counted = rows.agg(*[count.alias(name) for name, count in failing_counts(checks).items()])
     pairs = F.array(*[F.struct(F.lit(n).alias("check_name"), F.col(n).alias("failing_rows")) for n in checks])
     return counted.select(F.inline(pairs))
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from cohortgram import reference as ref
 from cohortgram.functions.measures import n_rows
-from cohortgram.operators import checks
+from cohortgram.operators import checks, profile
 from cohortgram.plans.report import ReportTables
 
 FLAG = (0, 1)
@@ -22,6 +22,7 @@ RESULTS = (ref.SUSCEPTIBLE, ref.RESISTANT, ref.INTERMEDIATE, ref.INCONCLUSIVE, r
 GRAM = ("gram_positive", "gram_negative")
 MDRO = tuple(label for _, label in ref.MDRO_LABELS)
 RECORD_PHENOTYPES = tuple(p for p in ref.PHENOTYPES if p not in ("overall", "oxacillin_susceptible"))
+ROWS = "rows"
 HAS_MEMBERS = "size(source_culture_organism_keys) > 0"
 
 
@@ -300,6 +301,12 @@ def row_conditions(contract: Contract) -> dict[str, Column]:
     )
 
 
+def written_counts(relation: str) -> dict[str, Column]:
+    """What to count while a relation is written: its rows, and the failing rows of each check that looks at one row."""
+    contract = CONTRACTS.get(relation, Contract())
+    return {ROWS: n_rows()} | checks.failing_counts(row_conditions(contract))
+
+
 def check_names(relation: str) -> list[str]:
     """Names of a relation's checks, in the order they are reported."""
     c = CONTRACTS[relation]
@@ -314,11 +321,25 @@ def check_names(relation: str) -> list[str]:
 
 
 def relation_report(
-    relation: str, frame: DataFrame, find: Callable[[str], DataFrame], contract: Contract | None = None
+    relation: str,
+    frame: DataFrame,
+    find: Callable[[str], DataFrame],
+    contract: Contract | None = None,
+    counted: Mapping[str, int] | None = None,
 ) -> DataFrame:
-    """Failing rows per check: one scan for all row checks, one aggregation per key, one anti join per reference."""
+    """Failing rows per check: one scan for all row checks, one aggregation per key, one anti join per reference.
+
+    ``counted`` holds counts taken while the relation was written. If it has all row checks, these need no scan.
+    """
     contract = contract or CONTRACTS[relation]
-    parts = [checks.row_checks(frame, row_conditions(contract))]
+    conditions = row_conditions(contract)
+    if counted is not None and conditions.keys() <= counted.keys():
+        rows = F.array(
+            *[F.struct(F.lit(n).alias("check_name"), F.lit(counted[n]).cast("long").alias("failing_rows")) for n in conditions]
+        )
+        parts = [frame.sparkSession.range(1).select(F.inline(rows))]
+    else:
+        parts = [checks.row_checks(frame, conditions)]
     keyed = {f"{', '.join(k)} is unique": checks.unique_combination(frame, k) for k in contract.unique}
     related = {
         f"{column} is in {parent}": checks.relationships(frame, column, find(parent), parent_column)
@@ -334,7 +355,10 @@ def relation_report(
 def quality_report(
     tables: ReportTables, more: dict[str, DataFrame] | None = None, relations: tuple[str, ...] | None = None
 ) -> DataFrame:
-    """Every declared check of a report. ``more`` holds relations that are not part of the tables."""
+    """Every declared check of a report. ``more`` holds relations that are not part of the tables.
+
+    Row checks of relations that were counted while they were written (``ReportTables(counts=written_counts)``) scan nothing.
+    """
     given = dict(more or {})
 
     def find(name: str) -> DataFrame:
@@ -343,4 +367,12 @@ def quality_report(
         return getattr(tables.seeds if hasattr(tables.seeds, name) else tables, name)
 
     names = relations or tuple(n for n in CONTRACTS if n in given or hasattr(tables.seeds, n) or hasattr(type(tables), n))
-    return reduce(DataFrame.unionByName, [relation_report(n, find(n), find) for n in names])
+    frames = {n: find(n) for n in names}
+    counted = {n: tables.counted.get(n) for n in names if n not in given}
+    return reduce(DataFrame.unionByName, [relation_report(n, frames[n], find, counted=counted.get(n)) for n in names])
+
+
+def layer_counts(layers: Mapping[str, DataFrame], counted: Mapping[str, Mapping[str, int]]) -> DataFrame:
+    """``model_name, row_count`` per layer: as counted while it was written, or else by a scan."""
+    known = {name: counted[name][ROWS] for name in layers if ROWS in counted.get(name, {})}
+    return profile.layer_counts(layers, known)

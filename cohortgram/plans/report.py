@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable, Mapping
 from functools import cached_property
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 
 from cohortgram.functions.measures import DISPLAY_MINIMUM
 from cohortgram.functions.schemas import ORDER_KEYS
@@ -43,6 +43,9 @@ class ReportTables:
     ``audit_columns=False`` leaves out what no report reads: file lineage, ordering mode, row and distinct
     counts, label sets, source designations, and natural keys below the culture. That saves shuffles,
     sorting and storage.
+
+    ``counts`` names, for a relation, aggregates to take while it is written, such as those of ``quality.written_counts``;
+    ``counted`` holds what they gave.
     """
 
     def __init__(
@@ -54,6 +57,7 @@ class ReportTables:
         minimum: int = DISPLAY_MINIMUM,
         keep: Iterable[str] = REPORT_RELATIONS,
         audit_columns: bool = True,
+        counts: Callable[[str], Mapping[str, Column]] | None = None,
     ):
         self.raw_cohort = raw_cohort
         self.seeds = seeds
@@ -63,19 +67,32 @@ class ReportTables:
         self.keep = frozenset(keep)
         self.audit_columns = audit_columns
         self.lineage = rollup.LINEAGE if audit_columns else ()
+        self.counts = counts
+        self.counted: dict[str, dict[str, int]] = {}
 
     def for_window(self, window: ReportWindow) -> ReportTables:
         """The same tables under another window. What does not depend on the window is built once for both."""
-        other = ReportTables(self.raw_cohort, self.seeds, window, self.scratch, self.minimum, self.keep, self.audit_columns)
+        other = ReportTables(
+            self.raw_cohort, self.seeds, window, self.scratch, self.minimum, self.keep, self.audit_columns, self.counts
+        )
         for name in ("staged", "endpoints", "records"):
             other.__dict__[name] = getattr(self, name)
+            if name in self.counted:
+                other.counted[name] = self.counted[name]
         return other
 
     def _keep(self, name: str, frame: DataFrame) -> DataFrame:
         if self.scratch is None or name not in self.keep:
             return frame
         folder = f"{name}-{self.window.start or 'full'}"
-        return self.scratch.keep_by(folder, frame, BUCKET_KEYS[name]) if name in BUCKET_KEYS else self.scratch.keep(folder, frame)
+        counts = self.counts(name) if self.counts else None
+        if name in BUCKET_KEYS:
+            kept = self.scratch.keep_by(folder, frame, BUCKET_KEYS[name], counts)
+        else:
+            kept = self.scratch.keep(folder, frame, counts=counts)
+        if self.scratch.counted.get(folder):
+            self.counted[name] = self.scratch.counted[folder]
+        return kept
 
     # -- grains of the source ----------------------------------------------------------------------
     @cached_property

@@ -8,8 +8,9 @@ from __future__ import annotations
 
 import atexit
 import uuid
+from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 #: Rows of a file of a relation of narrow rows whose size is known.
@@ -25,10 +26,16 @@ def scratch_root(spark: SparkSession) -> str:
 
 
 class Scratch:
-    """Named Parquet tables of one run, each run in a folder of its own that goes when the session's JVM ends."""
+    """Named Parquet tables of one run, each run in a folder of its own that goes when the session's JVM ends.
+
+    ``counts`` given with a relation are aggregates that are taken from its rows as they are written, without a scan of their own;
+    ``counted`` holds them by relation. They are observed in the tasks that write the files, of which Spark counts one attempt each,
+    so lost executors do not count rows twice.
+    """
 
     def __init__(self, spark: SparkSession, root: str | None = None):
         self.spark = spark
+        self.counted: dict[str, dict[str, int]] = {}
         self.path = f"{(root or scratch_root(spark)).rstrip('/')}/run-{uuid.uuid4().hex}"
         self._forget_at_exit()
 
@@ -42,14 +49,18 @@ class Scratch:
     def folder(self, name: str) -> str:
         return f"{self.path}/{name}"
 
-    def keep(self, name: str, frame: DataFrame, rows: int | None = None) -> DataFrame:
+    def keep(
+        self, name: str, frame: DataFrame, rows: int | None = None, counts: Mapping[str, Column] | None = None
+    ) -> DataFrame:
         """Writes a relation and reads it back. ``rows``, if an upper bound is known, keeps it to few files."""
         if rows is not None:
             frame = frame.repartition(max(1, -(-rows // FILE_ROWS)))
+        seen, frame = _observed(frame, counts)
         frame.write.mode("error").parquet(self.folder(name))
+        self._take(name, seen)
         return self.spark.read.schema(frame.schema).parquet(self.folder(name))
 
-    def keep_by(self, name: str, frame: DataFrame, key: str) -> DataFrame:
+    def keep_by(self, name: str, frame: DataFrame, key: str, counts: Mapping[str, Column] | None = None) -> DataFrame:
         """Writes a relation as a table of one bucket per shuffle partition of ``key``, sorted by it, and reads it back.
 
         Its rows are shuffled once, here; joins and aggregations on ``key`` then read the buckets as they lie. Meant for relations
@@ -58,11 +69,24 @@ class Scratch:
         """
         buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
         table = f"kept_{uuid.uuid4().hex}"
-        writer = frame.repartition(buckets, key).write.format("parquet").mode("error").option("path", self.folder(name))
+        seen, dealt = _observed(frame.repartition(buckets, key), counts)
+        writer = dealt.write.format("parquet").mode("error").option("path", self.folder(name))
         writer.bucketBy(buckets, key).sortBy(key).saveAsTable(table)
+        self._take(name, seen)
         atexit.register(_drop, self.spark, table)
         return self.spark.table(table)
 
+    def _take(self, name: str, seen: Observation | None) -> None:
+        if seen is not None:
+            self.counted[name] = dict(seen.get)
+
+
+def _observed(frame: DataFrame, counts: Mapping[str, Column] | None) -> tuple[Observation | None, DataFrame]:
+    if not counts:
+        return None, frame
+    seen = Observation()
+    return seen, frame.observe(seen, *[aggregate.alias(name) for name, aggregate in counts.items()])
+
 
 def _drop(spark: SparkSession, table: str) -> None:
     if spark.sparkContext._jsc is not None:

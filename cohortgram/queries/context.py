@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortgram.functions.windows import ReportWindow
+from cohortgram.plans import quality
 from cohortgram.plans.report import AUDIT_RELATIONS, ReportTables
 from cohortgram.plans.storage import Scratch
 from cohortgram.queries import source
@@ -38,8 +39,9 @@ class Context:
 
     @cached_property
     def full(self) -> ReportTables:
-        raw = self.scratch.keep("raw_cohort", source.raw_cohort(self.spark, self.sf_dir))
-        return ReportTables(raw, self.seeds, scratch=self.scratch, keep=AUDIT_RELATIONS)
+        counts = quality.written_counts
+        raw = self.scratch.keep("raw_cohort", source.raw_cohort(self.spark, self.sf_dir), counts=counts("raw_cohort"))
+        return ReportTables(raw, self.seeds, scratch=self.scratch, keep=AUDIT_RELATIONS, counts=counts)
 
     @cached_property
     def windowed(self) -> ReportTables:

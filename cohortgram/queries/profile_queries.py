@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from cohortgram import reference as ref
 from cohortgram.functions.schemas import ORDER_KEYS
 from cohortgram.operators import audits, profile
+from cohortgram.plans import quality
 from cohortgram.plans.report import ORDER_ATTRIBUTES
 from cohortgram.queries.context import Context
 from cohortgram.queries.registry import query
@@ -269,6 +270,21 @@ UNION ALL SELECT 'staged', count(*) FROM staged UNION ALL SELECT 'culture', coun
     "culture",
 )
 def layer_counts(c: Context):
+    """Two layers are counted while they are written, one by a scan."""
+    layers = {"raw_cohort": c.raw, "staged": c.full.staged, "culture": c.full.cultures}
+    written = {"raw_cohort": c.scratch.counted.get("raw_cohort", {}), "culture": c.full.counted.get("cultures", {})}
+    return quality.layer_counts(layers, written)
+
+
+@query(
+    "model_name row_count",
+    """SELECT 'raw_cohort' AS model_name, count(*) AS row_count FROM raw
+UNION ALL SELECT 'staged', count(*) FROM staged UNION ALL SELECT 'culture', count(*) FROM culture""",
+    "raw",
+    "staged",
+    "culture",
+)
+def layer_counts_by_scan(c: Context):
     return profile.layer_counts({"raw_cohort": c.raw, "staged": c.full.staged, "culture": c.full.cultures})
 
 
