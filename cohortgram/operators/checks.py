@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from cohortgram.functions.measures import n_rows
 from cohortgram.functions.windows import ReportWindow
+from cohortgram.operators import compare
 from cohortgram.operators.marts import active_pairs, wildcard_match
 from cohortgram.operators.select import CATEGORY_KEYS, RECORD_KEY
 from cohortgram.reference import INTERNAL_PHENOTYPES, OVERALL_GROUPS, WILDCARD
@@ -77,12 +78,20 @@ def _both_sides(expected: DataFrame, actual: DataFrame, keys: Sequence[str]) ->
     return expected.join(actual, list(keys), "full")
 
 
-def first_record_rebuild(candidates: DataFrame, selected: DataFrame) -> DataFrame:
-    """Selections that differ from an independent rebuild: smallest (time, culture, record) per category."""
+def first_record_rebuild(candidates: DataFrame, selected: DataFrame, fingerprints: bool = False) -> DataFrame:
+    """Selections that differ from an independent rebuild: smallest (time, culture, record) per category.
+
+    ``fingerprints`` joins only where sums of row hashes differ (``compare.suspects``): for a stored selection and stored candidates.
+    """
     order = F.struct("culture_time_shifted", "culture_key", RECORD_KEY)
-    expected = candidates.groupBy(*CATEGORY_KEYS).agg(F.min(order)[RECORD_KEY].alias("expected_key"))
-    actual = selected.select(*CATEGORY_KEYS, F.col(RECORD_KEY).alias("actual_key"))
-    return _both_sides(expected, actual, CATEGORY_KEYS).filter(~F.col("expected_key").eqNullSafe(F.col("actual_key")))
+    expected = candidates.groupBy(*CATEGORY_KEYS).agg(F.min(order)[RECORD_KEY].alias("key"))
+    actual = selected.select(*CATEGORY_KEYS, F.col(RECORD_KEY).alias("key"))
+    if fingerprints:
+        expected, actual = compare.suspects(expected, actual, CATEGORY_KEYS, ["key"])
+    both = _both_sides(
+        expected.withColumnRenamed("key", "expected_key"), actual.withColumnRenamed("key", "actual_key"), CATEGORY_KEYS
+    )
+    return both.filter(~F.col("expected_key").eqNullSafe(F.col("actual_key")))
 
 
 def forbidden_categories(mart: DataFrame, selected: DataFrame) -> DataFrame:

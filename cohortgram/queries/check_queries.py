@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from cohortgram import reference as ref
@@ -114,6 +116,19 @@ def check_first_record(c: Context):
     return checks.first_record_rebuild(c.full.candidates, kept)
 
 
+@query(
+    f"{CELL} patient_key expected_key actual_key",
+    """SELECT source_version, cohort_id, organism_reporting_group, reporting_phenotype, patient_key,
+  reporting_culture_organism_key AS expected_key, cast(NULL AS varchar) AS actual_key FROM first_stratified
+WHERE reporting_phenotype = 'esce_r'""",
+    "first_stratified",
+)
+def check_first_record_by_fingerprint(c: Context):
+    """The same fault found in a stored selection, by rows only where row hashes add up to something else."""
+    kept = c.full.first_stratified.filter(F.col("reporting_phenotype") != "esce_r")
+    return checks.first_record_rebuild(c.full.candidates, c.scratch.keep(f"selection-{uuid.uuid4().hex}", kept), fingerprints=True)
+
+
 @query(
     f"violation {CELL} record_key",
     """SELECT 'stratified_mdro_source' AS violation, source_version, cohort_id, organism_reporting_group,

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortgram.operators import audits, checks
+from cohortgram.operators import audits, checks, compare
 from cohortgram.operators.rollup import repeated_rows
 from cohortgram.plans import quality
 from cohortgram.queries.check_queries import _QUALITY, _RECORDS, _quality_sql
@@ -177,6 +179,20 @@ def quality_of_records_faults(c: Context):
     return quality.quality_report(c.full, {"records": records.unionByName(again)}, _RECORDS)
 
 
+@query(
+    "culture_organism_key antibiotic resolution_status left_rows right_rows",
+    """SELECT culture_organism_key, antibiotic, unnest(['conflict', 'missing']) AS resolution_status,
+  unnest([1, 0])::bigint AS left_rows, unnest([0, 1])::bigint AS right_rows FROM endpoint WHERE resolution_status = 'conflict'""",
+    "endpoint",
+)
+def endpoint_differences(c: Context):
+    """The stored endpoints against a stored copy in which conflicts were settled as missing."""
+    status = F.col("resolution_status")
+    settled = c.full.endpoints.withColumn("resolution_status", F.when(status == "conflict", "missing").otherwise(status))
+    copy = c.scratch.keep(f"endpoints-{uuid.uuid4().hex}", settled)
+    return compare.differences(c.full.endpoints, copy, ["culture_organism_key", "antibiotic"], ["resolution_status"])
+
+
 _SEEDS = ("labels", "groups", "pairs", "exclusions")
 _TESTED = """SELECT DISTINCT organism_reporting_group, cohort_id, antibiotic
   FROM mapped JOIN endpoint USING (culture_organism_key)
