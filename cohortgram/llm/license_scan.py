@@ -1,12 +1,14 @@
 """License scan with a positional rare-token index.
 
-Templates are short license notices, each with key phrases that must stand in a file. The index maps every
-template word to its places. Words are weighed by their inverse document frequency over the whole table, counted in
-a pass of its own. In a file, the rarest words it has of each template are looked up, and the rarest of its first
-key phrase; a posting at template place p seen at file place f votes for the template starting at f - p. Starts are
-tried in falling order of votes until one passes: the template is laid over the file, its key phrases are
-checked word for word and in order, and the share of its weight that stands in place is its similarity. Between key
-phrases the file may have up to ``INSERTED`` words more than the template; what follows is laid over from there.
+Templates are license notices, each with key phrases that must stand in a file in their order. Words are weighed by their inverse
+document frequency over the whole table, counted in a pass of its own. The index holds the places of each template's rarest
+words, as many as hold ``RARE`` of its weight. The way into a file is its own license words, highest weight first: each is looked up,
+and a posting at template place p seen at file place f says that the template may start around f - p, as far off as the file may be
+shifted there. These ranges are intersected by weight: a start is left only where the rare words in range weigh so much that the
+template could reach ``SIMILAR``. Only there the key phrases are checked, word for word and in order, with every place of a
+phrase that is in reach; the best share of the template's weight that stands in place is its similarity. The first key
+phrase may stand ``SLACK`` words off its place; between key phrases the file may have up to ``INSERTED`` words more than the
+template, and what follows is laid over from there. No start or place that could pass is left out.
 
 The base phrases are templates of one phrase that is its own key: every place of a phrase holds its rarest
 word, so intersecting the postings of all its words around each place of that word finds every place.
@@ -29,14 +31,16 @@ from pyspark.sql import functions as F
 
 from cohortgram.llm.text import alnum_words, parts, texts_of
 
-#: Rarest words of a template looked up in a file.
-RARE = 4
-#: Places by which a file's words may be shifted against the template between two of its rare words.
+#: Share of a template's weight that its indexed words hold at least.
+RARE = 0.7
+#: Places by which a file's words may be shifted against the template.
 SLACK = 3
 #: Words a file may have between two key phrases beyond those of the template.
 INSERTED = 16
 #: Share of a template's weight that must stand in place.
 SIMILAR = 0.6
+#: Sums of weights may differ by this share of the total, by their order of adding.
+_ROUNDING = 1e-9
 
 # Base phrases and their labels.
 BASE = {"under the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
@@ -69,6 +73,57 @@ NOTICES = (
     ("unlicense", "this is free and unencumbered software released into the public domain", ("free and unencumbered software",)),
     ("all-rights-reserved", "all rights reserved", ("all rights reserved",)),
 )
+# Label, whole notice, key phrases.
+WHOLE = (
+    (
+        "mit",
+        """permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation
+        files the software to deal in the software without restriction including without limitation the rights to use copy modify
+        merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is
+        furnished to do so subject to the following conditions the above copyright notice and this permission notice shall be
+        included in all copies or substantial portions of the software the software is provided as is without warranty of any kind
+        express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and
+        noninfringement in no event shall the authors or copyright holders be liable for any claim damages or other liability
+        whether in an action of contract tort or otherwise arising from out of or in connection with the software or the use or
+        other dealings in the software""",
+        ("permission is hereby granted free of charge", "the software is provided as is"),
+    ),
+    (
+        "isc",
+        """permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted
+        provided that the above copyright notice and this permission notice appear in all copies the software is provided as is and
+        the author disclaims all warranties with regard to this software including all implied warranties of merchantability and
+        fitness in no event shall the author be liable for any special direct indirect or consequential damages or any damages
+        whatsoever resulting from loss of use data or profits whether in an action of contract negligence or other tortious action
+        arising out of or in connection with the use or performance of this software""",
+        ("permission to use copy modify", "the software is provided as is"),
+    ),
+    (
+        "bsd-3",
+        """redistribution and use in source and binary forms with or without modification are permitted provided that the following
+        conditions are met redistributions of source code must retain the above copyright notice this list of conditions and the
+        following disclaimer redistributions in binary form must reproduce the above copyright notice this list of conditions and
+        the following disclaimer in the documentation and or other materials provided with the distribution neither the name of the
+        copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software
+        without specific prior written permission this software is provided by the copyright holders and contributors as is and any
+        express or implied warranties including but not limited to the implied warranties of merchantability and fitness for a
+        particular purpose are disclaimed in no event shall the copyright holder or contributors be liable for any direct indirect
+        incidental special exemplary or consequential damages including but not limited to procurement of substitute goods or
+        services loss of use data or profits or business interruption however caused and on any theory of liability whether in
+        contract strict liability or tort including negligence or otherwise arising in any way out of the use of this software even
+        if advised of the possibility of such damage""",
+        ("redistribution and use in source and binary forms", "endorse or promote products", "as is and any express or implied warranties"),
+    ),
+    (
+        "apache-2",
+        """licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license
+        you may obtain a copy of the license at http www apache org licenses license 2 0 unless required by applicable law or agreed
+        to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of
+        any kind either express or implied see the license for the specific language governing permissions and limitations under the
+        license""",
+        ("apache license", "unless required by applicable law"),
+    ),
+)
 
 
 @dataclass(frozen=True)
@@ -91,26 +146,48 @@ def _words(text: str) -> tuple[bytes, ...]:
     return tuple(alnum_words(text.encode()))
 
 
-TEMPLATES = tuple(Template(label, _words(notice), tuple(map(_words, keys))) for label, notice, keys in NOTICES)
+TEMPLATES = tuple(Template(label, _words(notice), tuple(map(_words, keys))) for label, notice, keys in (*NOTICES, *WHOLE))
 KEYS = frozenset(key for t in TEMPLATES for key in t.keys)
 PHRASES = {_words(phrase): label for phrase, label in BASE.items()}
 VOCABULARY = frozenset(w for t in TEMPLATES for w in t.words) | frozenset(w for p in PHRASES for w in p)
 
 
+def _reach(template: Template) -> list[tuple[int, int]]:
+    """By place of the template, where its word may stand in a file, seen from the template's start."""
+    keys, out = template.places(), []
+    for place in range(len(template.words)):
+        passed = sum(k <= place for k in keys)
+        off = (passed + 1) * SLACK
+        out.append((place - off, place + off + max(0, passed - 1) * INSERTED))
+    return out
+
+
 class Index:
-    """Places of template words, and what each word weighs."""
+    """Places of rare template words, and what each word weighs."""
 
     def __init__(self, frequencies: dict[bytes, int], documents: int):
         self.weight = {w: math.log((1 + documents) / (1 + frequencies.get(w, 0))) + 1e-6 for w in VOCABULARY}
-        self.postings: dict[bytes, list[tuple[int, int]]] = defaultdict(list)
-        for number, template in enumerate(TEMPLATES):
-            for place, word in enumerate(template.words):
-                self.postings[word].append((number, place))
         self.anchors = {p: max(range(len(p)), key=lambda i: self.weight[p[i]]) for p in (*PHRASES, *KEYS)}
         self.key_places = [t.places() for t in TEMPLATES]
+        self.reach = [_reach(t) for t in TEMPLATES]
         self.total = [sum(self.weight[w] for w in t.words) for t in TEMPLATES]
-        # A match needs a key phrase, so its rarest word at least.
-        self.entry = frozenset(p[self.anchors[p]] for p in (*PHRASES, *KEYS))
+        #: Postings of rare words, and the weight that must be found of those of a template.
+        self.postings: dict[bytes, list[tuple[int, int]]] = defaultdict(list)
+        self.rest, self.need = [], []
+        for number, (template, total) in enumerate(zip(TEMPLATES, self.total)):
+            held = 0.0
+            for word in sorted(set(template.words), key=self._rarest):
+                if held >= RARE * total:
+                    break
+                places = [p for p, w in enumerate(template.words) if w == word]
+                self.postings[word] += [(number, p) for p in places]
+                held += self.weight[word] * len(places)
+            self.rest.append(total - held)
+            self.need.append(held - (1 - SIMILAR + _ROUNDING) * total)
+        self.entry = frozenset(p[self.anchors[p]] for p in PHRASES) | frozenset(self.postings)
+
+    def _rarest(self, word: bytes) -> tuple:
+        return -self.weight[word], word
 
     def starts(self, phrase: tuple[bytes, ...], places: dict[bytes, list[int]]) -> list[int]:
         """Every place of a phrase, ascending."""
@@ -126,54 +203,88 @@ class Index:
         """Start and label of every place of a base phrase."""
         return sorted((start, label) for phrase, label in PHRASES.items() for start in self.starts(phrase, places))
 
+    def ranges(self, places: dict[bytes, list[int]]) -> Iterator[tuple[int, list[tuple[int, int, float]]]]:
+        """By template the ranges of starts that it may have, each with the weight of the rare words in reach."""
+        held = sorted(self.postings.keys() & places.keys(), key=self._rarest)
+        weighs: Counter[int] = Counter()
+        for word in held:
+            for number, _ in self.postings[word]:
+                weighs[number] += self.weight[word]
+        open_ = {n: [] for n, weight in weighs.items() if weight >= self.need[n]}
+        for word in held:
+            for number, place in self.postings[word]:
+                if number in open_:
+                    first, last = self.reach[number][place]
+                    end = None
+                    for at in places[word]:
+                        # Ranges of one place of the template count once.
+                        if end is None or at - last >= end:
+                            if end is not None:
+                                open_[number].append((end, -self.weight[word]))
+                            open_[number].append((at - last, self.weight[word]))
+                        end = at - first + 1
+                    open_[number].append((end, -self.weight[word]))
+        for number, edges in open_.items():
+            edges.sort()
+            weight, found = 0.0, []
+            for (at, change), (until, _) in zip(edges, [*edges[1:], edges[-1]]):
+                weight += change
+                if until > at and weight >= self.need[number]:
+                    found.append((at, until, weight))
+            if found:
+                yield number, found
+
     def notices(self, words: list[bytes], places: dict[bytes, list[int]]) -> dict[str, float]:
         """The best similarity by label."""
         best: dict[str, float] = {}
-        keys = {key: self.starts(key, places) for key in KEYS}
-        for number, template in enumerate(TEMPLATES):
+        keys: dict[tuple[bytes, ...], list[int]] = {}
+        for number, ranges in self.ranges(places):
+            template = TEMPLATES[number]
+            for key in template.keys:
+                if key not in keys:
+                    keys[key] = self.starts(key, places)
             if not all(keys[key] for key in template.keys):
                 continue
-            known = {w for w in template.words if w in places}
-            rare = {*sorted(known, key=lambda w: (-self.weight[w], w))[:RARE], template.keys[0][self.anchors[template.keys[0]]]}
-            votes: Counter[int] = Counter()
-            for word in rare:
-                starts = {at - p for n, p in self.postings[word] if n == number for at in places[word]}
-                votes.update(starts)
-            passed, least = 0.0, 0
-            for start, n in votes.most_common():
-                # Those with as many votes as the one that passed are its equals.
-                if n < least:
+            first, total = self.key_places[number][0], self.total[number]
+            shown = sorted({at - first + off for at in keys[template.keys[0]] for off in range(-SLACK, SLACK + 1)})
+            passed = best.get(template.label, 0.0)
+            for begin, end, weight in sorted(ranges, key=lambda r: -r[2]):
+                # No start of this range can be better.
+                if (weight + self.rest[number]) / total + _ROUNDING < passed:
                     break
-                score = self._laid_over(number, words, start, keys)
-                if score >= SIMILAR:
-                    passed, least = max(passed, score), n
-            if passed > best.get(template.label, 0.0):
+                for i in range(bisect_left(shown, begin), bisect_left(shown, end)):
+                    passed = max(passed, self._laid_over(number, words, shown[i], keys))
+                    if passed == 1.0:
+                        break
+            if passed >= SIMILAR:
                 best[template.label] = passed
         return best
 
     def _laid_over(self, number: int, words: list[bytes], start: int, keys: dict[tuple[bytes, ...], list[int]]) -> float:
-        template, shifts = TEMPLATES[number], []
-        shift, more, end = start, SLACK, 0
-        for key, place in zip(template.keys, self.key_places[number]):
-            least = max(shift + place - SLACK, end)
-            found = keys[key]
-            k = bisect_left(found, least)
-            if k == len(found) or found[k] > shift + place + more:
-                return 0.0
-            # In place, if the phrase stands there as well.
-            exact = bisect_left(found, shift + place)
-            at = found[exact] if exact < len(found) and found[exact] == shift + place >= least else found[k]
-            shifts += [shift] * (place - len(shifts))
-            shift, more, end = at - place, SLACK + INSERTED, at + len(key)
-        shifts += [shift] * (len(template.words) - len(shifts))
-        share = 0.0
-        for place, (word, shift) in enumerate(zip(template.words, shifts)):
-            at = shift + place
-            if 0 <= at < len(words) and words[at] == word:
-                share += self.weight[word]
-            elif word in words[max(0, at - SLACK) : max(0, at + SLACK + 1)]:
-                share += self.weight[word] / 2
-        return min(1.0, share / self.total[number])
+        """The best share in place, over all places of the key phrases."""
+        template, key_places = TEMPLATES[number], self.key_places[number]
+        best = -1.0
+
+        def follow(k: int, shift: int, end: int, share: float) -> None:
+            nonlocal best
+            before = key_places[k - 1] if k else 0
+            upto = key_places[k] if k < len(template.keys) else len(template.words)
+            for place in range(before, upto):
+                at, word = shift + place, template.words[place]
+                if 0 <= at < len(words) and words[at] == word:
+                    share += self.weight[word]
+                elif word in words[max(0, at - SLACK) : max(0, at + SLACK + 1)]:
+                    share += self.weight[word] / 2
+            if k == len(template.keys):
+                best = max(best, share)
+                return
+            found, more = keys[template.keys[k]], SLACK + (INSERTED if k else 0)
+            for i in range(bisect_left(found, max(shift + upto - SLACK, end)), bisect_left(found, shift + upto + more + 1)):
+                follow(k + 1, found[i] - upto, found[i] + len(template.keys[k]), share)
+
+        follow(0, start, 0, 0.0)
+        share = best / self.total[number]
+        return 1.0 if share > 1 - _ROUNDING else max(share, 0.0)
 
     def scan(self, text: bytes) -> tuple:
         words = alnum_words(text)

@@ -97,3 +97,87 @@ def test_a_start_with_fewer_votes_passes_where_the_first_does_not():
     # The first has all rare words in place, but no key phrase; the second has the key phrase and one rare word less.
     text = f"{notice.format('of', 'modification')} {'word ' * 40}{notice.format('in', 'changes')}"
     assert index.scan(text.encode())[5] == "bsd"
+
+
+def best_by_brute_force(index, words):
+    """Every template at every start, with every choice of places for its key phrases."""
+    best = {}
+    for template, total in zip(license_scan.TEMPLATES, index.total):
+        at_keys = [[i for i in range(len(words)) if tuple(words[i : i + len(k)]) == k] for k in template.keys]
+
+        def laid(shifts):
+            share = 0.0
+            for place, word in enumerate(template.words):
+                at = shifts[sum(k <= place for k in template.places())] + place
+                if 0 <= at < len(words) and words[at] == word:
+                    share += index.weight[word]
+                elif word in words[max(0, at - license_scan.SLACK) : max(0, at + license_scan.SLACK + 1)]:
+                    share += index.weight[word] / 2
+            return share / total
+
+        def choices(shifts, end):
+            k = len(shifts) - 1
+            if k == len(template.keys):
+                yield shifts
+                return
+            here = shifts[-1] + template.places()[k]
+            most = here + license_scan.SLACK + (license_scan.INSERTED if k else 0)
+            for at in at_keys[k]:
+                if max(end, here - license_scan.SLACK) <= at <= most:
+                    yield from choices([*shifts, at - template.places()[k]], at + len(template.keys[k]))
+
+        for start in range(-len(template.words) - 30, len(words) + 30):
+            for shifts in choices([start], 0):
+                score = laid(shifts)
+                if score >= license_scan.SIMILAR - 1e-9:
+                    best[template.label] = max(best.get(template.label, 0.0), score)
+    return best
+
+
+def test_notices_agree_with_all_templates_at_all_starts():
+    """Notices with words changed, left out, put in and moved, decoys of key phrases and words of other weights."""
+    choose = random.Random(31)
+    vocabulary = sorted(license_scan.VOCABULARY)
+    index = license_scan.Index({w: choose.choice([0, 3, 40, 90]) for w in vocabulary}, 100)
+    seen = set()
+    for _ in range(60):
+        words = []
+        for _ in range(choose.randint(1, 3)):
+            template = choose.choice(license_scan.TEMPLATES)
+            part = list(template.words)
+            for _ in range(choose.randint(0, max(1, len(part) // 6))):
+                at = choose.randrange(len(part))
+                act = choose.random()
+                if act < 0.4:
+                    part[at] = choose.choice(vocabulary)
+                elif act < 0.6 and len(part) > 1:
+                    del part[at]
+                elif act < 0.8:
+                    part[at:at] = [choose.choice(vocabulary)] * choose.randint(1, 4)
+                else:
+                    part[at:at] = choose.choice(template.keys)
+            words += [b"x"] * choose.randint(0, 5) + part
+        expected = best_by_brute_force(index, words)
+        places = {}
+        for at, word in enumerate(words):
+            if word in license_scan.VOCABULARY:
+                places.setdefault(word, []).append(at)
+        found = index.notices(words, places)
+        assert found.keys() == expected.keys()
+        assert all(abs(found[label] - min(1.0, expected[label])) < 1e-6 for label in found)
+        seen |= found.keys()
+    assert len(seen) > 10
+
+
+def test_a_decoy_of_a_key_phrase_costs_nothing(docs):
+    notice = GNU.format("", "3")
+    decoy = notice.replace("either", "version 3 of the License either")
+    rows = [(1, notice), (2, decoy), (3, "nothing")]
+    found = {r.doc_id: r for r in license_scan.scan(docs(rows)).collect()}
+    assert found[1].labels == found[2].labels == "gpl-3" and found[1].score == 1.0 and found[2].score > 0.9
+
+
+@pytest.mark.parametrize("label, notice, keys", license_scan.WHOLE)
+def test_whole_notices(docs, label, notice, keys):
+    row = license_scan.scan(docs([(1, "Copyright (c) X\n" + notice.upper() + "."), (2, "word")])).where("doc_id = 1").first()
+    assert label in row.labels.split(",") and row.score == 1.0
