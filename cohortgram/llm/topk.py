@@ -1,10 +1,10 @@
 """Exact top-k search by inner product: tiled matrix products and a tree of merges.
 
-Vectors are turned into integers, dealt into blocks of ``BLOCK`` rows by hash and stored as packed matrices. The
-work is the grid of query blocks and vector blocks: one task per tile multiplies two blocks and keeps the k best
-of each of its queries. The lists of a query are merged ``FAN`` at a time until one is left, so no task gets
-more than ``FAN * k`` rows of a query. Each block is sent once per tile of its row or column; the larger
-the blocks, the less is sent for the same products.
+Vectors are turned into integers, dealt into blocks of ``BLOCK`` rows by hash and stored as packed matrices of the narrowest
+type that holds them. The work is the grid of query blocks and strips of ``FAN`` vector blocks: a task takes a query block with a
+strip, multiplies it with one block after the other, selects the k best of each query in each tile and merges them, so a query leaves one
+list per strip. The lists of a query are then merged ``FAN`` at a time until one is left, so no task gets more than
+``FAN * k`` rows of a query. A query block is sent once per strip, a vector block once per query block.
 
 Products are taken in doubles, which are exact below 2**53; a tile that could exceed that uses Python's integers
 and saturates at the bounds of long. Ties go to the smaller ``vec_id``. Rows with a null id, and vectors that are
@@ -23,7 +23,6 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortgram.llm.text import parts
 from cohortgram.plans.storage import Scratch
 
 #: Rows of a block: the score matrix of a tile takes 8 * BLOCK * BLOCK bytes.
@@ -33,7 +32,8 @@ FAN = 16
 
 _EXACT = 2.0**53
 _LONG = 2**63
-_TILE = "query_id long, node long, score long, vec_id long"
+_BLOCK = "block long, width long, ids binary, kind string, matrix binary"
+_LISTS = "query_id long, node long, score long, vec_id long"
 
 
 def whole_vectors(vectors: DataFrame, scale: float) -> DataFrame:
@@ -52,7 +52,7 @@ def _floor(x: Column) -> Column:
 
 
 def blocks(rows: DataFrame, size: int) -> DataFrame:
-    """``block, width, ids, matrix``: packed rows of equal width; a block is one row per width it holds."""
+    """``block, width, ids, kind, matrix``: packed rows of equal width; a block is one row per width it holds."""
     count = -(-max(1, rows.count()) // size)
     # The id of the row within the stored table spreads repeated vectors too.
     dealt = rows.withColumn("block", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(count)))
@@ -64,24 +64,25 @@ def blocks(rows: DataFrame, size: int) -> DataFrame:
         out = []
         for width, members in by_width.items():
             members.sort()
-            matrix = np.array([v for _, v in members], "<f8").reshape(len(members), width)
+            matrix = _narrowest(np.array([v for _, v in members], "<f8").reshape(len(members), width))
             ids = np.array([i for i, _ in members], "<i8")
-            out.append((group.column("block")[0].as_py(), width, ids.tobytes(), matrix.tobytes()))
-        return pa.table([pa.array(c) for c in zip(*out)], names=["block", "width", "ids", "matrix"])
+            out.append((group.column("block")[0].as_py(), width, ids.tobytes(), matrix.dtype.str, matrix.tobytes()))
+        return pa.table([pa.array(c) for c in zip(*out)], names=["block", "width", "ids", "kind", "matrix"])
 
-    return dealt.groupBy("block").applyInArrow(pack, "block long, width long, ids binary, matrix binary")
+    return dealt.groupBy("block").applyInArrow(pack, _BLOCK)
 
 
-def best_of_tile(queries: np.ndarray, query_ids, vectors: np.ndarray, vec_ids, k: int):
-    """For each query the k best (query_id, score, vec_id) of a tile; ``vec_ids`` ascend."""
+def best_of_tile(queries: np.ndarray, query_ids, vectors: np.ndarray, vec_ids, k: int) -> tuple[np.ndarray, ...]:
+    """The k best of each query in a tile as (row of the query, score, vec_id); ``vec_ids`` ascend."""
     bound = np.abs(queries).sum(axis=1, initial=0).max(initial=0) * np.abs(vectors).max(initial=0)
     if not bound * len(vec_ids) * 2 < _EXACT:
+        out = []
         for i, query in enumerate(queries):
             own = [int(x) for x in query]
             scores = [max(1 - _LONG, min(_LONG - 1, sum(a * int(b) for a, b in zip(own, v)))) for v in vectors]
             ranked = sorted((-s, c) for s, c in zip(scores, vec_ids.tolist()) if c != query_ids[i])[:k]
-            yield from ((int(query_ids[i]), -s, c) for s, c in ranked)
-        return
+            out += [(i, -s, c) for s, c in ranked]
+        return tuple(np.array([r[c] for r in out], np.int64) for c in range(3))
     # Score and place in one number: equal scores rank by place, which follows the id.
     count = len(vec_ids)
     keyed = (queries @ vectors.T) * count - np.arange(count)
@@ -91,10 +92,36 @@ def best_of_tile(queries: np.ndarray, query_ids, vectors: np.ndarray, vec_ids, k
     else:
         kept = np.broadcast_to(np.arange(count), keyed.shape)
     values = np.take_along_axis(keyed, kept, axis=1)
-    for i in range(len(queries)):
-        for place, value in zip(kept[i].tolist(), values[i].tolist()):
-            if value != -np.inf:
-                yield int(query_ids[i]), int((value + place) // count), int(vec_ids[place])
+    row, column = np.nonzero(values != -np.inf)
+    place = kept[row, column]
+    # A whole multiple of the count, so the division is exact.
+    score = ((values[row, column] + place) / count).astype(np.int64)
+    return row, score, vec_ids[place]
+
+
+def merged(lists: list[tuple[np.ndarray, ...]], k: int) -> tuple[np.ndarray, ...]:
+    """The k best of each query of several lists."""
+    row, score, vec_id = (np.concatenate(c) for c in zip(*lists))
+    order = np.lexsort((vec_id, -score, row))
+    row = row[order]
+    rank = np.arange(len(row)) - np.searchsorted(row, row)
+    order = order[rank < k]
+    return row[rank < k], score[order], vec_id[order]
+
+
+def _narrowest(matrix: np.ndarray) -> np.ndarray:
+    """The same whole numbers in the smallest type that holds them."""
+    for kind in ("<i1", "<i2", "<i4"):
+        limits = np.iinfo(kind)
+        if limits.min <= matrix.min(initial=0) and matrix.max(initial=0) <= limits.max:
+            return matrix.astype(kind)
+    return matrix
+
+
+def _matrix(block: dict) -> np.ndarray:
+    """The packed rows of a block, as doubles; products of those are the fast ones."""
+    rows = len(block["ids"]) // 8
+    return np.frombuffer(block["matrix"], block["kind"]).reshape(rows, block["width"]).astype("<f8")
 
 
 def search(rows: DataFrame, is_query: Column, k: int, scratch: Scratch, block: int = BLOCK) -> DataFrame:
@@ -107,24 +134,37 @@ def search(rows: DataFrame, is_query: Column, k: int, scratch: Scratch, block: i
     if n_left is None:
         return stored.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")
 
-    def grid(frame: DataFrame, other: str, last: int, prefix: str) -> DataFrame:
-        renamed = frame.select(F.col("block").alias(prefix), "width", F.col("ids").alias(f"{prefix}_ids"), F.col("matrix").alias(f"{prefix}_matrix"))
-        return renamed.withColumn(other, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(last).cast("long"))))
-
-    tiles = grid(left, "v", n_right, "q").join(grid(right, "q", n_left, "v"), ["q", "v", "width"])
-
-    def best(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for row in (r for one in parts(found, 1) for r in one.to_pylist()):
-            ids = [np.frombuffer(row[f"{s}_ids"], "<i8") for s in "qv"]
-            matrices = [np.frombuffer(row[f"{s}_matrix"], "<f8").reshape(len(i), row["width"]) for s, i in zip("qv", ids)]
-            out = list(best_of_tile(matrices[0], ids[0], matrices[1], ids[1], k))
-            columns = [pa.array([r[c] for r in out], pa.int64()) for c in range(3)]
-            node = pa.array(np.full(len(out), row["v"], np.int64))
-            yield pa.record_batch([columns[0], node, columns[1], columns[2]], names=["query_id", "node", "score", "vec_id"])
-
-    lists = tiles.mapInArrow(best, _TILE)
+    n_strips = n_right // FAN + 1
+    packed = ("width", "ids", "kind", "matrix")
+    strip = F.floor(F.col("block") / FAN)
+
+    def numbers(n: int) -> Column:
+        return F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
+
+    queried = left.select(F.col("block").alias("q"), numbers(n_strips).alias("strip"), F.lit(-1).cast("long").alias("v"), *packed)
+    searched = right.select(numbers(n_left + 1).alias("q"), strip.alias("strip"), F.col("block").alias("v"), *packed)
+
+    def best(group: pa.Table) -> pa.Table:
+        # One query block of a width and at most FAN vector blocks; either may be missing.
+        found = sorted(range(group.num_rows), key=lambda i: group.column("v")[i].as_py())
+        kept, query_ids, node = None, np.empty(0, np.int64), 0
+        for i in found:
+            block = group.slice(i, 1).to_pylist()[0]
+            ids, matrix = np.frombuffer(block["ids"], "<i8"), _matrix(block)
+            if block["v"] < 0:
+                query_ids, queries, node = ids, matrix, block["strip"]
+            elif not len(query_ids):
+                break
+            else:
+                tile = best_of_tile(queries, query_ids, matrix, ids, k)
+                kept = tile if kept is None else merged([kept, tile], k)
+        row, score, vec_id = kept or [np.empty(0, np.int64)] * 3
+        columns = [query_ids[row], np.full(len(row), node, np.int64), score, vec_id]
+        return pa.table([pa.array(c, pa.int64()) for c in columns], names=[c.split()[0] for c in _LISTS.split(", ")])
+
+    lists = queried.unionByName(searched).groupBy("q", "strip", "width").applyInArrow(best, _LISTS)
     order = F.struct((-F.col("score")).alias("less"), "vec_id", "score")
-    nodes = n_right + 1
+    nodes = n_strips
     while True:
         # At most FAN * k rows of a query meet in a group.
         nodes = -(-nodes // FAN)
