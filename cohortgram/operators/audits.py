@@ -246,26 +246,17 @@ def rule_drug_status(vocabulary: DataFrame, rule_drugs: DataFrame) -> DataFrame:
 # -- policy ----------------------------------------------------------------------------------------
 def policy_inventory(pairs: DataFrame, exclusions: DataFrame) -> DataFrame:
     """Active pairs with the exclusions that touch them and the resulting decision."""
-    rules = exclusions.select(
-        F.col("organism_reporting_group").alias("_group"),
-        F.col("antibiotic").alias("_drug"),
-        F.col("cohort_id").alias("_cohort"),
-        F.col("reporting_phenotype").alias("excluded_reporting_phenotype"),
-        "exclusion_reason",
-        "review_basis",
-    )
-    touches = (
-        (F.col("organism_reporting_group") == F.col("_group"))
-        & (F.col("antibiotic") == F.col("_drug"))
-        & ((F.col("_cohort") == WILDCARD) | (F.col("_cohort") == F.col("cohort_id")))
-    )
-    decision = (
-        F.when(F.col("_group").isNull(), "no_explicit_exclusion")
-        .when(F.col("excluded_reporting_phenotype") == WILDCARD, "excluded_all_categories")
-        .otherwise("excluded_in_named_category")
-    )
-    joined = marts.active_pairs(pairs).join(rules, touches, "left")
-    return joined.withColumn("reporting_decision", decision).drop("_group", "_drug", "_cohort")
+    active = marts.active_pairs(pairs)
+    equal, scoped = ("organism_reporting_group", "antibiotic"), ("cohort_id",)
+    shown = (F.col("reporting_phenotype").alias("excluded_reporting_phenotype"), "exclusion_reason", "review_basis")
+    decision = F.when(F.col("excluded_reporting_phenotype") == WILDCARD, "excluded_all_categories").otherwise(
+        "excluded_in_named_category"
+    )
+    parts = [marts.wildcard_exclude(active, exclusions, equal, scoped).withColumn("reporting_decision", F.lit("no_explicit_exclusion"))]
+    for named, rules in marts.by_pattern(exclusions, scoped):
+        touched = active.join(rules.select(*equal, *named, *shown), [*equal, *named])
+        parts.append(touched.withColumn("reporting_decision", decision))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
 def pair_status(pairs: DataFrame, by: Sequence[str] = ()) -> DataFrame:

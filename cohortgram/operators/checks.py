@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from cohortgram.functions.measures import n_rows
 from cohortgram.functions.windows import ReportWindow
 from cohortgram.operators import compare
-from cohortgram.operators.marts import active_pairs, wildcard_match
+from cohortgram.operators.marts import active_pairs, wildcard_cover
 from cohortgram.operators.select import CATEGORY_KEYS, RECORD_KEY
 from cohortgram.reference import INTERNAL_PHENOTYPES, OVERALL_GROUPS, WILDCARD
 
@@ -116,10 +116,7 @@ def unapproved_or_excluded(mart: DataFrame, pairs: DataFrame, exclusions: DataFr
     reported = mart.select(*DRUG_KEYS).distinct()
     approved = active_pairs(pairs).select("organism_reporting_group", "cohort_id", "antibiotic")
     missing = reported.join(approved, ["organism_reporting_group", "cohort_id", "antibiotic"], "left_anti")
-    match = wildcard_match(
-        "row", "rule", ("organism_reporting_group", "antibiotic"), ("cohort_id", "reporting_phenotype")
-    )
-    covered = reported.alias("row").join(exclusions.alias("rule"), match, "left_semi")
+    covered = wildcard_cover(reported, exclusions)
     return missing.select(*DRUG_KEYS, F.lit("not_approved").alias("failing_rule")).unionByName(
         covered.select(*DRUG_KEYS, F.lit("explicitly_excluded").alias("failing_rule"))
     )

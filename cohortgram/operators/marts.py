@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from functools import reduce
+from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -68,14 +69,16 @@ def approved_grid(population: DataFrame, pairs: DataFrame) -> DataFrame:
     return population.join(active_pairs(pairs), ["organism_reporting_group", "cohort_id"])
 
 
-def wildcard_match(row: str, rule: str, equal: Sequence[str], scoped: Sequence[str]) -> Column:
-    """Equal columns must match; scoped columns match the same value or a literal wildcard."""
-    condition = F.lit(True)
-    for c in equal:
-        condition &= F.col(f"{row}.{c}") == F.col(f"{rule}.{c}")
-    for c in scoped:
-        condition &= (F.col(f"{rule}.{c}") == WILDCARD) | (F.col(f"{rule}.{c}") == F.col(f"{row}.{c}"))
-    return condition
+def by_pattern(rules: DataFrame, scoped: Sequence[str]) -> Iterator[tuple[tuple[str, ...], DataFrame]]:
+    """Rules by the scoped columns that they name; the others hold the literal wildcard. No rule is in two patterns.
+
+    Within a pattern a rule covers a row by equality alone, so a join needs no condition beside its keys, and however many rules one drug has,
+    a row meets those of its own scope only.
+    """
+    for n in range(len(scoped) + 1):
+        for named in combinations(scoped, n):
+            kind = [F.col(c) != WILDCARD if c in named else F.col(c) == WILDCARD for c in scoped]
+            yield named, rules.filter(reduce(Column.__and__, kind, F.lit(True)))
 
 
 def wildcard_exclude(
@@ -84,8 +87,31 @@ def wildcard_exclude(
     equal: Sequence[str] = ("organism_reporting_group", "antibiotic"),
     scoped: Sequence[str] = ("cohort_id", "reporting_phenotype"),
 ) -> DataFrame:
-    """Rows no rule matches. An anti join, so overlapping rules never multiply rows."""
-    return grid.alias("row").join(rules.alias("rule"), wildcard_match("row", "rule", equal, scoped), "left_anti")
+    """Rows no rule matches: equal columns match, scoped ones match or are a literal wildcard of the rule.
+
+    One anti join per pattern, so overlapping rules never multiply rows.
+    """
+    columns = grid.columns
+    for named, some in by_pattern(rules, scoped):
+        keys = [*equal, *named]
+        grid = grid.join(some.select(*keys), keys, "left_anti")
+    return grid.select(*columns)
+
+
+def wildcard_cover(
+    grid: DataFrame,
+    rules: DataFrame,
+    equal: Sequence[str] = ("organism_reporting_group", "antibiotic"),
+    scoped: Sequence[str] = ("cohort_id", "reporting_phenotype"),
+) -> DataFrame:
+    """Rows some rule matches, each once."""
+    columns = grid.columns
+    marks = []
+    for number, (named, some) in enumerate(by_pattern(rules, scoped)):
+        keys, mark = [*equal, *named], f"_pattern_{number}"
+        grid = grid.join(some.select(*keys, F.lit(True).alias(mark)).distinct(), keys, "left")
+        marks.append(F.col(mark))
+    return grid.filter(F.coalesce(*marks)).select(*columns)
 
 
 def outer_attach(grid: DataFrame, endpoints: DataFrame) -> DataFrame:

@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 
 from cohortgram import reference as ref
 from cohortgram.functions.schemas import ORDER_KEYS
-from cohortgram.operators import audits, profile
-from cohortgram.plans import quality
+from cohortgram.operators import audits, heavy, profile
+from cohortgram.plans import Scratch, quality
 from cohortgram.plans.report import ORDER_ATTRIBUTES
 from cohortgram.queries.context import Context
 from cohortgram.queries.registry import query
@@ -28,6 +28,30 @@ def largest_keys(c: Context):
     return profile.largest_keys(c.raw, ["order_proc_id_coded"])
 
 
+def _heavy(c: Context, keys: list[str]):
+    return heavy.heavy_keys(c.raw, keys, 10, Scratch(c.spark))
+
+
+@query(
+    "organism antibiotic row_count",
+    """SELECT organism, antibiotic, count(*) AS row_count FROM raw GROUP BY ALL
+ORDER BY 3 DESC, 1 NULLS FIRST, 2 NULLS FIRST LIMIT 10""",
+    "raw",
+)
+def heavy_organism_drugs(c: Context):
+    return _heavy(c, ["organism", "antibiotic"])
+
+
+@query(
+    "anon_id row_count",
+    """SELECT anon_id, count(*) AS row_count FROM raw GROUP BY 1
+ORDER BY 2 DESC, 1 NULLS FIRST LIMIT 10""",
+    "raw",
+)
+def heavy_patients(c: Context):
+    return _heavy(c, ["anon_id"])
+
+
 @query(
     "row_count key_count",
     "SELECT source_row_count AS row_count, count(*) AS key_count FROM culture GROUP BY 1",
