@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 
 from cohortgram import reference as ref
 from cohortgram.functions.cleaning import punctuation_free
-from cohortgram.operators import audits, marts, profile
+from cohortgram.operators import audits, bitmaps, marts, profile
 from cohortgram.operators.vocabulary import reporting_eligible
+from cohortgram.plans import Scratch
 from cohortgram.queries.context import Context
 from cohortgram.queries.registry import query
 from cohortgram.queries.sql import CRE_GROUP, ESCE_GROUP, any_rows, in_list, like_any, pct, values
@@ -1143,3 +1144,38 @@ def yearly_groups(c: Context):
 )
 def monthly_cultures(c: Context):
     return audits.monthly_cultures(c.full.records, c.windowed.window, ref.COHORTS)
+
+
+_GROUP_CELL = ["cohort_id", "organism_reporting_group"]
+
+
+def _patient_bitmaps(c: Context):
+    return bitmaps.monthly_bitmaps(
+        c.full.records, _GROUP_CELL, "patient_key", "culture_time_shifted", Scratch(c.spark), "patients"
+    )
+
+
+@query(
+    "$analysis_window_start cohort_id organism_reporting_group patients",
+    """SELECT s::varchar AS analysis_window_start, cohort_id, organism_reporting_group, count(DISTINCT patient_key) AS patients
+FROM record, (SELECT DISTINCT (date_trunc('month', culture_time_shifted) - to_months(k::int))::date AS s
+  FROM record, range(12) r(k) WHERE culture_time_shifted IS NOT NULL)
+WHERE culture_time_shifted >= s AND culture_time_shifted < s + to_months(12) GROUP BY ALL""",
+    "record",
+)
+def patients_by_window(c: Context):
+    """Distinct patients of each group in every twelve-month window with a monthly start."""
+    return bitmaps.distinct_by_window(_patient_bitmaps(c), _GROUP_CELL, 1, "patients")
+
+
+@query(
+    "shifted_year cohort_id patients",
+    """SELECT year(culture_time_shifted)::int AS shifted_year, cohort_id, count(DISTINCT patient_key) AS patients
+FROM record WHERE culture_time_shifted IS NOT NULL GROUP BY ALL""",
+    "record",
+)
+def yearly_patients(c: Context):
+    """Distinct patients per year and cohort, from the same monthly bitmaps of finer cells."""
+    return bitmaps.distinct_by_cell(_patient_bitmaps(c), ["cohort_id"], 12, "patients").withColumnRenamed(
+        "period", "shifted_year"
+    )
