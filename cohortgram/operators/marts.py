@@ -14,7 +14,7 @@ from cohortgram.functions.measures import DISPLAY_MINIMUM, display_status, n_row
 from cohortgram.functions.statuses import NOT_APPLICABLE, NOT_DETECTED, NOT_EVALUABLE, POSITIVE, strongest_status
 from cohortgram.functions.windows import ReportWindow
 from cohortgram.operators.consolidate import MEMBERS
-from cohortgram.operators.reconcile import CONFLICT, MISSING, RESOLVED, reconcile_group
+from cohortgram.operators.reconcile import CONFLICT, MISSING, PARENT, RESOLVED, reconcile_group, shared_parent
 from cohortgram.operators.select import PATIENT_GROUP
 from cohortgram.reference import (
     CATEGORISED,
@@ -184,7 +184,7 @@ def selected_members(overall: DataFrame, stratified: DataFrame, carry: Sequence[
         "reporting_phenotype", F.lit("overall")
     )
     stratified_keys = stratified.withColumn(POPULATION, F.col("first_stratified_reporting_culture_key"))
-    columns = (POPULATION, *carry, *CELL, MEMBERS)
+    columns = (POPULATION, *carry, *CELL, PARENT, MEMBERS)
     return overall_keys.select(*columns).unionByName(stratified_keys.select(*columns))
 
 
@@ -222,6 +222,7 @@ def susceptibility_mart(
         endpoints.join(drugs, "antibiotic", "left_semi"),
         (POPULATION, *dimensions),
         result_sets=False,
+        parent=shared_parent(selected, endpoints),
     )
     counted = results.groupBy(*dimensions, "antibiotic").agg(*result_counts())
     return measured_panel(panel, counted, dimensions, groups, window if not carry else None, minimum)

@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 
 from cohortgram.functions.keys import surrogate_key
 from cohortgram.functions.measures import n_rows, tally
-from cohortgram.operators.rollup import latest_lineage
+from cohortgram.operators.rollup import latest_lineage, rows_of
 
 RESOLVED, MISSING, CONFLICT = "resolved", "missing", "conflict"
+PARENT = "culture_key"
 
 
 def reconcile_endpoints(
@@ -21,19 +22,20 @@ def reconcile_endpoints(
     value: str = "susceptibility",
     lineage: Sequence[str] = ("source_file", "ingested_at"),
     state_counts: bool = True,
+    weight: str | None = None,
 ) -> DataFrame:
     """One row per endpoint: resolved (one value everywhere), missing (only NULL) or conflict.
 
     A value beside a NULL is a conflict here. Repeated rows of an endpoint, however many, are combined
     map-side. Status and value follow from minimum, maximum and a NULL count in one shuffle;
     ``state_counts`` adds the exact distinct counts of the audit by folding rows to states first, which
-    costs a second one.
+    costs a second one, unless the rows lie by one of the keys. ``weight`` holds the source rows of folded rows.
     """
     total, missing = F.col("source_row_count"), F.col("missing_susceptibility_row_count")
     counts: list[Column | str] = ["source_row_count", "missing_susceptibility_row_count"]
     if state_counts:
-        states = rows.groupBy(*keys, value).agg(n_rows().alias("_rows"), *latest_lineage(lineage))
-        weight = F.col("_rows")
+        states = rows.groupBy(*keys, value).agg(rows_of(weight).alias("_rows"), *latest_lineage(lineage))
+        source_rows = F.col("_rows")
         distinct = [
             F.count(value).alias("distinct_nonnull_category_count"),
             n_rows().alias("distinct_result_state_count"),
@@ -44,10 +46,10 @@ def reconcile_endpoints(
             F.greatest(total - F.col("distinct_result_state_count"), F.lit(0)).alias("repeated_result_row_count"),
         ]
     else:
-        states, weight, distinct = rows, F.lit(1), []
+        states, source_rows, distinct = rows, F.lit(1) if weight is None else F.col(weight), []
     rolled = states.groupBy(*keys).agg(
-        F.sum(weight).alias("source_row_count"),
-        F.sum(F.when(F.col(value).isNull(), weight).otherwise(0)).alias("missing_susceptibility_row_count"),
+        F.sum(source_rows).alias("source_row_count"),
+        F.sum(F.when(F.col(value).isNull(), source_rows).otherwise(0)).alias("missing_susceptibility_row_count"),
         F.min(value).alias("_low"),
         F.max(value).alias("_high"),
         *distinct,
@@ -71,7 +73,9 @@ def with_endpoint_keys(
 
     Rows without a full natural key have no parent record and are left out, as an equality join would.
     """
-    keyed = endpoints.dropna(subset=list(parent_keys)).withColumn("culture_key", surrogate_key(*parent_keys))
+    keyed = endpoints.dropna(subset=list(parent_keys))
+    if PARENT not in endpoints.columns:
+        keyed = keyed.withColumn(PARENT, surrogate_key(*parent_keys))
     return keyed.withColumn("culture_organism_key", surrogate_key("culture_key", child))
 
 
@@ -94,6 +98,11 @@ def scope_groups(scopes: dict[str, tuple[DataFrame, str]], carry: Sequence[str],
     return reduce(DataFrame.unionByName, parts)
 
 
+def shared_parent(groups: DataFrame, endpoints: DataFrame) -> list[str]:
+    """The culture key, if both sides carry it: groups of one culture and the endpoints that lie by it meet without a shuffle."""
+    return [PARENT] if PARENT in groups.columns and PARENT in endpoints.columns else []
+
+
 def reconcile_group(
     groups: DataFrame,
     endpoints: DataFrame,
@@ -101,23 +110,25 @@ def reconcile_group(
     members: str = "source_culture_organism_keys",
     member: str = "culture_organism_key",
     result_sets: bool = True,
+    parent: Sequence[str] = (),
 ) -> DataFrame:
     """Second reconciliation: the endpoints of all member records of a group, per antibiotic.
 
     Unlike the first one it tolerates a missing sibling: one resolved value beside missing endpoints is
     resolved. A member conflict or two resolved values make a conflict. ``result_sets`` adds the audit
-    arrays; their size is bounded by the members of one group.
+    arrays; their size is bounded by the members of one group. ``parent`` names columns that are functions of a group and of
+    each of its members: where endpoints lie by them, they are joined and grouped as they lie.
     """
-    member_rows = groups.select(*keys, F.explode(members).alias(member))
+    member_rows = groups.select(*parent, *keys, F.explode(members).alias(member))
     source = member_rows.join(
-        endpoints.select(member, "antibiotic", "resolution_status", "susceptibility"), member
+        endpoints.select(*parent, member, "antibiotic", "resolution_status", "susceptibility"), [*parent, member]
     )
     resolved_value = F.when(F.col("resolution_status") == RESOLVED, F.col("susceptibility"))
     sets = [
         F.array_sort(F.collect_set(resolved_value)).alias("resolved_results"),
         F.array_sort(F.collect_set("resolution_status")).alias("source_resolution_statuses"),
     ]
-    rolled = source.groupBy(*keys, "antibiotic").agg(
+    rolled = source.groupBy(*parent, *keys, "antibiotic").agg(
         n_rows().alias("source_endpoint_row_count"),
         tally(F.col("resolution_status") == CONFLICT).alias("source_conflict_count"),
         tally(F.col("resolution_status") == MISSING).alias("source_missing_count"),
@@ -130,7 +141,7 @@ def reconcile_group(
         rolled = rolled.withColumn("source_organisms_with_endpoint", F.col("source_endpoint_row_count")).withColumn(
             "distinct_resolved_result_count", F.size("resolved_results").cast("long")
         )
-    return classify_group(rolled).drop("_low", "_high")
+    return classify_group(rolled).drop("_low", "_high", *parent)
 
 
 def classify_group(rolled: DataFrame) -> DataFrame:

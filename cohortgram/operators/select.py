@@ -12,7 +12,7 @@ from cohortgram.functions.measures import tally
 from cohortgram.functions.statuses import NOT_DETECTED, POSITIVE
 from cohortgram.functions.windows import ReportWindow
 from cohortgram.operators.consolidate import MEMBERS
-from cohortgram.operators.reconcile import RESOLVED, reconcile_group
+from cohortgram.operators.reconcile import RESOLVED, reconcile_group, shared_parent
 from cohortgram.reference import (
     E_FAECALIS,
     E_FAECIUM,
@@ -56,14 +56,16 @@ def marker_agreement(
 
 def marker_endpoints(records: DataFrame, endpoints: DataFrame, drugs: Sequence[str] = MARKER_DRUGS) -> DataFrame:
     """Group endpoints of the marker drugs for the only records whose category depends on them."""
+    parent = shared_parent(records, endpoints)
     groups = records.filter(_is_marker_decided()).select(
-        F.lit("stratified").alias("ast_scope"), F.col(RECORD_KEY).alias("reporting_source_key"), MEMBERS
+        F.lit("stratified").alias("ast_scope"), F.col(RECORD_KEY).alias("reporting_source_key"), *parent, MEMBERS
     )
     return reconcile_group(
         groups,
         endpoints.filter(F.col("antibiotic").isin(*drugs)),
         ("ast_scope", "reporting_source_key"),
         result_sets=False,
+        parent=parent,
     )
 
 

@@ -80,7 +80,8 @@ def attach_culture_context(
 ) -> DataFrame:
     """Time, description and flag of the culture a record belongs to.
 
-    Joined on the natural key, by which the culture roll-up is already partitioned.
+    Joined on the natural key, by which the culture roll-up is already partitioned; with the culture key among ``keys``,
+    records and cultures that lie by it are joined as they lie.
     """
     return records.join(cultures.select(*keys, *CONTEXT_COLUMNS), list(keys))
 

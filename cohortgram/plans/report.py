@@ -20,8 +20,22 @@ ENDPOINT_COLUMNS = ("culture_organism_key", "organism", "antibiotic", "resolutio
 GROUP_KEYS = ("ast_scope", "reporting_source_key", *select.PATIENT_GROUP)
 GROUP_PHENOTYPES = ("base", "esce_r", "oxacillin_resistant", "vancomycin_resistant")
 REPORT_RELATIONS = ("endpoints", "records", "selected")
-#: Stored relations with several readers that join or group on one key, and that key.
+CULTURE = reconcile.PARENT
+#: Stored relations with several readers that join or group on one key, and that key. All that is below a culture lies by the
+#: culture, so that one shuffle, that of ``states``, serves them all.
 BUCKET_KEYS = {
+    "states": CULTURE,
+    "cultures": CULTURE,
+    "endpoints": CULTURE,
+    "culture_organisms": CULTURE,
+    "mapped": CULTURE,
+    "phenotypes": CULTURE,
+    "records": CULTURE,
+    "selected": CULTURE,
+    "group_endpoints": "reporting_source_key",
+}
+#: The same without audit columns: endpoints have no culture key then.
+LEAN_BUCKET_KEYS = {
     "endpoints": "culture_organism_key",
     "culture_organisms": "culture_organism_key",
     "mapped": "culture_organism_key",
@@ -29,7 +43,8 @@ BUCKET_KEYS = {
     "records": select.RECORD_KEY,
     "group_endpoints": "reporting_source_key",
 }
-AUDIT_RELATIONS = (*REPORT_RELATIONS, "cultures", "culture_organisms", "mapped", "phenotypes", "group_endpoints")
+WEIGHT = "staged_row_count"
+AUDIT_RELATIONS = (*REPORT_RELATIONS, "states", "cultures", "culture_organisms", "mapped", "phenotypes", "group_endpoints")
 
 
 class ReportTables:
@@ -37,7 +52,8 @@ class ReportTables:
 
     If ``scratch`` is given, the relations named in ``keep`` are written there once: by default those the
     reports read several times. Name more of them to run many audits over one build. Those whose readers join or group
-    on one key (``BUCKET_KEYS``) are stored as buckets of it. Everything else stays a lazy plan for Catalyst. The window is applied to ``records``, before selection and counting; filtering
+    on one key (``BUCKET_KEYS``) are stored as buckets of it. With ``states`` among them, the raw rows are shuffled once, by culture, and
+    all grains of the source are rolled up from there. Everything else stays a lazy plan for Catalyst. The window is applied to ``records``, before selection and counting; filtering
     a finished table would give other answers.
 
     ``audit_columns=False`` leaves out what no report reads: file lineage, ordering mode, row and distinct
@@ -67,6 +83,8 @@ class ReportTables:
         self.keep = frozenset(keep)
         self.audit_columns = audit_columns
         self.lineage = rollup.LINEAGE if audit_columns else ()
+        self.bucket_keys = BUCKET_KEYS if audit_columns else LEAN_BUCKET_KEYS
+        self.record_keys = (CULTURE, "culture_organism_key") if audit_columns else ("culture_organism_key",)
         self.counts = counts
         self.counted: dict[str, dict[str, int]] = {}
 
@@ -86,8 +104,8 @@ class ReportTables:
             return frame
         folder = f"{name}-{self.window.start or 'full'}"
         counts = self.counts(name) if self.counts else None
-        if name in BUCKET_KEYS:
-            kept = self.scratch.keep_by(folder, frame, BUCKET_KEYS[name], counts)
+        if name in self.bucket_keys:
+            kept = self.scratch.keep_by(folder, frame, self.bucket_keys[name], counts)
         else:
             kept = self.scratch.keep(folder, frame, counts=counts)
         if self.scratch.counted.get(folder):
@@ -99,18 +117,40 @@ class ReportTables:
     def staged(self) -> DataFrame:
         return stage_cohort(self.raw_cohort)
 
+    @cached_property
+    def states(self) -> DataFrame:
+        """Distinct staged rows with their number, by culture: what cultures, records and endpoints are rolled up from."""
+        folded = rollup.dealt_states(
+            self.staged,
+            ORDER_KEYS,
+            (*ORDER_ATTRIBUTES, "organism", "antibiotic", "susceptibility", "source_file"),
+            ("ingested_at",),
+            CULTURE,
+            WEIGHT,
+            self.scratch.buckets,
+        )
+        return self._keep("states", folded)
+
+    def _source(self) -> tuple[DataFrame, str | None]:
+        """The rows to roll up, and the column with their numbers of source rows."""
+        if self.scratch is not None and self.audit_columns and "states" in self.keep:
+            return self.states, WEIGHT
+        return self.staged, None
+
     @cached_property
     def cultures(self) -> DataFrame:
         attributes = ORDER_ATTRIBUTES if self.audit_columns else vocabulary.CONTEXT_COLUMNS
+        rows, weight = self._source()
         rolled = rollup.consistent_rollup(
-            self.staged, ORDER_KEYS, attributes, "culture_key", lineage=self.lineage
+            rows, ORDER_KEYS, attributes, "culture_key", lineage=self.lineage, weight=weight
         )
         return self._keep("cultures", rolled)
 
     @cached_property
     def culture_organisms(self) -> DataFrame:
+        rows, weight = self._source()
         rolled = rollup.child_rollup(
-            self.staged,
+            rows,
             ORDER_KEYS,
             "organism",
             "antibiotic",
@@ -118,15 +158,17 @@ class ReportTables:
             "culture_organism_key",
             lineage=self.lineage,
             item_counts=self.audit_columns,
+            weight=weight,
         )
         return self._keep("culture_organisms", rolled)
 
     @cached_property
     def endpoints(self) -> DataFrame:
-        tested = self.staged.filter("organism is not null and antibiotic is not null")
-        keys = [*rollup.finest_first(ORDER_KEYS), "organism", "antibiotic"]
+        rows, weight = self._source()
+        tested = rows.filter("organism is not null and antibiotic is not null")
+        keys = [*([] if weight is None else [CULTURE]), *rollup.finest_first(ORDER_KEYS), "organism", "antibiotic"]
         rolled = reconcile.reconcile_endpoints(
-            tested, keys, lineage=self.lineage, state_counts=self.audit_columns
+            tested, keys, lineage=self.lineage, state_counts=self.audit_columns, weight=weight
         )
         keyed = reconcile.with_endpoint_keys(rolled, ORDER_KEYS)
         return self._keep("endpoints", keyed if self.audit_columns else keyed.select(*ENDPOINT_COLUMNS))
@@ -147,7 +189,8 @@ class ReportTables:
 
     @cached_property
     def cohort_records(self) -> DataFrame:
-        return vocabulary.assign_cohort(vocabulary.attach_culture_context(self.culture_organisms, self.cultures))
+        keys = (CULTURE, *ORDER_KEYS) if self.audit_columns else ORDER_KEYS
+        return vocabulary.assign_cohort(vocabulary.attach_culture_context(self.culture_organisms, self.cultures, keys))
 
     @cached_property
     def mapped(self) -> DataFrame:
@@ -158,18 +201,18 @@ class ReportTables:
     @cached_property
     def evidence(self) -> DataFrame:
         narrow = self.endpoints.select(
-            "culture_organism_key",
+            *self.record_keys,
             self.endpoints["organism"].alias("organism_source"),
             "antibiotic",
             "resolution_status",
             "susceptibility",
         )
         scoped = evidence.with_rule_scopes(vocabulary.map_labels(narrow, self.seeds.labels))
-        return evidence.evidence_counts(scoped)
+        return evidence.evidence_counts(scoped, keys=self.record_keys)
 
     @cached_property
     def phenotypes(self) -> DataFrame:
-        records = evidence.phenotype_records(evidence.with_rule_scopes(self.mapped), self.evidence)
+        records = evidence.phenotype_records(evidence.with_rule_scopes(self.mapped), self.evidence, keys=self.record_keys)
         return self._keep("phenotypes", records)
 
     @cached_property
@@ -192,15 +235,16 @@ class ReportTables:
         """Second reconciliation of every overall and stratified group in the window."""
         usable = self.records.filter(self.window.usable("culture_time_shifted"))
         stratified = usable.filter(usable["reporting_phenotype"].isin(*GROUP_PHENOTYPES))
+        parent = reconcile.shared_parent(self.records, self.endpoints)
         groups = reconcile.scope_groups(
             {
                 "overall": (self.overall_observations, "reporting_culture_observation_key"),
                 "stratified": (stratified, select.RECORD_KEY),
             },
-            select.PATIENT_GROUP,
+            (*parent, *select.PATIENT_GROUP),
             consolidate.MEMBERS,
         )
-        rolled = reconcile.reconcile_group(groups, self.endpoints, GROUP_KEYS)
+        rolled = reconcile.reconcile_group(groups, self.endpoints, GROUP_KEYS, parent=parent)
         return self._keep("group_endpoints", reconcile.with_group_endpoint_key(rolled))
 
     @cached_property

@@ -13,6 +13,8 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
+#: Codec of stored relations: keys are hashes in hex, which only entropy coding halves.
+CODEC = "zstd"
 #: Rows of a file of a relation of narrow rows whose size is known.
 FILE_ROWS = 1_000_000
 
@@ -37,6 +39,8 @@ class Scratch:
         self.spark = spark
         self.counted: dict[str, dict[str, int]] = {}
         self.path = f"{(root or scratch_root(spark)).rstrip('/')}/run-{uuid.uuid4().hex}"
+        # Relations that lie by one key of a join are joined as they lie, whatever more keys the join has.
+        spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
         self._forget_at_exit()
 
     def _forget_at_exit(self) -> None:
@@ -46,6 +50,10 @@ class Scratch:
         files.mkdirs(path)
         files.deleteOnExit(path)
 
+    @property
+    def buckets(self) -> int:
+        return int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+
     def folder(self, name: str) -> str:
         return f"{self.path}/{name}"
 
@@ -56,7 +64,7 @@ class Scratch:
         if rows is not None:
             frame = frame.repartition(max(1, -(-rows // FILE_ROWS)))
         seen, frame = _observed(frame, counts)
-        frame.write.mode("error").parquet(self.folder(name))
+        frame.write.mode("error").option("compression", CODEC).parquet(self.folder(name))
         self._take(name, seen)
         return self.spark.read.schema(frame.schema).parquet(self.folder(name))
 
@@ -67,10 +75,11 @@ class Scratch:
         with a bounded number of rows per key. The table is known to the session's catalog under a name of its own, which is dropped when the
         program ends.
         """
-        buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-        table = f"kept_{uuid.uuid4().hex}"
+        buckets, table = self.buckets, f"kept_{uuid.uuid4().hex}"
+        # Spark leaves this shuffle out if the rows already lie by the key in as many partitions.
         seen, dealt = _observed(frame.repartition(buckets, key), counts)
         writer = dealt.write.format("parquet").mode("error").option("path", self.folder(name))
+        writer = writer.option("compression", CODEC)
         writer.bucketBy(buckets, key).sortBy(key).saveAsTable(table)
         self._take(name, seen)
         atexit.register(_drop, self.spark, table)

@@ -61,13 +61,13 @@ def susceptibility_by_window(tables: ReportTables, starts: Starts) -> DataFrame:
     overall = sweep.first_in_windows(observations, select.PATIENT_GROUP, [time, culture], grid).withColumns(
         {"organism_name": F.col("organism_reporting_group"), "reporting_phenotype": F.lit("overall")}
     )
-    columns = (*sweep.SPAN, *marts.CELL, consolidate.MEMBERS)
+    columns = (*sweep.SPAN, *marts.CELL, culture, consolidate.MEMBERS)
     selected = stratified.select(F.col(select.RECORD_KEY).alias(marts.POPULATION), *columns).unionByName(
         overall.select(F.col("reporting_culture_observation_key").alias(marts.POPULATION), *columns)
     )
     if tables.scratch is not None:
         # Read for the denominators and for the endpoints.
-        selected = tables.scratch.keep(f"selected-{uuid.uuid4().hex}", selected)
+        selected = tables.scratch.keep_by(f"selected-{uuid.uuid4().hex}", selected, culture)
 
     dimensions = (*WINDOW_KEYS, *marts.CELL)
     cells = sweep.counts_by_window(selected, marts.CELL, [n_rows().alias("eligible_count")], ["eligible_count"], grid)
@@ -77,6 +77,7 @@ def susceptibility_by_window(tables: ReportTables, starts: Starts) -> DataFrame:
         tables.endpoints.join(drugs, "antibiotic", "left_semi"),
         (marts.POPULATION, *sweep.SPAN, *marts.CELL),
         result_sets=False,
+        parent=reconcile.shared_parent(selected, tables.endpoints),
     )
     counted = sweep.counts_by_window(
         results, (*marts.CELL, "antibiotic"), marts.result_counts(), marts.RESULT_COUNT_NAMES, grid

@@ -93,6 +93,8 @@ PANEL_DRUGS = {
     ),
 }
 DRUGS_PER_PANEL = 9
+# Result texts.
+RESULTS = ("Susceptible", "Resistant", "Intermediate", "Inconclusive", "Synergism", "Null", " Null ")
 # Culture description per market segment.
 DESCRIPTIONS = {
     "BUILDING": "BLOOD",
@@ -142,30 +144,36 @@ def _ingest() -> list[Column]:
 
 
 def raw_cohort(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One text row per line item."""
-    orders = table(spark, sf_dir, "orders")
-    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment", "c_nationkey")
-    lines = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_suppkey", "l_quantity", "l_tax", "l_returnflag", "l_linestatus"
-    )
-    rows = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(
-        customers, F.col("o_custkey") == F.col("c_custkey")
-    )
+    """One text row per line item.
+
+    What is read of a line is worked out before the join, and orders meet their customers first: lines are shuffled once and narrow.
+    """
     neighbour = F.when((F.col("l_linestatus") == "O") & (F.col("l_returnflag") == "R"), 1).otherwise(0)
-    pick = ((F.col("o_custkey") * 3 + F.year("o_orderdate") % 2 + neighbour) % len(LABELS)).cast("int")
-    panels = F.array(*[F.array(*[F.lit(d) for d in PANEL_DRUGS[p]]) for p in PANEL_OF_LABEL])
-    negative = F.col("o_orderpriority") == "5-LOW"
-    untested = F.col("l_tax") >= 0.08
     flag, quantity = F.col("l_returnflag"), F.col("l_quantity")
     result = (
-        F.when((flag == "R") & (quantity <= 25), "Resistant")
-        .when((flag == "N") & (quantity <= 3), "Null")
-        .when((flag == "N") & (quantity <= 5), " Null ")
-        .when((flag == "N") & (quantity <= 8), "Inconclusive")
-        .when((flag == "N") & (quantity <= 10), "Synergism")
-        .when((flag == "N") & (quantity <= 25), "Intermediate")
-        .otherwise("Susceptible")
+        F.when((flag == "R") & (quantity <= 25), RESULTS.index("Resistant"))
+        .when((flag == "N") & (quantity <= 3), RESULTS.index("Null"))
+        .when((flag == "N") & (quantity <= 5), RESULTS.index(" Null "))
+        .when((flag == "N") & (quantity <= 8), RESULTS.index("Inconclusive"))
+        .when((flag == "N") & (quantity <= 10), RESULTS.index("Synergism"))
+        .when((flag == "N") & (quantity <= 25), RESULTS.index("Intermediate"))
+        .otherwise(RESULTS.index("Susceptible"))
+    )
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey",
+        (F.col("l_suppkey") % DRUGS_PER_PANEL).cast("int").alias("_drug"),
+        (F.col("l_tax") >= 0.08).alias("_untested"),
+        neighbour.alias("_neighbour"),
+        result.alias("_result"),
     )
+    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment", "c_nationkey")
+    orders = table(spark, sf_dir, "orders").join(customers, F.col("o_custkey") == F.col("c_custkey"))
+    rows = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    pick = ((F.col("o_custkey") * 3 + F.year("o_orderdate") % 2 + F.col("_neighbour")) % len(LABELS)).cast("int")
+    panels = F.array(*[F.array(*[F.lit(d) for d in PANEL_DRUGS[p]]) for p in PANEL_OF_LABEL])
+    negative = F.col("o_orderpriority") == "5-LOW"
+    untested = F.col("_untested")
+    result = F.get(F.array(*[F.lit(text) for text in RESULTS]), F.col("_result"))
     description = _lookup(DESCRIPTIONS, F.col("c_mktsegment"))
     picked = rows.withColumn("_pick", pick)
     return picked.select(
@@ -181,7 +189,7 @@ def raw_cohort(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.get(F.array(*[F.lit(label) for label in LABELS]), F.col("_pick")))
         .alias("organism"),
         F.when(negative | untested, "Null")
-        .otherwise(F.get(F.get(panels, F.col("_pick")), (F.col("l_suppkey") % DRUGS_PER_PANEL).cast("int")))
+        .otherwise(F.get(F.get(panels, F.col("_pick")), F.col("_drug")))
         .alias("antibiotic"),
         F.when(negative | untested, "Null").otherwise(result).alias("susceptibility"),
         *_ingest(),
