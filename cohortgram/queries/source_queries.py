@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortgram.functions.cleaning import safe_cast, sentinel_to_null
@@ -36,6 +37,15 @@ def _folder(c: Context, name: str) -> str:
 
 
 RELEASES = ("2025-04-11", "2025-10-01")
+#: Rows of one landed file at most, so that no task writes or takes in more.
+ROWS_PER_FILE = 4_000_000
+
+
+def _land_half(rows: DataFrame, path: str, count: int, rows_per_file: int) -> int:
+    """Lands rows, of known number, as even files of a bounded size, and returns how many."""
+    files = max(1, -(-count // rows_per_file))
+    rows.repartition(files).write.mode("append").options(header=True, quoteAll=True, **export.EXACT_TEXT).csv(path)
+    return files
 
 
 # -- loading ---------------------------------------------------------------------------------------
@@ -86,17 +96,20 @@ def ledger_load(c: Context):
     """Loads with a ledger after each landing, and once more: every file counts once; a load that never commits does not count."""
     landing = [_folder(c, "landing") for _ in RELEASES]
     ledger = LoadLedger(c.spark, _folder(c, "ledger"), COHORT_SCHEMA)
+    half_of = F.pmod(F.xxhash64(*COHORT_SCHEMA.fieldNames()), F.lit(2))
+    halves = c.raw.groupBy("source_version", half_of.alias("half")).agg(F.count(F.lit(1)).alias("n"))
+    sizes = {(r.source_version, r.half): r.n for r in halves.filter(F.col("source_version").isin(*RELEASES)).collect()}
+    more_files = 0
     for release, path in zip(RELEASES, landing):
         for part in range(2):
-            half = c.raw.filter((F.col("source_version") == release) & (F.pmod(F.xxhash64(*COHORT_SCHEMA.fieldNames()), F.lit(2)) == part))
-            half.select(*COHORT_SCHEMA.fieldNames()).coalesce(1).write.mode("append").options(
-                header=True, quoteAll=True, **export.EXACT_TEXT
-            ).csv(path)
+            half = c.raw.filter((F.col("source_version") == release) & (half_of == part))
+            rows = sizes.get((release, part), 0)
+            more_files += _land_half(half.select(*COHORT_SCHEMA.fieldNames()), path, rows, ROWS_PER_FILE) - 1
         ledger.stage([tuple(r) for r in ledger.new_files(path).collect()], "never")
         ledger.load(path, release, files_per_load=1)
     ledger.load(landing, "again")
-    # Two files of each release are in the ledger, so a file loaded twice would show in both columns.
-    files = ledger.files().agg((F.count("*") / F.lit(len(RELEASES))).cast("int").alias("files"))
+    # Two files of each release are in the ledger, besides the further ones of large halves, so files loaded twice would show in both columns.
+    files = ledger.files().agg(((F.count("*") - F.lit(more_files)) / F.lit(len(RELEASES))).cast("int").alias("files"))
     return profile.frequency(ledger.rows(), ["source_version", "organism"]).crossJoin(F.broadcast(files))
 
 
