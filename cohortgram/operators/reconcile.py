@@ -117,7 +117,7 @@ def reconcile_group(
     Unlike the first one it tolerates a missing sibling: one resolved value beside missing endpoints is
     resolved. A member conflict or two resolved values make a conflict. ``result_sets`` adds the audit
     arrays; their size is bounded by the members of one group. ``parent`` names columns that are functions of a group and of
-    each of its members: where endpoints lie by them, they are joined and grouped as they lie.
+    each of its members: where endpoints lie by them, they are joined and grouped as they lie. They stay in the result.
     """
     member_rows = groups.select(*parent, *keys, F.explode(members).alias(member))
     source = member_rows.join(
@@ -141,7 +141,7 @@ def reconcile_group(
         rolled = rolled.withColumn("source_organisms_with_endpoint", F.col("source_endpoint_row_count")).withColumn(
             "distinct_resolved_result_count", F.size("resolved_results").cast("long")
         )
-    return classify_group(rolled).drop("_low", "_high", *parent)
+    return classify_group(rolled).drop("_low", "_high")
 
 
 def classify_group(rolled: DataFrame) -> DataFrame:

@@ -169,10 +169,11 @@ def attach_endpoints(
     carry: Sequence[str],
 ) -> DataFrame:
     """Endpoints of the selected records, taken from one scope only."""
+    parent = shared_parent(selected, group_endpoints)
     results = group_endpoints.filter(F.col("ast_scope") == scope).select(
-        F.col("reporting_source_key").alias(source_key), *_ENDPOINT_COLUMNS
+        *parent, F.col("reporting_source_key").alias(source_key), *_ENDPOINT_COLUMNS
     )
-    return selected.select(selected_key, source_key, *carry).join(results, source_key).select(
+    return selected.select(*parent, selected_key, source_key, *carry).join(results, [*parent, source_key]).select(
         surrogate_key(selected_key, "antibiotic").alias(key_name), selected_key, *carry, *_ENDPOINT_COLUMNS
     )
 

@@ -32,7 +32,7 @@ BUCKET_KEYS = {
     "phenotypes": CULTURE,
     "records": CULTURE,
     "selected": CULTURE,
-    "group_endpoints": "reporting_source_key",
+    "group_endpoints": CULTURE,
 }
 #: The same without audit columns: endpoints have no culture key then.
 LEAN_BUCKET_KEYS = {
