@@ -93,7 +93,7 @@ class ReportTables:
         other = ReportTables(
             self.raw_cohort, self.seeds, window, self.scratch, self.minimum, self.keep, self.audit_columns, self.counts
         )
-        for name in ("staged", "endpoints", "records"):
+        for name in ("staged", "buckets", "endpoints", "records"):
             other.__dict__[name] = getattr(self, name)
             if name in self.counted:
                 other.counted[name] = self.counted[name]
@@ -105,7 +105,7 @@ class ReportTables:
         folder = f"{name}-{self.window.start or 'full'}"
         counts = self.counts(name) if self.counts else None
         if name in self.bucket_keys:
-            kept = self.scratch.keep_by(folder, frame, self.bucket_keys[name], counts)
+            kept = self.scratch.keep_by(folder, frame, self.bucket_keys[name], counts, self.buckets)
         else:
             kept = self.scratch.keep(folder, frame, counts=counts)
         if self.scratch.counted.get(folder):
@@ -117,19 +117,29 @@ class ReportTables:
     def staged(self) -> DataFrame:
         return stage_cohort(self.raw_cohort)
 
+    @cached_property
+    def source_rows(self) -> int:
+        return self.staged.count()
+
+    @cached_property
+    def buckets(self) -> int | None:
+        """Buckets of all stored relations, which lie alike: their number grows with the source rows."""
+        return self.scratch and self.scratch.buckets_for(self.source_rows)
+
     @cached_property
     def states(self) -> DataFrame:
         """Distinct staged rows with their number, by culture: what cultures, records and endpoints are rolled up from."""
-        folded = rollup.dealt_states(
-            self.staged,
-            ORDER_KEYS,
-            (*ORDER_ATTRIBUTES, "organism", "antibiotic", "susceptibility", "source_file"),
-            ("ingested_at",),
-            CULTURE,
-            WEIGHT,
-            self.scratch.buckets,
-        )
-        return self._keep("states", folded)
+        with self.scratch.splits_for(self.source_rows):
+            folded = rollup.dealt_states(
+                self.staged,
+                ORDER_KEYS,
+                (*ORDER_ATTRIBUTES, "organism", "antibiotic", "susceptibility", "source_file"),
+                ("ingested_at",),
+                CULTURE,
+                WEIGHT,
+                self.buckets,
+            )
+            return self._keep("states", folded)
 
     def _source(self) -> tuple[DataFrame, str | None]:
         """The rows to roll up, and the column with their numbers of source rows."""

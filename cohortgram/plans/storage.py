@@ -8,15 +8,21 @@ from __future__ import annotations
 
 import atexit
 import uuid
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 #: Codec of stored relations: keys are hashes in hex, which only entropy coding halves.
 CODEC = "zstd"
-#: Rows of a file of a relation of narrow rows whose size is known.
+#: Most rows of a file, so that a scan can be split.
 FILE_ROWS = 1_000_000
+#: Source rows of a bucket. What is rolled up from them is sorted in memory: measured peak 130 MB a task at 150,000 rows.
+BUCKET_ROWS = 150_000
+#: Rows a task takes from a stored relation to deal them out. Files hold a few bytes a row, tasks some hundred.
+DEALT_ROWS = 1_000_000
+SPLITS_SETTING = "spark.sql.files.minPartitionNum"
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -54,6 +60,21 @@ class Scratch:
     def buckets(self) -> int:
         return int(self.spark.conf.get("spark.sql.shuffle.partitions"))
 
+    def buckets_for(self, rows: int) -> int:
+        """Buckets of relations rolled up from so many rows: no task gets more than memory holds, however many there are."""
+        return max(self.buckets, -(-rows // BUCKET_ROWS))
+
+    @contextmanager
+    def splits_for(self, rows: int) -> Iterator[None]:
+        """Inside, scans of files with so many rows are split into tasks of about ``DEALT_ROWS``, as shuffles buffer what they deal out."""
+        before = self.spark.conf.get(SPLITS_SETTING, None)
+        least = max(self.spark.sparkContext.defaultParallelism, -(-rows // DEALT_ROWS), int(before or 0))
+        self.spark.conf.set(SPLITS_SETTING, str(least))
+        try:
+            yield
+        finally:
+            self.spark.conf.unset(SPLITS_SETTING) if before is None else self.spark.conf.set(SPLITS_SETTING, before)
+
     def folder(self, name: str) -> str:
         return f"{self.path}/{name}"
 
@@ -64,18 +85,21 @@ class Scratch:
         if rows is not None:
             frame = frame.repartition(max(1, -(-rows // FILE_ROWS)))
         seen, frame = _observed(frame, counts)
-        frame.write.mode("error").option("compression", CODEC).parquet(self.folder(name))
+        writer = frame.write.mode("error").option("compression", CODEC).option("maxRecordsPerFile", FILE_ROWS)
+        writer.parquet(self.folder(name))
         self._take(name, seen)
         return self.spark.read.schema(frame.schema).parquet(self.folder(name))
 
-    def keep_by(self, name: str, frame: DataFrame, key: str, counts: Mapping[str, Column] | None = None) -> DataFrame:
-        """Writes a relation as a table of one bucket per shuffle partition of ``key``, sorted by it, and reads it back.
+    def keep_by(
+        self, name: str, frame: DataFrame, key: str, counts: Mapping[str, Column] | None = None, buckets: int | None = None
+    ) -> DataFrame:
+        """Writes a relation as a table of buckets of ``key``, sorted by it, and reads it back: one per shuffle partition or ``buckets``.
 
         Its rows are shuffled once, here; joins and aggregations on ``key`` then read the buckets as they lie. Meant for relations
         with a bounded number of rows per key. The table is known to the session's catalog under a name of its own, which is dropped when the
         program ends.
         """
-        buckets, table = self.buckets, f"kept_{uuid.uuid4().hex}"
+        buckets, table = buckets or self.buckets, f"kept_{uuid.uuid4().hex}"
         # Spark leaves this shuffle out if the rows already lie by the key in as many partitions.
         seen, dealt = _observed(frame.repartition(buckets, key), counts)
         writer = dealt.write.format("parquet").mode("error").option("path", self.folder(name))

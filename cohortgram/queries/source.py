@@ -106,6 +106,8 @@ DESCRIPTIONS = {
 RELEASES = {"F": "2025-04-11", "P": "2025-04-11", "O": "2025-10-01"}
 ORDERING_MODES = {"1-URGENT": "Inpatient", "2-HIGH": " Null ", "4-NOT SPECIFIED": "Null"}
 WINDOW_START = "1998-01-01"
+#: Lines of a task that joins them with their orders.
+PART_ROWS = 500_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -168,6 +170,9 @@ def raw_cohort(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     customers = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment", "c_nationkey")
     orders = table(spark, sf_dir, "orders").join(customers, F.col("o_custkey") == F.col("c_custkey"))
+    parts = -(-lines.count() // PART_ROWS)
+    if parts > int(spark.conf.get("spark.sql.shuffle.partitions")):
+        lines, orders = lines.repartition(parts, "l_orderkey"), orders.repartition(parts, "o_orderkey")
     rows = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
     pick = ((F.col("o_custkey") * 3 + F.year("o_orderdate") % 2 + F.col("_neighbour")) % len(LABELS)).cast("int")
     panels = F.array(*[F.array(*[F.lit(d) for d in PANEL_DRUGS[p]]) for p in PANEL_OF_LABEL])

@@ -5,7 +5,9 @@ from pyspark.sql import functions as F
 
 from cohortgram.functions.schemas import COHORT_SCHEMA, ORDER_KEYS
 from cohortgram.operators import rollup
-from cohortgram.plans import ReportTables, Scratch
+from cohortgram.plans import ReportTables, Scratch, storage
+from cohortgram.plans.report import AUDIT_RELATIONS
+from cohortgram.queries import source
 from cohortgram.sources.seeds import Seeds
 
 GRAINS = ("cultures", "culture_organisms", "endpoints", "mapped", "phenotypes", "records")
@@ -74,3 +76,41 @@ def test_rows_of_a_hot_key_are_folded_before_they_are_dealt(plain, rows):
     assert dealing(dealt(100_000)) == (1, 0) and dealing(dealt(100)) == (2, 1)
     assert rows(dealt(100)) == rows(dealt(100_000))
     assert dealt(100).agg(F.sum("n")).first()[0] == 1000
+
+
+def test_buckets_grow_with_the_rows(spark, raw, plain, rows, monkeypatch):
+    monkeypatch.setattr(storage, "BUCKET_ROWS", 70)
+    monkeypatch.setattr(storage, "DEALT_ROWS", 50)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "16k")
+    try:
+        tables = ReportTables(raw, Seeds.built_in(spark), scratch=Scratch(spark), keep=AUDIT_RELATIONS)
+        for name in (*GRAINS, "group_endpoints"):
+            frame = getattr(tables, name)
+            assert shuffles(frame) == 0 and frame.groupBy("culture_key").count().rdd.getNumPartitions() == 15, name
+            assert rows(frame, *getattr(plain, name).columns) == rows(getattr(plain, name), *getattr(plain, name).columns), name
+        assert tables.for_window(tables.window).buckets == 15
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert spark.conf.get(storage.SPLITS_SETTING, None) is None
+
+
+def test_scans_to_deal_are_split_by_rows(spark, monkeypatch):
+    monkeypatch.setattr(storage, "DEALT_ROWS", 1_000)
+    monkeypatch.setattr(storage, "FILE_ROWS", 1_000)
+    scratch = Scratch(spark)
+    stored = scratch.keep("numbers", spark.range(40_000).repartition(1))
+    assert len(stored.inputFiles()) == 40
+    with scratch.splits_for(40_000):
+        assert stored.select("id").rdd.getNumPartitions() >= 20
+
+
+def test_lines_meet_their_orders_in_more_tasks_the_more_they_are(spark, rows, monkeypatch):
+    def dealt():
+        frame = source.raw_cohort(spark, "/root/testdata/sf0.001")
+        return frame._jdf.queryExecution().executedPlan().toString().count("REPARTITION_BY_NUM"), rows(frame)
+
+    few, raw_rows = dealt()
+    monkeypatch.setattr(source, "PART_ROWS", 300)
+    many, same = dealt()
+    assert (few, many) == (0, 2) and same == raw_rows
