@@ -6,7 +6,8 @@ many documents, comes from an inverted index of id pairs (``pair_index``): each
 postings, compressed bitmaps with multiplicity planes, whose popcounts Spark sums up per pair. The postings of a block then take the
 counts of their pairs back to its documents.
 
-Three shuffles: popcounts (partly summed in the tasks), postings by pair for the join with the counts, and postings by block.
+Bitmaps are shuffled once, to the documents of their block. Popcounts (partly summed in the tasks) and, for the join with the counts, the pairs and blocks
+of postings go without them, two numbers a posting, at any size: the join is never a broadcast, and what is shuffled grows with the input.
 A block ends at ``ENTRIES`` pairs of an id pair and a document, or ``BLOCK_DOCS`` documents, so its group is of bounded size; a frequent pair has
 one posting a block, and a join with many of them is split by Spark. Texts are read once and never shuffled.
 
@@ -25,6 +26,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -238,6 +240,16 @@ def pair_counts(postings: DataFrame) -> DataFrame:
     )
 
 
+def weighed(parts: pa.Table) -> pa.Table:
+    """The postings of a block with the weights of their pairs, from rows of either; each pair has one of both."""
+    of_posting = pc.is_valid(parts["docs"])
+    postings = parts.filter(of_posting).sort_by("pair").select(["docs", "planes"])
+    weights = parts.filter(pc.invert(of_posting)).sort_by("pair").select(["n_links", "best"])
+    for name in weights.column_names:
+        postings = postings.append_column(name, weights[name])
+    return postings
+
+
 def align(docs: DataFrame, scratch: Scratch, first: str, second: str) -> DataFrame:
     """Every row's tokens, groups and links, the links whose pair is the commonest of their second id, and the sum of their counts."""
     rows = scratch.keep("aligned", indexed(docs, first, second))
@@ -245,14 +257,18 @@ def align(docs: DataFrame, scratch: Scratch, first: str, second: str) -> DataFra
     counts = scratch.keep("pairs", pair_counts(postings)).withColumn("second", F.col("pair").bitwiseAND(F.lit((1 << _SECOND) - 1).cast("long")))
     highest = counts.groupBy("second").agg(F.max("n_links").alias("most"))
     weights = counts.join(highest, "second").select("pair", "n_links", (F.col("n_links") == F.col("most")).cast("long").alias("best"))
-    weighed = postings.join(weights, "pair").select(F.col("block").alias("of_block"), "docs", "planes", "n_links", "best")
+    held = postings.select("pair", F.col("block").alias("of_block")).hint("merge")
+    # Either a posting of a block or the weights of its pair.
+    parts = postings.select(F.col("block").alias("of_block"), "pair", "docs", "planes").unionByName(
+        held.join(weights, "pair").select("of_block", "pair", "n_links", "best"), allowMissingColumns=True
+    )
 
     def score(documents: pa.Table, block: pa.Table) -> pa.Table:
         place = documents["place"].to_numpy()
         size = int(place.max()) + 1 if len(place) else 0
-        total, best = pair_index.add_scores(block, ["n_links", "best"], size) if block.num_rows else [np.zeros(size, np.int64)] * 2
+        total, best = pair_index.add_scores(weighed(block), ["n_links", "best"], size) if block.num_rows else [np.zeros(size, np.int64)] * 2
         made = {"n_best": pa.array(best[place]), "count_sum": pa.array(total[place])}
         return pa.table({n: made[n] if n in made else documents[n] for n in (c.split()[0] for c in ALIGNED.split(", "))})
 
     documents = rows.where("pair IS NULL").select(*_DOC_COLUMNS)
-    return documents.groupBy("block").cogroup(weighed.groupBy("of_block")).applyInArrow(score, ALIGNED)
+    return documents.groupBy("block").cogroup(parts.groupBy("of_block")).applyInArrow(score, ALIGNED)

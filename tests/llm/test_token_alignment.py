@@ -1,6 +1,7 @@
 import hashlib
 import json
 import random
+import re
 from collections import Counter
 
 import numpy as np
@@ -165,3 +166,15 @@ def test_whole_table(spark, libraries):
     for doc, row in expected.items():
         # Counts are those of all documents, and the long ones are left out of the slow reading.
         assert found[doc][:5] == row[:5] and found[doc][7] == row[7] and found[doc][6] >= row[6]
+
+
+def test_bitmaps_are_shuffled_to_their_block_alone(spark, scratch, prose, docs):
+    found = token_alignment.align(docs(list(enumerate(texts(prose)))), scratch, FIRST, SECOND)
+    lines = found._jdf.queryExecution().executedPlan().toString().splitlines()
+    joins = [i for i, line in enumerate(lines) if re.search(r"Join \[pair#", line)]
+    assert [("SortMergeJoin" in lines[i]) for i in joins] == [True]
+    depth = [len(re.match(r"[\s:+\-*()0-9]*", line)[0]) for line in lines]
+    (at,) = joins
+    below = next((j for j in range(at + 1, len(lines)) if depth[j] <= depth[at]), len(lines))
+    projected = [line for line in lines[at:below] if "Project" in line]
+    assert projected and not any(re.search(r"docs#|planes#", line) for line in projected)
