@@ -15,3 +15,14 @@ def surrogate_key(*columns: str | Column) -> Column:
     """md5 over the text of ``columns``; equal natural keys always give equal keys."""
     parts = [F.col(c) if isinstance(c, str) else c for c in columns]
     return F.md5(F.concat_ws(SEPARATOR, *[F.coalesce(p.cast("string"), F.lit(NULL_TOKEN)) for p in parts]))
+
+
+def packed(key: str | Column) -> Column:
+    """A surrogate key in 17 bytes instead of 32 characters, for shuffles that only compare keys.
+
+    Texts have equal bytes only if they are equal: lower-case hex is packed behind a 1, other text stands as it is behind a 0. NULL stays NULL.
+    """
+    text = F.col(key) if isinstance(key, str) else key
+    raw = F.unhex(text)
+    plain = F.concat(F.lit(b"\x00"), text.cast("binary"))
+    return F.when(F.lower(F.hex(raw)) == text, F.concat(F.lit(b"\x01"), raw)).otherwise(plain)

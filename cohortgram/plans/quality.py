@@ -10,9 +10,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortgram import reference as ref
+from cohortgram.functions.keys import packed
 from cohortgram.functions.measures import n_rows
 from cohortgram.operators import checks, profile
-from cohortgram.plans.report import ReportTables
+from cohortgram.plans.report import CULTURE, ReportTables
 
 FLAG = (0, 1)
 ORDER = ("patient_key", "encounter_key", "culture_order_key")
@@ -320,6 +321,15 @@ def check_names(relation: str) -> list[str]:
     ]
 
 
+def comparable(rows: DataFrame, columns: tuple[str, ...]) -> DataFrame:
+    """The columns alone, with surrogate keys packed, as they are only compared. Rows with the culture key lie by it and stay as they are."""
+    if CULTURE in columns:
+        return rows.select(*columns)
+    types = dict(rows.dtypes)
+    hashed = [c for c in columns if c.endswith("_key") and c not in ORDER and types[c] == "string"]
+    return rows.select(*[packed(c).alias(c) if c in hashed else c for c in columns])
+
+
 def relation_report(
     relation: str,
     frame: DataFrame,
@@ -340,9 +350,11 @@ def relation_report(
         parts = [frame.sparkSession.range(1).select(F.inline(rows))]
     else:
         parts = [checks.row_checks(frame, conditions)]
-    keyed = {f"{', '.join(k)} is unique": checks.unique_combination(frame, k) for k in contract.unique}
+    keyed = {f"{', '.join(k)} is unique": checks.unique_combination(comparable(frame, k), k) for k in contract.unique}
     related = {
-        f"{column} is in {parent}": checks.relationships(frame, column, find(parent), parent_column)
+        f"{column} is in {parent}": checks.relationships(
+            comparable(frame, (column,)), column, comparable(find(parent), (parent_column,)), parent_column
+        )
         for column, (parent, parent_column) in contract.references.items()
     }
     for name, failing in (keyed | related).items():

@@ -7,7 +7,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from cohortgram.functions.cleaning import punctuation_free, safe_cast, sentinel_to_null
-from cohortgram.functions.keys import NULL_TOKEN, surrogate_key
+from cohortgram.functions.keys import NULL_TOKEN, packed, surrogate_key
 from cohortgram.functions.measures import display_status, safe_pct
 from cohortgram.functions.statuses import strongest_status, tri_state
 from cohortgram.functions.windows import ReportWindow, add_months
@@ -103,3 +103,12 @@ def test_window_filter_reaches_the_file_scan(spark, tmp_path):
     frame = spark.read.parquet(f"{tmp_path}/t").filter(ReportWindow(date(2023, 1, 1)).usable("t"))
     plan = frame._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(t," in plan and "LessThan(t," in plan
+
+
+def test_packed_keys_are_equal_only_if_the_texts_are(spark):
+    key = hashlib.md5(b"x").hexdigest()
+    texts = [key, key.upper(), key[:-1], "0" + key[1:], "", "0", "00", "a", "0a", "A0", "a0", "\x00", "\x01\xa0", "é", " a0", "zz", "P1", None]
+    frame = spark.createDataFrame([(t,) for t in texts], "v string").select("v", packed("v").alias("p"))
+    found = {r.v: None if r.p is None else bytes(r.p) for r in frame.collect()}
+    assert len(set(found.values())) == len(texts) and found[None] is None
+    assert len(found[key]) == 17

@@ -85,3 +85,22 @@ def test_no_rows_are_counted_too(spark):
     got = quality.layer_counts(layers, scratch.counted)
     assert {r.model_name: r.row_count for r in got.collect()} == {"none": 0, "some": 3}
     assert profile.layer_counts(layers).count() == 2
+
+
+def test_key_checks_compare_packed_keys(spark):
+    key = "0123456789abcdef0123456789abcdef"
+    rows = [(k, "x", "c") for k in (key, key.upper(), "0", "00", "", None, None)]
+    children = spark.createDataFrame(rows, "susceptibility_key string, culture_organism_key string, culture_key string")
+    parents = spark.createDataFrame([(key,), ("0",)], "susceptibility_key string")
+    contract = quality.Contract(
+        required=("culture_key",), unique=(("susceptibility_key",),), references={"susceptibility_key": ("parents", "susceptibility_key")}
+    )
+    report = quality.relation_report("children", children, lambda name: parents, contract)
+    assert {r.check_name: r.failing_rows for r in report.collect()} == {
+        "culture_key is not null": 0,
+        "susceptibility_key is unique": 1,
+        "susceptibility_key is in parents": 3,
+    }
+    narrow = quality.comparable(children, ("susceptibility_key",))
+    assert dict(narrow.dtypes) == {"susceptibility_key": "binary"}
+    assert dict(quality.comparable(children, ("susceptibility_key", "culture_key")).dtypes)["susceptibility_key"] == "string"
