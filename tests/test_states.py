@@ -114,3 +114,38 @@ def test_lines_meet_their_orders_in_more_tasks_the_more_they_are(spark, rows, mo
     monkeypatch.setattr(source, "PART_ROWS", 300)
     many, same = dealt()
     assert (few, many) == (0, 2) and same == raw_rows
+
+
+@pytest.fixture
+def star(spark, tmp_path):
+    """4,000 lines in 40 files, 500 orders and 50 customers."""
+    tables = {
+        "customer": spark.range(50).selectExpr("id as c_custkey", "'BUILDING' as c_mktsegment", "id % 5 as c_nationkey"),
+        "orders": spark.range(500).selectExpr(
+            "id as o_orderkey", "id % 50 as o_custkey", "date_add(date'1998-01-01', cast(id % 300 as int)) as o_orderdate",
+            "substr('FPO', cast(id % 3 as int) + 1, 1) as o_orderstatus", "if(id % 7 = 0, '5-LOW', '2-HIGH') as o_orderpriority",
+        ),
+        "lineitem": spark.range(4000).selectExpr(
+            "id % 500 as l_orderkey", "id % 9 as l_suppkey", "(id % 10) / 100 as l_tax", "id % 50 as l_quantity",
+            "substr('RNA', cast(id % 3 as int) + 1, 1) as l_returnflag", "substr('FO', cast(id % 2 as int) + 1, 1) as l_linestatus",
+        ).repartition(40),
+    }
+    for name, frame in tables.items():
+        frame.write.parquet(f"{tmp_path}/{name}.parquet")
+    return str(tmp_path)
+
+
+def test_lines_meet_their_orders_in_tasks_of_bounded_rows_with_many_shuffle_partitions(spark, star, rows, monkeypatch):
+    settings = {"spark.sql.shuffle.partitions": "60", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {name: spark.conf.get(name) for name in settings}
+    few = rows(source.raw_cohort(spark, star))
+    monkeypatch.setattr(source, "PART_ROWS", 100)
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        frame = source.raw_cohort(spark, star)
+        assert frame.rdd.getNumPartitions() >= 40
+        assert rows(frame) == few and len(few) == 4000
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
