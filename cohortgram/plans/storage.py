@@ -20,8 +20,9 @@ CODEC = "zstd"
 FILE_ROWS = 1_000_000
 #: Source rows of a bucket. What is rolled up from them is sorted in memory: measured peak 130 MB a task at 150,000 rows.
 BUCKET_ROWS = 150_000
-#: Rows a task takes from a stored relation to deal them out. Files hold a few bytes a row, tasks some hundred.
-DEALT_ROWS = 1_000_000
+#: Rows a task takes from a stored relation to deal them out. Files hold a few bytes a row, tasks some hundred: beyond
+#: ``spark.shuffle.sort.bypassMergeThreshold`` partitions they are all held, 285 MB of a million raw rows.
+DEALT_ROWS = 500_000
 SPLITS_SETTING = "spark.sql.files.minPartitionNum"
 
 

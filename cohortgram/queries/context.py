@@ -40,7 +40,8 @@ class Context:
     @cached_property
     def full(self) -> ReportTables:
         counts = quality.written_counts
-        raw = self.scratch.keep("raw_cohort", source.raw_cohort(self.spark, self.sf_dir), counts=counts("raw_cohort"))
+        with self.scratch.splits_for(self.table("lineitem").count()):
+            raw = self.scratch.keep("raw_cohort", source.raw_cohort(self.spark, self.sf_dir), counts=counts("raw_cohort"))
         return ReportTables(raw, self.seeds, scratch=self.scratch, keep=AUDIT_RELATIONS, counts=counts)
 
     @cached_property

@@ -8,6 +8,7 @@ from cohortgram.operators import rollup
 from cohortgram.plans import ReportTables, Scratch, storage
 from cohortgram.plans.report import AUDIT_RELATIONS
 from cohortgram.queries import source
+from cohortgram.queries.context import Context
 from cohortgram.sources.seeds import Seeds
 
 GRAINS = ("cultures", "culture_organisms", "endpoints", "mapped", "phenotypes", "records")
@@ -149,3 +150,17 @@ def test_lines_meet_their_orders_in_tasks_of_bounded_rows_with_many_shuffle_part
     finally:
         for name, value in before.items():
             spark.conf.set(name, value)
+
+
+def test_lines_are_dealt_from_scans_of_bounded_rows(spark, star, monkeypatch):
+    monkeypatch.setattr(storage, "DEALT_ROWS", 100)
+    tasks = {}
+
+    def keep(scratch, name, frame, **rest):
+        tasks[name] = source.table(spark, star, "lineitem").rdd.getNumPartitions()
+        return frame
+
+    monkeypatch.setattr(Scratch, "keep", keep)
+    Context(spark, star).full
+    assert tasks["raw_cohort"] >= 20
+    assert spark.conf.get(storage.SPLITS_SETTING, None) is None
