@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterable, Mapping
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from cohortgram.functions.measures import DISPLAY_MINIMUM
 from cohortgram.functions.schemas import ORDER_KEYS
@@ -53,7 +54,8 @@ class ReportTables:
     If ``scratch`` is given, the relations named in ``keep`` are written there once: by default those the
     reports read several times. Name more of them to run many audits over one build. Those whose readers join or group
     on one key (``BUCKET_KEYS``) are stored as buckets of it. With ``states`` among them, the raw rows are shuffled once, by culture, and
-    all grains of the source are rolled up from there. Everything else stays a lazy plan for Catalyst. The window is applied to ``records``, before selection and counting; filtering
+    all grains of the source are rolled up from there. Cultures, culture organisms, mapped records and phenotypes are stored when they are asked
+    for; what is built from them takes them as stored, or else into its own tasks. Everything else stays a lazy plan for Catalyst. The window is applied to ``records``, before selection and counting; filtering
     a finished table would give other answers.
 
     ``audit_columns=False`` leaves out what no report reads: file lineage, ordering mode, row and distinct
@@ -99,6 +101,10 @@ class ReportTables:
                 other.counted[name] = self.counted[name]
         return other
 
+    def _plan_of(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """A relation as the next step reads it: stored if a reader asked for it before, or else as a part of that step's own tasks."""
+        return self.__dict__[name] if name in self.__dict__ else build()
+
     def _keep(self, name: str, frame: DataFrame) -> DataFrame:
         if self.scratch is None or name not in self.keep:
             return frame
@@ -149,17 +155,22 @@ class ReportTables:
 
     @cached_property
     def cultures(self) -> DataFrame:
+        return self._keep("cultures", self._cultures())
+
+    def _cultures(self) -> DataFrame:
         attributes = ORDER_ATTRIBUTES if self.audit_columns else vocabulary.CONTEXT_COLUMNS
         rows, weight = self._source()
-        rolled = rollup.consistent_rollup(
+        return rollup.consistent_rollup(
             rows, ORDER_KEYS, attributes, "culture_key", lineage=self.lineage, weight=weight
         )
-        return self._keep("cultures", rolled)
 
     @cached_property
     def culture_organisms(self) -> DataFrame:
+        return self._keep("culture_organisms", self._culture_organisms())
+
+    def _culture_organisms(self) -> DataFrame:
         rows, weight = self._source()
-        rolled = rollup.child_rollup(
+        return rollup.child_rollup(
             rows,
             ORDER_KEYS,
             "organism",
@@ -170,7 +181,6 @@ class ReportTables:
             item_counts=self.audit_columns,
             weight=weight,
         )
-        return self._keep("culture_organisms", rolled)
 
     @cached_property
     def endpoints(self) -> DataFrame:
@@ -199,13 +209,22 @@ class ReportTables:
 
     @cached_property
     def cohort_records(self) -> DataFrame:
+        return self._cohort_records(self.culture_organisms, self.cultures)
+
+    def _cohort_records(self, culture_organisms: DataFrame, cultures: DataFrame) -> DataFrame:
         keys = (CULTURE, *ORDER_KEYS) if self.audit_columns else ORDER_KEYS
-        return vocabulary.assign_cohort(vocabulary.attach_culture_context(self.culture_organisms, self.cultures, keys))
+        return vocabulary.assign_cohort(vocabulary.attach_culture_context(culture_organisms, cultures, keys))
 
     @cached_property
     def mapped(self) -> DataFrame:
-        labelled = self.cohort_records.withColumnRenamed("organism", "organism_source")
-        return self._keep("mapped", vocabulary.map_labels(labelled, self.seeds.labels))
+        return self._keep("mapped", self._mapped())
+
+    def _mapped(self) -> DataFrame:
+        records = self._cohort_records(
+            self._plan_of("culture_organisms", self._culture_organisms), self._plan_of("cultures", self._cultures)
+        )
+        labelled = records.withColumnRenamed("organism", "organism_source")
+        return vocabulary.map_labels(labelled, self.seeds.labels)
 
     # -- classification and consolidation ----------------------------------------------------------
     @cached_property
@@ -222,12 +241,15 @@ class ReportTables:
 
     @cached_property
     def phenotypes(self) -> DataFrame:
-        records = evidence.phenotype_records(evidence.with_rule_scopes(self.mapped), self.evidence, keys=self.record_keys)
-        return self._keep("phenotypes", records)
+        return self._keep("phenotypes", self._phenotypes())
+
+    def _phenotypes(self) -> DataFrame:
+        mapped = self._plan_of("mapped", self._mapped)
+        return evidence.phenotype_records(evidence.with_rule_scopes(mapped), self.evidence, keys=self.record_keys)
 
     @cached_property
     def records(self) -> DataFrame:
-        categorised = consolidate.categorised_records(self.phenotypes)
+        categorised = consolidate.categorised_records(self._plan_of("phenotypes", self._phenotypes))
         return self._keep("records", consolidate.consolidate(categorised, audit_columns=self.audit_columns))
 
     # -- inside the window -------------------------------------------------------------------------
@@ -245,16 +267,19 @@ class ReportTables:
         """Second reconciliation of every overall and stratified group in the window."""
         usable = self.records.filter(self.window.usable("culture_time_shifted"))
         stratified = usable.filter(usable["reporting_phenotype"].isin(*GROUP_PHENOTYPES))
-        parent = reconcile.shared_parent(self.records, self.endpoints)
+        # Under a name of its own, or else Spark does not see that both scopes lie by it and deals their union again.
+        parent = {c: f"_{c}" for c in reconcile.shared_parent(self.records, self.endpoints)}
         groups = reconcile.scope_groups(
             {
                 "overall": (self.overall_observations, "reporting_culture_observation_key"),
                 "stratified": (stratified, select.RECORD_KEY),
             },
-            (*parent, *select.PATIENT_GROUP),
+            (*[F.col(c).alias(name) for c, name in parent.items()], *select.PATIENT_GROUP),
             consolidate.MEMBERS,
         )
-        rolled = reconcile.reconcile_group(groups, self.endpoints, GROUP_KEYS, parent=parent)
+        endpoints = self.endpoints.withColumnsRenamed(parent)
+        rolled = reconcile.reconcile_group(groups, endpoints, GROUP_KEYS, parent=list(parent.values()))
+        rolled = rolled.withColumnsRenamed({name: c for c, name in parent.items()})
         return self._keep("group_endpoints", reconcile.with_group_endpoint_key(rolled))
 
     @cached_property

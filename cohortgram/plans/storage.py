@@ -16,6 +16,9 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 #: Codec of stored relations: keys are hashes in hex, which only entropy coding halves.
 CODEC = "zstd"
+#: What they are written with: on sorted buckets level 1 takes as much room as the default of 3, and pages without dictionaries 5 % more
+#: than with them, for 8 % less CPU time of the whole build.
+CODEC_OPTIONS = {"compression": CODEC, "parquet.compression.codec.zstd.level": "1", "parquet.enable.dictionary": "false"}
 #: Most rows of a file, so that a scan can be split.
 FILE_ROWS = 1_000_000
 #: Source rows of a bucket. What is rolled up from them is sorted in memory: measured peak 130 MB a task at 150,000 rows.
@@ -24,6 +27,8 @@ BUCKET_ROWS = 150_000
 #: ``spark.shuffle.sort.bypassMergeThreshold`` partitions they are all held, 285 MB of a million raw rows.
 DEALT_ROWS = 500_000
 SPLITS_SETTING = "spark.sql.files.minPartitionNum"
+#: Off, lists are collected from sorted rows. On, a task sorts what it has left after 128 groups, before and again after its partials.
+OBJECT_HASH_SETTING = "spark.sql.execution.useObjectHashAggregateExec"
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -70,11 +75,17 @@ class Scratch:
         """Inside, scans of files with so many rows are split into tasks of about ``DEALT_ROWS``, as shuffles buffer what they deal out."""
         before = self.spark.conf.get(SPLITS_SETTING, None)
         least = max(self.spark.sparkContext.defaultParallelism, -(-rows // DEALT_ROWS), int(before or 0))
-        self.spark.conf.set(SPLITS_SETTING, str(least))
+        with self._setting(SPLITS_SETTING, str(least)):
+            yield
+
+    @contextmanager
+    def _setting(self, name: str, value: str) -> Iterator[None]:
+        before = self.spark.conf.get(name, None)
+        self.spark.conf.set(name, value)
         try:
             yield
         finally:
-            self.spark.conf.unset(SPLITS_SETTING) if before is None else self.spark.conf.set(SPLITS_SETTING, before)
+            self.spark.conf.unset(name) if before is None else self.spark.conf.set(name, before)
 
     def folder(self, name: str) -> str:
         return f"{self.path}/{name}"
@@ -86,7 +97,7 @@ class Scratch:
         if rows is not None:
             frame = frame.repartition(max(1, -(-rows // FILE_ROWS)))
         seen, frame = _observed(frame, counts)
-        writer = frame.write.mode("error").option("compression", CODEC).option("maxRecordsPerFile", FILE_ROWS)
+        writer = frame.write.mode("error").options(**CODEC_OPTIONS).option("maxRecordsPerFile", FILE_ROWS)
         writer.parquet(self.folder(name))
         self._take(name, seen)
         return self.spark.read.schema(frame.schema).parquet(self.folder(name))
@@ -104,8 +115,9 @@ class Scratch:
         # Spark leaves this shuffle out if the rows already lie by the key in as many partitions.
         seen, dealt = _observed(frame.repartition(buckets, key), counts)
         writer = dealt.write.format("parquet").mode("error").option("path", self.folder(name))
-        writer = writer.option("compression", CODEC)
-        writer.bucketBy(buckets, key).sortBy(key).saveAsTable(table)
+        writer = writer.options(**CODEC_OPTIONS)
+        with self._setting(OBJECT_HASH_SETTING, "false"):
+            writer.bucketBy(buckets, key).sortBy(key).saveAsTable(table)
         self._take(name, seen)
         atexit.register(_drop, self.spark, table)
         return self.spark.table(table)

@@ -148,7 +148,8 @@ def _ingest() -> list[Column]:
 def raw_cohort(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One text row per line item.
 
-    What is read of a line is worked out before the join, and orders meet their customers first: lines are shuffled once and narrow.
+    What is read of a line or an order is worked out before they are joined, and orders meet their customers first: lines are shuffled once and
+    narrow, and texts of an order are made once, not by each of its lines.
     """
     neighbour = F.when((F.col("l_linestatus") == "O") & (F.col("l_returnflag") == "R"), 1).otherwise(0)
     flag, quantity = F.col("l_returnflag"), F.col("l_quantity")
@@ -169,20 +170,12 @@ def raw_cohort(spark: SparkSession, sf_dir: str) -> DataFrame:
         result.alias("_result"),
     )
     customers = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment", "c_nationkey")
-    orders = table(spark, sf_dir, "orders").join(customers, F.col("o_custkey") == F.col("c_custkey"))
-    parts = -(-lines.count() // PART_ROWS)
-    # However many shuffle partitions there are, adaptive execution may merge them down to one per core.
-    if parts > min(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism):
-        lines, orders = lines.repartition(parts, "l_orderkey"), orders.repartition(parts, "o_orderkey")
-    rows = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-    pick = ((F.col("o_custkey") * 3 + F.year("o_orderdate") % 2 + F.col("_neighbour")) % len(LABELS)).cast("int")
-    panels = F.array(*[F.array(*[F.lit(d) for d in PANEL_DRUGS[p]]) for p in PANEL_OF_LABEL])
     negative = F.col("o_orderpriority") == "5-LOW"
-    untested = F.col("_untested")
-    result = F.get(F.array(*[F.lit(text) for text in RESULTS]), F.col("_result"))
     description = _lookup(DESCRIPTIONS, F.col("c_mktsegment"))
-    picked = rows.withColumn("_pick", pick)
-    return picked.select(
+    orders = table(spark, sf_dir, "orders").join(customers, F.col("o_custkey") == F.col("c_custkey")).select(
+        "o_orderkey",
+        (F.col("o_custkey") * 3 + F.year("o_orderdate") % 2).alias("_first"),
+        negative.alias("_negative"),
         *_order_ids(),
         _order_time().alias("order_time_jittered_utc"),
         F.coalesce(_lookup(ORDERING_MODES, F.col("o_orderpriority")), F.lit("Outpatient")).alias("ordering_mode"),
@@ -191,6 +184,26 @@ def raw_cohort(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(description)
         .alias("culture_description"),
         F.when(negative, "0").when(F.col("o_orderkey") % 89 == 0, "1.0").otherwise("1").alias("was_positive"),
+        *_ingest(),
+    )
+    parts = -(-lines.count() // PART_ROWS)
+    # However many shuffle partitions there are, adaptive execution may merge them down to one per core.
+    if parts > min(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism):
+        lines, orders = lines.repartition(parts, "l_orderkey"), orders.repartition(parts, "o_orderkey")
+    rows = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    pick = ((F.col("_first") + F.col("_neighbour")) % len(LABELS)).cast("int")
+    panels = F.array(*[F.array(*[F.lit(d) for d in PANEL_DRUGS[p]]) for p in PANEL_OF_LABEL])
+    negative, untested = F.col("_negative"), F.col("_untested")
+    result = F.get(F.array(*[F.lit(text) for text in RESULTS]), F.col("_result"))
+    picked = rows.withColumn("_pick", pick)
+    return picked.select(
+        "anon_id",
+        "pat_enc_csn_id_coded",
+        "order_proc_id_coded",
+        "order_time_jittered_utc",
+        "ordering_mode",
+        "culture_description",
+        "was_positive",
         F.when(negative, "Null")
         .otherwise(F.get(F.array(*[F.lit(label) for label in LABELS]), F.col("_pick")))
         .alias("organism"),
@@ -198,7 +211,9 @@ def raw_cohort(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.get(F.get(panels, F.col("_pick")), F.col("_drug")))
         .alias("antibiotic"),
         F.when(negative | untested, "Null").otherwise(result).alias("susceptibility"),
-        *_ingest(),
+        "source_file",
+        "source_version",
+        "ingested_at",
     )
 
 

@@ -60,6 +60,13 @@ def test_group_endpoints_of_all_scopes(spark, tables):
         assert "Exchange" not in path, path
 
 
+def test_both_scopes_are_grouped_where_they_lie(spark, tables):
+    usable = ReportTables(tables.raw_cohort, tables.seeds, scratch=Scratch(spark))
+    usable.__dict__.update(endpoints=tables.endpoints, records=tables.records)
+    plan = usable.group_endpoints._jdf.queryExecution().executedPlan().toString()
+    assert "Union" in plan and "Exchange hashpartitioning" not in plan
+
+
 def test_evidence_is_counted_where_the_endpoints_lie(tables):
     for path in above(tables.evidence, "endpoints"):
         assert "Aggregate" in path[-1] and "Exchange" not in path, path

@@ -104,3 +104,17 @@ def test_key_checks_compare_packed_keys(spark):
     narrow = quality.comparable(children, ("susceptibility_key",))
     assert dict(narrow.dtypes) == {"susceptibility_key": "binary"}
     assert dict(quality.comparable(children, ("susceptibility_key", "culture_key")).dtypes)["susceptibility_key"] == "string"
+
+
+def test_relations_are_stored_when_they_are_asked_for(spark, rows):
+    tables = built(spark, counts=quality.written_counts)
+    setting = "spark.sql.execution.useObjectHashAggregateExec"
+    before = spark.conf.get(setting, None)
+    records = rows(tables.records)
+    assert set(tables.counted) == {"states", "endpoints", "records"} and spark.conf.get(setting, None) == before
+    assert tables.phenotypes.count() == tables.counted["phenotypes"][quality.ROWS] > 0
+    assert set(tables.counted) == {"states", "endpoints", "records", "phenotypes"}
+    again = built(spark, counts=quality.written_counts)
+    assert again.mapped.count() and again.cultures.count() and again.phenotypes.count()
+    assert rows(again.records) == records
+    assert set(again.counted) == {"states", "cultures", "mapped", "endpoints", "phenotypes", "records"}
