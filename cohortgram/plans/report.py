@@ -34,6 +34,8 @@ BUCKET_KEYS = {
     "records": CULTURE,
     "selected": CULTURE,
     "group_endpoints": CULTURE,
+    "first_stratified": CULTURE,
+    "first_overall": CULTURE,
 }
 #: The same without audit columns: endpoints have no culture key then.
 LEAN_BUCKET_KEYS = {
@@ -45,7 +47,17 @@ LEAN_BUCKET_KEYS = {
     "group_endpoints": "reporting_source_key",
 }
 WEIGHT = "staged_row_count"
-AUDIT_RELATIONS = (*REPORT_RELATIONS, "states", "cultures", "culture_organisms", "mapped", "phenotypes", "group_endpoints")
+AUDIT_RELATIONS = (
+    *REPORT_RELATIONS,
+    "states",
+    "cultures",
+    "culture_organisms",
+    "mapped",
+    "phenotypes",
+    "group_endpoints",
+    "first_stratified",
+    "first_overall",
+)
 
 
 class ReportTables:
@@ -294,11 +306,11 @@ class ReportTables:
 
     @cached_property
     def first_stratified(self) -> DataFrame:
-        return select.first_per_category(self.candidates)
+        return self._keep("first_stratified", select.first_per_category(self.candidates))
 
     @cached_property
     def first_overall(self) -> DataFrame:
-        return select.first_overall(self.overall_observations)
+        return self._keep("first_overall", select.first_overall(self.overall_observations))
 
     @cached_property
     def first_stratified_endpoints(self) -> DataFrame:

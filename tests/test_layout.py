@@ -5,12 +5,13 @@ import re
 import pytest
 
 from cohortgram.operators import reconcile, select
-from cohortgram.plans import ReportTables, Scratch
+from cohortgram.plans import ReportTables, Scratch, quality
 from cohortgram.plans.report import AUDIT_RELATIONS
 from cohortgram.queries import source
 from cohortgram.sources.seeds import Seeds
 
 SMALL = "/root/testdata/sf0.001"
+SELECTIONS = ("first_stratified", "first_stratified_endpoints", "first_overall", "first_overall_endpoints")
 
 
 @pytest.fixture(scope="module")
@@ -78,6 +79,14 @@ def test_endpoints_of_selected_records(tables):
             assert "Exchange" not in path, path
 
 
+def test_checks_and_reports_read_selections_that_were_ranked_once(tables):
+    for frame in (quality.quality_report(tables, relations=SELECTIONS), tables.population, tables.first_overall_endpoints):
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert "/first_" in plan and "Window" not in plan
+    for frame in (tables.first_stratified_endpoints, tables.first_overall_endpoints):
+        assert "Exchange hashpartitioning" not in frame._jdf.queryExecution().executedPlan().toString()
+
+
 def test_buckets_hold_what_was_written(spark, tables, rows):
     plain = ReportTables(tables.raw_cohort, tables.seeds)
     for name in ("endpoints", "records"):
